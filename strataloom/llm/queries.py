@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from strataloom.llm import line_dedup, source_mixing
+from strataloom.llm import chat_format, line_dedup, source_mixing, token_rollup, toxicity_knn
 
 QUERIES = {
     "op4_mix_sources": source_mixing.op4_mix_sources,
+    "op6_token_counts": token_rollup.op6_token_counts,
     "op7_line_dedup": line_dedup.op7_line_dedup,
+    "op8_chat_format": chat_format.op8_chat_format,
+    "op10_toxicity": toxicity_knn.op10_toxicity,
 }
 
 ORACLE_SQL = {
