@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from strataloom.llm import chat_format, line_dedup, source_mixing, token_rollup, toxicity_knn
+from strataloom.llm import chat_format, decontaminate, line_dedup, source_mixing, spotsigs, token_rollup, toxicity_knn
 
 QUERIES = {
+    "op2_spot_fingerprints": spotsigs.op2_spot_fingerprints,
     "op4_mix_sources": source_mixing.op4_mix_sources,
     "op6_token_counts": token_rollup.op6_token_counts,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_chat_format": chat_format.op8_chat_format,
+    "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_toxicity": toxicity_knn.op10_toxicity,
 }
 
 ORACLE_SQL = {
     "op4_mix_sources": source_mixing.OP4_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
+    "op9_decontaminate": decontaminate.OP9_SQL,
 }
