@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from strataloom.llm import chat_format, decontaminate, line_dedup, source_mixing, spotsigs, token_rollup, toxicity_knn
+from strataloom.llm import chat_format, decontaminate, html_mincut, line_dedup, source_mixing, spotsigs, token_rollup, toxicity_knn
 
 QUERIES = {
     "op2_spot_fingerprints": spotsigs.op2_spot_fingerprints,
     "op4_mix_sources": source_mixing.op4_mix_sources,
+    "op5_extract_text": html_mincut.op5_extract_text,
     "op6_token_counts": token_rollup.op6_token_counts,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_chat_format": chat_format.op8_chat_format,
