@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from strataloom.llm import chat_format, decontaminate, html_mincut, line_dedup, source_mixing, spotsigs, token_rollup, toxicity_knn
+from strataloom.llm import chat_format, decontaminate, html_mincut, line_dedup, ngram_join, source_mixing, spotsigs, token_rollup, toxicity_knn
 
 QUERIES = {
     "op2_spot_fingerprints": spotsigs.op2_spot_fingerprints,
+    "op3_ngram_join": ngram_join.op3_ngram_join,
     "op4_mix_sources": source_mixing.op4_mix_sources,
     "op5_extract_text": html_mincut.op5_extract_text,
     "op6_token_counts": token_rollup.op6_token_counts,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_ngram_join": ngram_join.OP3_SQL,
     "op4_mix_sources": source_mixing.OP4_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
     "op9_decontaminate": decontaminate.OP9_SQL,
