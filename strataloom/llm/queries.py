@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strataloom.llm import chat_format, decontaminate, html_mincut, line_dedup, ngram_join, source_mixing, spotsigs, token_rollup, toxicity_knn
+from strataloom.llm import chat_format, decontaminate, html_mincut, importance_resampling, line_dedup, ngram_join, source_mixing, spotsigs, token_rollup, toxicity_knn
 
 QUERIES = {
+    "op1_importance_resampling": importance_resampling.op1_importance_resampling,
     "op2_spot_fingerprints": spotsigs.op2_spot_fingerprints,
     "op3_ngram_join": ngram_join.op3_ngram_join,
     "op4_mix_sources": source_mixing.op4_mix_sources,
