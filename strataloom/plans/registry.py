@@ -1,4 +1,6 @@
 """Query registry of the harmonization engine."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from strataloom.plans import matrix_queries, sample_queries
+
+QUERIES: dict = matrix_queries.QUERIES | sample_queries.QUERIES
+ORACLE_SQL: dict = matrix_queries.ORACLE_SQL | sample_queries.ORACLE_SQL
