@@ -7,14 +7,15 @@ copies are never expanded into pairs.
 1. Profile (scan 1): per document the set's size, its 128-bit digest and its count vector: n-grams
    are hashed to 64 groups and counted. A second, corpus-wide count over 65,536 groups is taken
    from the same scan.
-2. Partition (scan 2): linked sets share at least one of their first ``n - ceil(t*n) + 1`` n-grams
-   in any common order; the order used here is by corpus-wide group count, so that passages that
-   many documents share come last and make no large partitions. Sharing an n-gram only brings two
-   nodes together; it decides nothing.
+2. Partition (scan 2): linked sets share at least k of their first ``n - ceil(t*n) + k`` n-grams in
+   any common order; k is 1 + n/50, and the order used here is by corpus-wide group count, so that
+   passages that many documents share come last and make no large partitions. Sharing n-grams only
+   brings two nodes together; it decides nothing.
 3. Index: the nodes of one partition are points (their count vectors). A packed R-tree over them -
    leaves of ``LEAF`` points with their coordinate maxima and size range - bounds the overlap of two
-   leaves, then of two points, by summed coordinate minima. Points that may link are united into
-   clouds; only the spanning edges of this relation leave the task.
+   leaves, then of two points, by summed coordinate minima. Pairs of small partitions must come
+   together in k partitions; large partitions return the spanning edges of the relation only. What
+   may link is united into clouds.
 4. Verify: the clouds' n-gram sets are compared exactly, all pairs of a cloud inside tiles of bounded
    size, by products of 0/1 matrices over the n-grams that at least two members share. Each tile pair
    returns the spanning edges of its true links and the number of links of each node.
@@ -46,7 +47,7 @@ from strataloom.llm.common import cut, stored, table, words_of
 GROUPS = 64
 CORPUS_GROUPS = 1 << 16
 LEAF = 64
-SMALL = 16
+SMALL = 32
 STREAM_ROWS = 200_000
 TILE_NODES = 2048
 TILE_NGRAMS = 4_000_000
@@ -72,8 +73,13 @@ def ngram_set(text: str | None, n: int) -> np.ndarray:
     return np.unique(s)
 
 
+def least_shared(n):
+    """How many n-grams two linked sets share in their prefixes, n being the smaller size."""
+    return 1 + n // 50
+
+
 def prefix_size(n: int, num: int, den: int) -> int:
-    return n - -(-num * n // den) + 1
+    return min(n, n - -(-num * n // den) + least_shared(n))
 
 
 def count_vector(s: np.ndarray) -> tuple[np.ndarray, int]:
@@ -224,10 +230,16 @@ def tree_edges(size: np.ndarray, vec: np.ndarray, num: int, den: int) -> list[tu
 
 
 def _cloud_edges(points: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): spanning edges of the may-link relation over all partitions."""
+    """(a, b): pairs that may link, complete up to the spanning edges of large partitions.
+
+    A pair of small partitions counts its partitions, one of a large partition stands by itself.
+    A linked pair either has all the n-grams it must share in small partitions, or meets in a large
+    one.
+    """
     names = ["gram", "rep", "size", "scale", *_VEC]
+    schema = "a bigint, b bigint, n bigint, shared bigint, large boolean"
 
-    def solve(a: np.ndarray, done: bool) -> np.ndarray:
+    def solve(a: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Edges of the complete runs in a (columns as in names); a is sorted by gram, size."""
         vec = np.ascontiguousarray(a[:, 4:]).view(np.uint8).reshape(len(a), GROUPS).astype(np.int32) * a[:, 3:4].astype(np.int32)
         starts = _runs(a[:, 0])
@@ -236,27 +248,25 @@ def _cloud_edges(points: DataFrame, num: int, den: int) -> DataFrame:
         small = np.repeat(length <= SMALL, length)
         for lag in range(1, SMALL):
             i = np.flatnonzero(small[:-lag] & (a[lag:, 0] == a[:-lag, 0]) & (a[lag:, 2] * num <= a[:-lag, 2] * den))
-            if not len(i):
-                continue
             for c in range(0, len(i), 20_000):
                 x = i[c : c + 20_000]
-                ok = may_link(a[x, 2], a[x + lag, 2], np.minimum(vec[x], vec[x + lag]).sum(axis=1), num, den)
-                out.append(np.stack([a[x[ok], 1], a[x[ok] + lag, 1]], axis=1))
+                ok = x[may_link(a[x, 2], a[x + lag, 2], np.minimum(vec[x], vec[x + lag]).sum(axis=1), num, den)]
+                out.append(np.stack([np.minimum(a[ok, 1], a[ok + lag, 1]), np.maximum(a[ok, 1], a[ok + lag, 1]), a[ok, 2]], axis=1))
+        if out:
+            pairs, count = np.unique(np.concatenate(out), axis=0, return_counts=True)
+            yield emit(pairs, count, False)
         for s, k in zip(starts[length > SMALL], length[length > SMALL], strict=True):
-            rep = a[s : s + k, 1]
-            e = tree_edges(a[s : s + k, 2], vec[s : s + k], num, den)
-            if e:
-                out.append(rep[np.array(e)])
-        got = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return np.unique(np.sort(got, axis=1), axis=0)
+            e = np.array(tree_edges(a[s : s + k, 2], vec[s : s + k], num, den), dtype=np.int64).reshape(-1, 2) + s
+            yield emit(np.stack([a[e[:, 0], 1], a[e[:, 1], 1], a[e[:, 0], 2]], axis=1), np.ones(len(e), np.int64), True)
+
+    def emit(pairs: np.ndarray, count: np.ndarray, large: bool) -> pa.RecordBatch:
+        cols = [pa.array(pairs[:, i].copy()) for i in range(3)]
+        return pa.RecordBatch.from_arrays([*cols, pa.array(count.astype(np.int64)), pa.array(np.full(len(pairs), large))], ["a", "b", "n", "shared", "large"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         n_held = 0
 
-        def emit(e: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(e[:, 0].copy()), pa.array(e[:, 1].copy())], ["a", "b"])
-
         for b in batches:
             if not b.num_rows:
                 continue
@@ -267,17 +277,20 @@ def _cloud_edges(points: DataFrame, num: int, den: int) -> DataFrame:
             a = np.concatenate(held)
             cut_at = int(_runs(a[:, 0])[-1])  # the last run may go on
             if cut_at:
-                yield emit(solve(a[:cut_at], True))
+                yield from solve(a[:cut_at])
                 a = a[cut_at:]
             if len(a) > STREAM_ROWS:  # a very large partition: united in size order, without the index
                 near = np.flatnonzero(a[1:, 2] * num <= a[:-1, 2] * den)
-                yield emit(np.stack([a[near, 1], a[near + 1, 1]], axis=1))
+                yield emit(np.stack([a[near, 1], a[near + 1, 1], a[near, 2]], axis=1), np.ones(len(near), np.int64), True)
                 a = a[-1:]
             held, n_held = [a], len(a)
         if held:
-            yield emit(solve(np.concatenate(held), True))
+            yield from solve(np.concatenate(held))
 
-    return points.select(*names).mapInArrow(rows, "a bigint, b bigint")
+    found = points.select(*names).mapInArrow(rows, schema)
+    both = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "n", "shared", "large").groupBy("a", "b")
+    met = both.agg(F.min("n").alias("n"), F.sum("shared").alias("shared"), F.max("large").alias("large"))
+    return met.where(F.col("large") | (F.col("shared") >= F.lit(1) + F.floor(F.col("n") / 50))).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:
