@@ -47,7 +47,7 @@ from strataloom.llm.common import cut, stored, table, words_of
 GROUPS = 64
 CORPUS_GROUPS = 1 << 16
 LEAF = 64
-SMALL = 32
+SMALL = 256
 STREAM_ROWS = 200_000
 TILE_NODES = 2048
 TILE_NGRAMS = 4_000_000
@@ -246,8 +246,12 @@ def _cloud_edges(points: DataFrame, num: int, den: int) -> DataFrame:
         length = np.diff(np.r_[starts, len(a)])
         out = []
         small = np.repeat(length <= SMALL, length)
+        at = np.flatnonzero(small)
         for lag in range(1, SMALL):
-            i = np.flatnonzero(small[:-lag] & (a[lag:, 0] == a[:-lag, 0]) & (a[lag:, 2] * num <= a[:-lag, 2] * den))
+            at = at[at + lag < len(a)]
+            at = i = at[(a[at + lag, 0] == a[at, 0]) & (a[at + lag, 2] * num <= a[at, 2] * den)]  # sizes ascend: no later lag reaches
+            if not len(i):
+                break
             for c in range(0, len(i), 20_000):
                 x = i[c : c + 20_000]
                 ok = x[may_link(a[x, 2], a[x + lag, 2], np.minimum(vec[x], vec[x + lag]).sum(axis=1), num, den)]
