@@ -72,7 +72,8 @@ def feature_union(features: DataFrame, strata_order: list[str]) -> DataFrame:
 
 def unpivot(wide: DataFrame, ids: list[str], name: str = "specimen_source_value", value: str = "value") -> DataFrame:
     """Wide matrix to long rows: every column that is not an id is a sample."""
-    return wide.unpivot(ids, [c for c in wide.columns if c not in ids], name, value)
+    quoted = lambda names: [F.col(f"`{c}`") for c in names]
+    return wide.unpivot(quoted(ids), quoted([c for c in wide.columns if c not in ids]), name, value)
 
 
 def wide_matrix(cells: DataFrame, specimens: list[str], surface: str = "value") -> DataFrame:

@@ -72,7 +72,7 @@ def write_bundle(cells: DataFrame, samples: DataFrame, features: DataFrame, path
     surface = "value_z" if z_applied else "value"
     keyed = cells if unique else cells.join(samples.select("specimen_id", "row_key"), "specimen_id").drop("specimen_id").withColumnRenamed("row_key", "specimen_id")
     emit(L.wide_matrix(keyed, [r["specimen_id" if unique else "row_key"] for r in ids], surface).orderBy("feature_key"), f"{path}/matrix")
-    emit(samples, f"{path}/samples")
+    emit(samples.drop("sample_ordinal"), f"{path}/samples")
     emit(features, f"{path}/features")
     info = {"value_surface": surface, "column_basis": "specimen_id" if unique else "row_key", "n_specimens": len(ids), "join": {"matrix.columns": "samples.specimen_id" if unique else "samples.row_key", "matrix.feature_key": "features.feature_key"}}
     write_text(spark, f"{path}/_bundle.json", json.dumps(info, indent=1))

@@ -132,7 +132,7 @@ def srm(spark: SparkSession, s: Stratum) -> StratumFrames:
     meta = [c for c in columns if c in SRM_META or c.startswith(("Unnamed", "_c"))]
     features = [c for c in columns if c not in meta]
     key = "sample_id" if "sample_id" in columns else columns[0]
-    long = wide.select(_q(key).cast("string").alias("specimen_source_value"), *[_q(f) for f in features]).unpivot(["specimen_source_value"], features, "feature_source_value", "value")
+    long = unpivot(wide.select(_q(key).cast("string").alias("specimen_source_value"), *[_q(f) for f in features]), ["specimen_source_value"], "feature_source_value")
     cells = long.select("feature_source_value", "specimen_source_value", E.numeric("value").alias("value"), F.lit(None).cast("double").alias("lod"))
     control = F.coalesce(F.upper(F.trim(_q("isControl"))) == "TRUE", F.lit(False)) if "isControl" in columns else F.lit(False)
     other = F.coalesce(_q("sample.type") != "subjects", F.lit(True)) if "sample.type" in columns else F.lit(False)
@@ -158,7 +158,7 @@ def somascan(spark: SparkSession, s: Stratum) -> StratumFrames:
     )
     # one row per column of the matrix: small on both sides
     feats = names.join(m, F.col("feature_source_value") == F.col("_id"), "left").where("_organism = 'Human' and _type = 'Protein'").drop("_id", "_organism", "_type").withColumn("seq_id", F.col("feature_source_value"))
-    long = wide.select(_q(key).cast("string").alias("specimen_source_value"), *[_q(f) for f in features]).unpivot(["specimen_source_value"], features, "feature_source_value", "value")
+    long = unpivot(wide.select(_q(key).cast("string").alias("specimen_source_value"), *[_q(f) for f in features]), ["specimen_source_value"], "feature_source_value")
     cells = long.join(feats.select("feature_source_value"), "feature_source_value", "left_semi").select("feature_source_value", "specimen_source_value", E.numeric("value").alias("value"), F.lit(None).cast("double").alias("lod"))
     counts = feats.groupBy("colcheck").agg(F.count(F.lit(1)).alias("n"))
     return StratumFrames(s, cells, wide.select(_q(key).cast("string").alias("specimen_source_value"), "src_ordinal"), feats, {"colcheck_counts": counts, "sample_level_qc_in_deposit": None})
