@@ -139,8 +139,15 @@ def _note(v):
     return rows[0].asDict() if len(rows) == 1 else rows[0][0] if rows and len(v.columns) == 1 else None
 
 
-def build(spark: SparkSession, registry: list[LayerSpec], root: str, out: str, reference: DataFrame | None = None, name: str | None = None, bundles: bool = True) -> BuildResult:
-    """Builds every layer of the registry into out/<name>; nothing appears there until all is written."""
+def build(
+    spark: SparkSession, registry: list[LayerSpec], root: str, out: str, reference: DataFrame | None = None, name: str | None = None, bundles: bool = True,
+    crosswalk: str | None = None, wanted: DataFrame | None = None, tracking: DataFrame | None = None, document_claims: tuple = (),
+) -> BuildResult:
+    """Builds every layer of the registry into out/<name>; nothing appears there until all is written.
+
+    reference: uniprot and symbol of features; crosswalk: path of a donor id bridge; wanted: objects
+    whose presence is decided by content; tracking: numbers and sites that a sheet states.
+    """
     name = name or f"build-{uuid.uuid4().hex[:8]}"
     staging = f"{out.rstrip('/')}/_staging-{name}"
     manifest = M.file_manifest(spark, root).persist()
@@ -201,10 +208,22 @@ def build(spark: SparkSession, registry: list[LayerSpec], root: str, out: str, r
         everyone = L.union_all([s.drop("sample_ordinal") for _, s in all_samples])
         context["returns"] = [r.asDict() for r in Wr.write_returns(everyone, f"{staging}/returns").groupBy("grant").agg(F.sum("n_specimens").alias("n_specimens"), F.sum("n_foreign").alias("n_foreign")).collect()]
         context["undeclared"] = contract.undeclared(names, registry)
+    inventory = _inventory(spark, context["strata"])
+    tables = {"file_manifest": manifest, "derived_inventory": inventory}
+    if crosswalk:
+        Wr.emit(A.crosswalk(spark, crosswalk), f"{staging}/person_crosswalk")
+    if wanted is not None:
+        tables["missing_objects"] = M.missing_objects(wanted, M.content_index(spark, root))
+    if tracking is not None:
+        measured = inventory.select(F.col("stratum_key").alias("tracking_row"), F.inline(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("derived_value")) for c in ("n_features", "n_samples", "n_resolved", "site")])))
+        diff = M.tracking_diff(tracking, measured).persist()
+        tables["tracking_diff"] = diff
+        context["tracking"] = [r.asDict() for r in diff.collect()]  # as long as the sheet
+    context["document_claims"] = document_claims
     Wr.write_manifest(spark, staging, entries)
     audit = checks.run(spark, context).persist()
     summary = checks.summarise(audit).first().asDict()
-    Wr.write_inventory({"audit": audit, "file_manifest": manifest}, f"{staging}/inventory")
+    Wr.write_inventory(tables | {"audit": audit}, f"{staging}/inventory")
     from strataloom.report import render
 
     Wr.write_text(spark, f"{staging}/README.md", render(name, entries, summary, audit))
@@ -213,6 +232,13 @@ def build(spark: SparkSession, registry: list[LayerSpec], root: str, out: str, r
     return BuildResult(f"{out.rstrip('/')}/{name}", entries, audit, summary)
 
 
+def _inventory(spark: SparkSession, strata: list[dict]) -> DataFrame:
+    """One row for each stratum: what the build measured."""
+    rows = [(s["stratum"].layer, s["stratum"].key, s["stratum"].study, s["stratum"].anatomic_site, s["n_features"], s["n_nonpool"] + s["n_pool"], s["n_resolved"], s["n_pool"], s["pct_missing"], s.get("p1"), s.get("p99")) for s in strata]
+    schema = "layer_key string, stratum_key string, study string, site string, n_features bigint, n_samples bigint, n_resolved bigint, n_pool bigint, pct_missing double, p1 double, p99 double"
+    return M.derived_inventory(spark.createDataFrame(rows, schema))
+
+
 def _surfaces(scaled: DataFrame, cells: DataFrame, policy: P.Policy) -> list[dict]:
     if policy.z_applied:
         z = stats.feature_stats(scaled.select("stratum_key", "feature_key", F.col("value_z").alias("value")))

@@ -351,6 +351,38 @@ def _audit_context(spark: SparkSession, d: str) -> dict:
     return {"strata": strata}
 
 
+@query("SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_custkey % 3 = 0")
+def crosswalk_join(spark: SparkSession, d: str) -> DataFrame:
+    """Consumers join a donor bridge on the source's own id; donors it lacks stay out."""
+    bridge = T.table(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("o_custkey"), "c_name").distinct()
+    return T.table(spark, d, "orders").select("o_orderkey", "o_custkey").join(bridge, "o_custkey").select("o_orderkey", "c_name")
+
+
+@query("SELECT c_custkey, c_custkey IN (SELECT o_custkey FROM orders) AS has_orders FROM customer")
+def membership(spark: SparkSession, d: str) -> DataFrame:
+    o = T.table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return lookups.is_member(T.table(spark, d, "customer").select("c_custkey"), o, "c_custkey", "has_orders")
+
+
+@query(f"WITH c AS ({O.PANEL}) SELECT specimen_id, len(list(value ORDER BY feature_key))::INTEGER AS n, round(list_sum(list(value::FLOAT ORDER BY feature_key))::DOUBLE, 2) AS total, arg_min(round(value::FLOAT::DOUBLE, 4), feature_key) AS first_value FROM c GROUP BY 1")
+def packed_matrix(spark: SparkSession, d: str) -> DataFrame:
+    m = L.packed_matrix(T.panel(spark, d))
+    total = F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x.cast("double")), 2)
+    return m.select("specimen_id", F.size("values").alias("n"), total.alias("total"), F.round(F.get("values", F.lit(0)).cast("double"), 4).alias("first_value"))
+
+
+@query("SELECT 'orders' AS stratum_key, 'orders:assay' AS assay_id, 'counting' AS assay_type, 'desk' AS platform, 'tables' AS study")
+def assay_table(spark: SparkSession, d: str) -> DataFrame:
+    s = Stratum("orders", "l", "tables", "g", "c", "orders.parquet", "parquet", assay_type="counting", platform="desk")
+    return S.assay_table([s], spark).select("stratum_key", "assay_id", "assay_type", "platform", "study")
+
+
+@query(f"WITH o AS ({O.ORDERS}) SELECT sample_ordinal, 'declared' AS study, coalesce(platform, 'fallback') AS platform, stratum_key || ':assay' AS assay_id FROM o WHERE stratum_key <> 'P'")
+def declared_columns(spark: SparkSession, d: str) -> DataFrame:
+    strata = [Stratum(k, "l", "declared", "g", "c", "orders.parquet", "parquet", platform="fallback") for k in ("F", "O")]
+    return S.declared_columns(T.order_samples(spark, d).where("stratum_key <> 'P'"), strata).select("sample_ordinal", "study", "platform", "assay_id")
+
+
 _AUDIT = f"""WITH c0 AS ({O.COHORTS}), c AS (SELECT stratum_key, feature_key, specimen_id, log2(value) AS value FROM c0), k AS ({O.KEPT}),
   p AS (SELECT stratum_key, quantile_cont(value, 0.01) AS p1, quantile_cont(value, 0.99) AS p99 FROM c GROUP BY 1),
   m AS (SELECT stratum_key, (1 - sum(n_present) / (count(*) * max(n_samples))) * 100 AS pct FROM k GROUP BY 1),

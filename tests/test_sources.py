@@ -167,7 +167,11 @@ def test_build_end_to_end(spark, tmp_path):
         gz(tmp_path / f"in/{k}.csv.gz", "\n".join(rows) + "\n")
         gz(tmp_path / f"in/{k}_samples.csv.gz", "participant_id,sample_id,visit_month\n" + "".join(f"D{j},{k}{j},{j * 6}\n" for j in range(n - 1)) + f"Unknown,{k}{n - 1},0\n")
     strata = tuple(Stratum(k, "layer_a", "study", f"grant_{k}", "c", f"{k}.csv.gz", "csv_matrix", anatomic_site="superior temporal gyrus", value_scale="log2_ratio", annot_path=f"{k}_samples.csv.gz", annot_reader="olink_samples", person_namespace="study.id", source_qc=(("features <50% missing", False, "doc"), ("batch", True, "doc"))) for k in ("one", "two"))
-    out = build(spark, [LayerSpec("layer_a", strata), LayerSpec("layer_b", deferred_reason="no data yet")], str(tmp_path / "in"), str(tmp_path / "out"), name="b1")
+    gz(tmp_path / "x.csv.gz", "projid,individualID,Study,sex\n1,I1,S,F\n2,,S,M\n")
+    tracking = spark.createDataFrame([("one", "n_features", "9"), ("one", "n_samples", "~8?"), ("two", "site", "temporal"), ("three", "n_features", "1")], "tracking_row string, field string, tracking_value string")
+    wanted = spark.createDataFrame([("o1", "0" * 32, "matrix", True)], "object_id string, content_md5 string, kind string, critical boolean")
+    layers = [LayerSpec("layer_a", strata), LayerSpec("layer_b", deferred_reason="no data yet")]
+    out = build(spark, layers, str(tmp_path / "in"), str(tmp_path / "out"), name="b1", crosswalk=str(tmp_path / "x.csv.gz"), wanted=wanted, tracking=tracking, document_claims=(("layer_a", "averaged", "readme", None, "not recorded"),))
     cells = spark.read.parquet(f"{out.path}/cells")
     assert {r["missing_reason"] for r in cells.select("missing_reason").distinct().collect()} == {0}
     assert cells.count() == 9 * (7 + 6) and "value_z" in cells.columns
@@ -175,6 +179,9 @@ def test_build_end_to_end(spark, tmp_path):
     v = {(r["check"], r["subject"]): r["verdict"] for r in out.audit.collect()}
     assert v["row_key_unique", "layer_a"] == v["shape_consistency", "layer_a"] == v["tabs_bundle", "layer_a"] == v["return_boundary", "grant_one"] == v["z_decision", "layer_a"] == v["common_numeric_space", "layer_a"] == "PASS"
     assert v["unresolved_donor_dropped", "one"] == "FAIL" and v["brodmann_area", "one"] == "UNVERIFIABLE" and v["file_id_resolves", "layer_a"] == "PASS" and v["source_qc", "two"] == "UNVERIFIABLE"
+    track = sorted((r["subject"], r["verdict"]) for r in out.audit.where("check = 'tracking'").collect())
+    assert track == [("one", "FAIL"), ("one", "PASS"), ("three", "UNVERIFIABLE"), ("two", "PASS")] and v["readme", "layer_a"] == "UNVERIFIABLE"
+    assert spark.read.parquet(f"{out.path}/person_crosswalk.parquet").collect()[0].asDict() == {"projid": "1", "individual_id": "I1", "study": "S"}
     s = spark.read.parquet(f"{out.path}/samples/layer_a.parquet")
     assert s.where(F.col("brodmann_area") == "BA22").count() == 13 and s.select("row_key").distinct().count() == 13
     assert (tmp_path / "out/b1/README.md").exists() and not list((tmp_path / "out").glob("_staging*"))
