@@ -24,9 +24,9 @@ conversation. An empty table has no conversations. Extra columns are ignored.
 
 from __future__ import annotations
 
+import base64
 import functools
 import hashlib
-import os
 import re
 from collections.abc import Iterator
 
@@ -36,9 +36,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataloom.llm.common import table
+from strataloom.llm.token_rollup import SPLIT
 
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "[SYS]", "[/SYS]", "[ROLE]", "[/ROLE]")
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PART_CHARS = 1 << 20
 _ESCAPE = re.compile(r"\\|" + "|".join(map(re.escape, CONTROL)))
 _UNESCAPE = re.compile(r"\\(.)", re.S)
@@ -84,13 +85,37 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 
 
 @functools.lru_cache(maxsize=4)
-def load_tokenizer(path: str):
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import AddedToken, Tokenizer
-
-    t = Tokenizer.from_file(path)
-    t.add_special_tokens([AddedToken(c, special=True, normalized=False) for c in CONTROL])
-    return t
+def load_encoder(path: str):
+    """(encoder with the control strings as special tokens, bytes of each token id)."""
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, f)}
+    first = max(ranks.values()) + 1
+    special = {c: first + i for i, c in enumerate(CONTROL)}
+    size = np.zeros(first + len(CONTROL), dtype=np.int64)
+    for piece, rank in ranks.items():
+        size[rank] = len(piece)
+    for c, i in special.items():
+        size[i] = len(c)
+    return tiktoken.Encoding("chat", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special), size
+
+
+def encode_with_offsets(text: str, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(token ids, first character, end character) of each token of the whole text.
+
+    The encoding is lossless, so byte offsets are running sums of token sizes; a token that holds a
+    part of a character's bytes gets that character.
+    """
+    encoder, size = load_encoder(path)
+    ids = np.array(encoder.encode(text, allowed_special="all"), dtype=np.int32)
+    end = np.cumsum(size[ids])
+    start = end - size[ids]
+    raw = text.encode("utf-8", "surrogatepass")
+    if len(raw) == len(text):
+        return ids, start, end
+    char = np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
+    return ids, char[start] - 1, char[end - 1]
 
 
 def loss_mask(starts: np.ndarray, ends: np.ndarray, spans: np.ndarray) -> np.ndarray:
@@ -111,10 +136,9 @@ def encode_part(turns: list[tuple[str, str]], tokenizer_path: str) -> dict:
         pieces.append(piece)
         at += len(piece)
     formatted = "".join(pieces)
-    e = load_tokenizer(tokenizer_path).encode(formatted, add_special_tokens=False)
-    offsets = np.array(e.offsets, dtype=np.int32).reshape(-1, 2)
-    mask = loss_mask(offsets[:, 0], offsets[:, 1], np.array(spans, dtype=np.int64).reshape(-1, 2))
-    return {"formatted": formatted, "input_ids": e.ids, "starts": offsets[:, 0], "ends": offsets[:, 1], "loss_mask": mask}
+    ids, starts, ends = encode_with_offsets(formatted, tokenizer_path)
+    mask = loss_mask(starts, ends, np.array(spans, dtype=np.int64).reshape(-1, 2))
+    return {"formatted": formatted, "input_ids": ids, "starts": starts.astype(np.int32), "ends": ends.astype(np.int32), "loss_mask": mask}
 
 
 def masked_text(formatted: str, starts: np.ndarray, ends: np.ndarray, mask: np.ndarray) -> Iterator[str]:
@@ -188,17 +212,18 @@ def digests(parts: DataFrame) -> DataFrame:
         n_turns = loss_chars = formatted_chars = 0
         for b in batches:
             out = []
-            for r in b.to_pylist():
-                f = r["formatted"]
+            lists = {k: (b.column(k).offsets.to_numpy(), b.column(k).values.to_numpy(zero_copy_only=False)) for k in ("starts", "ends", "loss_mask")}
+            for i, (conv_id, last, f) in enumerate(zip(b.column("conv_id").to_pylist(), b.column("last").to_pylist(), b.column("formatted").to_pylist(), strict=True)):
+                starts, ends, mask = (values[offsets[i] : offsets[i + 1]] for offsets, values in lists.values())
                 formatted_chars += len(f)
                 for role, text in parse(f):
                     n_turns += 1
                     turns_sha.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-                for x in masked_text(f, np.array(r["starts"], np.int64), np.array(r["ends"], np.int64), np.array(r["loss_mask"], bool)):
+                for x in masked_text(f, starts, ends, mask.astype(bool)):
                     loss_chars += len(x)
                     loss_sha.update(x.encode("utf-8", "surrogatepass"))
-                if r["last"]:
-                    out.append((r["conv_id"], n_turns, turns_sha.hexdigest(), loss_chars, loss_sha.hexdigest(), formatted_chars))
+                if last:
+                    out.append((conv_id, n_turns, turns_sha.hexdigest(), loss_chars, loss_sha.hexdigest(), formatted_chars))
                     turns_sha, loss_sha = hashlib.sha256(), hashlib.sha256()
                     n_turns = loss_chars = formatted_chars = 0
             types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
