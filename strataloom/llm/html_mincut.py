@@ -59,6 +59,8 @@ BAD_NAMES = frozenset(
     "search form copyright legal disclaimer toolbar pagination pager skip tags toc".split()
 )
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alertdialog alert form toolbar".split())
+#: Elements nested deeper are not opened; their text belongs to the element at this depth.
+MAX_DEPTH = 512
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|</?[A-Za-z][^\s/>]*(?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*(?:>|$)", re.S)
 _NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
 _ATTR = re.compile(r"([A-Za-z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -199,6 +201,8 @@ def blocks_of(html: str) -> list[Block]:
             close = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|$)", re.I).search(html, at)
             at = close.end() if close else n
             continue
+        if len(stack) >= MAX_DEPTH:
+            continue
         stack.append(e)
         if name == "a":
             in_link += 1

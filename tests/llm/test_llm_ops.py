@@ -244,6 +244,19 @@ def test_min_cut_equals_brute_force():
         assert math.isclose(cost(html_mincut.label(s, edges)), best, abs_tol=1e-6)
 
 
+def test_html_odd_markup_is_linear():
+    import time
+
+    t = time.time()
+    assert html_mincut.extract("<article>" + "<b>" * 30000 + "deep" + "<p>x" * 30000).count("x") == 30000
+    assert html_mincut.extract("<article>" + "<div>" * 30000 + "deep words here</article>") == "deep words here"
+    assert html_mincut.extract("<p>a < b << c <3 &amp") == "a < b << c <3 &"
+    html_mincut.extract("<a<" * 100000)
+    html_mincut.extract('<p title="' + "x'" * 100000)
+    html_mincut.extract("<!--" * 50000 + "<script>" * 1000)
+    assert time.time() - t < 30
+
+
 def test_html_many_blocks_and_query(spark):
     long = "<article>" + "".join(f"<p>para {i} of the page</p>" for i in range(5000)) + "</article><footer>bye</footer>"
     d = spark.createDataFrame([(1, "u", long), (2, None, None), (None, "v", PAGE), (2, None, None)], "page_id bigint, url string, html string").withColumn("text", F.lit("clash"))
