@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strataloom.functions import expr as E
 from strataloom.model import FAILED_QC, MEASURED, MIN_PRESENT, NOT_ASSAYED, NOT_DETECTED
 from strataloom.operators import stats
-from strataloom.operators.lookups import first_rows
+from strataloom.operators.lookups import bounded, first_rows
 
 
 def guard_features(n_kept: int, stratum: str) -> None:
@@ -37,7 +37,8 @@ def merge(cells: DataFrame, samples: DataFrame, status: DataFrame) -> DataFrame:
     result, which is what dense means. ``sparse`` gives the same layer without rows to fill in.
     """
     kept = status.where("status = 'kept'")
-    union = kept.select("feature_key").distinct().withColumn("_layer", F.lit(1))
+    # every feature for every sample: the features (counted) go to the samples' tasks
+    union = bounded(kept.select("feature_key").distinct().withColumn("_layer", F.lit(1)))
     grid = samples.select("stratum_key", "specimen_id").withColumn("_layer", F.lit(1)).join(union, "_layer").drop("_layer")
     own = cells.join(kept.select("stratum_key", "feature_key"), ["stratum_key", "feature_key"], "left_semi")
     out = grid.join(own, ["stratum_key", "feature_key", "specimen_id"], "left").join(status, ["stratum_key", "feature_key"], "left")

@@ -46,6 +46,11 @@ def sole(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"), F.first(value).alias("_v")).select(key, "n_rows", F.when(F.col("n_rows") == 1, F.col("_v")).alias(value))
 
 
+def bounded(df: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """The frame with a broadcast hint if it has at most limit rows, else as it is."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def is_member(df: DataFrame, of: DataFrame, key: str, name: str) -> DataFrame:
     """df with a boolean: whether the key is in the other frame."""
     return df.join(of.select(key).distinct().withColumn(name, F.lit(True)), key, "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
