@@ -44,8 +44,9 @@ def rank_inverse_normal(cells: DataFrame) -> DataFrame:
     """value_t: Blom scores of average ranks per feature; features of three values or less get null."""
     have = cells.where(F.col("value").isNotNull())
     k = F.count(F.lit(1)).over(stats_window())
-    p = (E.average_rank("value", *KEYS) - 0.375) / (k + 0.25)
-    scored = have.withColumn("value_t", F.when(k > 3, E.norm_ppf(p)))
+    # the window columns first: the quantile names its argument many times
+    ranked = have.withColumns({"_rank": E.average_rank("value", *KEYS), "_k": k}).withColumn("_p", (F.col("_rank") - 0.375) / (F.col("_k") + 0.25))
+    scored = ranked.withColumn("value_t", F.when(F.col("_k") > 3, E.norm_ppf("_p"))).drop("_rank", "_k", "_p")
     return scored.unionByName(cells.where(F.col("value").isNull()).withColumn("value_t", F.lit(None).cast("double")))
 
 
@@ -60,9 +61,10 @@ def decide(layer: str, cells: DataFrame, declared: dict[str, str] | None = None)
 
     Similar strata stay native; others are scaled, after a rank transform where a stratum is skewed.
     """
-    s = stats.feature_stats(cells)
+    s = stats.feature_stats(cells).persist()  # one row per feature, read twice
     sim = stats.similarity(stats.stratum_space(s)).first()
-    skew = {r["stratum_key"]: r for r in stats.scale_diagnostics(cells).collect()}  # one row per stratum
+    skew = {r["stratum_key"]: r for r in stats.diagnostics_of(s).collect()}  # one row per stratum
+    s.unpersist()
     z = not sim["similar"]
     transforms = {k: ("rank_int" if z and r["normality_ok"] is False else "none") for k, r in skew.items()}
     if sim["n_strata"] <= 1:

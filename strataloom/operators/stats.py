@@ -66,7 +66,12 @@ def similarity(space: DataFrame) -> DataFrame:
 
 def scale_diagnostics(cells: DataFrame) -> DataFrame:
     """Median absolute skew, share of skewed features and the verdict, per stratum."""
-    s = feature_stats(cells).where(F.col("n") >= MIN_SKEW_VALUES).where(F.col("sd") > 0)
+    return diagnostics_of(feature_stats(cells))
+
+
+def diagnostics_of(feature_rows: DataFrame) -> DataFrame:
+    """The same from rows of feature_stats."""
+    s = feature_rows.where(F.col("n") >= MIN_SKEW_VALUES).where(F.col("sd") > 0)
     a = F.abs(F.col("skew"))
     out = s.groupBy("stratum_key").agg(F.count("skew").alias("n_features"), F.median(a).alias("median_abs_skew"), (F.avg((a > SKEW_TOLERANCE).cast("double")) * 100).alias("pct_skewed"))
     return out.withColumn("normality_ok", F.col("median_abs_skew") <= SKEW_TOLERANCE)

@@ -201,7 +201,7 @@ _MERGE = f"""WITH c AS ({O.TWO_RUNS}), k AS ({O.KEPT}), u AS (SELECT DISTINCT fe
 
 
 def _merged(spark: SparkSession, d: str):
-    c = T.two_runs(spark, d)
+    c = T.two_runs(spark, d).persist()  # samples, filter and merge all read the cells
     s = T.samples_of(c)
     return c, s, L.kept_features(c, s)
 
