@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -165,17 +163,3 @@ def first_by(value, ordinal) -> Column:
     """First non-null value in source order, as an aggregate."""
     v = _c(value)
     return F.min_by(v, F.when(v.isNotNull(), _c(ordinal)))
-
-
-def normalized_name(c) -> Column:
-    return F.regexp_replace(F.lower(_c(c)), "[^a-z0-9]", "")
-
-
-def to_hours(value, unit: str) -> Column:
-    from strataloom.model import HOURS_PER_UNIT
-
-    return _c(value) * HOURS_PER_UNIT[unit.strip().lower()]
-
-
-def is_close(a: float, b: float, tol: float = 1e-9) -> bool:
-    return math.isclose(a, b, rel_tol=tol, abs_tol=tol)

@@ -13,7 +13,7 @@ from strataloom.operators import features as FE
 from strataloom.operators import layer as L
 from strataloom.operators import samples as S
 from strataloom.plans import oracles as O
-from strataloom.plans.matrix_queries import r, rounded
+from strataloom.plans.matrix_queries import r
 from strataloom.sinks.writers import return_boundary
 from strataloom.sources import manifest as M
 from strataloom.sources import tables as T
