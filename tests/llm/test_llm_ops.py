@@ -396,6 +396,14 @@ def test_decontamination_with_substitutions(spark):
     assert decontaminate.contaminations(d, b.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("period", [3, 4, 5, 6, 7])
+def test_decontamination_at_any_period(spark, period):
+    item = words(21, 36)
+    b = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    rows = [(k, "lead in " + " ".join("other" if (j + k) % period == 0 else x for j, x in enumerate(item)), "a") for k in range(period)]
+    assert {r["doc_id"] for r in decontaminate.contaminations(docs(spark, rows), b).collect()} == set(range(period))
+
+
 # --- 10: toxicity ---------------------------------------------------------------------------------
 
 
