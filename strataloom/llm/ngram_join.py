@@ -48,6 +48,7 @@ GROUPS = 64
 CORPUS_GROUPS = 1 << 16
 LEAF = 64
 SMALL = 256
+BATCH_ROWS = 20_000
 STREAM_ROWS = 200_000
 TILE_NODES = 2048
 TILE_NGRAMS = 4_000_000
@@ -270,26 +271,41 @@ def _cloud_edges(points: DataFrame, num: int, den: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         n_held = 0
+        streamed = False  # the held rows begin with the last row of a very large partition united so far
+
+        def chain(a: np.ndarray) -> pa.RecordBatch:
+            """Edges of rows in size order, without the index: no row between two that link is out of reach."""
+            near = np.flatnonzero(a[1:, 2] * num <= a[:-1, 2] * den)
+            return emit(np.stack([a[near, 1], a[near + 1, 1], a[near, 2]], axis=1), np.ones(len(near), np.int64), True)
 
         for b in batches:
             if not b.num_rows:
                 continue
             held.append(np.stack([b.column(n).to_numpy(zero_copy_only=False) for n in names], axis=1).astype(np.int64))
             n_held += b.num_rows
-            if n_held < 20_000:
+            if n_held < BATCH_ROWS:
                 continue
             a = np.concatenate(held)
-            cut_at = int(_runs(a[:, 0])[-1])  # the last run may go on
+            starts = _runs(a[:, 0])
+            if streamed and len(starts) > 1:  # the very large partition ends here
+                yield chain(a[: starts[1]])
+                a, starts, streamed = a[starts[1] :], starts[1:] - starts[1], False
+            cut_at = int(starts[-1])  # the last run may go on
             if cut_at:
                 yield from solve(a[:cut_at])
                 a = a[cut_at:]
-            if len(a) > STREAM_ROWS:  # a very large partition: united in size order, without the index
-                near = np.flatnonzero(a[1:, 2] * num <= a[:-1, 2] * den)
-                yield emit(np.stack([a[near, 1], a[near + 1, 1], a[near, 2]], axis=1), np.ones(len(near), np.int64), True)
-                a = a[-1:]
+            if streamed or len(a) > STREAM_ROWS:  # a very large partition: united in size order to its end
+                yield chain(a)
+                a, streamed = a[-1:], True
             held, n_held = [a], len(a)
         if held:
-            yield from solve(np.concatenate(held))
+            a = np.concatenate(held)
+            if streamed:
+                end = int(np.searchsorted(a[:, 0], a[0, 0], side="right"))
+                yield chain(a[:end])
+                a = a[end:]
+            if len(a):
+                yield from solve(a)
 
     found = points.select(*names).mapInArrow(rows, schema)
     both = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "n", "shared", "large").groupBy("a", "b")

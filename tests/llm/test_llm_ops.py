@@ -127,6 +127,46 @@ def test_ngram_join_tiles_and_streams(spark, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("n_first,n_next", [(22, 0), (22, 2), (24, 3), (17, 1), (40, 30)])
+def test_ngram_join_streamed_partition_is_united_to_its_end(spark, monkeypatch, n_first, n_next):
+    """Rows that come after a streamed part meet all rows of that part, not only its last one."""
+    import numpy as np
+
+    monkeypatch.setattr(ngram_join, "STREAM_ROWS", 10)
+    monkeypatch.setattr(ngram_join, "BATCH_ROWS", 8, raising=False)
+    low, high = ([int(x) for x in np.repeat(np.uint8(v), 64).view("<i8")] for v in (0, 4))
+    left, right = [*high[:4], *low[4:]], [*low[:4], *high[4:]]  # counts in one half of the groups
+    rows = [(7, k, 100 + k // 2, 1, *(right if k == 15 else left)) for k in range(n_first)]
+    rows += [(8, 1000 + k, 100, 1, *(left if k % 2 else right)) for k in range(n_next)]
+    names = ["gram", "rep", "size", "scale", *ngram_join._VEC]
+    points = spark.createDataFrame(rows, ", ".join(f"{c} {'int' if c in ('size', 'scale') else 'bigint'}" for c in names)).coalesce(1).sortWithinPartitions("gram", "size", "rep")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+    try:
+        edges = [tuple(r) for r in ngram_join._cloud_edges(points, 80, 100).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    u = ngram_join._Union(1000 + n_next)
+    for a, b in edges:
+        u.join(a, b)
+    assert {u.find(k) for k in range(n_first)} == {0}
+    assert all(a >= 1000 or b < 1000 for a, b in edges)
+
+
+def test_ngram_join_small_stream_bounds_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "STREAM_ROWS", 12)
+    monkeypatch.setattr(ngram_join, "BATCH_ROWS", 8, raising=False)
+    rows = []
+    for g in range(3):
+        base = words(300 + g, 90)
+        rows += [(1000 * g + k, edited(base, 10 * g + k, k % 7), "a") for k in range(45)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+    try:
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in ngram_join.join(docs(spark, rows), 5, 80, 100).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == brute_components(rows, 5, 80, 100)
+
+
 def test_rtree_edges_span_the_relation():
     import numpy as np
 
