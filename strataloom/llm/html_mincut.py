@@ -14,7 +14,7 @@ Blocks whose elements are never text (script, style, noscript, template, form co
 elements) are not made at all. The classifier is small and fixed; its weights are public knowledge
 of page structure, not fitted to any data set.
 
-Cost per page is linear in practice: each block has at most two outgoing smoothness edges, and flow
+Cost per page is linear in practice, at any depth: open elements are found by name, not by a walk; each block has at most two outgoing smoothness edges, and flow
 that source and sink capacities of one block cancel is never routed.
 
 Scale: a narrow scan; pages are independent, nothing is shuffled, memory is one page.
@@ -59,8 +59,6 @@ BAD_NAMES = frozenset(
     "search form copyright legal disclaimer toolbar pagination pager skip tags toc".split()
 )
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alertdialog alert form toolbar".split())
-#: Elements nested deeper are not opened; their text belongs to the element at this depth.
-MAX_DEPTH = 512
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|</?[A-Za-z][^\s/>]*(?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*(?:>|$)", re.S)
 _NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
 _ATTR = re.compile(r"([A-Za-z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -78,6 +76,8 @@ class Element:
     bias: float = 0.0  # summed evidence of the path: positive for content
     hidden: bool = False
     parent: Element | None = None
+    inside: bool = False  # in an article or main element
+    block: Element | None = None  # the nearest element that is not inline, itself or above
 
 
 @dataclass
@@ -116,7 +116,10 @@ def _bias(tag: str, attrs: str) -> tuple[float, bool]:
 def blocks_of(html: str) -> list[Block]:
     """The page's text blocks in order."""
     root = Element("", 0, 0)
-    stack, out, count = [root], [], 1
+    root.block = root
+    stack, out, count = [root], [], 1  # an element's depth is its position in the stack
+    opened: dict[str, list[int]] = {}  # positions of the open elements of each name: no lookup walks the stack
+    scopes: list[int] = []  # positions of the open elements of SCOPE
     text: list[str] = []
     linked = 0
     in_link = 0
@@ -126,9 +129,7 @@ def blocks_of(html: str) -> list[Block]:
         if text:
             s = _SPACE.sub(" ", "".join(text)).strip()
             if s:
-                at = stack[-1]
-                while at.parent is not None and at.tag in INLINE:
-                    at = at.parent
+                at = stack[-1].block
                 out.append(Block(s, at, linked=linked, tag=at.tag, chars=len(s)))
             text, linked = [], 0
 
@@ -137,8 +138,15 @@ def blocks_of(html: str) -> list[Block]:
         for e in stack[i:]:
             if e.tag == "a":
                 in_link -= 1
+            opened[e.tag].pop()
+            if e.tag in SCOPE:
+                scopes.pop()
         del stack[i:]
 
+    def last(name: str) -> int:
+        at = opened.get(name)
+        return at[-1] if at else 0
+
     at, n = 0, len(html)
     while at < n:
         m = _TAG.search(html, at)
@@ -161,7 +169,7 @@ def blocks_of(html: str) -> list[Block]:
             if name == "br":
                 text.append(" ")
                 continue
-            i = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == name), 0)
+            i = last(name)
             if not i:
                 if name == "p":
                     flush()
@@ -177,23 +185,17 @@ def blocks_of(html: str) -> list[Block]:
         if name not in INLINE:
             flush()
             # a block begins: an open paragraph ends, with the inline elements left open in it
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    close_to(k)
-                    break
-                if stack[k].tag not in INLINE:
-                    break
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in CLOSES.get(name, ()):
-                    close_to(k)
-                    break
-                if stack[k].tag in SCOPE:
-                    break
+            if stack[-1].block.tag == "p":
+                close_to(stack[-1].block.depth)
+            k = max(map(last, CLOSES.get(name, ())), default=0)
+            if k > (scopes[-1] if scopes else 0):
+                close_to(k)
         if name in VOID:
             continue
         b, hidden = _bias(name, attrs)
         top = stack[-1]
-        e = Element(name, count, top.depth + 1, top.bias + b, top.hidden or hidden or name in NEVER, top)
+        e = Element(name, count, top.depth + 1, top.bias + b, top.hidden or hidden or name in NEVER, top, top.inside or name in ("article", "main"))
+        e.block = top.block if name in INLINE else e
         count += 1
         if tag.endswith("/>") and name in ("svg", "math", "path"):
             continue
@@ -201,8 +203,9 @@ def blocks_of(html: str) -> list[Block]:
             close = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|$)", re.I).search(html, at)
             at = close.end() if close else n
             continue
-        if len(stack) >= MAX_DEPTH:
-            continue
+        opened.setdefault(name, []).append(len(stack))
+        if name in SCOPE:
+            scopes.append(len(stack))
         stack.append(e)
         if name == "a":
             in_link += 1
@@ -222,11 +225,7 @@ def costs(b: Block, page_has_article: bool) -> float:
     if b.tag in ("li", "td", "th", "dt", "dd", "figcaption"):
         score += 0.2
     if page_has_article:
-        e, inside = b.parent, False
-        while e is not None:
-            inside = inside or e.tag in ("article", "main")
-            e = e.parent
-        score += 1.0 if inside else -4.0
+        score += 1.0 if b.parent.inside else -4.0
     if _LEGAL.match(b.text):
         score -= 3.0
     return score

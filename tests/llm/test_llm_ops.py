@@ -297,6 +297,26 @@ def test_html_odd_markup_is_linear():
     assert time.time() - t < 30
 
 
+@pytest.mark.parametrize("depth", [20, 600, 5000])
+def test_html_stack_is_exact_at_any_depth(depth):
+    """Deep elements keep their marks, and their end tags close nothing else."""
+    para = "<p>A paragraph of the article with quite a number of words in it, {}.</p>"
+    deep = "<div>" * depth + "<nav>Home and more</nav><div style='display:none'>unseen</div><button>Press</button>" + para.format("deep") + "</div>" * depth
+    html = "<div><article>" + para.format("first") + deep + para.format("last") + "</article></div><p>Outside of it</p>"
+    text = para[3:-4]
+    assert html_mincut.extract(html) == "\n".join(text.format(x) for x in ("first", "deep", "last"))
+
+
+def test_html_deep_stack_is_linear():
+    import time
+
+    n = 40_000
+    pages = ["<div>" * n + "x" + "</i></div>" * n, "<b>" * n + "<div>x</div>" * n, "<b>" * n + "<li>x" * n, "<article>" + "<span>" * n + "<td>x</td>" * n]
+    start = time.monotonic()
+    assert [len(html_mincut.blocks_of(x)) for x in pages] == [1, n, n, n]
+    assert time.monotonic() - start < 30
+
+
 def test_html_many_blocks_and_query(spark):
     long = "<article>" + "".join(f"<p>para {i} of the page</p>" for i in range(5000)) + "</article><footer>bye</footer>"
     d = spark.createDataFrame([(1, "u", long), (2, None, None), (None, "v", PAGE), (2, None, None)], "page_id bigint, url string, html string").withColumn("text", F.lit("clash"))
