@@ -35,6 +35,12 @@ def test_query(spark, sf, con, name):
     assert got == want
 
 
+def test_unpivot_operator_covers_every_dimension(spark, sf):
+    whole = {(r["vec_id"], f"d{r['dim']}"): r["value"] for r in QUERIES["unpivot_embeddings"](spark, sf).collect()}
+    assert {k for _, k in whole} == {f"d{i}" for i in range(64)}
+    assert {(r["vec_id"], r["dim"]): r["value"] for r in QUERIES["unpivot_wide_all"](spark, sf).collect()} == whole
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
