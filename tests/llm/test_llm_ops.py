@@ -342,6 +342,17 @@ def test_token_rollup_is_reversible_and_idempotent(spark, tmp_path):
     assert {tuple(x) for x in r.totals().collect()} == first
 
 
+def test_token_query_restores_the_rows_it_withdrew(spark, tmp_path):
+    rows = [(1, "hola mundo", "es", "x", None), (1, "hello big world", "en", "x", None), (1, "salut", None, "y", None), (None, "sin id", "es", "x", None), (2, "uno", "es", "y", None), (3, "three words here", "en", None, None)]
+    spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    want = {}
+    for _, t, lang, s, _ in rows:
+        n, w = want.get((s, lang), (0, 0))
+        want[s, lang] = (n + 1, w + len(t.split()))
+    got = token_rollup.op6_token_counts(spark, str(tmp_path)).collect()
+    assert {(r["source"], r["lang"]): (r["n_docs"], r["n_words"]) for r in got} == want
+
+
 # --- 7: line dedup --------------------------------------------------------------------------------
 
 
