@@ -117,7 +117,7 @@ def _scalars(h: Harmonised) -> dict:
     if one:
         out |= {"p1": one["p1"], "p50": one["p50"], "p99": one["p99"]}
     if "anatomic_site_source" in h.samples.columns:
-        out["sites"] = [r[0] for r in h.samples.select("anatomic_site_source").where("anatomic_site_source is not null").distinct().limit(20).collect()]
+        out |= _sites(h.samples, h.stratum.anatomic_site)
     if "platform" in h.samples.columns:
         seen = S.observed_platform(h.samples, h.stratum.platform).first()
         if seen:
@@ -130,12 +130,20 @@ def _scalars(h: Harmonised) -> dict:
     return out
 
 
+def _sites(samples: DataFrame, stated: str) -> dict:
+    """Whether any distinct site matches the stated one, how many there are, and the first 20."""
+    seen = samples.select(F.col("anatomic_site_source").alias("site")).where("site is not null").distinct()
+    want, got = F.lit(stated.lower()), F.lower("site")
+    all_ = seen.agg(F.count(F.lit(1)).alias("n_sites"), F.max(got.contains(want) | want.contains(got)).alias("site_match")).first()
+    return all_.asDict() | {"sites": [r[0] for r in seen.orderBy("site").limit(20).collect()]}
+
+
 def _note(v):
     if not isinstance(v, DataFrame):
         return v
-    rows = v.limit(50).collect()
-    if len(v.columns) == 2:
-        return {str(r[0]): r[1] for r in rows}
+    if len(v.columns) == 2:  # counts by category, of which the checks take sums
+        return {str(r[0]): r[1] for r in v.orderBy(v.columns[0]).collect()}
+    rows = v.limit(2).collect()
     return rows[0].asDict() if len(rows) == 1 else rows[0][0] if rows and len(v.columns) == 1 else None
 
 

@@ -187,3 +187,19 @@ def test_build_end_to_end(spark, tmp_path):
     assert (tmp_path / "out/b1/README.md").exists() and not list((tmp_path / "out").glob("_staging*"))
     with pytest.raises(OSError):
         build(spark, [LayerSpec("layer_b", deferred_reason="x")], str(tmp_path / "in"), str(tmp_path / "out"), name="b1")
+
+
+@pytest.mark.parametrize("match", [0, 25, 59])
+def test_audit_sees_every_site_and_every_count(spark, match):
+    from strataloom.audit import checks
+    from strataloom.plans import build as B
+
+    samples = spark.createDataFrame([(f"place {k:02}" if k != match else f"place {k:02}, Temporal Gyrus",) for k in range(60)] + [(None,)], "anatomic_site_source string")
+    for stated, want in (("temporal gyrus", "PASS"), ("cerebellum", "FAIL")):
+        st = Stratum("k", "l", "s", "g", "c", "k.csv", "csv_matrix", anatomic_site=stated)
+        (got,) = checks.anatomic_site({"strata": [{"stratum": st} | B._sites(samples, stated)]})
+        assert want in tuple(got.values() if isinstance(got, dict) else got)
+        assert "and 40 more" in str(got)
+    assert B._sites(samples.limit(0), "x")["sites"] == []
+    counts = spark.createDataFrame([(f"flag {k:02}", 2) for k in range(60)], "flag string, n bigint")
+    assert sum(B._note(counts).values()) == 120
