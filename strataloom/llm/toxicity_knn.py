@@ -2,26 +2,31 @@
 
 Fit, on labelled rows outside the held-out fold (crc32 of the doc_id's text mod 5 is 0):
 
-1. at most ``max_labelled`` rows (by a hash of doc_id; the documented bound of the labelled sample);
-2. terms whose share of documents differs between the labels by ``min_z`` standard errors, the
-   strongest ``max_terms`` of them: the vector space;
-3. inverse document frequencies of these terms over all documents;
-4. the examples' unit vectors (1 + ln tf) * idf as postings in blocks of ``BLOCK`` examples, with
-   the largest weight of each term in each block.
-
-Scoring a document: the blocks' bounds (sum over the query's terms of weight times block maximum)
-are visited from the largest down and stop when the k-th best cosine found is above the next bound,
-so that the k neighbours are exact. Their votes are weighted by cosine over (distance + 0.1) and
-smoothed with the base rate; a logistic map fitted on leave-one-out scores of the examples
-calibrates them. Documents without any term of the space get the examples' rate of that case.
-
-Scale: the documents are scanned twice (document frequencies, scores) without a shuffle of text;
-what is broadcast is the index, bounded by max_labelled * max_terms and small in fact.
+1. at most about ``max_labelled`` rows (by a hash of doc_id; the documented bound of the labelled
+   sample, and the only bound);
+2. the vector space is the whole vocabulary of these rows, as 64-bit hashes. A term weighs
+   (1 + ln tf) * idf * relevance: idf over all documents, relevance z^2 / (z^2 + ``relevance``^2) with
+   z the difference of the term's share of documents between the labels in standard errors. No term
+   is left out; one that says nothing about the label weighs little;
+3. the examples' unit vectors as postings, with the largest weight of each term in each block of
+   ``BLOCK`` examples, and as rows for the last step of a search.
+
+Scoring a document: the postings of its weightiest terms are added up; the block maxima bound what
+the other terms can add in each block; when the bounds leave few examples that can still be among
+the k best, those are compared in full, so that the k neighbours are exact. Their votes are weighted
+by cosine over (distance + 0.1) and smoothed with the base rate; a logistic map fitted on leave-one-out
+scores of the examples calibrates them. Documents without any term of the space get the examples'
+rate of that case.
+
+Scale: the documents are scanned twice (document frequencies, scores) without a shuffle of text; the
+frequencies are summed per task before their shuffle. What is broadcast or sent to the driver is the
+vocabulary and the index of the labelled sample: about max_labelled * distinct words of a text.
 
 Defined results: null and empty texts are scored like any text without terms. A null doc_id is
 scored with held_out false. Repeated rows are each scored; repeated label rows of a doc_id count
-as its largest label; null labels are ignored. Without usable labels every score is 0. An empty
-table gives an empty result. Extra columns are ignored by ``score``, kept by ``reject_toxic``.
+as its largest label, and of repeated texts the least is the example; null labels are ignored.
+Without usable labels every score is 0. An empty table gives an empty result. Extra columns are
+ignored by ``score``, kept by ``reject_toxic``.
 """
 
 from __future__ import annotations
@@ -34,19 +39,20 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from strataloom.llm.common import stored, table
 
-MAX_LABELLED = 8000
-MAX_TERMS = 512
-MIN_Z = 5.0
-MIN_DOCS = 3
+MAX_LABELLED = 4000
+RELEVANCE = 5.0
 NEIGHBOURS = 15
 BLOCK = 64
 FOLDS = 5
+FEW = 96
+FIRST_TERMS = 48
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -54,64 +60,115 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
+def term_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of the distinct words of a text."""
+    c = Counter(words(text))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, c), np.uint64, len(c)), np.fromiter(c.values(), np.int64, len(c))
+
+
 def held_out(doc_id: Column, folds: int = FOLDS) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
+def _ragged(off: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions of all entries of the given rows of a ragged table, entries of each row)."""
+    lo = off[rows]
+    n = off[rows + 1] - lo
+    end = np.cumsum(n)
+    return np.repeat(lo - end + n, n) + np.arange(end[-1]), n
+
+
+def _f(dtype=float):
+    return field(default_factory=lambda: np.zeros(0, dtype))
+
+
 @dataclass
 class Index:
-    """Block-max inverted index over the examples' unit vectors, with the calibration."""
-
-    terms: dict[str, int] = field(default_factory=dict)
-    idf: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    labels: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    posts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)  # examples, weights, block offsets
-    block_max: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    """Block-max inverted index over the examples' unit vectors, with the calibration.
+
+    Ragged tables are an array of offsets and flat columns: postings and block maxima by term, rows
+    of the examples by position.
+    """
+
+    terms: np.ndarray = _f(np.uint64)  # sorted hashes
+    weight: np.ndarray = _f()  # idf * relevance of each term
+    ids: np.ndarray = _f(np.int64)
+    labels: np.ndarray = _f()
+    post_off: np.ndarray = _f(np.int64)
+    post_ex: np.ndarray = _f(np.int32)
+    post_w: np.ndarray = _f()
+    block_off: np.ndarray = _f(np.int64)
+    block_id: np.ndarray = _f(np.int32)
+    block_max: np.ndarray = _f()
+    row_off: np.ndarray = _f(np.int64)
+    row_term: np.ndarray = _f(np.int32)
+    row_w: np.ndarray = _f()
+    term_max: np.ndarray = _f()
     base_rate: float = 0.0
     rate_without: float = 0.0
     slope: float = 1.0
     intercept: float = 0.0
 
-    def vector(self, tf: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        t = np.array(sorted(tf), dtype=np.int64)
-        w = np.array([1.0 + math.log(tf[int(i)]) for i in t]) * self.idf[t]
+    def vector(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(terms ascending, unit weights) of the words that the space knows and that weigh anything."""
+        if not len(self.terms) or not len(hashes):
+            return np.zeros(0, np.int64), np.zeros(0)
+        at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
+        known = self.terms[at] == hashes
+        t, tf = at[known], counts[known]
+        o = np.argsort(t, kind="stable")
+        t, tf = t[o], tf[o]
+        w = (1.0 + np.log(tf)) * self.weight[t]
+        t, w = t[w > 0], w[w > 0]
         n = math.sqrt(float(w @ w))
         return t, (w / n if n else w)
 
-    def tf(self, text: str | None) -> dict[int, int]:
-        found: Counter = Counter()
-        get = self.terms.get
-        for w, n in Counter(words(text)).items():
-            t = get(w)
-            if t is not None:
-                found[t] += n
-        return found
-
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples (ties: the lower position), exactly."""
-        if not len(t) or not len(self.ids):
+        n = len(self.ids)
+        if not len(t) or not n:
             return np.zeros(0, np.int64), np.zeros(0)
-        bounds = w @ self.block_max[t]
-        order = np.argsort(-bounds, kind="stable")
-        at, got = np.zeros(0, np.int64), np.zeros(0)
-        for b in order:
-            if bounds[b] <= 0 or (len(got) >= k and bounds[b] < got[k - 1] - 1e-12):
-                break
-            s = np.zeros(BLOCK)
-            for ti, wi in zip(t, w, strict=True):
-                ex, we, off = self.posts[ti]
-                lo, hi = off[b], off[b + 1]
-                if hi > lo:
-                    s[ex[lo:hi] - b * BLOCK] += wi * we[lo:hi]
-            here = np.flatnonzero(s > 0)
-            pos, val = here + b * BLOCK, s[here]
+        o = np.argsort(-w * self.term_max[t], kind="stable")
+        ot, ow = t[o], w[o]
+        part, done, step = np.zeros(n), 0, FIRST_TERMS
+        while done < len(ot):
+            now, by = ot[done : done + step], ow[done : done + step]
+            at, m = _ragged(self.post_off, now)
+            part += np.bincount(self.post_ex[at], weights=self.post_w[at] * np.repeat(by, m), minlength=n)
+            done, step = done + len(now), step * 2
             if without >= 0:
-                pos, val = pos[pos != without], val[pos != without]
-            at, got = np.r_[at, pos], np.r_[got, val]
-            o = np.lexsort((at, -np.round(got, 12)))[:k]
-            at, got = at[o], got[o]
-        return at, got
+                part[without] = 0.0
+            if done == len(ot) or n <= k:
+                continue
+            least = np.partition(part, n - k)[n - k]  # the k-th best cosine is no less
+            if least <= 0:
+                continue
+            at, m = _ragged(self.block_off, ot[done:])
+            rest = np.bincount(self.block_id[at], weights=self.block_max[at] * np.repeat(ow[done:], m), minlength=-(-n // BLOCK))
+            able = np.flatnonzero(part + np.repeat(rest, BLOCK)[:n] >= least - 1e-9)
+            if len(able) <= max(FEW, 4 * k):
+                return self._best(able[able != without], self._cosines(able[able != without], t, w), k)
+        found = np.flatnonzero(part > 0)
+        return self._best(found, part[found], k)
+
+    def _cosines(self, some: np.ndarray, t: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """The whole cosines of a few examples."""
+        if not len(some):
+            return np.zeros(0)
+        q = self.__dict__.setdefault("_query", np.zeros(len(self.terms)))  # all zeros between calls
+        q[t] = w
+        at, m = _ragged(self.row_off, some)
+        cos = np.add.reduceat(q[self.row_term[at]] * self.row_w[at], np.cumsum(m) - m)
+        q[t] = 0.0
+        return cos
+
+    @staticmethod
+    def _best(some: np.ndarray, cos: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(some) > 4 * k:  # ties at the k-th stay
+            worst = np.partition(cos, len(cos) - k)[len(cos) - k]
+            some, cos = some[cos >= worst - 1e-8], cos[cos >= worst - 1e-8]
+        o = np.lexsort((some, -np.round(cos, 9)))[:k]
+        return some[o], cos[o]
 
     def vote(self, at: np.ndarray, cos: np.ndarray) -> float:
         w = cos / (1.1 - np.minimum(cos, 1.0))
@@ -123,8 +180,7 @@ class Index:
 
     def score(self, text: str | None) -> tuple[float, list[tuple[int, float, int]]]:
         """Calibrated score, and the neighbours as (doc_id, cosine, label)."""
-        t, w = self.vector(self.tf(text))
-        at, cos = self.nearest(t, w)
+        at, cos = self.nearest(*self.vector(*term_counts(text)))
         if not len(at):
             return self.rate_without, []
         return self.calibrated(self.vote(at, cos)), [(int(self.ids[i]), float(c), int(self.labels[i])) for i, c in zip(at, cos, strict=True)]
@@ -152,90 +208,104 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int, folds
     if n > max_labelled:
         usable = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * max_labelled / n))
     # bounded by max_labelled rows of 12 bytes: fit to broadcast
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(usable), "doc_id").dropDuplicates(["doc_id"])
-
+    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(usable), "doc_id")
+    return found.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
 
-def _select_terms(sample: DataFrame, n_pos: int, n_neg: int, max_terms: int, min_z: float) -> list[str]:
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            terms: list[str] = []
-            pos: list[int] = []
-            for y, text in zip(b.column("toxic").to_pylist(), b.column("text").to_pylist(), strict=True):
-                own = set(words(text))
-                terms.extend(own)
-                pos.extend([int(y > 0)] * len(own))
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(pos, pa.int32())], ["term", "pos"])
 
-    c = sample.mapInArrow(rows, "term string, pos int").groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("pos").alias("a")).where(f"n >= {MIN_DOCS}")
-    share = F.col("n") / float(n_pos + n_neg)
-    z = (F.col("a") / float(n_pos) - (F.col("n") - F.col("a")) / float(n_neg)) / F.sqrt(share * (F.lit(1.0) - share) * (1.0 / n_pos + 1.0 / n_neg))
-    found = c.where(share < 1).withColumn("z", F.abs(z)).where(F.col("z") >= min_z)
-    return [r["term"] for r in found.orderBy(F.desc("z"), "term").limit(max_terms).collect()]
+def relevance_of(n: np.ndarray, a: np.ndarray, n_pos: int, n_neg: int, half: float = RELEVANCE) -> np.ndarray:
+    """0 to 1 from the labels of the documents that hold a term: n documents, a of them toxic."""
+    share = n / float(n_pos + n_neg)
+    spread = np.sqrt(np.maximum(share * (1.0 - share), 0.0) * (1.0 / n_pos + 1.0 / n_neg))
+    z = np.divide(a / float(n_pos) - (n - a) / float(n_neg), spread, out=np.zeros(len(n)), where=spread > 0)
+    return z * z / (z * z + half * half)
 
 
-def _document_frequencies(docs: DataFrame, terms: list[str]) -> tuple[int, dict[str, int]]:
-    known = frozenset(terms)
+def _document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[int, np.ndarray]:
+    """(number of documents, how many hold each term)."""
+    sent = docs.sparkSession.sparkContext.broadcast(terms)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, df = 0, Counter()
+        known = sent.value
+        n, df = 0, np.zeros(len(known), np.int64)
         for b in batches:
             for text in b.column("text").to_pylist():
                 n += 1
-                df.update(known.intersection(words(text)))
-        names = [None, *df]
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([n, *df.values()], pa.int64())], ["term", "n"])
+                h = term_counts(text)[0]
+                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                df[at[known[at] == h]] += 1
+        held = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, held].astype(np.int32)), pa.array(np.r_[n, df[held]].astype(np.int64))], ["term", "n"])
 
-    got = {r["term"]: r["n"] for r in docs.select("text").mapInArrow(rows, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    return got.pop(None, 0) or 0, got
+    got = docs.select("text").mapInArrow(rows, "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row for each term
+    term, n = got.column("term").to_numpy(), got.column("n").to_numpy()
+    df = np.zeros(len(terms), np.int64)
+    df[term[term >= 0]] = n[term >= 0]
+    return int(n[term < 0].sum()), df
 
 
-def build_index(terms: list[str], idf: np.ndarray, ids: list[int], labels: list[int], tfs: list[dict[int, int]]) -> Index:
-    """The index of the given examples (term counts by term position), with its calibration."""
+def _by_key(key: np.ndarray, n_keys: int) -> np.ndarray:
+    """Offsets of the runs of ascending keys 0..n_keys-1."""
+    return np.r_[0, np.cumsum(np.bincount(key, minlength=n_keys))].astype(np.int64)
+
+
+def build_index(terms: np.ndarray, weight: np.ndarray, ids: list[int], labels: list[int], counted: list[tuple[np.ndarray, np.ndarray]]) -> Index:
+    """The index of the given examples ((hashes, counts) of each), with its calibration."""
     y = np.array(labels, dtype=float)
-    x = Index(terms={t: i for i, t in enumerate(terms)}, idf=idf)
+    x = Index(terms=terms, weight=weight)
     x.base_rate = float(y.mean()) if len(y) else 0.0
-    vectors = [x.vector(tf) for tf in tfs]
-    full = [i for i, (t, w) in enumerate(vectors) if len(t) and w.any()]
-    empty = [i for i in range(len(vectors)) if i not in set(full)]
-    x.rate_without = float((y[empty].sum() + x.base_rate) / (len(empty) + 1.0)) if len(y) else 0.0
+    vectors = [x.vector(*c) for c in counted]
+    full = [i for i, (t, _) in enumerate(vectors) if len(t)]
+    without = np.ones(len(vectors), bool)
+    without[full] = False
+    x.rate_without = float((y[without].sum() + x.base_rate) / (without.sum() + 1.0)) if len(y) else 0.0
     # examples with the same strongest term stand together: tight block maxima
     full.sort(key=lambda i: (int(vectors[i][0][np.argmax(vectors[i][1])]), -float(vectors[i][1].max()), ids[i]))
     x.ids, x.labels = np.array([ids[i] for i in full], dtype=np.int64), y[full]
-    n_blocks = max(1, -(-len(full) // BLOCK))
-    by_term: list[list[tuple[int, float]]] = [[] for _ in terms]
-    for pos, i in enumerate(full):
-        for t, w in zip(*vectors[i], strict=True):
-            by_term[int(t)].append((pos, float(w)))
-    x.block_max = np.zeros((len(terms), n_blocks))
-    for t, rows in enumerate(by_term):
-        ex, we = np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows])
-        np.maximum.at(x.block_max[t], ex // BLOCK, we)
-        x.posts.append((ex, we, np.searchsorted(ex, np.arange(n_blocks + 1) * BLOCK)))
+    size = np.array([len(vectors[i][0]) for i in full], dtype=np.int64)
+    x.row_off = np.r_[0, np.cumsum(size)].astype(np.int64)
+    x.row_term = np.concatenate([vectors[i][0] for i in full]).astype(np.int32) if full else np.zeros(0, np.int32)
+    x.row_w = np.concatenate([vectors[i][1] for i in full]) if full else np.zeros(0)
+    ex = np.repeat(np.arange(len(full)), size)
+    o = np.argsort(x.row_term, kind="stable")  # examples stay ascending inside a term
+    term, x.post_ex, x.post_w = x.row_term[o], ex[o].astype(np.int32), x.row_w[o]
+    x.post_off = _by_key(term, len(terms))
+    block = x.post_ex // BLOCK
+    first = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])]) if len(term) else np.zeros(0, np.int64)
+    x.block_id, x.block_max = block[first], np.maximum.reduceat(x.post_w, first) if len(first) else np.zeros(0)
+    x.block_off = _by_key(term[first], len(terms))
+    x.term_max = np.zeros(len(terms))
+    np.maximum.at(x.term_max, term[first], x.block_max)
     if len(full) >= 20 and 0 < x.labels.sum() < len(full):
         raw = []
         for pos, i in enumerate(full):
-            at, cos = x.nearest(*vectors[i], without=pos)
-            raw.append(x.vote(at, cos))
+            raw.append(x.vote(*x.nearest(*vectors[i], without=pos)))
         x.slope, x.intercept = _logistic(np.array(raw), x.labels)
+        x.__dict__.pop("_query", None)
     return x
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS, min_z: float = MIN_Z) -> Index:
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, relevance: float = RELEVANCE) -> Index:
     sample = stored(labelled_sample(docs, labels, max_labelled), "toxic-sample")
-    by = {int(r["toxic"] > 0): r["n"] for r in sample.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_pos, n_neg = by.get(1, 0), by.get(0, 0)
-    terms = sorted(_select_terms(sample, n_pos, n_neg, max_terms, min_z)) if n_pos and n_neg else []
-    n, df = _document_frequencies(docs, terms) if terms else (0, {})
-    idf = np.array([math.log((1 + n) / (1 + df.get(t, 0))) + 1e-9 for t in terms])
-    blank = Index(terms={t: i for i, t in enumerate(terms)}, idf=idf)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            tfs = [blank.tf(x) for x in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([int(v > 0) for v in b.column("toxic").to_pylist()], pa.int32()), pa.array([list(x) for x in tfs], pa.list_(pa.int32())), pa.array([list(x.values()) for x in tfs], pa.list_(pa.int32()))], ["doc_id", "y", "t", "tf"])
-
-    got = sorted(sample.select("doc_id", "toxic", "text").mapInArrow(rows, "doc_id bigint, y int, t array<int>, tf array<int>").collect(), key=lambda r: r["doc_id"])
-    return build_index(terms, idf, [r["doc_id"] for r in got], [r["y"] for r in got], [dict(zip(r["t"], r["tf"], strict=True)) for r in got])
+            made = [term_counts(x) for x in b.column("text").to_pylist()]
+            toxic = pa.array([int(v > 0) for v in b.column("toxic").to_pylist()], pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), toxic, pa.array([h.view(np.int64) for h, _ in made], pa.list_(pa.int64())), pa.array([c for _, c in made], pa.list_(pa.int64()))], ["doc_id", "y", "h", "tf"])
+
+    # bounded by max_labelled rows
+    got = sample.select("doc_id", "toxic", "text").mapInArrow(rows, "doc_id bigint, y int, h array<bigint>, tf array<bigint>").orderBy("doc_id").toArrow()
+    ids, y = got.column("doc_id").to_pylist(), got.column("y").to_pylist()
+    counted = [(h.values.to_numpy().view(np.uint64), c.values.to_numpy()) for h, c in zip(got.column("h"), got.column("tf"), strict=True)]
+    n_pos, n_neg = sum(y), len(y) - sum(y)
+    if not n_pos or not n_neg:
+        return build_index(np.zeros(0, np.uint64), np.zeros(0), ids, y, counted)
+    terms, of_term = np.unique(np.concatenate([h for h, _ in counted]), return_inverse=True)
+    n = np.bincount(of_term, minlength=len(terms))
+    a = np.bincount(of_term, weights=np.repeat(y, [len(h) for h, _ in counted]), minlength=len(terms))
+    total, df = _document_frequencies(docs, terms)
+    idf = np.log((1 + total) / (1 + df))
+    return build_index(terms, idf * relevance_of(n, a, n_pos, n_neg, relevance), ids, y, counted)
 
 
 def score(docs: DataFrame, index: Index, evidence: int = 0) -> DataFrame:

@@ -478,23 +478,93 @@ def test_decontamination_at_any_period(spark, period):
 # --- 10: toxicity ---------------------------------------------------------------------------------
 
 
-def test_block_max_search_is_exact():
+@pytest.mark.parametrize("first,few,n", [(2, 0, 500), (48, 96, 500), (1, 40, 300), (2, 40, 7)])
+def test_block_max_search_is_exact(monkeypatch, first, few, n):
     import numpy as np
 
+    monkeypatch.setattr(toxicity_knn, "FIRST_TERMS", first)
+    monkeypatch.setattr(toxicity_knn, "FEW", few)
     rnd = np.random.default_rng(3)
-    tfs = [{int(t): int(c) for t, c in zip(rnd.choice(40, 6, replace=False), rnd.integers(1, 4, 6))} for _ in range(500)]
-    x = toxicity_knn.build_index([f"t{i}" for i in range(40)], rnd.random(40) + 0.1, list(range(500)), [int(v) for v in rnd.random(500) < 0.2], tfs)
-    dense = np.zeros((500, 40))
-    for t, (ex, we, _) in enumerate(x.posts):
-        dense[ex, t] = we
-    for q in tfs[:50]:
-        t, w = x.vector(q)
-        v = np.zeros(40)
+    terms = np.sort(rnd.choice(1 << 40, 60, replace=False).astype(np.uint64))
+    share = 1.0 / np.arange(1, 61)
+    counted = [(terms[np.sort(rnd.choice(60, 9, replace=False, p=share / share.sum()))], rnd.integers(1, 4, 9)) for _ in range(n)]
+    x = toxicity_knn.build_index(terms, rnd.random(60) + 0.1, list(range(n)), [int(v) for v in rnd.random(n) < 0.2], counted)
+    dense = np.zeros((n, 60))
+    for e in range(n):
+        at = slice(x.row_off[e], x.row_off[e + 1])
+        dense[e, x.row_term[at]] = x.row_w[at]
+    for q in [*counted[:60], (np.r_[terms[:3], np.uint64(5)], np.array([1, 2, 3, 4]))]:
+        t, w = x.vector(*q)
+        v = np.zeros(60)
         v[t] = w
         cos = dense @ v
-        at, got = x.nearest(t, w, 10)
-        want = np.lexsort((np.arange(500), -np.round(cos, 12)))[:10]
-        assert np.allclose(got, cos[want]) and list(at) == list(want)
+        for without in (-1, int(np.argmax(cos))):
+            c = cos.copy()
+            if without >= 0:
+                c[without] = 0.0
+            at, got = x.nearest(t, w, 10, without)
+            want = np.lexsort((np.arange(n), -np.round(c, 9)))[:10]
+            want = want[c[want] > 0]
+            assert np.allclose(got, c[want]) and list(at) == list(want)
+
+
+def test_toxicity_query_equals_brute_force(spark, tmp_path):
+    """Every score of the query against plain dictionaries: all terms, all examples, no index."""
+    rows = [(i, " ".join(words(i % 37, 25) + words(i, 5) + (["awfulword"] * (i % 3) + ["nasty"] if i % 5 == 0 else ["kind"])), "s") for i in range(200)]
+    rows += [(500, None, "s"), (501, "", "s"), (502, "awfulword and 7 more", "s"), (503, "unheard of", "s"), (7, "kind again", "s")]
+    labels = [(i, 1, int(i % 5 == 0)) for i in range(180)]
+    docs(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([*labels, (500, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+
+    def tf(text):
+        found = re.findall(r"[^\W\d_]+", (text or "").lower())
+        return {w: 1 + math.log(found.count(w)) for w in found}
+
+    texts = {}
+    for i, t, _ in rows:
+        texts[i] = min(t or "", texts.get(i, t or ""))
+    used = [(i, y) for i, _, y in [*labels, (500, 1, 0)] if zlib.crc32(str(i).encode()) % 5]
+    pos = sum(y for _, y in used)
+    neg = len(used) - pos
+    n, a = {}, {}
+    for i, y in used:
+        for w in tf(texts[i]):
+            n[w] = n.get(w, 0) + 1
+            a[w] = a.get(w, 0) + y
+    weight = {}
+    for w in n:
+        share = n[w] / (pos + neg)
+        spread = math.sqrt(share * (1 - share) * (1 / pos + 1 / neg))
+        z = (a[w] / pos - (n[w] - a[w]) / neg) / spread if spread else 0.0
+        df = sum(w in tf(t) for _, t, _ in rows)
+        weight[w] = math.log((1 + len(rows)) / (1 + df)) * z * z / (z * z + 25)
+
+    def unit(text):
+        v = {w: x * weight[w] for w, x in tf(text).items() if weight.get(w, 0) > 0}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    examples = [(i, y, v) for i, y in used if (v := unit(texts[i]))]
+    bare = [y for i, y in used if not unit(texts[i])]
+    base = pos / len(used)
+
+    def raw(v, but=None):
+        c = sorted(((round(sum(x * e.get(w, 0) for w, x in v.items()), 9), y) for i, y, e in examples if i != but), key=lambda x: -x[0])
+        if len(c) > 15:
+            assert c[14][0] != c[15][0] or {y for s, y in c if s == c[14][0]} in ({0}, {1})  # no tie decides
+        c = [(s / (1.1 - min(s, 1.0)), y) for s, y in c[:15] if s > 0]
+        return (sum(s * y for s, y in c) + base) / (sum(s for s, _ in c) + 1) if c else None
+
+    import numpy as np
+
+    slope, shift = toxicity_knn._logistic(np.array([raw(v, i) for i, _, v in examples]), np.array([float(y) for _, y, _ in examples]))
+    for r in toxicity_knn.op10_toxicity(spark, str(tmp_path)).collect():
+        ways = []
+        for t in [t for i, t, _ in rows if i == r["doc_id"]]:
+            x = raw(v) if (v := unit(t)) else None
+            ways.append((sum(bare) + base) / (len(bare) + 1) if x is None else 1 / (1 + math.exp(-(slope * math.log(x / (1 - x)) + shift))))
+        assert min(abs(r["score"] - w) for w in ways) < 1e-6, r
+        assert r["predicted"] == int(r["score"] >= 0.5) and r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
 
 
 def test_toxicity_learns_and_rejects(spark):
@@ -507,7 +577,12 @@ def test_toxicity_learns_and_rejects(spark):
     d = docs(spark, rows).withColumn("score", F.lit(3))
     lab = spark.createDataFrame([*labels, (3, None, None), (None, 1, 1), (0, 1, 1)], "doc_id bigint, quality int, toxic int")
     index = toxicity_knn.fit(d, lab)
-    assert set(index.terms) == {"awfulword", "nastyword"}
+    import numpy as np
+    import xxhash
+
+    strong = {int(index.terms[i]) for i in np.argsort(-index.weight)[:2]}
+    used = {i for i in range(300) if zlib.crc32(str(i).encode()) % 5}
+    assert len(index.terms) == len({w for i, t, _ in rows if i in used for w in toxicity_knn.words(t)}) and strong == {xxhash.xxh3_64_intdigest(w) for w in ("awfulword", "nastyword")}
     got = {r["doc_id"]: r for r in toxicity_knn.score(d, index, evidence=3).collect()}
     for i in range(300):
         assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
