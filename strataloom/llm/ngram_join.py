@@ -11,29 +11,35 @@ copies are never expanded into pairs.
    any common order; k is 1 + n/50, and the order used here is by corpus-wide group count, so that
    passages that many documents share come last and make no large partitions. Sharing n-grams only
    brings two nodes together; it decides nothing.
-3. Index: the nodes of one partition are points (their count vectors). A packed R-tree over them -
-   leaves of ``LEAF`` points with their coordinate maxima and size range - bounds the overlap of two
-   leaves, then of two points, by summed coordinate minima. Pairs of small partitions must come
-   together in k partitions; large partitions return the spanning edges of the relation only. What
-   may link is united into clouds.
+3. Index: the nodes of one partition are points (their count vectors); a partition is an n-gram and a
+   band of set sizes, so that a hot n-gram is split: linked sets stand in one band or in neighbours, and
+   each node also visits the band below its own. A packed R-tree over the points - leaves of ``LEAF``
+   points, nodes of ``FANOUT`` children, each with its coordinate maxima and size range - is joined with
+   itself from the root down; the overlap of two boxes, then of two points, is bounded by summed
+   coordinate minima. A partition of at most ``SMALL`` points is one leaf, of which all pairs are bounded;
+   such pairs must come together in k partitions. Larger partitions return the spanning edges of the
+   relation only. What may link is united into clouds.
 4. Verify: the clouds' n-gram sets are compared exactly, all pairs of a cloud inside tiles of bounded
    size, by products of 0/1 matrices over the n-grams that at least two members share. Each tile pair
    returns the spanning edges of its true links and the number of links of each node.
-5. Components of the true links; all documents of a node get its component.
+5. Components of the true links; all documents of a node get its component, named by the least doc_id
+   in it. Nodes themselves are named by numbers of their own, given when their table is written.
 
 Scale: scans never shuffle texts; what is shuffled are 15 % of the n-grams once (32 bytes each) and
 the texts of nodes in clouds. A hot copy is emitted once per task and node. A large cloud is split
-into tiles, a very large partition is streamed in size order and united without the index (a safe
-over-estimate, as verification is exact). Only the group counts (65,536 integers) come to the driver.
+into tiles; a partition of more than ``STREAM_ROWS`` points is streamed in size order to its end, each point
+joined to the next one in reach (no point between two that link is out of reach, so that no pair is
+parted; verification is exact). Only the group counts (65,536 integers) come to the driver.
 
 Defined results: a text with fewer words than n is one n-gram; a text without words (or null) is
 empty, has size 0 and links with nothing, its component is its own doc_id. Rows that repeat a doc_id
-are each returned. Rows with a null doc_id are returned with a null component and link with nothing.
+are each returned, each with the links of its own text. Rows with a null doc_id are returned with a null component and link with nothing.
 Empty tables give an empty result. Extra columns are carried by ``keep_one`` and ignored by ``join``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,11 +52,13 @@ from strataloom.llm.common import cut, stored, table, words_of
 
 GROUPS = 64
 CORPUS_GROUPS = 1 << 16
-LEAF = 64
+LEAF = 32
+FANOUT = 16
 SMALL = 256
 BATCH_ROWS = 20_000
-STREAM_ROWS = 200_000
+STREAM_ROWS = 50_000
 TILE_NODES = 2048
+EVEN_NODES, EVEN_TILES = 256, 8
 TILE_NGRAMS = 4_000_000
 BROADCAST_ROWS = 1_000_000
 _M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], dtype=np.uint64)
@@ -92,7 +100,7 @@ def count_vector(s: np.ndarray) -> tuple[np.ndarray, int]:
 
 def _profile(docs: DataFrame, n: int) -> DataFrame:
     """Rows of documents (doc_id, size, d1, d2, scale, v0..v7) and of group counts (cell, cells)."""
-    schema = "doc_id bigint, size int, d1 bigint, d2 bigint, scale int, " + ", ".join(f"{v} bigint" for v in _VEC) + ", cell int, cells bigint"
+    schema = "doc_id bigint, text_hash bigint, size int, d1 bigint, d2 bigint, scale int, " + ", ".join(f"{v} bigint" for v in _VEC) + ", cell int, cells bigint"
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         corpus = np.zeros(CORPUS_GROUPS, np.int64)
@@ -108,15 +116,15 @@ def _profile(docs: DataFrame, n: int) -> DataFrame:
                     vec[i], scale[i] = count_vector(s)
                     corpus += np.bincount((s & np.uint64(CORPUS_GROUPS - 1)).astype(np.int64), minlength=CORPUS_GROUPS)
             packed = vec.view("<i8").reshape(k, GROUPS // 8)
-            cols = [ids, pa.array(size), pa.array(dig[:, 0].copy()), pa.array(dig[:, 1].copy()), pa.array(scale), *[pa.array(packed[:, i].copy()) for i in range(GROUPS // 8)]]
+            cols = [ids, b.column(2), pa.array(size), pa.array(dig[:, 0].copy()), pa.array(dig[:, 1].copy()), pa.array(scale), *[pa.array(packed[:, i].copy()) for i in range(GROUPS // 8)]]
             none = [pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*cols, *none], ["doc_id", "size", "d1", "d2", "scale", *_VEC, "cell", "cells"])
+            yield pa.RecordBatch.from_arrays([*cols, *none], ["doc_id", "text_hash", "size", "d1", "d2", "scale", *_VEC, "cell", "cells"])
         at = np.flatnonzero(corpus)
         k = len(at)
-        blank = [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), *[pa.nulls(k, pa.int64()) for _ in _VEC]]
-        yield pa.RecordBatch.from_arrays([*blank, pa.array(at.astype(np.int32)), pa.array(corpus[at])], ["doc_id", "size", "d1", "d2", "scale", *_VEC, "cell", "cells"])
+        blank = [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), *[pa.nulls(k, pa.int64()) for _ in _VEC]]
+        yield pa.RecordBatch.from_arrays([*blank, pa.array(at.astype(np.int32)), pa.array(corpus[at])], ["doc_id", "text_hash", "size", "d1", "d2", "scale", *_VEC, "cell", "cells"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(rows, schema)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")).mapInArrow(rows, schema)
 
 
 def _postings(docs: DataFrame, n: int, num: int, den: int, corpus: np.ndarray) -> DataFrame:
@@ -206,48 +214,83 @@ def may_link(size_a: np.ndarray, size_b: np.ndarray, overlap: np.ndarray, num: i
 
 
 def tree_edges(size: np.ndarray, vec: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Spanning edges of the may-link relation of points (ascending size), by a packed R-tree."""
+    """Spanning edges of the may-link relation of points (ascending size), by a packed R-tree.
+
+    The tree is joined with itself level by level from its root; pairs of leaves whose points are in
+    one component already are not opened.
+    """
     k = len(size)
-    starts = list(range(0, k, LEAF))
-    top = np.stack([vec[s : s + LEAF].max(axis=0) for s in starts])  # coordinate maxima of each leaf
-    lo, hi = size[starts], np.array([size[min(s + LEAF, k) - 1] for s in starts])
+    starts = np.arange(0, k, LEAF)
+    levels = [(np.maximum.reduceat(vec, starts), size[starts], np.maximum.reduceat(size, starts))]
+    while len(levels[-1][1]) > 1:
+        top, lo, hi = levels[-1]
+        at = np.arange(0, len(lo), FANOUT)
+        levels.append((np.maximum.reduceat(top, at), lo[at], np.maximum.reduceat(hi, at)))
+    i = j = np.zeros(1, np.int64)
+    for below in reversed(range(len(levels))):
+        top, lo, hi = levels[below]
+        if below < len(levels) - 1:  # the children of each pair
+            n, m = len(lo), np.arange(FANOUT)
+            a, b = (i[:, None] * FANOUT + m).clip(max=n), (j[:, None] * FANOUT + m).clip(max=n)
+            i, j = np.repeat(a, FANOUT, axis=1).ravel(), np.tile(b, (1, FANOUT)).ravel()
+            i, j = i[(keep := (i <= j) & (j < n))], j[keep]
+        ok = lo[j] * num <= hi[i] * den  # sizes ascend with the position: some pair is in reach
+        i, j = i[ok], j[ok]
+        ok = np.zeros(len(i), bool)
+        for c in range(0, len(i), 20_000):
+            x, y = i[c : c + 20_000], j[c : c + 20_000]
+            ok[c : c + 20_000] = may_link(lo[x], lo[y], np.minimum(top[x], top[y]).sum(axis=1), num, den)
+        i, j = i[ok], j[ok]
     u, edges = _Union(k), []
-    for i, s in enumerate(starts):
-        a_size, a = size[s : s + LEAF], vec[s : s + LEAF]
-        last = int(np.searchsorted(lo * num, hi[i] * den, side="right"))  # no smaller leaf begins within reach
-        j = np.arange(i, last)
-        bound = np.minimum(top[i][None], top[j]).sum(axis=1)
-        j = j[may_link(lo[i], lo[j], bound, num, den)]
-        for leaf in j:
-            t = starts[leaf]
-            b_size, b = size[t : t + LEAF], vec[t : t + LEAF]
-            over = np.minimum(a[:, None, :], b[None, :, :]).sum(axis=2)
-            ok = may_link(a_size[:, None], b_size[None, :], over, num, den) & (a_size[:, None] * den >= b_size[None, :] * num) & (b_size[None, :] * den >= a_size[:, None] * num)
-            for x, y in zip(*np.nonzero(ok), strict=True):
-                x, y = int(x) + s, int(y) + t
-                if x < y and u.join(x, y):
-                    edges.append((x, y))
+    one: dict[int, bool] = {}  # leaves whose points are one component, as found so far
+
+    def united(leaf: int) -> bool:
+        if not one.get(leaf):
+            s = leaf * LEAF
+            root = u.find(s)
+            one[leaf] = all(u.find(x) == root for x in range(s + 1, min(s + LEAF, k)))
+        return one[leaf]
+
+    o = np.lexsort((i, j - i))  # near leaves first: they unite soonest
+    for x, y in zip(i[o].tolist(), j[o].tolist(), strict=True):
+        s, t = x * LEAF, y * LEAF
+        if u.find(s) == u.find(t) and united(x) and united(y):
+            continue
+        a_size, b_size = size[s : s + LEAF], size[t : t + LEAF]
+        over = np.minimum(vec[s : s + LEAF, None, :], vec[None, t : t + LEAF, :]).sum(axis=2)
+        ok = may_link(a_size[:, None], b_size[None, :], over, num, den) & (a_size[:, None] * den >= b_size[None, :] * num) & (b_size[None, :] * den >= a_size[:, None] * num)
+        for p, q in zip(*(v.tolist() for v in np.nonzero(ok)), strict=True):
+            if p + s < q + t and u.join(p + s, q + t):
+                edges.append((p + s, q + t))
     return edges
 
 
+def band_of(size, num: int, den: int):
+    """Bands of set sizes (a column): sets that link are in one band or in neighbours."""
+    if num == den:
+        return size.cast("int")
+    return F.floor(F.log(size.cast("double")) / (math.log(den / num) * (1 + 1e-9))).cast("int")
+
+
 def _cloud_edges(points: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b): pairs that may link, complete up to the spanning edges of large partitions.
 
-    A pair of small partitions counts its partitions, one of a large partition stands by itself.
-    A linked pair either has all the n-grams it must share in small partitions, or meets in a large
-    one.
+    points: rows (part, node, size, own, scale, v0..v7) sorted by part, size, node inside partitions.
+    A pair of small partitions counts its partitions, once for each n-gram (where the smaller set is in
+    its own band), one of a large partition stands by itself. A linked pair either has all the
+    n-grams it must share in small partitions, or meets in a large one.
     """
-    names = ["gram", "rep", "size", "scale", *_VEC]
+    names = ["part", "node", "size", "own", "scale", *_VEC]
     schema = "a bigint, b bigint, n bigint, shared bigint, large boolean"
 
     def solve(a: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Edges of the complete runs in a (columns as in names); a is sorted by gram, size."""
-        vec = np.ascontiguousarray(a[:, 4:]).view(np.uint8).reshape(len(a), GROUPS).astype(np.int32) * a[:, 3:4].astype(np.int32)
+        """Edges of the complete runs in a (columns as in names); a is sorted by part, size."""
+        vec = np.ascontiguousarray(a[:, 5:]).view(np.uint8).reshape(len(a), GROUPS).astype(np.int32) * a[:, 4:5].astype(np.int32)
         starts = _runs(a[:, 0])
         length = np.diff(np.r_[starts, len(a)])
         out = []
         small = np.repeat(length <= SMALL, length)
-        at = np.flatnonzero(small)
+        at = np.flatnonzero(small & (a[:, 3] > 0))
         for lag in range(1, SMALL):
             at = at[at + lag < len(a)]
             at = i = at[(a[at + lag, 0] == a[at, 0]) & (a[at + lag, 2] * num <= a[at, 2] * den)]  # sizes ascend: no later lag reaches
@@ -364,31 +407,49 @@ def tile_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int) ->
     return ok
 
 
+def spanning(ok: np.ndarray, rows_: np.ndarray, cols_: np.ndarray, n: int) -> np.ndarray:
+    """The first member of each of n members' component under the links ok (rows_ x cols_)."""
+    root = np.arange(n)
+    open_rows, open_cols = np.ones(len(rows_), bool), np.ones(len(cols_), bool)
+    same = len(rows_) == len(cols_) and np.array_equal(rows_, cols_)
+    while open_rows.any():
+        r = np.zeros(len(rows_), bool)
+        r[np.argmax(open_rows)] = True
+        seen_r, seen_c = r.copy(), r.copy() if same else np.zeros(len(cols_), bool)
+        while r.any():
+            c = ok[r].any(axis=0) & ~seen_c
+            seen_c |= c
+            r = (c if same else ok[:, c].any(axis=1)) & ~seen_r
+            seen_r |= r
+        members = rows_[seen_r] if same else np.concatenate([rows_[seen_r], cols_[seen_c]])
+        root[members] = members.min()
+        open_rows &= ~seen_r
+        open_cols &= ~seen_c
+    return root
+
+
 def _verify(members: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """From rows (cloud, i, j, tile, rep, copies, d1, text): (a, b, links) - a spanning edge of the
+    """From rows (cloud, i, j, tile, node, copies, d1, text): (a, b, links) - a spanning edge of the
     true links (b null if none), and how many documents node a links with in this tile pair."""
 
     def solve(got: dict[int, tuple[int, int, np.ndarray]], i: int, j: int) -> Iterator[tuple[int, int | None, int]]:
-        reps = sorted(got, key=lambda r: (got[r][0], r))
-        if len(reps) < 2:
+        nodes = sorted(got, key=lambda r: (got[r][0], r))
+        if len(nodes) < 2:
             return
-        side = np.array([int(got[r][0] != i) for r in reps])
+        side = np.array([int(got[r][0] != i) for r in nodes])
         if i != j and (side.all() or not side.any()):
             return
-        ok = tile_links([got[r][2] for r in reps], side, num, den)
-        rows_, cols_ = ([x for x, s in enumerate(side) if s == 0], [x for x, s in enumerate(side) if s == 1]) if i != j else (range(len(reps)), range(len(reps)))
-        copies = np.array([got[r][1] for r in reps], dtype=np.int64)
-        links = np.zeros(len(reps), np.int64)
-        links[list(rows_)] += ok @ copies[list(cols_)]
+        ok = tile_links([got[r][2] for r in nodes], side, num, den)
+        every = np.arange(len(nodes))
+        rows_, cols_ = (every[side == 0], every[side == 1]) if i != j else (every, every)
+        copies = np.array([got[r][1] for r in nodes], dtype=np.int64)
+        links = np.zeros(len(nodes), np.int64)
+        links[rows_] += ok @ copies[cols_]
         if i != j:
-            links[list(cols_)] += ok.T @ copies[list(rows_)]
-        u = _Union(len(reps))
-        for x, y in zip(*np.nonzero(ok), strict=True):
-            u.join(rows_[x], cols_[y])
-        for x, r in enumerate(reps):
-            root = u.find(x)
-            if links[x]:
-                yield r, reps[root] if root != x else None, int(links[x])
+            links[cols_] += ok.T @ copies[rows_]
+        root = spanning(ok, rows_, cols_, len(nodes))
+        for x in np.flatnonzero(links).tolist():
+            yield nodes[x], nodes[root[x]] if root[x] != x else None, int(links[x])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, got = None, {}
@@ -398,15 +459,17 @@ def _verify(members: DataFrame, n: int, num: int, den: int) -> DataFrame:
 
         for b in batches:
             out: list[tuple[int, int | None, int]] = []
-            c = {name: b.column(name).to_pylist() for name in ("cloud", "i", "j", "tile", "rep", "copies", "d1", "text")}
-            for cloud, i, j, tile, rep, copies, d1, text in zip(*c.values(), strict=True):
+            c = {name: b.column(name).to_pylist() for name in ("cloud", "i", "j", "tile", "node", "copies", "d1", "text")}
+            for cloud, i, j, tile, node, copies, d1, text in zip(*c.values(), strict=True):
                 if (cloud, i, j) != key:
                     if key is not None:
                         out.extend(solve(got, key[1], key[2]))
                     key, got = (cloud, i, j), {}
+                if node in got:  # a row repeated in full
+                    continue
                 s = ngram_set(text, n)
-                if rep not in got and len(s) and int(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8")[0]) == d1:
-                    got[rep] = (tile, copies, s)
+                if len(s) and int(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8")[0]) == d1:
+                    got[node] = (tile, copies, s)
             yield emit(out)
         if key is not None:
             yield emit(list(solve(got, key[1], key[2])))
@@ -416,6 +479,11 @@ def _verify(members: DataFrame, n: int, num: int, den: int) -> DataFrame:
 
 def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links (other documents it links with) of every row."""
+    return _joined(docs, n, num, den).drop("text_hash")
+
+
+def _joined(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """join() with text_hash, the xxhash64 of the row's text."""
     profile = stored(_profile(docs, n), "ngram-profile")
     cells = profile.where("cell is not null").groupBy("cell").agg(F.sum("cells").alias("n")).collect()  # at most CORPUS_GROUPS rows
     corpus = np.zeros(CORPUS_GROUPS, np.int64)
@@ -423,37 +491,42 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFram
         corpus[r["cell"]] = r["n"]
     rows = profile.where("size is not null")
     named = rows.where("size > 0 and doc_id is not null")
-    nodes = stored(
-        named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count_distinct("doc_id").alias("copies"), F.first("size").alias("size"), F.first("scale").alias("scale"), *[F.first(v).alias(v) for v in _VEC]), "ngram-nodes"
-    )
+    sets = named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count_distinct("doc_id").alias("copies"), F.first("size").alias("size"), F.first("scale").alias("scale"), *[F.first(v).alias(v) for v in _VEC])
+    # a node's number: two sets may have one least doc_id, if rows repeat it with other texts
+    nodes = stored(sets.withColumn("node", F.monotonically_increasing_id()), "ngram-nodes")
     shared = _shared(_postings(docs, n, num, den, corpus))
-    points = shared.join(nodes, ["d1", "d2"]).repartition("gram").sortWithinPartitions("gram", "size", "rep")
-    clouds = components(_cloud_edges(points, num, den)).select(F.col("node").alias("rep"), F.col("root").alias("cloud"))
-    members = clouds.join(nodes.select("rep", "copies", "size", "d1"), "rep")
+    points = shared.join(nodes, ["d1", "d2"]).withColumn("band", band_of(F.col("size"), num, den))
+    visits = F.array(F.struct(F.col("band"), F.lit(1).alias("own")), *([F.struct((F.col("band") - 1).alias("band"), F.lit(0).alias("own"))] if num < den else []))
+    points = points.select("gram", "node", "size", "scale", *_VEC, F.inline(visits)).withColumn("part", F.xxhash64("gram", "band"))
+    points = points.select("part", "node", "size", "own", "scale", *_VEC).repartition("part").sortWithinPartitions("part", "size", "node")
+    clouds = components(_cloud_edges(points, num, den)).withColumnRenamed("root", "cloud")
+    members = clouds.join(nodes.select("node", "rep", "copies", "size", "d1"), "node")
     tiles = members.groupBy("cloud").agg(F.count(F.lit(1)).alias("m"), F.sum("size").alias("w"))
-    tiles = tiles.select("cloud", F.ceil(F.greatest(F.col("m") / TILE_NODES, F.col("w") / TILE_NGRAMS)).cast("int").alias("tiles"))
-    members = members.join(tiles, "cloud").withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
+    even = F.least(F.lit(float(EVEN_TILES)), F.col("m") / EVEN_NODES)  # a cloud of some size is work for several tasks
+    tiles = tiles.select("cloud", F.ceil(F.greatest(F.col("m") / TILE_NODES, F.col("w") / TILE_NGRAMS, even)).cast("int").alias("tiles"))
+    members = members.join(tiles, "cloud").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
-    members = cut(members.select("rep", "copies", "d1", "cloud", "tile", other))
-    members = members.select(F.col("rep").alias("_rep"), "rep", "copies", "d1", "cloud", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
+    members = cut(members.select("node", F.col("rep").alias("_rep"), "copies", "d1", "cloud", "tile", other))
+    members = members.select("_rep", "node", "copies", "d1", "cloud", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
     if members.count() <= BROADCAST_ROWS:  # at most 64 MB: the texts need no shuffle to find their clouds
         members = F.broadcast(members)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(members, F.col("doc_id") == F.col("_rep"))
-    texts = texts.select("cloud", "i", "j", "tile", "rep", "copies", "d1", "text").repartition("cloud", "i", "j").sortWithinPartitions("cloud", "i", "j", "rep")
+    texts = texts.select("cloud", "i", "j", "tile", "node", "copies", "d1", "text").repartition("cloud", "i", "j").sortWithinPartitions("cloud", "i", "j", "node")
     verified = cut(_verify(texts, n, num, den))
-    links = verified.groupBy("a").agg(F.sum("links").alias("links"))
+    links = verified.groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "node")
     roots = components(verified.where("b is not null").select("a", "b"))
-    found = nodes.select("d1", "d2", "rep", "copies").join(links.withColumnRenamed("a", "rep"), "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    found = found.select(F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), F.coalesce("root", "rep").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    named = roots.join(nodes.select("node", "rep"), "node").groupBy("root").agg(F.min("rep").alias("component"))
+    found = nodes.select("node", "d1", "d2", "rep", "copies").join(links, "node", "left").join(roots, "node", "left").join(named, "root", "left")
+    found = found.select(F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), F.coalesce("component", "rep").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     usable = (F.col("size") > 0) & F.col("doc_id").isNotNull()
     out = rows.withColumn("_usable", usable).join(found, F.col("_usable") & (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2")), "left")
-    return out.select("doc_id", F.col("size").cast("bigint").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+    return out.select("doc_id", "text_hash", F.col("size").cast("bigint").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """docs (all columns) with the smallest doc_id of each component, and all unlinked rows."""
-    drop = join(docs, n, num, den).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(drop, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = _joined(docs, n, num, den).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_text")).distinct()
+    return docs.join(gone, (F.col("doc_id") == F.col("_gone")) & (F.xxhash64("text") == F.col("_gone_text")), "left_anti")
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -136,10 +136,10 @@ def test_ngram_join_streamed_partition_is_united_to_its_end(spark, monkeypatch,
     monkeypatch.setattr(ngram_join, "BATCH_ROWS", 8, raising=False)
     low, high = ([int(x) for x in np.repeat(np.uint8(v), 64).view("<i8")] for v in (0, 4))
     left, right = [*high[:4], *low[4:]], [*low[:4], *high[4:]]  # counts in one half of the groups
-    rows = [(7, k, 100 + k // 2, 1, *(right if k == 15 else left)) for k in range(n_first)]
-    rows += [(8, 1000 + k, 100, 1, *(left if k % 2 else right)) for k in range(n_next)]
-    names = ["gram", "rep", "size", "scale", *ngram_join._VEC]
-    points = spark.createDataFrame(rows, ", ".join(f"{c} {'int' if c in ('size', 'scale') else 'bigint'}" for c in names)).coalesce(1).sortWithinPartitions("gram", "size", "rep")
+    rows = [(7, k, 100 + k // 2, 1, 1, *(right if k == 15 else left)) for k in range(n_first)]
+    rows += [(8, 1000 + k, 100, 1, 1, *(left if k % 2 else right)) for k in range(n_next)]
+    names = ["part", "node", "size", "own", "scale", *ngram_join._VEC]
+    points = spark.createDataFrame(rows, ", ".join(f"{c} {'int' if c in ('size', 'own', 'scale') else 'bigint'}" for c in names)).coalesce(1).sortWithinPartitions("part", "size", "node")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
     try:
         edges = [tuple(r) for r in ngram_join._cloud_edges(points, 80, 100).collect()]
@@ -167,9 +167,13 @@ def test_ngram_join_small_stream_bounds_equal_brute_force(spark, monkeypatch):
     assert got == brute_components(rows, 5, 80, 100)
 
 
-def test_rtree_edges_span_the_relation():
+@pytest.mark.parametrize("leaf,fanout", [(4, 2), (8, 3), (32, 16), (256, 16)])
+def test_rtree_edges_span_the_relation(monkeypatch, leaf, fanout):
     import numpy as np
 
+    monkeypatch.setattr(ngram_join, "LEAF", leaf)
+    monkeypatch.setattr(ngram_join, "FANOUT", fanout)
+
     sets = [ngram_join.ngram_set(edited(words(5, 100), k, k % 9), 5) for k in range(200)]
     sets.sort(key=len)
     size = np.array([len(s) for s in sets])
@@ -185,6 +189,58 @@ def test_rtree_edges_span_the_relation():
                 assert u.find(i) == u.find(j)
 
 
+def test_rtree_edges_of_sizes_far_apart(monkeypatch):
+    """Boxes out of reach by size or bound are not opened; nothing in reach is lost."""
+    import numpy as np
+
+    monkeypatch.setattr(ngram_join, "LEAF", 4)
+    monkeypatch.setattr(ngram_join, "FANOUT", 2)
+    sets = [ngram_join.ngram_set(edited(words(20 + k % 5, 30 * (1 + k % 4)), k, k % 4), 3) for k in range(150)]
+    sets.sort(key=len)
+    size = np.array([len(s) for s in sets])
+    vec = np.stack([ngram_join.count_vector(s)[0].astype(np.int32) * ngram_join.count_vector(s)[1] for s in sets])
+    u, v = ngram_join._Union(len(sets)), ngram_join._Union(len(sets))
+    for a, b in ngram_join.tree_edges(size, vec, 70, 100):
+        u.join(a, b)
+    over = np.minimum(vec[:, None], vec[None]).sum(axis=2)
+    for i in range(len(sets)):
+        for j in range(i):
+            if 170 * over[i, j] >= 70 * (size[i] + size[j]) and 100 * size[j] >= 70 * size[i]:
+                v.join(i, j)
+    assert [u.find(i) for i in range(len(sets))] == [v.find(i) for i in range(len(sets))]
+
+
+def test_ngram_join_repeated_doc_ids(spark):
+    """Rows of one doc_id with other texts are nodes of their own, each with its own links."""
+    a, b = words(61, 60), words(62, 60)
+    rows = [(1, " ".join(a), "x"), (1, " ".join(b), "x"), (2, edited(a, 1, 1), "x"), (3, edited(b, 2, 1), "x"), (1, " ".join(a), "x")]
+    got = sorted((r["doc_id"], r["component_id"], r["n_links"]) for r in ngram_join.join(docs(spark, rows)).collect())
+    assert got == [(1, 1, 1), (1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+    rows = [(5, " ".join(a), "x"), (5, " ".join(b), "x"), (2, edited(a, 1, 1), "x")]
+    kept = [(r["doc_id"], r["text"]) for r in ngram_join.keep_one(docs(spark, rows)).collect()]
+    assert sorted(kept) == sorted([(2, edited(a, 1, 1)), (5, " ".join(b))])
+
+
+def test_spanning_equals_union_find():
+    import numpy as np
+
+    rnd = np.random.default_rng(5)
+    for n, p in ((30, 0.02), (30, 0.1), (1, 0.0), (40, 0.5)):
+        ok = np.triu(rnd.random((n, n)) < p, 1)
+        ok |= ok.T
+        every = np.arange(n)
+        u = ngram_join._Union(n)
+        for x, y in zip(*np.nonzero(ok), strict=True):
+            u.join(int(x), int(y))
+        assert ngram_join.spanning(ok, every, every, n).tolist() == [u.find(x) for x in range(n)]
+        left, right = every[: n // 3], every[n // 3 :]
+        u = ngram_join._Union(n)
+        for x in left:
+            for y in right[ok[x][right]]:
+                u.join(int(x), int(y))
+        assert ngram_join.spanning(ok[np.ix_(left, right)], left, right, n).tolist() == [u.find(x) for x in range(n)]
+
+
 def test_ngram_join_edge_tables(spark):
     assert ngram_join.join(docs(spark, [])).count() == 0
     d = docs(spark, [(None, "a b c d e f", "x"), (1, "a b c d e f", "x"), (1, "a b c d e f", "x")]).withColumn("cloud", F.lit(1)).withColumn("rep", F.lit(2))
