@@ -14,8 +14,9 @@ State of an index (``LineIndex``), both parts reversible:
 
 Scale: counting is a partial aggregation on 16-byte keys (hot lines combine before the shuffle).
 Shards are sized from the number of shared keys, so that one shard stays near ``SHARD_KEYS`` keys
-whatever the corpus. Filters travel to the scan as a broadcast only while their bytes are below
-``BROADCAST_BYTES``; above, no filter is used and line rows join the exact table by key.
+whatever the corpus. Filters travel to the scan as a broadcast while their bytes are below
+``BROADCAST_BYTES``; above, the line keys travel to the filters: they are dealt by shard (salted by
+doc_id, so that a hot line is spread) and pass the filter of their shard in the task that holds it.
 
 Defined results: a null or empty text is one empty line. A null doc_id has no identity: its row
 is returned unchanged and it holds no key. Rows that repeat a doc_id count as one document, each
@@ -40,6 +41,7 @@ from strataloom.llm.common import LOWER_ASCII, cut, table
 MIN_CHARS = 10
 SHARD_KEYS = 100_000
 BROADCAST_BYTES = 48 << 20
+SALTS = 16
 _STRIP = b" \t\n\x0b\x0c\r"
 _REF_SCHEMA = "k1 bigint, k2 bigint, doc_id bigint"
 
@@ -57,11 +59,6 @@ def line_keys(text: str | None, min_chars: int = MIN_CHARS) -> list[bytes | None
     return [line_key(x, min_chars) for x in lowered.split(b"\n")]
 
 
-def _columns(keys: list[bytes], ids: list[int]) -> pa.RecordBatch:
-    two = np.frombuffer(b"".join(keys), dtype="<i8").reshape(-1, 2)
-    return pa.RecordBatch.from_arrays([pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(ids, pa.int64())], ["k1", "k2", "doc_id"])
-
-
 class CuckooFilter:
     """Partial-key cuckoo hashing: 4-slot buckets of 16-bit fingerprints in one numpy array.
 
@@ -154,13 +151,7 @@ def line_refs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys: list[bytes] = []
-            ids: list[int] = []
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                own = {k for k in line_keys(text, min_chars) if k is not None} if doc_id is not None else ()
-                keys.extend(own)
-                ids.extend([doc_id] * len(own))
-            yield _columns(keys, ids)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _own_keys(b, min_chars)], ["k1", "k2", "doc_id"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(rows, _REF_SCHEMA)
 
@@ -170,11 +161,11 @@ def shared_keys(refs: DataFrame) -> DataFrame:
     return refs.groupBy("k1", "k2").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").select("k1", "k2", "owner")
 
 
-def build_filters(shared: DataFrame, n_shards: int) -> DataFrame:
-    """(shard, filter): one serialised cuckoo filter per shard; a shard's keys are bounded by sizing."""
+def build_filters(shared: DataFrame, n_shards: int, room: float = 1.0) -> DataFrame:
+    """(shard, filter): one serialised cuckoo filter per shard, with room for so many times its keys."""
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        f = CuckooFilter(len(pdf))
+        f = CuckooFilter(int(room * len(pdf)))
         for a, b in zip(pdf["k1"].to_numpy(), pdf["k2"].to_numpy(), strict=True):
             f.add(int(a), int(b))
         return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "filter": [f.to_bytes()]})
@@ -186,40 +177,77 @@ def shard_of(k1: np.ndarray, n_shards: int) -> np.ndarray:
     return ((k1.view(np.uint64) >> np.uint64(33)) % np.uint64(n_shards)).astype(np.int64)
 
 
-def _probed(docs: DataFrame, shared: DataFrame, min_chars: int) -> DataFrame:
-    """Line rows (k1, k2, doc_id) that may be shared: all of them, or those that pass the filters."""
-    spark = docs.sparkSession
-    n = shared.count()
-    n_shards = max(1, -(-n // SHARD_KEYS))
-    if n * 5 > BROADCAST_BYTES:  # at most 2 bytes / 0.425 load, and never above the stated bound
-        return line_refs(docs, min_chars)
-    raw = {int(r["shard"]): bytes(r["filter"]) for r in build_filters(shared, n_shards).toLocalIterator()}
-    sent = spark.sparkContext.broadcast(raw)
+def _own_keys(b: pa.RecordBatch, min_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(k1, k2, doc_id) of the distinct keys of each document of a batch (doc_id, text)."""
+    keys: list[bytes] = []
+    ids: list[int] = []
+    for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+        own = {k for k in line_keys(text, min_chars) if k is not None} if doc_id is not None else ()
+        keys.extend(own)
+        ids.extend([doc_id] * len(own))
+    two = np.frombuffer(b"".join(keys), dtype="<i8").reshape(-1, 2)
+    return np.ascontiguousarray(two[:, 0]), np.ascontiguousarray(two[:, 1]), np.array(ids, dtype=np.int64)
+
+
+def _probed(docs: DataFrame, filters: DataFrame, n_shards: int, n_keys: int, min_chars: int) -> DataFrame:
+    """Line rows (k1, k2, doc_id) that pass the filter of their shard.
+
+    filters: (shard, filter) rows over n_keys keys.
+    """
+    if n_keys * 5 > BROADCAST_BYTES:  # at most 2 bytes / 0.425 load for a key
+        return _probed_in_shards(line_refs(docs, min_chars), filters, n_shards)
+    raw = {int(r["shard"]): bytes(r["filter"]) for r in filters.select("shard", "filter").toLocalIterator()}
+    sent = docs.sparkSession.sparkContext.broadcast(raw)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = {k: CuckooFilter.from_bytes(v) for k, v in sent.value.items()}
+        held = {k: CuckooFilter.from_bytes(v) for k, v in sent.value.items()}
         for b in batches:
-            keys: list[bytes] = []
-            ids: list[int] = []
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                own = {k for k in line_keys(text, min_chars) if k is not None} if doc_id is not None else ()
-                keys.extend(own)
-                ids.extend([doc_id] * len(own))
-            two = np.frombuffer(b"".join(keys), dtype="<i8").reshape(-1, 2)
-            k1, k2 = np.ascontiguousarray(two[:, 0]), np.ascontiguousarray(two[:, 1])
+            k1, k2, ids = _own_keys(b, min_chars)
             shards, hit = shard_of(k1, n_shards), np.zeros(len(k1), bool)
-            for s, f in filters.items():
+            for s, f in held.items():
                 at = np.flatnonzero(shards == s)
                 hit[at] = f.probe(k1[at], k2[at])
-            yield pa.RecordBatch.from_arrays([pa.array(k1[hit]), pa.array(k2[hit]), pa.array(np.array(ids, dtype=np.int64)[hit])], ["k1", "k2", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(k1[hit]), pa.array(k2[hit]), pa.array(ids[hit])], ["k1", "k2", "doc_id"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(rows, _REF_SCHEMA)
 
 
-def dropped_keys(docs: DataFrame, shared: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def _probed_in_shards(refs: DataFrame, filters: DataFrame, n_shards: int) -> DataFrame:
+    """The same, with the line rows dealt to the filters; a task holds one shard's filter at a time."""
+    shard = F.pmod(F.shiftrightunsigned("k1", 33), F.lit(n_shards)).alias("shard")
+    lines = refs.select("k1", "k2", "doc_id", shard, F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"), F.lit(None).cast("binary").alias("filter"))
+    none = [F.lit(0).cast("bigint").alias(c) for c in ("k1", "k2", "doc_id")]
+    spread = filters.select(*none, F.col("shard").cast("bigint").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "filter")
+    dealt = lines.unionByName(spread).repartition("shard", "salt").sortWithinPartitions("shard", "salt", F.col("filter").isNull())
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f, of = None, -1
+        for b in batches:
+            k1, k2, ids, shards = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            brought = np.flatnonzero(~b.column(4).is_null().to_numpy(zero_copy_only=False))
+            hit = np.zeros(len(k1), bool)
+            for start, end in zip(np.r_[-1, brought], np.r_[brought, len(k1)], strict=True):
+                if start >= 0:
+                    f, of = CuckooFilter.from_bytes(b.column(4)[int(start)].as_py()), int(shards[start])
+                at = np.arange(start + 1, end)
+                at = at[shards[at] == of]
+                if f is not None and len(at):
+                    hit[at] = f.probe(k1[at], k2[at])
+            yield pa.RecordBatch.from_arrays([pa.array(k1[hit]), pa.array(k2[hit]), pa.array(ids[hit])], ["k1", "k2", "doc_id"])
+
+    return dealt.select("k1", "k2", "doc_id", "shard", "filter").mapInArrow(rows, _REF_SCHEMA)
+
+
+def _dropped(hits: DataFrame, shared: DataFrame) -> DataFrame:
     """(doc_id, dropped): per document the keys that another, smaller doc_id owns."""
-    hits = _probed(docs, shared, min_chars).join(shared, ["k1", "k2"]).where("doc_id > owner")
-    return hits.groupBy("doc_id").agg(F.collect_set(F.struct("k1", "k2")).alias("dropped"))
+    return hits.join(shared, ["k1", "k2"]).where("doc_id > owner").groupBy("doc_id").agg(F.collect_set(F.struct("k1", "k2")).alias("dropped"))
+
+
+def dropped_keys(docs: DataFrame, shared: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """(doc_id, dropped) of docs, by new filters over the shared keys (k1, k2, owner)."""
+    n = shared.count()
+    n_shards = max(1, -(-n // SHARD_KEYS))
+    return _dropped(_probed(docs, build_filters(shared, n_shards), n_shards, n, min_chars), shared)
 
 
 def keep_lines(text: str | None, dropped: set[bytes], min_chars: int = MIN_CHARS) -> tuple[str, int, int]:
@@ -271,47 +299,71 @@ class LineIndex:
 
     ``refs`` grows by inserts and shrinks by deletions; ``filters`` follow by cuckoo insertion and
     deletion of the keys whose count crosses two. ``insert(d)`` then ``delete(d)`` restores both.
+
+    A batch touches only its own keys: their references before and after it are compared, not those
+    of the whole index. A filter that would be loaded beyond ``LOAD`` is built again, twice as large,
+    from the exact table. Reference rows of batches stand side by side and are written together
+    after ``BATCHES`` of them.
     """
 
+    LOAD = 0.85
+    BATCHES = 8
+    _FILTERS = "shard bigint, n_keys bigint, filter binary"
+
     def __init__(self, spark: SparkSession, n_shards: int = 16, min_chars: int = MIN_CHARS):
         self.spark, self.n_shards, self.min_chars = spark, n_shards, min_chars
         self.refs = spark.createDataFrame([], _REF_SCHEMA)
-        self.filters = spark.createDataFrame([], "shard bigint, filter binary")
+        self.filters = spark.createDataFrame([], self._FILTERS)
+        self._batches = 0
 
-    def _shared(self, refs: DataFrame) -> DataFrame:
-        return shared_keys(refs)
+    def _shard(self):
+        return F.pmod(F.shiftrightunsigned("k1", 33), F.lit(self.n_shards)).alias("shard")
 
-    def _move(self, new_refs: DataFrame) -> None:
-        before, after = self._shared(self.refs).select("k1", "k2"), self._shared(new_refs).select("k1", "k2")
-        signed = after.exceptAll(before).withColumn("sign", F.lit(1)).unionByName(before.exceptAll(after).withColumn("sign", F.lit(-1)))
-        signed = signed.withColumn("shard", F.pmod(F.shiftrightunsigned("k1", 33), F.lit(self.n_shards)))
+    def _move(self, changed: DataFrame, new_refs: DataFrame) -> None:
+        """Goes over to new_refs, which differ from refs in the keys (k1, k2) of changed only."""
+        keys = cut(changed.select("k1", "k2").distinct())
+        state = lambda refs: shared_keys(refs.join(keys, ["k1", "k2"], "left_semi")).select("k1", "k2")
+        before, after = cut(state(self.refs)), cut(state(new_refs))
+        signed = after.join(before, ["k1", "k2"], "left_anti").withColumn("sign", F.lit(1)).unionByName(before.join(after, ["k1", "k2"], "left_anti").withColumn("sign", F.lit(-1)))
+        load = self.LOAD
 
         def update(key: tuple, changes: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-            old = CuckooFilter.from_bytes(bytes(state["filter"].iloc[0])) if len(state) else None
-            gone = changes[changes["sign"] < 0]
-            added = changes[changes["sign"] > 0]
-            f = old or CuckooFilter(max(64, 2 * len(added)))
+            gone, added = changes[changes["sign"] < 0], changes[changes["sign"] > 0]
+            n = (int(state["n_keys"].iloc[0]) if len(state) else 0) + len(added) - len(gone)
+            f = CuckooFilter.from_bytes(bytes(state["filter"].iloc[0])) if len(state) else CuckooFilter(max(64, 2 * len(added)))
+            if n > load * f.table.size:  # to be built again from the exact table
+                return pd.DataFrame({"shard": [int(key[0])], "n_keys": [n], "filter": [None]})
             for a, b in zip(gone["k1"], gone["k2"], strict=True):
                 f.remove(int(a), int(b))
             for a, b in zip(added["k1"], added["k2"], strict=True):
                 f.add(int(a), int(b))
-            return pd.DataFrame({"shard": [int(key[0])], "filter": [f.to_bytes()]})
+            return pd.DataFrame({"shard": [int(key[0])], "n_keys": [n], "filter": [f.to_bytes()]})
 
-        self.filters = cut(signed.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInPandas(update, "shard bigint, filter binary"))
-        self.refs = new_refs
+        moved = cut(signed.withColumn("shard", self._shard()).groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInPandas(update, self._FILTERS))
+        full = [r["shard"] for r in moved.where("filter is null").select("shard").collect()]  # at most n_shards
+        if full:
+            again = build_filters(shared_keys(new_refs.where(self._shard().isin(full))), self.n_shards, room=2.0).join(moved.select("shard", "n_keys"), "shard")
+            moved = cut(moved.where("filter is not null").unionByName(again.select("shard", "n_keys", "filter")))
+        self._batches += 1
+        self.refs, self.filters = (cut(new_refs) if self._batches % self.BATCHES == 0 else new_refs), moved
 
     def insert(self, docs: DataFrame) -> None:
         """Adds documents; a (key, doc_id) pair that is already there is not added twice."""
-        self._move(cut(self.refs.unionByName(line_refs(docs, self.min_chars)).distinct()))
+        new = cut(line_refs(docs, self.min_chars).distinct().join(self.refs, ["k1", "k2", "doc_id"], "left_anti"))
+        self._move(new, self.refs.unionByName(new))
 
     def delete(self, doc_ids: DataFrame) -> None:
         """Removes every reference of the given doc_ids (a frame with a doc_id column)."""
-        self._move(cut(self.refs.join(doc_ids.select("doc_id").distinct(), "doc_id", "left_anti").select("k1", "k2", "doc_id")))
+        ids = cut(doc_ids.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct())
+        left = self.refs.join(ids, "doc_id", "left_anti").select("k1", "k2", "doc_id")
+        self._move(self.refs.join(ids, "doc_id", "left_semi"), left)
 
     def kept(self, docs: DataFrame) -> DataFrame:
-        """docs as the present index leaves them."""
-        shared = cut(self._shared(self.refs))
-        return _with_kept(docs, dropped_keys(docs, shared, self.min_chars), docs.columns, self.min_chars, digest=False)
+        """docs as the present index leaves them: its filters in front of its exact table."""
+        n_keys = self.filters.agg(F.sum("n_keys")).first()[0] or 0
+        hits = cut(_probed(docs, self.filters, self.n_shards, n_keys, self.min_chars))
+        shared = shared_keys(self.refs.join(hits.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi"))
+        return _with_kept(docs, _dropped(hits, shared), docs.columns, self.min_chars, digest=False)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -448,6 +448,49 @@ def test_line_dedup_without_filters(spark, monkeypatch):
     assert got == brute_lines(LINES)
 
 
+def test_line_dedup_probes_in_shards(spark, monkeypatch):
+    """The branch beyond the broadcast bound: the filters of many shards, met by dealt line rows."""
+    monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 7)
+    monkeypatch.setattr(line_dedup, "SALTS", 3)
+    rows = [(i, "\n".join(["The line of all documents", f"line of class {i % 9} and more", f"only in document {i}", "short"] * (1 + i % 2)), "s") for i in range(120)]
+    lines = [(i, t) for i, t, _ in rows]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        got = sorted((tuple(r) for r in line_dedup.line_dedup_digests(docs(spark, rows)).collect()), key=str)
+        shared = line_dedup.shared_keys(line_dedup.line_refs(docs(spark, rows)))
+        hits = line_dedup._probed(docs(spark, rows), line_dedup.build_filters(shared, 4), 4, 10**9, 10)
+        n, k = hits.count(), hits.select("k1", "k2").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == brute_lines(lines)
+    assert (n, k) == (240, 10)  # the filters let the 120 unshared keys go
+
+
+def test_line_index_equals_brute_force_over_batches(spark):
+    """Random batches in and out of a small index, whose filters must grow; every state equals brute force."""
+    import random
+
+    rnd = random.Random(4)
+    text = lambda i: "\n".join(f"a line number {rnd.randrange(40 + i)} of the set" for _ in range(12))
+    x, held = line_dedup.LineIndex(spark, n_shards=2), {}
+    sizes = []
+    for step in range(5):
+        new = [(100 * step + i, text(60 * step), "s") for i in range(30)]
+        x.insert(docs(spark, new))
+        held |= {i: t for i, t, _ in new}
+        if step:
+            gone = rnd.sample(sorted(held), 25)
+            x.delete(spark.createDataFrame([(i,) for i in [*gone, 99999]], "doc_id bigint"))
+            for i in gone:
+                del held[i]
+        got = {r["doc_id"]: hashlib.sha256(r["text"].encode()).hexdigest() for r in x.kept(docs(spark, [(i, t, "s") for i, t in held.items()])).collect()}
+        assert got == {r[0]: r[3] for r in brute_lines(sorted(held.items()))}, step
+        sizes.append(sum(line_dedup.CuckooFilter.from_bytes(bytes(r["filter"])).table.size for r in x.filters.collect()))
+        assert x.filters.agg(F.sum("n_keys")).first()[0] == line_dedup.shared_keys(x.refs).count()
+    assert sizes[-1] > sizes[0]
+
+
 def test_cuckoo_filter():
     import numpy as np
 
