@@ -3,8 +3,8 @@
 Two generative bag-of-n-grams models over ``BUCKETS`` hashed word unigrams and bigrams are counted:
 the raw model over all documents, the target model over labelled good documents (at most about
 ``max_target`` of them by a hash of doc_id, outside the held-out fold: the documented bound). The
-importance weight of a document is the log ratio of the two models per n-gram, times ``DRAW``
-n-grams, as if every document were a draw of that length; without this, length alone would decide.
+importance weight of a document is the ratio of its probabilities under the two models: its log is
+the sum of the log ratios of the buckets of its n-grams.
 
 Sampling k documents without replacement in proportion to the weights: each gets the key log weight
 + Gumbel noise (from a hash of doc_id and seed) and the k largest keys are kept. k is the share of
@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 from strataloom.llm.common import cut, table, words_of
 
 BUCKETS = 10_000
-DRAW = 100
 SEED = 17
 MAX_TARGET = 20_000
 FOLDS = 5
@@ -95,17 +94,14 @@ def fit(docs: DataFrame, good: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     return np.log((target + 1) / (target.sum() + buckets)) - np.log((raw + 1) / (raw.sum() + buckets))
 
 
-def weigh(docs: DataFrame, ratio: np.ndarray, draw: int = DRAW, seed: int = SEED) -> DataFrame:
+def weigh(docs: DataFrame, ratio: np.ndarray, seed: int = SEED) -> DataFrame:
     """doc_id, log_weight, sample_key, tie of every row."""
     sent = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = sent.value
         for b in batches:
-            out = []
-            for text in b.column("text").to_pylist():
-                at = ngram_buckets(text, len(r))
-                out.append(float(r[at].mean()) * draw if len(at) else 0.0)
+            out = [float(r[ngram_buckets(text, len(r))].sum()) for text in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.float64()), b.column("noise")], ["doc_id", "log_weight", "noise"])
 
     noise = F.xxhash64(F.lit(seed), F.col("doc_id"))
@@ -138,10 +134,10 @@ def kth_largest(scores: DataFrame, k: int) -> tuple[float, int] | None:
     return -few[k - 1][0], few[k - 1][1]
 
 
-def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, max_target: int = MAX_TARGET, draw: int = DRAW, seed: int = SEED) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, max_target: int = MAX_TARGET, seed: int = SEED) -> DataFrame:
     """doc_id, log_weight, sample_key, kept of every row of docs; kept marks the sample of k."""
     good, share = target_ids(labels, max_target)
-    scores = cut(weigh(docs, fit(docs, good), draw, seed))
+    scores = cut(weigh(docs, fit(docs, good), seed))
     n = scores.count()
     at = kth_largest(scores, round(share * n) if k is None else k)
     if at is None:
