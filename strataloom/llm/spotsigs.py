@@ -2,9 +2,9 @@
 
 Tokens are lower-cased runs of letters and digits. Each common word (``ANCHORS``) is an anchor; its
 signature is the anchor with the chain of the next two content words (tokens that are no common
-words). For texts without common words some content words are anchors too: those whose hash is 0
-modulo ``CONTENT_ANCHOR``. If even so a text has no signature, every token is an anchor; a text
-without tokens has one signature of the whole text, the empty text none. The fingerprint is the
+words). Only texts in which no common word stands before a content word have other anchors: the content
+words whose hash is 0 modulo ``CONTENT_ANCHOR``, and if there is none of these either, every token. A
+text without tokens has one signature of the whole text, the empty text none. The fingerprint is the
 sorted set of 32-bit signature hashes.
 
 Likeness is the Jaccard index of two sets. Sets whose lengths differ so much that the index cannot
@@ -13,9 +13,12 @@ length, joins only neighbouring partitions on the few smallest signatures that a
 likeness must share (prefix filter), and compares the survivors.
 
 Scale: fingerprints are computed in the scan. The query needs each text's successor by doc_id: rows
-are dealt into range blocks of doc_id (bounds from a bounded histogram, two levels, so that neither
-clustered ids nor outliers make a block large), each block gets a copy of the first row of the next
-block, and a window runs inside blocks; every text is shuffled once.
+are dealt into range blocks of doc_id, each block gets a copy of the first row of the next block, and
+a window runs inside blocks; every text is shuffled once. Block bounds follow from a histogram of at
+most ``CELLS`` cells, each cut evenly into as many blocks as its rows ask for, so that neither clustered
+ids nor outliers make a block large. A block holds about max(``BLOCK_ROWS``, sqrt(rows)) rows, so that rows of
+a block and number of blocks (one row each is broadcast) both grow with the root of the table only. Null
+doc_ids are dealt into blocks by text hash.
 
 Defined results: null texts count as empty. Rows that repeat a doc_id are documents of their own,
 ordered by text. A null doc_id sorts after all others. With one row, the next document is the row
@@ -41,8 +44,8 @@ ANCHORS = (
     "al como con cuando del el ella entre era esta este está fue ha hay las lo los más me muy no nos para pero por porque sin sobre su sus también todo una uno y ya"
 ).split()
 CONTENT_ANCHOR = 8
-MAX_BLOCKS = 4096
-BLOCK_ROWS = 2000
+CELLS = 4096
+BLOCK_ROWS = 500
 _LOW_32 = 0xFFFFFFFF
 
 
@@ -73,11 +76,14 @@ def signatures(df: DataFrame, text: str, out: str) -> DataFrame:
         first, second = _at(F.col(cw), k), _at(F.col(cw), k + 1)
         parts = F.split(c, " ")
         own = F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda a: _hash(a, first, second))
-        before = _at(F.col(cw), k - 1)
-        own = F.when(c.contains(" "), own).otherwise(F.array().cast("array<bigint>"))
-        return F.when((k > 0) & (F.pmod(F.hash(before), F.lit(CONTENT_ANCHOR)) == 0), F.array_append(own, _hash(before, first, second))).otherwise(own)
+        return F.when(c.contains(" "), own).otherwise(F.array().cast("array<bigint>"))
+
+    def of_content(w: Column, k: Column) -> Column:
+        own = F.array(_hash(w, _at(F.col(cw), k + 1), _at(F.col(cw), k + 2)))
+        return F.when((k < F.size(cw) - 1) & (F.pmod(F.hash(w), F.lit(CONTENT_ANCHOR)) == 0), own).otherwise(F.array().cast("array<bigint>"))
 
     df = df.withColumn(sg, F.flatten(F.transform(F.col(ch), of_chunk)))
+    df = df.withColumn(sg, F.when(F.size(sg) > 0, F.col(sg)).otherwise(F.flatten(F.transform(F.col(cw), of_content))))
     every = F.transform(F.col(t), lambda x, k: _hash(x, _at(F.col(t), k + 1), _at(F.col(t), k + 2)))
     whole = F.when(F.col(text) == "", F.array().cast("array<bigint>")).otherwise(F.array(_hash(F.col(text))))
     best = F.when(F.size(sg) > 0, F.col(sg)).when(F.size(t) > 0, every).otherwise(whole)
@@ -123,19 +129,20 @@ def classes(docs: DataFrame) -> DataFrame:
     return f.join(least, "key").drop("key")
 
 
-def _block_of(docs: DataFrame) -> tuple[Column, Column]:
-    """(block number of a doc_id, is a block's number null-safe): ascending in doc_id.
+def _block_of(docs: DataFrame) -> Column:
+    """Block number of a row (doc_id, tie), ascending in doc_id; those of null doc_ids are 0 and below,
+    descending in tie.
 
     Two levels: equal-width cells between the least and the largest doc_id, and inside each cell
     equal-width blocks between its own least and largest doc_id, as many as its rows ask for.
     """
-    whole = docs.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("doc_id").alias("n")).first()
+    whole = docs.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("doc_id").alias("n"), F.count(F.lit(1)).alias("all")).first()
     lo, hi, n = whole["lo"] or 0, whole["hi"] or 0, whole["n"]
-    cells = max(1, min(MAX_BLOCKS, n // BLOCK_ROWS))
+    rows = max(BLOCK_ROWS, math.isqrt(whole["all"]))
+    cells = max(1, min(CELLS, n // rows))
     width = max(1, -(-(hi - lo + 1) // cells))
     cell = F.floor((F.col("doc_id") - F.lit(lo)) / F.lit(width)).cast("int")
-    found = {r["cell"]: r for r in docs.where("doc_id is not null").groupBy(cell.alias("cell")).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("doc_id").alias("n")).collect()}
-    rows = max(BLOCK_ROWS, -(-n // MAX_BLOCKS))
+    found = {r["cell"]: r for r in docs.where("doc_id is not null").groupBy(cell.alias("cell")).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("doc_id").alias("n")).collect()}  # at most CELLS rows
     base, first, step, at = [], [], [], 1
     for c in range(cells + 1):
         r = found.get(c)
@@ -146,27 +153,29 @@ def _block_of(docs: DataFrame) -> tuple[Column, Column]:
         at += parts
     arrays = [F.lit(a) for a in (base, first, step)]
     i = cell + 1
-    return F.coalesce((F.element_at(arrays[0], i) + F.floor((F.col("doc_id") - F.element_at(arrays[1], i)) / F.element_at(arrays[2], i))).cast("bigint"), F.lit(0)), cell
+    known = F.element_at(arrays[0], i) + F.floor((F.col("doc_id") - F.element_at(arrays[1], i)) / F.element_at(arrays[2], i))
+    unknown = F.floor((F.col("tie").cast("double") / float(1 << 64) + F.lit(0.5)) * F.lit(float(max(1, (whole["all"] - n) // rows))))
+    return F.coalesce(known, -unknown).cast("bigint")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, text, sigs, next_text, next_sigs: each row with its successor by descending doc_id."""
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    block = _block_of(d)[0]
-    d = d.withColumn("block", block)
+    block = _block_of(d)
+    d = d.withColumn("tie", F.xxhash64("text")).withColumn("block", block)
     # the first row of each block in descending order: the largest (doc_id, then least text hash)
     order = [F.desc_nulls_last("doc_id"), F.asc("tie"), F.asc("text")]
-    heads = cut(d.select("block", "doc_id", F.xxhash64("text").alias("tie")).groupBy("block").agg(F.max_by(F.struct("doc_id", "tie"), F.struct(F.col("doc_id"), -(F.col("tie").cast("decimal(20,0)")))).alias("h")))
+    heads = cut(d.select("block", "doc_id", "tie").groupBy("block").agg(F.max_by(F.struct("doc_id", "tie"), F.struct(F.col("doc_id"), -(F.col("tie").cast("decimal(20,0)")))).alias("h")))
     across = W.orderBy(F.asc("block"))
     last = heads.agg(F.max("block")).first()[0]
     heads = heads.select(F.col("h.doc_id").alias("_id"), F.col("h.tie").alias("_tie"), F.coalesce(F.lead("block").over(across), F.lit(None)).alias("_above"), F.col("block").alias("_own"))
     # the head of a block follows the last row of the block above it; the head of the top follows the lowest
     lowest = heads.agg(F.min("_own")).first()[0] if last is not None else None
     heads = heads.withColumn("_above", F.coalesce("_above", F.lit(lowest)))
-    ghosts = d.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_tie")) & (F.col("block") == F.col("_own")))
-    ghosts = ghosts.dropDuplicates(["_own"]).select("doc_id", "text", F.col("_above").alias("block"))
-    rows = d.select("doc_id", "text", "block").withColumn("ghost", F.lit(0)).unionByName(ghosts.withColumn("ghost", F.lit(1)))
-    rows = signatures(rows.repartition("block"), "text", "sigs").withColumn("tie", F.xxhash64("text"))
+    ghosts = d.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")) & (F.col("block") == F.col("_own")))
+    ghosts = ghosts.dropDuplicates(["_own"]).select("doc_id", "text", "tie", F.col("_above").alias("block"))
+    rows = d.select("doc_id", "text", "tie", "block").withColumn("ghost", F.lit(0)).unionByName(ghosts.withColumn("ghost", F.lit(1)))
+    rows = signatures(rows.repartition("block"), "text", "sigs")
     inside = W.partitionBy("block").orderBy(F.asc("ghost"), *order)
     rows = rows.withColumn("next", F.lead(F.struct("text", "sigs")).over(inside)).where("ghost = 0")
     return rows.select("doc_id", "text", "sigs", F.col("next.text").alias("next_text"), F.col("next.sigs").alias("next_sigs"))
