@@ -14,6 +14,9 @@ and the level follows from one running sum over the sources in the order of cap
 Scale: only (doc_id, source, size, key) leave the scan. The running sum of a source is split into
 buckets that are monotone in the key: bucket totals are summed first, then each bucket runs its own
 window from its offset, so that a source with a third of all documents is spread over many tasks.
+Whatever the qualities of a source, a bucket is expected to hold no more than ``bucket_rows`` divided by
+``LEAST_QUALITY`` rows: 1 - exp(-LEAST_QUALITY * key) is 1 - u^a with a from LEAST_QUALITY to 1, whose density
+nowhere exceeds 1 / LEAST_QUALITY.
 Windows without partitions are over one row per source only.
 
 Defined results: a null text has size 0 and takes 0. A null doc_id is a document like any other.
@@ -33,6 +36,7 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = 20240601
 BUCKET_ROWS = 4096
+LEAST_QUALITY = 0.25
 
 
 def word_count(text: Column) -> Column:
@@ -48,7 +52,7 @@ def quality_weight(text: Column) -> Column:
     """1 for a text of letters and white space only, falling to 0.25 with their share; 0.25 for none."""
     n = F.length(text)
     others = F.length(F.regexp_replace(text, r"[\p{L}\x09-\x0D\x20]+", ""))
-    return F.when(n > 0, F.lit(0.25) + F.lit(0.75) * (F.lit(1.0) - others.cast("double") / n)).otherwise(F.lit(0.25))
+    return F.when(n > 0, F.lit(LEAST_QUALITY) + F.lit(1.0 - LEAST_QUALITY) * (F.lit(1.0) - others.cast("double") / n)).otherwise(F.lit(LEAST_QUALITY))
 
 
 def uniform(doc_id: Column, seed: int = SEED) -> Column:
@@ -90,8 +94,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
     t = targets.withColumnRenamed("source", "_s")
     rows = keyed.join(t, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     n_buckets = F.ceil(F.col("n_docs") / F.lit(float(bucket_rows)))
-    # monotone in the key and close to even: 1 - exp(-key) of an exponential key is uniform
-    rows = rows.withColumn("bucket", F.floor((F.lit(1.0) - F.exp(-F.col("sample_key"))) * n_buckets).cast("bigint"))
+    rows = rows.withColumn("bucket", F.floor((F.lit(1.0) - F.exp(F.col("sample_key") * F.lit(-LEAST_QUALITY))) * n_buckets).cast("bigint"))
     totals = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     offsets = totals.select(
         F.col("source").alias("_s"), F.col("bucket").alias("_b"),
