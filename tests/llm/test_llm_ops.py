@@ -28,9 +28,60 @@ def words(seed, n):
 # --- 2: spot signatures ---------------------------------------------------------------------------
 
 
-def brute_signatures(text):
-    tok = [x for x in re.split(r"[^\w]+|_", text.lower()) if x]
-    return tok
+def chained(*parts):
+    """Spark's xxhash64 of string columns; nulls are skipped."""
+    import xxhash
+
+    h = 42
+    for x in parts:
+        if x is not None:
+            h = xxhash.xxh64_intdigest(x.encode(), seed=h)
+    return h & 0xFFFFFFFF
+
+
+def brute_signatures(text, chosen):
+    """The signature set by its definition, token by token; chosen: content words that are anchors by hash."""
+    tok = [x for x in re.split(r"[\W_]+", text.lower()) if x]
+    common = set(spotsigs.ANCHORS)
+
+    def chain(i):
+        after = [x for x in tok[i + 1 :] if x not in common][:2]
+        return chained(tok[i], *after) if after else None
+
+    found = {chain(i) for i, x in enumerate(tok) if x in common} - {None}
+    found = found or {chain(i) for i, x in enumerate(tok) if x not in common and x in chosen} - {None}
+    if not found and tok:
+        found = {chained(*tok[i : i + 3]) for i in range(len(tok))}
+    return found or ({chained(text)} if text else set())
+
+
+def test_spotsigs_query_equals_brute_force(spark, tmp_path):
+    some = [x for x in words(31, 60)]
+    rows = [(i, " ".join(x if (k + i) % 4 else spotsigs.ANCHORS[(k * 7 + i) % 60] for k, x in enumerate(some[i : i + 25 + i])), "a") for i in range(12)]
+    rows += [(50 + i, " ".join(some[i : i + 30]), "a") for i in range(4)]  # no common word
+    rows += [(70, "the of and", "a"), (71, "?!", "a"), (72, None, "a"), (73, "Solo the", "a"), (74, "Die Größe, der Stadt... the END", "a"), (75, "x", "a")]
+    docs(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    vocabulary = sorted({x for _, t, _ in rows for x in re.split(r"[\W_]+", (t or "").lower()) if x})
+    chosen = {r["w"] for r in spark.createDataFrame([(w,) for w in vocabulary], "w string").where(F.pmod(F.hash("w"), F.lit(spotsigs.CONTENT_ANCHOR)) == 0).collect()}
+    texts = {i: t or "" for i, t, _ in rows}
+    order = sorted(texts, reverse=True)
+    text_of = lambda x: ",".join(format(v, "x") for v in sorted(x))
+    like = lambda x, y: len(x & y) / len(x | y) if x | y else 1.0
+    got = {r["doc_id"]: r for r in spotsigs.op2_spot_fingerprints(spark, str(tmp_path)).collect()}
+    assert set(got) == set(texts)
+    for k, i in enumerate(order):
+        t, after = texts[i], texts[order[(k + 1) % len(order)]]
+        half = len(t) // 2
+        edited_text = t[: len(t) - half] + after[:half]
+        own, other = brute_signatures(t, chosen), brute_signatures(edited_text, chosen)
+        r = got[i]
+        assert r["fingerprint"] == text_of(own), i
+        assert r["near_next"] == pytest.approx(like(own, brute_signatures(after, chosen)))
+        assert r["edited_sha256"] == hashlib.sha256(edited_text.encode()).hexdigest()
+        cut_words = {w for w in re.split(r"[\W_]+", edited_text.lower()) if w} - set(vocabulary)
+        if any(x in set(spotsigs.ANCHORS) for x in re.split(r"[\W_]+", edited_text.lower())[:-1]) or not cut_words:
+            assert r["edited_fingerprint"] == text_of(other), i
+            assert r["near_edited"] == pytest.approx(like(own, other))
 
 
 def test_spotsigs_known_sets(spark):
@@ -74,6 +125,20 @@ def test_blocks_hold_with_clustered_ids(spark):
     assert nxt[10**15] == "text 299" and nxt[0] == "far" and all(nxt[i] == f"text {i - 1}" for i in range(1, 300))
 
 
+def test_blocks_of_any_size_and_null_ids(spark, monkeypatch):
+    monkeypatch.setattr(spotsigs, "BLOCK_ROWS", 3)
+    rows = [(i * i, f"text {i}", "a") for i in range(60)] + [(None, f"null {i}", "a") for i in range(40)]
+    got = spotsigs.with_next(docs(spark, rows)).collect()
+    assert len(got) == 100 and len({r["text"] for r in got}) == 100
+    nxt = {r["text"]: r["next_text"] for r in got}
+    assert all(nxt[f"text {i}"] == f"text {i - 1}" for i in range(1, 60)) and nxt["text 0"].startswith("null")
+    at, seen = "text 59", []
+    for _ in range(100):
+        seen.append(at)
+        at = nxt[at]
+    assert at == "text 59" and len(set(seen)) == 100  # one round through all rows
+
+
 # --- 3: n-gram join -------------------------------------------------------------------------------
 
 
@@ -574,6 +639,18 @@ def test_decontamination_at_any_period(spark, period):
     assert {r["doc_id"] for r in decontaminate.contaminations(docs(spark, rows), b).collect()} == set(range(period))
 
 
+def test_decontamination_in_blocks(spark, monkeypatch):
+    """A benchmark of more seeds than may be broadcast at once gives the same rows."""
+    items = [(k, " ".join(words(700 + k, 20 + k))) for k in range(12)]
+    rows = [(k, " ".join(words(50 + k, 9)) + " " + " ".join(x if j % 7 else "other" for j, x in enumerate(items[k % 12][1].split())), "a") for k in range(30)]
+    b = spark.createDataFrame([*items, (None, items[0][1])], "item_id bigint, text string")
+    want = sorted((tuple(r) for r in decontaminate.contaminations(docs(spark, rows), b).collect()), key=str)
+    assert {r[0] for r in want} == set(range(30))
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 300)
+    got = sorted((tuple(r) for r in decontaminate.contaminations(docs(spark, rows), b).collect()), key=str)
+    assert got == want
+
+
 # --- 10: toxicity ---------------------------------------------------------------------------------
 
 
@@ -715,6 +792,37 @@ def test_resampling_prefers_target_text(spark):
     assert {r["log_weight"] for r in importance_resampling.resample(d, lab.where("false")).collect()} == {0.0}
 
 
+def test_resampling_query_equals_brute_force(spark, tmp_path):
+    """Weights, keys and the kept sample against plain dictionaries."""
+    import struct
+
+    import xxhash
+
+    rows = [(i, " ".join(words(i % 11 if i % 3 else 900 + i % 5, 3 + i % 40)), "s") for i in range(120)] + [(500, None, "s"), (501, "", "s"), (502, "One two", "s")]
+    labels = [(i, int(i % 3 > 0), 0) for i in range(90)]
+    docs(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    b = importance_resampling.BUCKETS
+    grams = {i: importance_resampling.ngram_buckets(t).tolist() for i, t, _ in rows}
+    use = [(i, q) for i, q, _ in labels if zlib.crc32(str(i).encode()) % 5]
+    raw, target = {}, {}
+    for i, g in grams.items():
+        for x in g:
+            raw[x] = raw.get(x, 0) + 1
+            target[x] = target.get(x, 0) + ((i, 1) in use)
+    n_raw, n_target = sum(raw.values()), sum(target.values())
+    keys = {}
+    for i, g in grams.items():
+        weight = sum(math.log((target[x] + 1) / (n_target + b)) - math.log((raw[x] + 1) / (n_raw + b)) for x in g)
+        h = xxhash.xxh64_intdigest(struct.pack("<q", i), seed=xxhash.xxh64_intdigest(struct.pack("<i", importance_resampling.SEED), seed=42))
+        keys[i] = (weight, weight - math.log(-math.log(((h >> 12) + 0.5) / 2**52)))
+    k = round(sum(q for _, q in use) / len(use) * len(rows))
+    kept = set(sorted(keys, key=lambda i: -keys[i][1])[:k])
+    for r in importance_resampling.op1_importance_resampling(spark, str(tmp_path)).collect():
+        assert (r["log_weight"], r["sample_key"]) == (pytest.approx(keys[r["doc_id"]][0], abs=1e-9), pytest.approx(keys[r["doc_id"]][1], abs=1e-9))
+        assert r["kept"] == (r["doc_id"] in kept)
+
+
 def test_kth_largest_is_exact(spark, monkeypatch):
     monkeypatch.setattr(importance_resampling, "FEW", 5)
     monkeypatch.setattr(importance_resampling, "CELLS", 4)
