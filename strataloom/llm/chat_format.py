@@ -11,7 +11,8 @@ character after it stays) is exact.
 Masks: a whole conversation is rendered, encoded once with character offsets, and each token is
 under the loss where its span meets the span of an assistant text, found by binary search in the
 sorted spans. The control strings are special tokens of the encoder, which no ordinary token can
-straddle; so the masked characters are exactly the assistant texts.
+straddle; so the masked characters are exactly the assistant texts. Very long runs of white space
+are encoded in pieces (see ``token_rollup.pieces``); offsets go on over them.
 
 Scale: one shuffle by conv_id with a sort inside partitions; turns stream through, a conversation
 longer than ``PART_CHARS`` is emitted in several parts of whole turns (with the same tokens, since
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataloom.llm.common import table
-from strataloom.llm.token_rollup import SPLIT
+from strataloom.llm.token_rollup import SPLIT, pieces
 
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "[SYS]", "[/SYS]", "[ROLE]", "[/ROLE]")
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -108,7 +109,7 @@ def encode_with_offsets(text: str, path: str) -> tuple[np.ndarray, np.ndarray, n
     part of a character's bytes gets that character.
     """
     encoder, size = load_encoder(path)
-    ids = np.array(encoder.encode(text, allowed_special="all"), dtype=np.int32)
+    ids = np.array([i for p in pieces(text) for i in encoder.encode(p, allowed_special="all")], dtype=np.int32)
     end = np.cumsum(size[ids])
     start = end - size[ids]
     raw = text.encode("utf-8", "surrogatepass")

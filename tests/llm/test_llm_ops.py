@@ -463,6 +463,46 @@ def test_token_rollup_is_reversible_and_idempotent(spark, tmp_path):
     assert {tuple(x) for x in r.totals().collect()} == first
 
 
+def test_token_counts_equal_a_second_tokenizer():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file("/opt/tokenizers/byte_bpe_50k.json")
+    t.encode_special_tokens = True
+    texts = ["", "Hello  world, it's 2024!", "東京 🙂 naïve\n\n\tcafé", "<|endoftext|> x", " ".join(words(3, 400)), "a" * 3000 + " " * 3000 + "b", " \n" * 2000, "x\r\n" * 500]
+    assert token_rollup.token_counts([None, *texts], token_rollup.TOKENIZER) == [0, *[len(e.ids) for e in t.encode_batch(texts, add_special_tokens=False)]]
+
+
+def test_long_runs_of_white_space(spark, tmp_path):
+    """A million spaces, line feeds or mixed ones, alone and between words, are counted and formatted."""
+    runs = [" " * 1_000_000, "\n" * 1_000_000, "a " + " \t\u00a0" * 400_000 + "b", "x" * 1_000_000, " " * 4097, "-" * 1_000_000]
+    for x in runs:
+        assert "".join(token_rollup.pieces(x)) == x
+    assert token_rollup.pieces("ab" + " " * 4096 + "c") == ["ab" + " " * 4096 + "c"]
+    counts = token_rollup.token_counts(runs, token_rollup.TOKENIZER)
+    assert all(0 < n <= len(x) for n, x in zip(counts, runs, strict=True))
+    talk = [(i, k, "assistant" if k else "user", x) for i, x in enumerate(runs) for k in (0, 1)]
+    c = spark.createDataFrame(talk, "conv_id bigint, turn bigint, role string, text string")
+    got = {r["conv_id"]: r for r in chat_format.digests(chat_format.format_conversations(c)).collect()}
+    for i, x in enumerate(runs):
+        assert got[i]["loss_chars"] == len(x) and got[i]["loss_sha256"] == hashlib.sha256(x.encode()).hexdigest() and got[i]["n_turns"] == 2
+
+
+def test_token_rollup_compacts(spark, tmp_path):
+    r = token_rollup.TokenRollup(spark, str(tmp_path / "r"))
+    assert not r.compact()
+    r.apply("b1", upserts=docs(spark, [(1, "hello world", "x"), (2, "two", "x"), (3, "three small words", None)]))
+    r.apply("b2", upserts=docs(spark, [(1, "hello there big world", "y")]), deletes=docs(spark, [(2, "", "")]))
+    before, live = {tuple(x) for x in r.totals().collect()}, {tuple(x) for x in r.counts().collect()}
+    assert r.compact() and not r.compact()
+    assert {tuple(x) for x in r.totals().collect()} == before and {tuple(x) for x in r.counts().collect()} == live
+    assert r._base()["batches"] == ["b1", "b2"] == r.committed() and not r.apply("b1", upserts=docs(spark, [(9, "x", "x")]))
+    assert r.apply("b3", deletes=docs(spark, [(1, "", "")]))
+    assert {(x["source"], x["n_docs"]) for x in r.totals().collect()} == {(None, 1)}
+    assert r.compact() and {(x["doc_id"], x["n_words"]) for x in r.counts().collect()} == {(3, 3)}
+    assert not r._put("commits/b3", {"folder": "other"})  # a commit is never replaced
+    assert r._load("commits/b3")["folder"] != "other"
+
+
 def test_token_query_restores_the_rows_it_withdrew(spark, tmp_path):
     rows = [(1, "hola mundo", "es", "x", None), (1, "hello big world", "en", "x", None), (1, "salut", None, "y", None), (None, "sin id", "es", "x", None), (2, "uno", "es", "y", None), (3, "three words here", "en", None, None)]
     spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "documents.parquet"))

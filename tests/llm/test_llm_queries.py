@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from strataloom.llm import chat_format, spotsigs
+from strataloom.llm import chat_format, spotsigs, token_rollup
 from strataloom.llm.queries import ORACLE_SQL, QUERIES
 
 TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
@@ -33,7 +33,8 @@ def test_query(spark, sf, con, name):
         assert rows(cols, got) == rows(cols, want)
 
 
-@pytest.mark.parametrize("name,sql,keys", [("op8_chat_format", chat_format.OP8_INPUT_SQL, ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256"]), ("op2_spot_fingerprints", spotsigs.OP2_TEXT_SQL, ["doc_id", "n_chars", "edited_sha256"])])
+@pytest.mark.parametrize("name,sql,keys", [("op8_chat_format", chat_format.OP8_INPUT_SQL, ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256"]), ("op2_spot_fingerprints", spotsigs.OP2_TEXT_SQL, ["doc_id", "n_chars", "edited_sha256"]),
+                                           ("op6_token_counts", token_rollup.OP6_COUNT_SQL, ["source", "lang", "tokenizer", "n_docs", "n_words", "n_chars"])])
 def test_sql_part(spark, sf, con, name, sql, keys):
     got = {tuple(r[k] for k in keys) for r in QUERIES[name](spark, sf).select(*keys).collect() if r[keys[0]] != -1}
     assert got == set(con.execute(f"SELECT {', '.join(keys)} FROM ({sql})").fetchall())
