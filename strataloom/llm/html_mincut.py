@@ -5,14 +5,19 @@
    into blocks at block-level boundaries. A block keeps its path of elements and the marks seen on
    it: semantic elements, tokens of class, id and role, share of linked text, form controls.
 2. A linear classifier over these features gives the cost of calling a block content or
-   boilerplate; the costs are the terminal capacities of the block's node.
+   boilerplate; the costs are the terminal capacities of the block's node. Names count by the part of
+   the page they name: an element that holds the page's core (its heaviest article or main element,
+   else its h1) and half of its text is a wrapper, whose names and form tag say nothing; a class that
+   states a layout (``has-sidebar``) never does; an article is not condemned by words that may be its
+   topic. A heading that announces reader comments turns what follows under it into boilerplate. An
+   article element is trusted only if it holds the h1 or a fair part of the text outside of boilerplate.
 3. Smoothness edges join neighbours in page order, and blocks that share their parent element; an
    edge is weaker the farther apart the blocks are in the DOM.
 4. Max-flow separates content (source side) from boilerplate (sink side).
 
 Blocks whose elements are never text (script, style, noscript, template, form controls, hidden
 elements) are not made at all. The classifier is small and fixed; its weights are public knowledge
-of page structure, not fitted to any data set.
+of page structure, not fitted to any data set (no labelled pages are given).
 
 Cost per page is linear in practice, at any depth: open elements are found by name, not by a walk; each block has at most two outgoing smoothness edges, and flow
 that source and sink capacities of one block cancel is never routed.
@@ -30,7 +35,7 @@ from __future__ import annotations
 import re
 from collections import deque
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from html import unescape
 
 import pyarrow as pa
@@ -50,15 +55,25 @@ INLINE = frozenset(
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("ul ol dl table article section div main body html nav aside header footer form blockquote".split())
 GOOD_TAGS = {"article": 3.0, "main": 3.0}
-BAD_TAGS = {"nav": 6.0, "footer": 6.0, "aside": 5.0, "form": 6.0, "menu": 6.0, "dialog": 6.0, "header": 2.5}
+#: Against content: elements that are never around a page's main text, and those that may be (a page in one form).
+BAD_TAGS = {"nav": 9.0, "footer": 9.0, "aside": 9.0, "menu": 9.0, "dialog": 9.0}
+BAD_UNLESS_WRAPPER = {"form": 9.0}
+HEADER, BAD_NAME, COMMENTS = 2.5, 9.0, 9.0
 GOOD_NAMES = frozenset("article content main post entry story body text blog news".split())
-BAD_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navigation navbar breadcrumb breadcrumbs "
-    "footer header masthead sidebar side aside widget related recommended recommendations popular trending share sharing social follow comment comments "
-    "reply replies discussion disqus respond cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login "
-    "search form copyright legal disclaimer toolbar pagination pager skip tags toc".split()
+#: Names of boilerplate whatever the element; an article of such a name is a comment or a teaser.
+PART_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion menu nav navigation navbar breadcrumb breadcrumbs "
+    "footer masthead sidebar aside widget related recommended recommendations teaser comment comments reply replies responses reactions respond disqus "
+    "cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login toolbar pagination pager".split()
 )
+#: Names that may also be what an article is about.
+BAD_NAMES = PART_NAMES | frozenset("banner header side popular trending share sharing social follow discussion notice notices alert search form copyright legal disclaimer skip tags toc feedback guestbook".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alertdialog alert form toolbar".split())
+_LAYOUT = re.compile(r"(?:has|with|no|without|is)[-_]", re.I)
+_ABOUT_COMMENTS = re.compile(
+    r"\W*(?:\d[\d.,]*\s+)?(?:(?:reader|user|your|all|leave an?|post an?|add an?|write an?)\s+)*"
+    r"(?:comments?|repl(?:y|ies)|responses?|discussion|kommentare?|commentaires?|comentarios?)(?:\W*\d*)*", re.I
+)
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|</?[A-Za-z][^\s/>]*(?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*(?:>|$)", re.S)
 _NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
 _ATTR = re.compile(r"([A-Za-z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -73,11 +88,17 @@ class Element:
     tag: str
     number: int
     depth: int
-    bias: float = 0.0  # summed evidence of the path: positive for content
+    good: float = 0.0  # evidence of the element itself for and against content
+    bad: float = 0.0
+    unless_wrapper: float = 0.0  # further evidence against it that a wrapper does not have
     hidden: bool = False
     parent: Element | None = None
     inside: bool = False  # in an article or main element
     block: Element | None = None  # the nearest element that is not inline, itself or above
+    mass: int = 0  # characters of text in it, without linked ones
+    core: bool = False  # holds the page's core
+    bias: float = 0.0  # summed evidence of the path: positive for content
+    spoiled: bool = False  # something on the path speaks against content
 
 
 @dataclass
@@ -87,37 +108,86 @@ class Block:
     linked: int = 0
     tag: str = ""
     chars: int = 0
-    parts: list[str] = field(default_factory=list)
+    under_comments: bool = False  # after a heading that announces reader comments
 
 
-def _bias(tag: str, attrs: str) -> tuple[float, bool]:
-    """(evidence of one element, whether it is hidden)."""
-    b = GOOD_TAGS.get(tag, 0.0) - BAD_TAGS.get(tag, 0.0)
-    hidden = False
+def _evidence(tag: str, attrs: str) -> tuple[float, float, float, bool, bool]:
+    """(for content, against it, against it unless a wrapper, hidden, whether it is an article) of one element."""
+    good, bad, unless = GOOD_TAGS.get(tag, 0.0), BAD_TAGS.get(tag, 0.0), BAD_UNLESS_WRAPPER.get(tag, 0.0)
+    hidden, article = False, tag in GOOD_TAGS
+    if tag == "header":
+        unless += HEADER
     if attrs and not attrs.isspace():
         names: set[str] = set()
         for m in _ATTR.finditer(attrs):
             k, v = m[1].lower(), (m[2] or "").strip("\"'")
             if k in ("class", "id"):
-                names.update(x.lower() for x in _SPLIT_NAME.split(v) if x)
+                for word in v.split():
+                    if not _LAYOUT.match(word):
+                        names.update(x.lower() for x in _SPLIT_NAME.split(word) if x)
             elif k == "role":
                 roles = set(v.lower().split())
-                b += 3.0 * bool(roles & {"main", "article"}) - 6.0 * bool(roles & BAD_ROLES)
+                article = article or bool(roles & {"main", "article"})
+                good += 3.0 * bool(roles & {"main", "article"})
+                unless += BAD_NAME * bool(roles & BAD_ROLES)
+            elif k in ("itemprop", "itemtype") and "comment" in v.lower() and "count" not in v.lower():
+                bad += COMMENTS
             elif k == "hidden" or (k == "style" and _HIDDEN.search(v)) or (k == "aria-hidden" and v.lower() == "true"):
                 hidden = True
-        bad = names & BAD_NAMES
-        if tag not in ("html", "body") and bad:
-            b -= 6.0
+        if tag not in ("html", "body") and names & (PART_NAMES if article else BAD_NAMES):
+            unless += BAD_NAME
+            article = False
         elif names & GOOD_NAMES:
-            b += 1.5
-    return b, hidden
+            good += 1.5
+    return good, bad, unless, hidden, article
+
+
+def _weigh(elements: list[Element], blocks: list[Block]) -> bool:
+    """Fills mass, core, bias and spoiled of the elements; returns whether article elements are trusted."""
+    for b in blocks:
+        b.parent.mass += max(0, b.chars - b.linked)
+    for e in reversed(elements):  # parents come before their children
+        if e.parent is not None:
+            e.parent.mass += e.mass
+    total = elements[0].mass
+    articles = [e for e in elements if e.inside and not (e.parent and e.parent.inside)]
+    heads = [b for b in blocks if b.tag == "h1"]
+    core = max(articles, key=lambda e: e.mass) if articles else heads[0].parent if heads else None
+    while core is not None:
+        core.core, core = True, core.parent
+    known = bool(articles or heads)
+    for e in elements[1:]:
+        wrapper = 2 * e.mass >= total and (e.core if known else 5 * e.mass >= 4 * total)
+        against = e.bad + (0.0 if wrapper else e.unless_wrapper)
+        if e.tag == "header" and e.parent.inside:
+            against -= HEADER if not wrapper else 0.0
+        e.bias = e.parent.bias + e.good - against
+        e.spoiled = e.parent.spoiled or against > HEADER
+    level = depth = None
+    for b in blocks:
+        head = len(b.tag) == 2 and b.tag[0] == "h" and b.tag[1].isdigit()
+        if level is not None and (b.parent.depth < depth or (head and b.tag <= level)):
+            level = None
+        if head and len(b.text) <= 60 and b.tag != "h1" and _ABOUT_COMMENTS.fullmatch(b.text):
+            level, depth = b.tag, b.parent.depth
+        b.under_comments = level is not None
+    if any(b.parent.inside and not b.parent.spoiled for b in heads):
+        return True
+    free = [b for b in blocks if not b.parent.spoiled and not b.under_comments]
+    inside = sum(b.chars for b in free if b.parent.inside)
+    return inside > 0 and 5 * inside >= sum(b.chars for b in free)
 
 
 def blocks_of(html: str) -> list[Block]:
     """The page's text blocks in order."""
+    return parse(html)[0]
+
+
+def parse(html: str) -> tuple[list[Block], bool]:
+    """(the page's text blocks in order, whether its article elements are trusted)."""
     root = Element("", 0, 0)
     root.block = root
-    stack, out, count = [root], [], 1  # an element's depth is its position in the stack
+    stack, out, elements = [root], [], [root]  # an element's depth is its position in the stack
     opened: dict[str, list[int]] = {}  # positions of the open elements of each name: no lookup walks the stack
     scopes: list[int] = []  # positions of the open elements of SCOPE
     text: list[str] = []
@@ -192,11 +262,11 @@ def blocks_of(html: str) -> list[Block]:
                 close_to(k)
         if name in VOID:
             continue
-        b, hidden = _bias(name, attrs)
+        good, bad, unless, hidden, article = _evidence(name, attrs)
         top = stack[-1]
-        e = Element(name, count, top.depth + 1, top.bias + b, top.hidden or hidden or name in NEVER, top, top.inside or name in ("article", "main"))
+        e = Element(name, len(elements), top.depth + 1, good, bad, unless, top.hidden or hidden or name in NEVER, top, top.inside or article)
         e.block = top.block if name in INLINE else e
-        count += 1
+        elements.append(e)
         if tag.endswith("/>") and name in ("svg", "math", "path"):
             continue
         if name in RAW:
@@ -210,7 +280,7 @@ def blocks_of(html: str) -> list[Block]:
         if name == "a":
             in_link += 1
     flush()
-    return out
+    return out, _weigh(elements, out)
 
 
 def costs(b: Block, page_has_article: bool) -> float:
@@ -228,6 +298,8 @@ def costs(b: Block, page_has_article: bool) -> float:
         score += 1.0 if b.parent.inside else -4.0
     if _LEGAL.match(b.text):
         score -= 3.0
+    if b.under_comments:
+        score -= COMMENTS
     return score
 
 
@@ -338,12 +410,10 @@ def extract(html: str | None) -> str:
     """The main text of one page."""
     if not html:
         return ""
-    blocks = blocks_of(html)
+    blocks, trusted = parse(html)
     if not blocks:
         return ""
-    low = html.lower()
-    has = "<article" in low or "<main" in low
-    keep = label([costs(b, has) for b in blocks], smoothness(blocks))
+    keep = label([costs(b, trusted) for b in blocks], smoothness(blocks))
     return "\n".join(b.text for b, k in zip(blocks, keep, strict=True) if k)
 
 

@@ -388,6 +388,38 @@ def test_html_main_text():
     assert html_mincut.extract("<p>a<p>b</i></p></div>c") == "a\nb\nc"
 
 
+NAV = "<nav class='main-nav'><ul><li><a href=/a>Home</a></li><li><a href=/b>World news</a></li></ul></nav>"
+FOOT = "<footer><p>Contact us by letter or by phone at any time of the day.</p><p>© 2024 The Paper</p></footer>"
+SIDE = "<aside class='sidebar'><h3>Most read</h3><p>A long teaser of another story that has nothing to do with this page but many words in it, really many of them.</p></aside>"
+REMARKS = "".join(f"<div><p>Reader {k} says that this is a very good story, and goes on to tell one of their own at some length.</p></div>" for k in range(6))
+#: Page templates around a body of known blocks.
+TEMPLATES = {
+    "layout class": "<html><body class='has-sidebar search-results'><div class='site has-sidebar'>{nav}<article>{body}</article>{side}</div>{foot}</body></html>",
+    "page-wide form": "<html><body><form id='aspnetForm' method=post><input type=hidden name=v value=x>{nav}<div id=content>{body}</div>{side}{foot}</form></body></html>",
+    "topic in the class": "<html><body>{nav}<article class='post search-and-rescue category-popular legal'>{body}</article>{side}{foot}</body></html>",
+    "comments without article": "<html><body>{nav}<div class=story>{body}</div><section id=responses>{remarks}</section>{foot}</body></html>",
+    "comments under a heading": "<html><body>{nav}<main>{body}<h2>6 Comments</h2>{remarks}</main>{foot}</body></html>",
+    "comments as articles": "<html><body>{nav}<article>{body}</article><ol><li><article class='comment byuser'><p>I liked this very much, thank you for writing it!</p></article></ol>{foot}</body></html>",
+    "teasers as articles": "<html><body>{nav}<div id=content>{body}</div><div class=related><article><h3>Another</h3><p>A teaser of another story, with some words.</p></article></div>{foot}</body></html>",
+    "notices": "<html><body><div class='cookie-banner' role=dialog><p>We use cookies. By going on you agree to that, whatever it may mean to you.</p><button>Accept</button></div>{nav}<div class='wrapper popular-pages'><article>{body}<div class=newsletter-signup><p>Sign up for our letter, it comes every single week of the year to you.</p></div></article></div>{foot}</body></html>",
+    "aside in the article": "<html><body>{nav}<article>{body}{side}</article>{foot}</body></html>",
+    "tables and divs": "<html><body><table><tr><td class=leftmenu>{nav}</td><td class=text>{body}</td></tr></table>{foot}</body></html>",
+    "schema marks": "<html><body>{nav}<div role=main>{body}</div><div itemscope itemtype='https://schema.org/Comment'><p itemprop=text>One more remark by somebody who has read all of it to its end.</p></div>{foot}</body></html>",
+    "loose page": "{nav}<div class='page-header'><p>The Paper</p></div>{body}{foot}",
+}
+
+
+@pytest.mark.parametrize("name", sorted(TEMPLATES))
+def test_html_templates_give_the_article_back(name):
+    """The blocks put into a page of this template, and nothing else, come out of it."""
+    for k in range(5):
+        blocks = [("h1", f"The title of story {k}")] + [("p", " ".join(words(k * 10 + j, 12 + 9 * j)).capitalize() + ".") for j in range(3 + k)]
+        blocks.insert(3, ("h2", "A middle heading"))
+        body = "".join(f"<{t}>{x}</{t}>" if i % 2 else f"<{t}>{x.replace(' ', ' &#32;', 1)}</{t}>\n" for i, (t, x) in enumerate(blocks))
+        page = TEMPLATES[name].format(body=body, nav=NAV, foot=FOOT, side=SIDE, remarks=REMARKS)
+        assert html_mincut.extract(page) == "\n".join(x for _, x in blocks), k
+
+
 def test_min_cut_equals_brute_force():
     import itertools
     import random
