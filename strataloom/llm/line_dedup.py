@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataloom.llm.common import LOWER_ASCII, cut, table
+from strataloom.llm.common import LOWER_ASCII, cut, numbered, table
 
 MIN_CHARS = 10
 SHARD_KEYS = 100_000
@@ -259,10 +259,19 @@ def keep_lines(text: str | None, dropped: set[bytes], min_chars: int = MIN_CHARS
     return "\n".join(kept), len(lines), len(lines) - len(kept)
 
 
-def _with_kept(docs: DataFrame, drops: DataFrame, columns: list[str], min_chars: int, digest: bool) -> DataFrame:
-    """Rows of docs (the given columns) with the text rebuilt, or with its digest columns."""
-    joined = docs.select(*columns).join(drops.withColumnRenamed("doc_id", "_id").withColumnRenamed("dropped", "_dropped"), F.col("doc_id") == F.col("_id"), "left").select(*columns, "_dropped")
-    fields = [f for f in docs.select(*columns).schema if not digest or f.name == "doc_id"]
+def _n_words(text: str) -> int:
+    return len(text.encode("utf-8", "surrogatepass").split())
+
+
+def _with_kept(docs: DataFrame, drops: DataFrame, columns: list[str], min_chars: int, digest: bool, least_left: float = 0.0) -> DataFrame:
+    """Rows of docs (the given columns) with the text rebuilt, or with its digest columns.
+
+    Rows whose text keeps less than the share least_left of its words are left out.
+    """
+    own = numbered(docs) if not digest else docs.select(F.col("doc_id").alias("c0"), F.col("text").alias("c1"))
+    at_text, key = columns.index("text"), F.col(f"c{columns.index('doc_id')}")
+    joined = own.join(drops.select(F.col("doc_id").alias("_id"), F.col("dropped").alias("_dropped")), key == F.col("_id"), "left").drop("_id")
+    fields = [f for f in own.schema if not digest or f.name == "c0"]
     from pyspark.sql.types import LongType, StringType, StructField, StructType
 
     more = [StructField("n_lines", LongType()), StructField("n_dropped", LongType()), StructField("kept_sha256", StringType())]
@@ -270,22 +279,28 @@ def _with_kept(docs: DataFrame, drops: DataFrame, columns: list[str], min_chars:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, found = b.column("text").to_pylist(), b.column("_dropped").to_pylist()
+            texts, found = b.column(at_text).to_pylist(), b.column(b.num_columns - 1).to_pylist()
             made = [keep_lines(t, {np.array([x["k1"], x["k2"]], "<i8").tobytes() for x in d or ()}, min_chars) for t, d in zip(texts, found, strict=True)]
             if digest:
                 sha = [hashlib.sha256(m[0].encode("utf-8", "surrogatepass")).hexdigest() for m in made]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([m[1] for m in made], pa.int64()), pa.array([m[2] for m in made], pa.int64()), pa.array(sha, pa.string())], [f.name for f in schema])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([m[1] for m in made], pa.int64()), pa.array([m[2] for m in made], pa.int64()), pa.array(sha, pa.string())], [f.name for f in schema])
             else:
                 new = [t if m[2] == 0 else m[0] for t, m in zip(texts, made, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if c == "text" else b.column(c) for c in columns], columns)
+                out = pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if i == at_text else b.column(i) for i in range(len(columns))], [f.name for f in schema])
+                if least_left > 0:
+                    out = out.filter(pa.array([m[2] == 0 or _n_words(m[0]) >= least_left * _n_words(t) for t, m in zip(texts, made, strict=True)], pa.bool_()))
+                yield out
+
+    return joined.mapInArrow(rows, schema).toDF(*(["doc_id", *(f.name for f in more)] if digest else columns))
 
-    return joined.mapInArrow(rows, schema)
 
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, least_left: float = 0.0) -> DataFrame:
+    """docs with the texts that remain after line dedup; all other columns are kept as they are.
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """docs with the texts that remain after line dedup; all other columns are kept as they are."""
+    least_left: rows that lose lines and keep less than this share of their words go as a whole (0: none).
+    """
     shared = cut(shared_keys(line_refs(docs, min_chars)))
-    return _with_kept(docs, dropped_keys(docs, shared, min_chars), docs.columns, min_chars, digest=False)
+    return _with_kept(docs, dropped_keys(docs, shared, min_chars), docs.columns, min_chars, digest=False, least_left=least_left)
 
 
 def line_dedup_digests(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:

@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataloom.llm.common import cut, stored, table, words_of
+from strataloom.llm.common import cut, fresh, stored, table, words_of
 
 GROUPS = 64
 CORPUS_GROUPS = 1 << 16
@@ -525,8 +525,9 @@ def _joined(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """docs (all columns) with the smallest doc_id of each component, and all unlinked rows."""
-    gone = _joined(docs, n, num, den).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_text")).distinct()
-    return docs.join(gone, (F.col("doc_id") == F.col("_gone")) & (F.xxhash64("text") == F.col("_gone_text")), "left_anti")
+    a, b = fresh(docs, "_gone"), fresh(docs, "_gone_text")
+    gone = _joined(docs, n, num, den).where("component_id <> doc_id").select(F.col("doc_id").alias(a), F.col("text_hash").alias(b)).distinct()
+    return docs.join(gone, (F.col("doc_id") == F.col(a)) & (F.xxhash64("text") == F.col(b)), "left_anti")
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from strataloom.llm.common import stored, table
+from strataloom.llm.common import fresh, numbered, stored, table
 
 MAX_LABELLED = 4000
 RELEVANCE = 5.0
@@ -331,16 +331,17 @@ def score(docs: DataFrame, index: Index, evidence: int = 0) -> DataFrame:
 def reject_toxic(docs: DataFrame, index: Index, threshold: float = 0.5) -> DataFrame:
     """docs (all columns) without the rows whose score reaches the threshold."""
     sent = docs.sparkSession.sparkContext.broadcast(index)
-    names = docs.columns
-    schema = StructType([*docs.schema.fields, StructField("_toxicity", DoubleType())])
+    name = fresh(docs, "_toxicity")
+    names, at_text, own = docs.columns, docs.columns.index("text"), numbered(docs)
+    schema = StructType([*own.schema.fields, StructField("score", DoubleType())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = sent.value
         for b in batches:
-            s = pa.array([x.score(t)[0] for t in b.column("text").to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*b.columns, s], [*names, "_toxicity"])
+            s = pa.array([x.score(t)[0] for t in b.column(at_text).to_pylist()], pa.float64())
+            yield pa.RecordBatch.from_arrays([*b.columns, s], [f.name for f in schema])
 
-    return docs.mapInArrow(rows, schema).where(F.col("_toxicity") < threshold).drop("_toxicity")
+    return own.mapInArrow(rows, schema).toDF(*names, name).where(F.col(name) < threshold).drop(name)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
