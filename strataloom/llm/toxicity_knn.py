@@ -4,7 +4,7 @@ Fit, on labelled rows outside the held-out fold (crc32 of the doc_id's text mod
 
 1. at most about ``max_labelled`` rows (by a hash of doc_id; the documented bound of the labelled
    sample, and the only bound);
-2. the vector space is the whole vocabulary of these rows, as 64-bit hashes. A term weighs
+2. the vector space is the whole vocabulary of these rows. A term weighs
    (1 + ln tf) * idf * relevance: idf over all documents, relevance z^2 / (z^2 + ``relevance``^2) with
    z the difference of the term's share of documents between the labels in standard errors. No term
    is left out; one that says nothing about the label weighs little;
@@ -13,7 +13,8 @@ Fit, on labelled rows outside the held-out fold (crc32 of the doc_id's text mod
 
 Scoring a document: the postings of its weightiest terms are added up; the block maxima bound what
 the other terms can add in each block; when the bounds leave few examples that can still be among
-the k best, those are compared in full, so that the k neighbours are exact. Their votes are weighted
+the k best, those are compared in full, so that the k neighbours are exact. (A text with few postings
+has all of them added up, which gives the same.) Their votes are weighted
 by cosine over (distance + 0.1) and smoothed with the base rate; a logistic map fitted on leave-one-out
 scores of the examples calibrates them. Documents without any term of the space get the examples'
 rate of that case.
@@ -39,7 +40,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -52,7 +52,8 @@ NEIGHBOURS = 15
 BLOCK = 64
 FOLDS = 5
 FEW = 96
-FIRST_TERMS = 48
+FIRST_TERMS = 128
+CHEAP = 100_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -60,22 +61,26 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def term_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, counts) of the distinct words of a text."""
-    c = Counter(words(text))
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, c), np.uint64, len(c)), np.fromiter(c.values(), np.int64, len(c))
-
-
 def held_out(doc_id: Column, folds: int = FOLDS) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def _ragged(off: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(positions of all entries of the given rows of a ragged table, entries of each row)."""
+def _entries(off: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions of the entries of the given rows of a ragged table, entries of each row)."""
     lo = off[rows]
     n = off[rows + 1] - lo
     end = np.cumsum(n)
-    return np.repeat(lo - end + n, n) + np.arange(end[-1]), n
+    at = np.repeat(lo - end + n, n)
+    at += np.arange(len(at))
+    return at, n
+
+
+def _sums(off: np.ndarray, rows: np.ndarray, by: np.ndarray, key: np.ndarray, weight: np.ndarray, n_keys: int) -> np.ndarray:
+    """Sum by key of the weights of the given rows' entries, each row times its factor."""
+    at, n = _entries(off, rows)
+    w = np.take(weight, at)
+    w *= np.repeat(by, n)
+    return np.bincount(np.take(key, at), weights=w, minlength=n_keys)
 
 
 def _f(dtype=float):
@@ -90,18 +95,18 @@ class Index:
     of the examples by position.
     """
 
-    terms: np.ndarray = _f(np.uint64)  # sorted hashes
+    terms: dict[str, int] = field(default_factory=dict)  # word -> term
     weight: np.ndarray = _f()  # idf * relevance of each term
     ids: np.ndarray = _f(np.int64)
     labels: np.ndarray = _f()
     post_off: np.ndarray = _f(np.int64)
-    post_ex: np.ndarray = _f(np.int32)
+    post_ex: np.ndarray = _f(np.int64)
     post_w: np.ndarray = _f()
     block_off: np.ndarray = _f(np.int64)
-    block_id: np.ndarray = _f(np.int32)
+    block_id: np.ndarray = _f(np.int64)
     block_max: np.ndarray = _f()
     row_off: np.ndarray = _f(np.int64)
-    row_term: np.ndarray = _f(np.int32)
+    row_term: np.ndarray = _f(np.int64)
     row_w: np.ndarray = _f()
     term_max: np.ndarray = _f()
     base_rate: float = 0.0
@@ -109,17 +114,15 @@ class Index:
     slope: float = 1.0
     intercept: float = 0.0
 
-    def vector(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
         """(terms ascending, unit weights) of the words that the space knows and that weigh anything."""
-        if not len(self.terms) or not len(hashes):
-            return np.zeros(0, np.int64), np.zeros(0)
-        at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
-        known = self.terms[at] == hashes
-        t, tf = at[known], counts[known]
-        o = np.argsort(t, kind="stable")
-        t, tf = t[o], tf[o]
+        get = self.terms.get
+        t, tf = np.array([get(w, -1) for w in counts], dtype=np.int64), np.fromiter(counts.values(), float, len(counts))
+        t, tf = t[t >= 0], tf[t >= 0]
         w = (1.0 + np.log(tf)) * self.weight[t]
         t, w = t[w > 0], w[w > 0]
+        o = np.argsort(t)
+        t, w = t[o], w[o]
         n = math.sqrt(float(w @ w))
         return t, (w / n if n else w)
 
@@ -131,11 +134,12 @@ class Index:
         o = np.argsort(-w * self.term_max[t], kind="stable")
         ot, ow = t[o], w[o]
         part, done, step = np.zeros(n), 0, FIRST_TERMS
+        if int((self.post_off[t + 1] - self.post_off[t]).sum()) <= CHEAP:
+            step = len(ot)  # so few postings are added up sooner than bounded
         while done < len(ot):
-            now, by = ot[done : done + step], ow[done : done + step]
-            at, m = _ragged(self.post_off, now)
-            part += np.bincount(self.post_ex[at], weights=self.post_w[at] * np.repeat(by, m), minlength=n)
-            done, step = done + len(now), step * 2
+            now = slice(done, done + step)
+            part += _sums(self.post_off, ot[now], ow[now], self.post_ex, self.post_w, n)
+            done, step = min(done + step, len(ot)), step * 2
             if without >= 0:
                 part[without] = 0.0
             if done == len(ot) or n <= k:
@@ -143,8 +147,7 @@ class Index:
             least = np.partition(part, n - k)[n - k]  # the k-th best cosine is no less
             if least <= 0:
                 continue
-            at, m = _ragged(self.block_off, ot[done:])
-            rest = np.bincount(self.block_id[at], weights=self.block_max[at] * np.repeat(ow[done:], m), minlength=-(-n // BLOCK))
+            rest = _sums(self.block_off, ot[done:], ow[done:], self.block_id, self.block_max, -(-n // BLOCK))
             able = np.flatnonzero(part + np.repeat(rest, BLOCK)[:n] >= least - 1e-9)
             if len(able) <= max(FEW, 4 * k):
                 return self._best(able[able != without], self._cosines(able[able != without], t, w), k)
@@ -155,10 +158,10 @@ class Index:
         """The whole cosines of a few examples."""
         if not len(some):
             return np.zeros(0)
-        q = self.__dict__.setdefault("_query", np.zeros(len(self.terms)))  # all zeros between calls
+        q = self.__dict__.setdefault("_query", np.zeros(len(self.weight)))  # all zeros between calls
         q[t] = w
-        at, m = _ragged(self.row_off, some)
-        cos = np.add.reduceat(q[self.row_term[at]] * self.row_w[at], np.cumsum(m) - m)
+        at, m = _entries(self.row_off, some)
+        cos = np.add.reduceat(np.take(q, np.take(self.row_term, at)) * np.take(self.row_w, at), np.cumsum(m) - m)
         q[t] = 0.0
         return cos
 
@@ -180,7 +183,7 @@ class Index:
 
     def score(self, text: str | None) -> tuple[float, list[tuple[int, float, int]]]:
         """Calibrated score, and the neighbours as (doc_id, cosine, label)."""
-        at, cos = self.nearest(*self.vector(*term_counts(text)))
+        at, cos = self.nearest(*self.vector(Counter(words(text))))
         if not len(at):
             return self.rate_without, []
         return self.calibrated(self.vote(at, cos)), [(int(self.ids[i]), float(c), int(self.labels[i])) for i, c in zip(at, cos, strict=True)]
@@ -220,19 +223,17 @@ def relevance_of(n: np.ndarray, a: np.ndarray, n_pos: int, n_neg: int, half: flo
     return z * z / (z * z + half * half)
 
 
-def _document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[int, np.ndarray]:
+def _document_frequencies(docs: DataFrame, terms: dict[str, int]) -> tuple[int, np.ndarray]:
     """(number of documents, how many hold each term)."""
     sent = docs.sparkSession.sparkContext.broadcast(terms)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
-        n, df = 0, np.zeros(len(known), np.int64)
+        get = sent.value.get
+        n, df = 0, np.zeros(len(sent.value), np.int64)
         for b in batches:
-            for text in b.column("text").to_pylist():
-                n += 1
-                h = term_counts(text)[0]
-                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                df[at[known[at] == h]] += 1
+            n += b.num_rows
+            found = [t for text in b.column("text").to_pylist() for w in set(words(text)) if (t := get(w)) is not None]
+            df += np.bincount(np.array(found, dtype=np.int64), minlength=len(df))
         held = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, held].astype(np.int32)), pa.array(np.r_[n, df[held]].astype(np.int64))], ["term", "n"])
 
@@ -243,17 +244,16 @@ def _document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[int, np.n
     return int(n[term < 0].sum()), df
 
 
-def _by_key(key: np.ndarray, n_keys: int) -> np.ndarray:
-    """Offsets of the runs of ascending keys 0..n_keys-1."""
-    return np.r_[0, np.cumsum(np.bincount(key, minlength=n_keys))].astype(np.int64)
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.r_[0, np.cumsum(sizes)].astype(np.int64)
 
 
-def build_index(terms: np.ndarray, weight: np.ndarray, ids: list[int], labels: list[int], counted: list[tuple[np.ndarray, np.ndarray]]) -> Index:
-    """The index of the given examples ((hashes, counts) of each), with its calibration."""
+def build_index(terms: dict[str, int], weight: np.ndarray, ids: list[int], labels: list[int], counted: list[dict[str, int]]) -> Index:
+    """The index of the given examples (counts of the words of each), with its calibration."""
     y = np.array(labels, dtype=float)
     x = Index(terms=terms, weight=weight)
     x.base_rate = float(y.mean()) if len(y) else 0.0
-    vectors = [x.vector(*c) for c in counted]
+    vectors = [x.vector(c) for c in counted]
     full = [i for i, (t, _) in enumerate(vectors) if len(t)]
     without = np.ones(len(vectors), bool)
     without[full] = False
@@ -262,17 +262,17 @@ def build_index(terms: np.ndarray, weight: np.ndarray, ids: list[int], labels: l
     full.sort(key=lambda i: (int(vectors[i][0][np.argmax(vectors[i][1])]), -float(vectors[i][1].max()), ids[i]))
     x.ids, x.labels = np.array([ids[i] for i in full], dtype=np.int64), y[full]
     size = np.array([len(vectors[i][0]) for i in full], dtype=np.int64)
-    x.row_off = np.r_[0, np.cumsum(size)].astype(np.int64)
-    x.row_term = np.concatenate([vectors[i][0] for i in full]).astype(np.int32) if full else np.zeros(0, np.int32)
+    x.row_off = _offsets(size)
+    x.row_term = np.concatenate([vectors[i][0] for i in full]) if full else np.zeros(0, np.int64)
     x.row_w = np.concatenate([vectors[i][1] for i in full]) if full else np.zeros(0)
     ex = np.repeat(np.arange(len(full)), size)
     o = np.argsort(x.row_term, kind="stable")  # examples stay ascending inside a term
-    term, x.post_ex, x.post_w = x.row_term[o], ex[o].astype(np.int32), x.row_w[o]
-    x.post_off = _by_key(term, len(terms))
+    term, x.post_ex, x.post_w = x.row_term[o], ex[o], x.row_w[o]
+    x.post_off = _offsets(np.bincount(term, minlength=len(terms)))
     block = x.post_ex // BLOCK
     first = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])]) if len(term) else np.zeros(0, np.int64)
     x.block_id, x.block_max = block[first], np.maximum.reduceat(x.post_w, first) if len(first) else np.zeros(0)
-    x.block_off = _by_key(term[first], len(terms))
+    x.block_off = _offsets(np.bincount(term[first], minlength=len(terms)))
     x.term_max = np.zeros(len(terms))
     np.maximum.at(x.term_max, term[first], x.block_max)
     if len(full) >= 20 and 0 < x.labels.sum() < len(full):
@@ -289,23 +289,26 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, re
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = [term_counts(x) for x in b.column("text").to_pylist()]
+            made = [Counter(words(x)) for x in b.column("text").to_pylist()]
             toxic = pa.array([int(v > 0) for v in b.column("toxic").to_pylist()], pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), toxic, pa.array([h.view(np.int64) for h, _ in made], pa.list_(pa.int64())), pa.array([c for _, c in made], pa.list_(pa.int64()))], ["doc_id", "y", "h", "tf"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), toxic, pa.array([list(c) for c in made], pa.list_(pa.string())), pa.array([list(c.values()) for c in made], pa.list_(pa.int32()))], ["doc_id", "y", "w", "tf"])
 
     # bounded by max_labelled rows
-    got = sample.select("doc_id", "toxic", "text").mapInArrow(rows, "doc_id bigint, y int, h array<bigint>, tf array<bigint>").orderBy("doc_id").toArrow()
+    got = sample.select("doc_id", "toxic", "text").mapInArrow(rows, "doc_id bigint, y int, w array<string>, tf array<int>").orderBy("doc_id").toArrow()
     ids, y = got.column("doc_id").to_pylist(), got.column("y").to_pylist()
-    counted = [(h.values.to_numpy().view(np.uint64), c.values.to_numpy()) for h, c in zip(got.column("h"), got.column("tf"), strict=True)]
+    counted = [dict(zip(w, n, strict=True)) for w, n in zip(got.column("w").to_pylist(), got.column("tf").to_pylist(), strict=True)]
     n_pos, n_neg = sum(y), len(y) - sum(y)
     if not n_pos or not n_neg:
-        return build_index(np.zeros(0, np.uint64), np.zeros(0), ids, y, counted)
-    terms, of_term = np.unique(np.concatenate([h for h, _ in counted]), return_inverse=True)
-    n = np.bincount(of_term, minlength=len(terms))
-    a = np.bincount(of_term, weights=np.repeat(y, [len(h) for h, _ in counted]), minlength=len(terms))
+        return build_index({}, np.zeros(0), ids, y, counted)
+    n, a = Counter(), Counter()
+    for c, toxic in zip(counted, y, strict=True):
+        n.update(c.keys())
+        if toxic:
+            a.update(c.keys())
+    terms = {w: i for i, w in enumerate(sorted(n))}
     total, df = _document_frequencies(docs, terms)
-    idf = np.log((1 + total) / (1 + df))
-    return build_index(terms, idf * relevance_of(n, a, n_pos, n_neg, relevance), ids, y, counted)
+    held = np.array([n[w] for w in terms]), np.array([a[w] for w in terms])
+    return build_index(terms, np.log((1 + total) / (1 + df)) * relevance_of(*held, n_pos, n_neg, relevance), ids, y, counted)
 
 
 def score(docs: DataFrame, index: Index, evidence: int = 0) -> DataFrame:
