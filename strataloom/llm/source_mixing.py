@@ -14,8 +14,7 @@ and the level follows from one running sum over the sources in the order of cap
 Scale: only (doc_id, source, size, key) leave the scan. The running sum of a source is split into
 buckets that are monotone in the key: bucket totals are summed first, then each bucket runs its own
 window from its offset, so that a source with a third of all documents is spread over many tasks.
-Whatever the qualities of a source, a bucket is expected to hold no more than ``bucket_rows`` divided by
-``LEAST_QUALITY`` rows: 1 - exp(-LEAST_QUALITY * key) is 1 - u^a with a from LEAST_QUALITY to 1, whose density
+Whatever the qualities of a source, a bucket is expected to hold no more than ``bucket_rows`` rows: 1 - exp(-LEAST_QUALITY * key) is 1 - u^a with a from LEAST_QUALITY to 1, whose density
 nowhere exceeds 1 / LEAST_QUALITY.
 Windows without partitions are over one row per source only.
 
@@ -93,7 +92,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
     targets = cut(source_targets(sizes, weights, max_epochs))
     t = targets.withColumnRenamed("source", "_s")
     rows = keyed.join(t, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    n_buckets = F.ceil(F.col("n_docs") / F.lit(float(bucket_rows)))
+    n_buckets = F.ceil(F.col("n_docs") / F.lit(bucket_rows * LEAST_QUALITY))
     rows = rows.withColumn("bucket", F.floor((F.lit(1.0) - F.exp(F.col("sample_key") * F.lit(-LEAST_QUALITY))) * n_buckets).cast("bigint"))
     totals = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     offsets = totals.select(
