@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import DataFrame
 
-from strataloom.model import ASSAY_COLUMNS, DENIED, DENY_EXEMPT, EXTRA_DECLARED, FILE_COLUMNS, LINK_KEYS, LayerSpec, dedup, long_columns
+from strataloom.model import ASSAY_COLUMNS, DENIED, DENY_EXEMPT, EXTRA_DECLARED, FILE_COLUMNS, LINK_KEYS, LayerSpec
 
 
 def normalized(name: str) -> str:
@@ -41,9 +41,9 @@ def gated(df: DataFrame) -> DataFrame:
 
 def undeclared(columns: list[str], layers: list[LayerSpec]) -> list[str]:
     """Columns outside the declared surface of all layers; reported, never enforced."""
-    declared = set(EXTRA_DECLARED).union(*[long_columns(x) for x in layers])
+    declared = set(EXTRA_DECLARED).union(*[x.columns() for x in layers])
     return sorted(c for c in set(columns) if c not in declared)
 
 
 def required_columns() -> list[str]:
-    return dedup(LINK_KEYS, ASSAY_COLUMNS, FILE_COLUMNS)
+    return list(dict.fromkeys((*LINK_KEYS, *ASSAY_COLUMNS, *FILE_COLUMNS)))

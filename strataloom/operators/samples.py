@@ -148,13 +148,16 @@ def row_key(samples: DataFrame) -> DataFrame:
 
 def attach_assay_metadata(samples: DataFrame, meta: DataFrame, meta_key: str) -> DataFrame:
     """platform, reagent_lot (metadata first) and is_pool (control flag, control type, else as inferred)."""
-    take = [c for c in ("platform", "isAssayControl", "controlType", "lotNumber") if c in meta.columns]
+    take = [c for c in ("platform", "isAssayControl", "controlType", "lotNumber", "fragmentation", "resolution") if c in meta.columns]
     m = first_rows(meta, [meta_key]).select(F.col(meta_key).cast("string").alias("specimen_source_value"), *[F.col(c).alias(f"_{c}") for c in take])
     out = samples.join(m, "specimen_source_value", "left")
     if "platform" in take:
         out = out.withColumn("platform", F.coalesce(F.col("_platform"), F.col("platform")) if "platform" in samples.columns else F.col("_platform"))
     if "lotNumber" in take:
         out = out.withColumn("reagent_lot", F.coalesce(F.col("_lotNumber"), F.col("reagent_lot")) if "reagent_lot" in samples.columns else F.col("_lotNumber"))
+    for c in ("fragmentation", "resolution"):  # acquisition as the metadata states it
+        if c in take:
+            out = out.withColumn(c, F.coalesce(F.col(f"_{c}"), F.col(c)) if c in samples.columns else F.col(f"_{c}"))
     stated = [F.lit(None).cast("boolean")]
     if "isAssayControl" in take:
         stated.append(F.when(F.upper(F.trim("_isAssayControl")).isin("TRUE", "1", "YES"), True).when(F.upper(F.trim("_isAssayControl")).isin("FALSE", "0", "NO"), False))
@@ -213,7 +216,7 @@ def declared_columns(samples: DataFrame, strata: list[Stratum]) -> DataFrame:
     """Columns a stratum declares, by a join on a small dimension; a sample's own platform goes first."""
     spark = samples.sparkSession
     names = ["study", "grant", "cohort", "tissue", "biosample_type", "anatomic_site", "value_scale", "value_unit", "visit_name", "assay_type", "suspension_type", "analyte_type", "analysis_pipeline", "array_type"]
-    rows = [(s.key, f"{s.key}:assay", s.platform, *[getattr(s, n) for n in names]) for s in strata]
+    rows = [(s.key, f"{s.key}:assay", s.method.platform.value, *[s.stated(n) for n in names]) for s in strata]
     dim = spark.createDataFrame(rows, "stratum_key string, assay_id string, _platform string, " + ", ".join(f"{n} string" for n in names))
     out = samples.drop(*[n for n in (*names, "assay_id") if n in samples.columns]).join(F.broadcast(dim), "stratum_key", "left")  # one row per stratum
     own = F.col("platform") if "platform" in samples.columns else F.lit(None).cast("string")
@@ -222,7 +225,7 @@ def declared_columns(samples: DataFrame, strata: list[Stratum]) -> DataFrame:
 
 def assay_table(strata: list[Stratum], spark) -> DataFrame:
     """One row for each stratum: what was measured and how."""
-    rows = [(s.key, f"{s.key}:assay", s.assay_type, s.assay_type, s.platform, s.platform_evidence, s.suspension_type, s.analyte_type, s.analysis_pipeline, s.pipeline_evidence, s.study, s.grant, s.cohort, s.tissue, s.biosample_type, s.value_scale, s.value_unit, s.transform_chain) for s in strata]
+    rows = [(s.key, f"{s.key}:assay", s.method.assay, s.method.assay, s.method.platform.value, s.method.platform.grade, s.material.suspension, s.material.analyte, s.method.pipeline.value, s.method.pipeline.grade, s.origin.study, s.origin.grant, s.origin.cohort, s.material.tissue, s.material.kind, s.scale.name, s.scale.unit, s.scale.steps) for s in strata]
     return spark.createDataFrame(rows, "stratum_key string, " + ", ".join(f"{c} string" for c in (*ASSAY_COLUMNS[:4], "platform_evidence", *ASSAY_COLUMNS[4:], "pipeline_evidence", "study", "grant", "cohort", "tissue", "biosample_type", "value_scale", "value_unit", "transform_chain")))
 
 
@@ -230,10 +233,10 @@ def files_table(strata: list[Stratum], manifest: DataFrame, spark) -> DataFrame:
     """One row for each declared file, with what the manifest knows of it."""
     rows = []
     for s in strata:
-        paths = (s.matrix_path,) if isinstance(s.matrix_path, str) else s.matrix_path
-        rows += [(s.key, f"{s.key}:{i}", p, "matrix", s.study, s.grant, f"{s.key}:assay", s.array_type, s.biosample_type, s.tissue) for i, p in enumerate(paths)]
-        if s.annot_path:
-            rows.append((s.key, f"{s.key}:annotation", s.annot_path, "annotation", s.study, s.grant, f"{s.key}:assay", s.array_type, s.biosample_type, s.tissue))
+        paths = s.source.files
+        rows += [(s.key, f"{s.key}:{i}", p, "matrix", s.origin.study, s.origin.grant, f"{s.key}:assay", s.method.array, s.material.kind, s.material.tissue) for i, p in enumerate(paths)]
+        if s.source.annotation:
+            rows.append((s.key, f"{s.key}:annotation", s.source.annotation, "annotation", s.origin.study, s.origin.grant, f"{s.key}:assay", s.method.array, s.material.kind, s.material.tissue))
     names = ("stratum_key", "file_id", "relative_path", "file_role", "study", "grant", "assay_id", "array_type", "biosample_type", "tissue")
     out = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in names))
     out = out.join(manifest.select("relative_path", "file_format", "file_size_bytes", "sha256"), "relative_path", "left")

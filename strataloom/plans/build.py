@@ -10,13 +10,14 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass, field, replace
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataloom.audit import checks
 from strataloom.functions import expr as E
-from strataloom.model import MIN_PRESENT, LayerSpec, Stratum, StratumFrames, sample_columns
+from strataloom.model import MIN_PRESENT, LayerSpec, Stratum, StratumFrames
 from strataloom.operators import contract, stats
 from strataloom.operators import features as FE
 from strataloom.operators import layer as L
@@ -51,21 +52,26 @@ class BuildResult:
 
 def read(spark: SparkSession, s: Stratum, root: str) -> StratumFrames:
     """A stratum's frames with annotation, assay metadata, donors and intervals, in that order."""
-    paths = (s.matrix_path,) if isinstance(s.matrix_path, str) else s.matrix_path
+    paths = s.source.files
     at = lambda p: p if "://" in p or p.startswith("/") else f"{root.rstrip('/')}/{p}"
-    extra = {k: at(v) if k in ("feature_meta", "assay_meta", "biospecimen_meta") and isinstance(v, str) else v for k, v in s.extra.items()}
-    s = replace(s, matrix_path=at(paths[0]) if len(paths) == 1 else tuple(at(p) for p in paths), annot_path=at(s.annot_path) if s.annot_path else None, extra=extra)
+    extra = {k: at(v) if k in ("feature_meta", "assay_meta", "biospecimen_meta") and isinstance(v, str) else v for k, v in s.source.options.items()}
+    s = replace(s, source=replace(s.source, files=tuple(at(p) for p in paths), annotation=at(s.source.annotation) if s.source.annotation else None, options=extra))
     f = R.read_stratum(spark, s)
     samples = f.samples
-    if s.annot_reader:
-        annotation = A.ANNOTATION_READERS[s.annot_reader](spark, s, samples)
+    if s.source.annotation_reader:
+        annotation = A.ANNOTATION_READERS[s.source.annotation_reader](spark, s, samples)
         samples = coalesce_annotation(samples, annotation.drop("src_ordinal"))
     if extra.get("assay_meta") and extra.get("assay_meta_key"):
         samples = S.attach_assay_metadata(samples, A.assay_metadata(spark, extra["assay_meta"]), extra["assay_meta_key"])
+    if extra.get("biospecimen_meta"):
+        direct, f.other_specimens = A.biospecimen_sites(spark, extra["biospecimen_meta"], extra.get("biospecimen_assay"))
+        samples = coalesce_annotation(samples, direct)
+    if s.source.annotation_reader == "biospecimen":
+        f.notes["exclusions"] = samples.agg(F.count_if(F.col("qc_status") == "EXCLUDED_BY_SOURCE").alias("n_flagged"), F.count(F.lit(1)).alias("n_specimens"))
     if "is_pool" not in samples.columns:
         samples = samples.withColumn("is_pool", F.lit(False))
     before = samples
-    samples = S.drop_unresolved(samples, s.person_resolvable)
+    samples = S.drop_unresolved(samples, s.donors.resolvable)
     f.notes["unresolved"] = before.select("specimen_source_value").join(samples.select("specimen_source_value"), "specimen_source_value", "left_anti")
     source = extra.get("pmi")
     if source and source.get("path"):
@@ -81,14 +87,14 @@ def read(spark: SparkSession, s: Stratum, root: str) -> StratumFrames:
 def harmonise(spark: SparkSession, s: Stratum, root: str, reference: DataFrame | None = None, collapse: bool = True) -> Harmonised:
     f = read(spark, s, root)
     key = F.lit(s.key)
-    feats = FE.resolve(f.features, s.reader, reference).withColumn("stratum_key", key)
+    feats = FE.resolve(f.features, s.source.reader, reference).withColumn("stratum_key", key)
     feats = FE.with_feature_key(feats)
     samples = f.samples.withColumn("stratum_key", key)
     for c in ("visit_month", "visit_index"):
         if c not in samples.columns:
             samples = samples.withColumn(c, F.lit(None).cast("int"))
-    samples = S.with_visits(S.with_identity(samples, s.person_namespace))
-    samples = S.brodmann_fill(samples, s.anatomic_site)
+    samples = S.with_visits(S.with_identity(samples, s.donors.namespace))
+    samples = S.brodmann_fill(samples, s.material.site, f.other_specimens, ("_donor", "anatomic_site_source")).drop("_donor")
     named = feats.where(F.col("feature_key").isNotNull())
     cells = f.cells.join(named.select("feature_source_value", "feature_key"), "feature_source_value")
     cells = cells.join(samples.select("specimen_source_value", "specimen_id"), "specimen_source_value").select(key.alias("stratum_key"), "feature_key", "specimen_id", "value", "lod")
@@ -101,7 +107,16 @@ def harmonise(spark: SparkSession, s: Stratum, root: str, reference: DataFrame |
         status = status.where("status <> 'kept'").unionByName(kept_feats.select("stratum_key", "feature_key", F.lit("kept").alias("status")))
     flags = FE.below_lod_features(own.where(F.col("lod").isNotNull() | F.col("value").isNotNull())).drop("n_below", "n_values")
     kept_feats = kept_feats.join(flags, ["stratum_key", "feature_key"], "left")
-    return Harmonised(s, own.persist(), samples.persist(), kept_feats.persist(), status.persist(), f.notes | {"lod_flags": True, "n_features_dropped": True})
+    return Harmonised(s, own.persist(), samples.persist(), kept_feats.persist(), status.persist(), f.notes | _filter_notes(status, cells, kept_feats))
+
+
+def _filter_notes(status: DataFrame, cells: DataFrame, features: DataFrame) -> dict:
+    """What the presence filter dropped, and the features flagged for values below their limits: null where
+    the stratum has no limits."""
+    dropped = status.agg(F.count_if(F.col("status") != "kept").alias("n"))
+    limits = cells.agg(F.max(F.col("lod").isNotNull()).alias("_any"))
+    flagged = features.agg(F.count("lod_flag").alias("n")).join(limits.where("_any"), F.lit(True), "left_semi")
+    return {"n_features_dropped": dropped, "lod_flags": flagged}
 
 
 def _scalars(h: Harmonised) -> dict:
@@ -117,12 +132,15 @@ def _scalars(h: Harmonised) -> dict:
     if one:
         out |= {"p1": one["p1"], "p50": one["p50"], "p99": one["p99"]}
     if "anatomic_site_source" in h.samples.columns:
-        out |= _sites(h.samples, h.stratum.anatomic_site)
+        out |= _sites(h.samples, h.stratum.material.site)
     if "platform" in h.samples.columns:
-        seen = S.observed_platform(h.samples, h.stratum.platform).first()
+        seen = S.observed_platform(h.samples, h.stratum.method.platform.value).first()
         if seen:
-            out |= {"platform": seen["platform"], "platform_grade": "A"}
-    out["brodmann"] = S.brodmann_report(h.samples, h.stratum.anatomic_site).first().asDict() if h.stratum.anatomic_site else None
+            out |= {"platform": seen["platform"], "platform_grade": "A", "platforms_observed": _note(_counts(h.samples, "platform"))}
+    acquisition = {c: found for c in ("fragmentation", "resolution") if c in h.samples.columns and (found := _note(_counts(h.samples, c)))}
+    if acquisition:
+        out["acquisition_observed"] = acquisition
+    out["brodmann"] = S.brodmann_report(h.samples, h.stratum.material.site).first().asDict() if h.stratum.material.site else None
     out["pmi"] = h.notes["pmi"] | S.interval_report(h.samples).first().asDict()
     if "missing_freq" in h.features.columns:
         m = stats.missingness_agreement(h.features).first()
@@ -130,6 +148,10 @@ def _scalars(h: Harmonised) -> dict:
     return out
 
 
+def _counts(df: DataFrame, column: str) -> DataFrame:
+    return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+
+
 def _sites(samples: DataFrame, stated: str) -> dict:
     """Whether any distinct site matches the stated one, how many there are, and the first 20."""
     seen = samples.select(F.col("anatomic_site_source").alias("site")).where("site is not null").distinct()
@@ -141,10 +163,24 @@ def _sites(samples: DataFrame, stated: str) -> dict:
 def _note(v):
     if not isinstance(v, DataFrame):
         return v
-    if len(v.columns) == 2:  # counts by category, of which the checks take sums
+    if len(v.columns) == 2 and v.columns[1] == "n":  # counts by category, of which the checks take sums
         return {str(r[0]): r[1] for r in v.orderBy(v.columns[0]).collect()}
     rows = v.limit(2).collect()
-    return rows[0].asDict() if len(rows) == 1 else rows[0][0] if rows and len(v.columns) == 1 else None
+    if len(rows) != 1:
+        return None
+    return rows[0][0] if len(v.columns) == 1 else rows[0].asDict()
+
+
+def _source_order(samples: DataFrame, rank: int) -> DataFrame:
+    """samples with sample_ordinal instead of src_ordinal: stratum, part, file, split and row of the source,
+    in one type for every reader."""
+    o, kind = F.col("src_ordinal"), samples.schema["src_ordinal"].dataType.simpleString()
+    part = F.lit(0)
+    if kind.startswith("struct<p:"):
+        part, o, kind = o["p"].cast("int"), o["o"], kind.split(",o:", 1)[1]
+    place = (o["f"], o["s"], o["i"]) if kind.startswith("struct<f:") else (F.lit(""), F.lit(0).cast("bigint"), o.cast("bigint"))
+    fields = [c.alias(n) for c, n in zip((F.lit(rank), part, *place), "spfbi", strict=True)]
+    return samples.withColumn("sample_ordinal", F.struct(*fields)).drop("src_ordinal")
 
 
 def build(
@@ -156,11 +192,12 @@ def build(
     reference: uniprot and symbol of features; crosswalk: path of a donor id bridge; wanted: objects
     whose presence is decided by content; tracking: numbers and sites that a sheet states.
     """
-    name = name or f"build-{uuid.uuid4().hex[:8]}"
+    name = name or f"build-{date.today():%Y%m%d}-{uuid.uuid4().hex[:8]}"
+    earlier = Wr.previous_builds(spark, out, "build-")
     staging = f"{out.rstrip('/')}/_staging-{name}"
     manifest = M.file_manifest(spark, root).persist()
-    context: dict = {"strata": [], "layers": [], "sample_columns": {}, "feature_columns": {}}
-    entries, all_samples, all_features = [], [], []
+    context: dict = {"strata": [], "layers": [], "sample_columns": {}, "feature_columns": {}, "filled_columns": {}}
+    entries, all_samples, all_features, held = [], [], [], [manifest]
     for spec in registry:
         if not spec.strata:
             entries.append({"layer_key": spec.key, "status": "deferred", "reason": spec.deferred_reason or "no strata declared"})
@@ -170,11 +207,11 @@ def build(
             L.guard_features(p.features.count(), p.stratum.key)
             context["strata"].append(_scalars(p))
         cells = L.union_all([p.cells for p in parts])
-        declared = {p.stratum.key: p.stratum.value_scale for p in parts}
+        declared = {p.stratum.key: p.stratum.scale.name for p in parts}
         policy = P.decide(spec.key, cells, declared)
         scaled = P.apply(cells, policy)
-        ordinal = {p.stratum.key: i for i, p in enumerate(parts)}
-        samples = L.union_all([p.samples.withColumn("sample_ordinal", F.struct(F.lit(ordinal[p.stratum.key]).alias("s"), F.col("specimen_source_value").alias("o"))).drop("src_ordinal") for p in parts])
+        held += [x for p in parts for x in (p.cells, p.samples, p.features, p.status)]
+        samples = L.union_all([_source_order(p.samples, i) for i, p in enumerate(parts)])
         files = S.files_table(list(spec.strata), manifest, spark)
         samples = S.with_sole_file(S.declared_columns(samples, list(spec.strata)), files)
         samples = S.replicate_index(S.row_key(samples)).withColumn("layer_key", F.lit(spec.key)).persist()
@@ -191,8 +228,8 @@ def build(
         shape = back.agg(F.count_distinct("feature_key").alias("f"), F.count_distinct("stratum_key", "specimen_id").alias("s")).first()
         n_features = features.count()
         layer = {
-            "layer": spec.key, "policy": policy, "policy_again": P.decide(spec.key, cells, declared), "n_rows": keys["n"], "n_keys": keys["k"], "n_features": n_features, "shape": (shape["f"], shape["s"]),
-            "numeric_space": P.numeric_space(scaled, policy).first().asDict(), "surfaces": _surfaces(scaled, cells, policy), "file_ids": _file_ids(samples, files),
+            "layer": spec.key, "policy": policy, "policy_again": P.decide(spec.key, back.select("stratum_key", "feature_key", "specimen_id", F.col("value").cast("double").alias("value")).where("value is not null"), declared), "n_rows": keys["n"], "n_keys": keys["k"], "n_features": n_features, "shape": (shape["f"], shape["s"]),
+            "numeric_space": P.numeric_space(scaled, policy).first().asDict(), "surfaces": _surfaces(back, cells, policy), "file_ids": _file_ids(samples, files),
         }
         if bundles:
             info = Wr.write_bundle(merged, samples, features, f"{staging}/bundles/{spec.key}", policy.z_applied)
@@ -201,6 +238,7 @@ def build(
         context["layers"].append(layer)
         merged.unpersist()
         entries.append({"layer_key": spec.key, "status": "built", "n_features": n_features, "n_samples": keys["n"], "policy": json.dumps(policy.as_dict())})
+        held += [samples, features]
         all_samples.append((spec, samples))
         all_features.append((spec, features))
     if all_samples:
@@ -208,8 +246,11 @@ def build(
         contract.scope_gate(names)
         fnames = L.column_union([f for _, f in all_features])
         for spec, s in all_samples:
-            Wr.emit(Wr.conform(s.drop("sample_ordinal"), [c for c in [*sample_columns(spec), *names] if c != "sample_ordinal"]), f"{staging}/samples/{spec.key}", tsv=False)
-            context["sample_columns"][spec.key] = spark.read.parquet(f"{staging}/samples/{spec.key}.parquet").columns
+            Wr.emit(Wr.conform(s.drop("sample_ordinal"), [c for c in (*spec.columns("samples"), *names) if c != "sample_ordinal"]), f"{staging}/samples/{spec.key}", tsv=False)
+            written = spark.read.parquet(f"{staging}/samples/{spec.key}.parquet")
+            context["sample_columns"][spec.key] = written.columns
+            filled = [c for c in written.columns if c not in s.columns]
+            context["filled_columns"][spec.key] = written.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in filled]).first().asDict() if filled else {}
         for spec, f in all_features:
             Wr.emit(Wr.conform(f, fnames), f"{staging}/features/{spec.key}", tsv=False)
             context["feature_columns"][spec.key] = spark.read.parquet(f"{staging}/features/{spec.key}.parquet").columns
@@ -223,8 +264,7 @@ def build(
     if wanted is not None:
         tables["missing_objects"] = M.missing_objects(wanted, M.content_index(spark, root))
     if tracking is not None:
-        measured = inventory.select(F.col("stratum_key").alias("tracking_row"), F.inline(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("derived_value")) for c in ("n_features", "n_samples", "n_resolved", "site")])))
-        diff = M.tracking_diff(tracking, measured).persist()
+        diff = M.tracking_diff(tracking, M.measured_rows(inventory, tracking)).persist()
         tables["tracking_diff"] = diff
         context["tracking"] = [r.asDict() for r in diff.collect()]  # as long as the sheet
     context["document_claims"] = document_claims
@@ -235,27 +275,31 @@ def build(
     from strataloom.report import render
 
     Wr.write_text(spark, f"{staging}/README.md", render(name, entries, summary, audit))
-    Wr.write_text(spark, f"{staging}/build_report.json", json.dumps({"name": name, "layers": entries, "audit": summary}, indent=1))
+    Wr.write_text(spark, f"{staging}/build_report.json", json.dumps({"name": name, "previous": earlier[-1] if earlier else None, "layers": entries, "audit": summary}, indent=1))
     Wr.publish(spark, staging, f"{out.rstrip('/')}/{name}")
+    for x in held:
+        x.unpersist()
     return BuildResult(f"{out.rstrip('/')}/{name}", entries, audit, summary)
 
 
 def _inventory(spark: SparkSession, strata: list[dict]) -> DataFrame:
     """One row for each stratum: what the build measured."""
-    rows = [(s["stratum"].layer, s["stratum"].key, s["stratum"].study, s["stratum"].anatomic_site, s["n_features"], s["n_nonpool"] + s["n_pool"], s["n_resolved"], s["n_pool"], s["pct_missing"], s.get("p1"), s.get("p99")) for s in strata]
+    rows = [(s["stratum"].layer, s["stratum"].key, s["stratum"].origin.study, s["stratum"].material.site, s["n_features"], s["n_nonpool"] + s["n_pool"], s["n_resolved"], s["n_pool"], s["pct_missing"], s.get("p1"), s.get("p99")) for s in strata]
     schema = "layer_key string, stratum_key string, study string, site string, n_features bigint, n_samples bigint, n_resolved bigint, n_pool bigint, pct_missing double, p1 double, p99 double"
     return M.derived_inventory(spark.createDataFrame(rows, schema))
 
 
-def _surfaces(scaled: DataFrame, cells: DataFrame, policy: P.Policy) -> list[dict]:
+def _surfaces(back: DataFrame, cells: DataFrame, policy: P.Policy) -> list[dict]:
+    """What the audit needs of the written cells: centre and spread of Z, or how many values are not the source's."""
     if policy.z_applied:
-        z = stats.feature_stats(scaled.select("stratum_key", "feature_key", F.col("value_z").alias("value")))
-        normal = stats.scale_diagnostics(scaled.select("stratum_key", "feature_key", F.col("value_t").alias("value")))
+        z = stats.feature_stats(back.select("stratum_key", "feature_key", F.col("value_z").cast("double").alias("value")))
+        before = "value_t" if "value_t" in back.columns else "value"
+        normal = stats.scale_diagnostics(back.select("stratum_key", "feature_key", F.col(before).cast("double").alias("value")))
         out = z.groupBy("stratum_key").agg(F.median("median").alias("z_median"), F.median("sd").alias("z_sd")).join(normal.select("stratum_key", "median_abs_skew", "normality_ok"), "stratum_key", "left")
         return [r.asDict() for r in out.collect()]
     key = ["stratum_key", "feature_key", "specimen_id"]
-    both = scaled.select(*key, F.col("value").alias("_v")).join(cells.select(*key, "value"), key)
-    return [r.asDict() for r in both.groupBy("stratum_key").agg(F.count_if(~F.col("_v").eqNullSafe(F.col("value"))).alias("n_changed")).collect()]
+    both = cells.where("value is not null").join(back.select(*key, F.col("value").alias("_v")), key, "left")
+    return [r.asDict() for r in both.groupBy("stratum_key").agg(F.count_if(~F.col("_v").eqNullSafe(F.col("value").cast("float"))).alias("n_changed")).collect()]
 
 
 def _file_ids(samples: DataFrame, files: DataFrame) -> dict:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataloom.audit import checks
 from strataloom.functions import expr as E
-from strataloom.model import DENIED, DENY_EXEMPT, LayerSpec, Stratum
+from strataloom.model import DENIED, DENY_EXEMPT, LayerSpec, Stratum, declare
 from strataloom.operators import contract, lookups, stats
 from strataloom.operators import features as FE
 from strataloom.operators import layer as L
@@ -339,7 +339,7 @@ def undeclared_columns(spark: SparkSession, d: str) -> DataFrame:
 
 def cohort_strata() -> list[Stratum]:
     """Registry entries of the five regions, with a scale whose range they meet or miss."""
-    return [Stratum(k, "cohorts", "tables", k, k, "customer", "parquet", anatomic_site=k.lower(), value_scale="log2_lfq_intensity", analysis_pipeline="tables", pipeline_evidence="A") for k in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")]
+    return [declare(k, "cohorts", study="tables", grant=k, cohort=k, matrix_path="customer", reader="parquet", anatomic_site=k.lower(), value_scale="log2_lfq_intensity", analysis_pipeline="tables", pipeline_evidence="A") for k in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")]
 
 
 def _audit_context(spark: SparkSession, d: str) -> dict:
@@ -373,13 +373,13 @@ def packed_matrix(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT 'orders' AS stratum_key, 'orders:assay' AS assay_id, 'counting' AS assay_type, 'desk' AS platform, 'tables' AS study")
 def assay_table(spark: SparkSession, d: str) -> DataFrame:
-    s = Stratum("orders", "l", "tables", "g", "c", "orders.parquet", "parquet", assay_type="counting", platform="desk")
+    s = declare("orders", "l", study="tables", grant="g", cohort="c", matrix_path="orders.parquet", reader="parquet", assay_type="counting", platform="desk")
     return S.assay_table([s], spark).select("stratum_key", "assay_id", "assay_type", "platform", "study")
 
 
 @query(f"WITH o AS ({O.ORDERS}) SELECT sample_ordinal, 'declared' AS study, coalesce(platform, 'fallback') AS platform, stratum_key || ':assay' AS assay_id FROM o WHERE stratum_key <> 'P'")
 def declared_columns(spark: SparkSession, d: str) -> DataFrame:
-    strata = [Stratum(k, "l", "declared", "g", "c", "orders.parquet", "parquet", platform="fallback") for k in ("F", "O")]
+    strata = [declare(k, "l", study="declared", grant="g", cohort="c", matrix_path="orders.parquet", reader="parquet", platform="fallback") for k in ("F", "O")]
     return S.declared_columns(T.order_samples(spark, d).where("stratum_key <> 'P'"), strata).select("sample_ordinal", "study", "platform", "assay_id")
 
 

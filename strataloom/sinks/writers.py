@@ -11,7 +11,6 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataloom.model import dedup
 from strataloom.operators import layer as L
 from strataloom.operators.contract import gated
 
@@ -113,4 +112,4 @@ def write_inventory(tables: dict[str, DataFrame], path: str) -> None:
 
 def conform(df: DataFrame, columns: list[str]) -> DataFrame:
     """The frame on the given columns, absent ones null strings, further ones after them."""
-    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in dedup(columns, df.columns)])
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in dict.fromkeys((*columns, *df.columns))])

@@ -1,7 +1,7 @@
 """File manifest and content index of a source tree.
 
-Files are listed by the driver through Hadoop's file system and read in tasks as streams, so that
-neither a file nor the list of contents has to fit in one process.
+Files are listed by the driver through Hadoop's file system and read in tasks, each file as one row:
+a task holds one file, so that files of 2 GB and more are beyond these two functions.
 """
 
 from __future__ import annotations
@@ -123,6 +123,20 @@ def derived_inventory(probes: DataFrame) -> DataFrame:
     return probes.orderBy("layer_key", "stratum_key")
 
 
+def measured_rows(inventory: DataFrame, tracking: DataFrame) -> DataFrame:
+    """tracking_row, field, derived_value from the inventory for the rows of a tracking sheet.
+
+    A sheet's row names a stratum, or (column prefix) the beginning of the keys of several: their
+    numbers are summed, sites listed. Prefixes meet keys by an equi-join on the key's own beginnings.
+    """
+    wanted = tracking.select("tracking_row", F.coalesce("prefix", "tracking_row").alias("_p") if "prefix" in tracking.columns else F.col("tracking_row").alias("_p"), (F.col("prefix").isNotNull() if "prefix" in tracking.columns else F.lit(False)).alias("_many")).distinct()
+    starts = inventory.withColumn("_p", F.explode(F.transform(F.sequence(F.lit(1), F.length("stratum_key")), lambda n: F.substring(F.col("stratum_key"), F.lit(1), n))))
+    met = wanted.join(starts, "_p").where(F.col("_many") | (F.col("_p") == F.col("stratum_key")))
+    numbers = ("n_features", "n_samples", "n_resolved")
+    g = met.groupBy("tracking_row").agg(*[F.sum(c).alias(c) for c in numbers], F.array_join(F.array_sort(F.collect_set("site")), "; ").alias("site"))
+    return g.select("tracking_row", F.inline(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("derived_value")) for c in (*numbers, "site")])))
+
+
 def tracking_diff(tracking: DataFrame, derived: DataFrame) -> DataFrame:
     """A tracking sheet's numbers and sites against derived ones: agrees is true, false or null.
 

@@ -18,6 +18,7 @@ from strataloom.operators import samples as S
 from strataloom.operators import stats
 from strataloom.operators.layer import unpivot
 from strataloom.operators.lookups import first_rows
+from strataloom.sources.annotations import peptide_features
 from strataloom.sources.tabular import read_delimited, read_sheet
 
 Reader = Callable[[SparkSession, Stratum], StratumFrames]
@@ -38,10 +39,24 @@ def register(name: str):
     return add
 
 
+#: word of a declared quality step -> the note that shows it was done; filled beside the code that does it.
+TRACES: dict[str, str] = {}
+
+
+def leaves(**notes: str):
+    """Declares that the function leaves these notes, each for the quality steps whose name has the word given."""
+
+    def add(f):
+        TRACES.update({word: note for note, word in notes.items()})
+        return f
+
+    return add
+
+
 def read_stratum(spark: SparkSession, s: Stratum) -> StratumFrames:
-    if s.reader not in MATRIX_READERS:
-        raise ValueError(f"stratum {s.key}: no reader {s.reader!r}; there are {sorted(MATRIX_READERS)}")
-    return MATRIX_READERS[s.reader](spark, s)
+    if s.source.reader not in MATRIX_READERS:
+        raise ValueError(f"stratum {s.key}: no reader {s.source.reader!r}; there are {sorted(MATRIX_READERS)}")
+    return MATRIX_READERS[s.source.reader](spark, s)
 
 
 def _q(name: str):
@@ -49,7 +64,7 @@ def _q(name: str):
 
 
 def _path(s: Stratum) -> str:
-    return s.matrix_path if isinstance(s.matrix_path, str) else s.matrix_path[0]
+    return s.source.files[0]
 
 
 def _frames(s: Stratum, wide: DataFrame, feature: str, columns: list[str], value, extra: list[str] | None = None) -> StratumFrames:
@@ -87,6 +102,7 @@ def reporter_xlsx(spark: SparkSession, s: Stratum) -> StratumFrames:
 
 
 @register("maxquant")
+@leaves(n_decoy_contaminant_dropped="contaminant", transform="log2")
 def maxquant(spark: SparkSession, s: Stratum) -> StratumFrames:
     """Intensity columns by prefix; decoys, contaminants and site-only rows go; log2."""
     wide = read_delimited(spark, _path(s), sep="\t")
@@ -106,6 +122,7 @@ def maxquant(spark: SparkSession, s: Stratum) -> StratumFrames:
 
 
 @register("pd_ratio")
+@leaves(centring="centring")
 def pd_ratio(spark: SparkSession, s: Stratum) -> StratumFrames:
     """Channel over reference ratios; log2, centred on the median of per-plex medians."""
     wide = read_delimited(spark, _path(s), sep="\t").where(F.col("Accession").isNotNull())
@@ -125,6 +142,7 @@ def pd_ratio(spark: SparkSession, s: Stratum) -> StratumFrames:
 
 
 @register("srm")
+@leaves(control_wells_flagged="control well")
 def srm(spark: SparkSession, s: Stratum) -> StratumFrames:
     """Samples are rows, features columns; control wells are pools, donors are numeric ids only."""
     wide = read_delimited(spark, _path(s), sep="\t")
@@ -141,16 +159,20 @@ def srm(spark: SparkSession, s: Stratum) -> StratumFrames:
     plate = _q("plate").cast("string") if "plate" in columns else F.lit(None).cast("string")
     samples = wide.select(_q(key).cast("string").alias("specimen_source_value"), person.alias("person_source_value"), (control | other).alias("is_pool"), plate.alias("plate_id"), "src_ordinal")
     feats = spark.createDataFrame([(f, i) for i, f in enumerate(features)], "feature_source_value string, src_ordinal bigint")
+    if s.source.options.get("feature_meta"):
+        peptides = peptide_features(spark, s.source.options["feature_meta"])
+        feats = feats.join(first_rows(peptides, ["feature_source_value"]).drop("src_ordinal"), "feature_source_value", "left")
     flagged = wide.agg(F.count_if(control | other).alias("n_flagged"), F.count(F.lit(1)).alias("n_samples"), F.count_if(control).alias("from_control"), F.count_if(other).alias("from_type"))
     return StratumFrames(s, cells, samples, feats, {"control_wells_flagged": flagged})
 
 
 @register("somascan")
+@leaves(colcheck_counts="colcheck")
 def somascan(spark: SparkSession, s: Stratum) -> StratumFrames:
     """Samples are rows, aptamers columns; only human proteins stay; feature metadata keep-first."""
     wide = read_delimited(spark, _path(s))
     key, *features = [c for c in wide.columns if c != "src_ordinal"]
-    meta = first_rows(read_delimited(spark, s.extra["feature_meta"]), ["SeqId"])
+    meta = first_rows(read_delimited(spark, s.source.options["feature_meta"]), ["SeqId"])
     names = spark.createDataFrame([(f, i) for i, f in enumerate(features)], "feature_source_value string, src_ordinal bigint")
     m = meta.select(
         F.col("SeqId").alias("_id"), F.col("UniProt").alias("uniprot_raw"), F.col("EntrezGeneSymbol").alias("gene_raw"), F.col("Dilution").alias("dilution"),
@@ -165,18 +187,19 @@ def somascan(spark: SparkSession, s: Stratum) -> StratumFrames:
 
 
 @register("olink")
+@leaves(n_samples_by_warn_count="qc_warning")
 def olink(spark: SparkSession, s: Stratum) -> StratumFrames:
     """Long panel files: withdraw plates, average NPX and LOD by (feature, sample), worst-of QC."""
-    paths = (s.matrix_path,) if isinstance(s.matrix_path, str) else s.matrix_path
-    panels = s.extra.get("panels") or [str(i) for i in range(len(paths))]
+    paths = s.source.files
+    panels = s.source.options.get("panels") or [str(i) for i in range(len(paths))]
     rows = None
     for i, (p, panel) in enumerate(zip(paths, panels, strict=True)):
         one = read_delimited(spark, p).withColumns({"panel": F.lit(panel), "src_ordinal": F.struct(F.lit(i).alias("p"), F.col("src_ordinal").alias("o"))})
         rows = one if rows is None else rows.unionByName(one, allowMissingColumns=True)
     rows = rows.where(~E.blank("UniProt"))  # a null feature is dropped, never called "nan"
     notes: dict = {}
-    if "PlateID" in rows.columns and s.extra.get("withdrawn_plates"):
-        rows, notes["withdrawn_samples"] = S.withdraw_plates(rows, list(s.extra["withdrawn_plates"]))
+    if "PlateID" in rows.columns and s.source.options.get("withdrawn_plates"):
+        rows, notes["withdrawn_samples"] = S.withdraw_plates(rows, list(s.source.options["withdrawn_plates"]))
     v = rows.select(F.col("UniProt").alias("feature_source_value"), F.col("sample_id").alias("specimen_source_value"), E.numeric("NPX").alias("value"), E.numeric("LOD").alias("lod"))
     # a limit may exist where no value does: one aggregate over both
     cells = v.groupBy("feature_source_value", "specimen_source_value").agg(F.avg("value").alias("value"), F.avg("lod").alias("lod"))
@@ -196,11 +219,15 @@ def dia(spark: SparkSession, s: Stratum) -> StratumFrames:
     rows = read_delimited(spark, _path(s)).where(~E.blank("UniProt"))
     v = rows.select(F.col("UniProt").alias("feature_key"), F.col("sample_id").alias("specimen_id"), E.numeric("protein_abundance").alias("value")).withColumn("stratum_key", F.lit(s.key))
     mean = stats.pivot_mean(v, "stratum_key", "feature_key", "specimen_id")
-    found = stats.complete_samples(mean, s.extra.get("min_sample_completeness", MIN_SAMPLE_COMPLETENESS))
+    found = stats.complete_samples(mean, s.source.options.get("min_sample_completeness", MIN_SAMPLE_COMPLETENESS))
     kept = found.where("kept")
     cells = mean.join(kept.select("specimen_id"), "specimen_id", "left_semi").select(F.col("feature_key").alias("feature_source_value"), F.col("specimen_id").alias("specimen_source_value"), E.safe_log2("value").alias("value"), F.lit(None).cast("double").alias("lod"))
     first = first_rows(rows, ["sample_id"]).select(F.col("sample_id").alias("specimen_source_value"), F.col("participant_id").alias("person_source_value"), E.numeric("visit_month").cast("int").alias("visit_month"), "src_ordinal")
     samples = first.join(kept.select(F.col("specimen_id").alias("specimen_source_value"), F.col("n_detected").cast("int").alias("n_detected"), "detection_rate"), "specimen_source_value").withColumn("is_pool", F.lit(False))
-    feats = rows.groupBy(F.col("UniProt").alias("feature_source_value")).agg(F.min("src_ordinal").alias("src_ordinal")).join(cells.select("feature_source_value").distinct(), "feature_source_value", "left_semi").withColumn("uniprot_raw", F.col("feature_source_value"))
+    every = rows.groupBy(F.col("UniProt").alias("feature_source_value")).agg(F.min("src_ordinal").alias("src_ordinal"))
+    seen = cells.where(F.col("value").isNotNull()).select("feature_source_value").distinct()
+    feats = every.join(seen, "feature_source_value", "left_semi").withColumn("uniprot_raw", F.col("feature_source_value"))
+    cells = cells.join(feats.select("feature_source_value"), "feature_source_value", "left_semi")
+    empty = every.join(seen, "feature_source_value", "left_anti").agg(F.count(F.lit(1)).alias("n"))
     dropped = found.where(~F.col("kept")).agg(F.count(F.lit(1)).alias("n_dropped"), F.slice(F.array_sort(F.collect_list("n_detected")), 1, 5).alias("lowest_counts"))
-    return StratumFrames(s, cells, samples, feats, {"transform": "log2", "samples_dropped_low_completeness": dropped, "source_form": "long"})
+    return StratumFrames(s, cells, samples, feats, {"transform": "log2", "samples_dropped_low_completeness": dropped, "n_features_dropped_empty": empty, "source_form": "long"})

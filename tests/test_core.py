@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from strataloom.functions import expr as E
-from strataloom.model import LayerSpec, Stratum, load_registry
+from strataloom.model import LayerSpec, declare, load_registry
 from strataloom.operators import contract, lookups, stats
 from strataloom.operators import features as FE
 from strataloom.operators import layer as L
@@ -204,7 +204,7 @@ def test_registry_loads(tmp_path):
     p = tmp_path / "r.json"
     p.write_text('[{"key": "l", "strata": [{"key": "s", "study": "x", "grant": "g", "cohort": "c", "matrix_path": "m.csv", "reader": "csv_matrix", "source_qc": [["log2", false, "doc"]]}]}, {"key": "later", "deferred_reason": "no data"}]')
     a, b = load_registry(str(p))
-    assert isinstance(a, LayerSpec) and a.strata[0] == Stratum("s", "l", "x", "g", "c", "m.csv", "csv_matrix", source_qc=(("log2", False, "doc"),)) and b.deferred_reason
+    assert isinstance(a, LayerSpec) and a.strata[0] == declare("s", "l", study="x", grant="g", cohort="c", matrix_path="m.csv", reader="csv_matrix", source_qc=(("log2", False, "doc"),)) and b.deferred_reason
     p.write_text('[{"key": "l", "strata": [{"key": "s", "oops": 1}]}]')
     with pytest.raises(ValueError, match="unknown fields"):
         load_registry(str(p))

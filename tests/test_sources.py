@@ -6,7 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from strataloom.model import LayerSpec, Stratum
+from strataloom.model import LayerSpec, declare
 from strataloom.plans.build import build
 from strataloom.sources import annotations as A
 from strataloom.sources import manifest as M
@@ -44,7 +44,7 @@ def xlsx(path, rows):
 
 
 def stratum(reader, path, **kw):
-    return Stratum("s", "l", "study", "g", "c", path, reader, **kw)
+    return declare("s", "l", study="study", grant="g", cohort="c", matrix_path=path, reader=reader, **kw)
 
 
 def values(f):
@@ -166,7 +166,7 @@ def test_build_end_to_end(spark, tmp_path):
         rows.append(",".join(["DUP|P10000", *["1.0"] * n]))
         gz(tmp_path / f"in/{k}.csv.gz", "\n".join(rows) + "\n")
         gz(tmp_path / f"in/{k}_samples.csv.gz", "participant_id,sample_id,visit_month\n" + "".join(f"D{j},{k}{j},{j * 6}\n" for j in range(n - 1)) + f"Unknown,{k}{n - 1},0\n")
-    strata = tuple(Stratum(k, "layer_a", "study", f"grant_{k}", "c", f"{k}.csv.gz", "csv_matrix", anatomic_site="superior temporal gyrus", value_scale="log2_ratio", annot_path=f"{k}_samples.csv.gz", annot_reader="olink_samples", person_namespace="study.id", source_qc=(("features <50% missing", False, "doc"), ("batch", True, "doc"))) for k in ("one", "two"))
+    strata = tuple(declare(k, "layer_a", study="study", grant=f"grant_{k}", cohort="c", matrix_path=f"{k}.csv.gz", reader="csv_matrix", anatomic_site="superior temporal gyrus", value_scale="log2_ratio", annot_path=f"{k}_samples.csv.gz", annot_reader="olink_samples", person_namespace="study.id", source_qc=(("features <50% missing", False, "doc"), ("batch", True, "doc"))) for k in ("one", "two"))
     gz(tmp_path / "x.csv.gz", "projid,individualID,Study,sex\n1,I1,S,F\n2,,S,M\n")
     tracking = spark.createDataFrame([("one", "n_features", "9"), ("one", "n_samples", "~8?"), ("two", "site", "temporal"), ("three", "n_features", "1")], "tracking_row string, field string, tracking_value string")
     wanted = spark.createDataFrame([("o1", "0" * 32, "matrix", True)], "object_id string, content_md5 string, kind string, critical boolean")
@@ -196,7 +196,7 @@ def test_audit_sees_every_site_and_every_count(spark, match):
 
     samples = spark.createDataFrame([(f"place {k:02}" if k != match else f"place {k:02}, Temporal Gyrus",) for k in range(60)] + [(None,)], "anatomic_site_source string")
     for stated, want in (("temporal gyrus", "PASS"), ("cerebellum", "FAIL")):
-        st = Stratum("k", "l", "s", "g", "c", "k.csv", "csv_matrix", anatomic_site=stated)
+        st = declare("k", "l", study="s", grant="g", cohort="c", matrix_path="k.csv", reader="csv_matrix", anatomic_site=stated)
         (got,) = checks.anatomic_site({"strata": [{"stratum": st} | B._sites(samples, stated)]})
         assert want in tuple(got.values() if isinstance(got, dict) else got)
         assert "and 40 more" in str(got)
