@@ -46,16 +46,9 @@ def unpivot_embeddings(spark: SparkSession, d: str) -> DataFrame:
     return e.select("vec_id", F.posexplode("embedding").alias("dim", "value")).select("vec_id", "dim", F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
-@query("SELECT vec_id, 'd' || (i - 1) AS dim, round(v::DOUBLE, 6) AS value FROM (SELECT vec_id, unnest(embedding[1:8]) AS v, generate_subscripts(embedding[1:8], 1) AS i FROM embeddings)")
-def unpivot_wide(spark: SparkSession, d: str) -> DataFrame:
-    e = T.table(spark, d, "embeddings")
-    wide = e.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(f"d{i}") for i in range(8)])
-    return rounded(L.unpivot(wide, ["vec_id"], "dim", "value"))
-
-
 @query("SELECT vec_id, 'd' || (i - 1) AS dim, round(v::DOUBLE, 6) AS value FROM (SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings)")
 def unpivot_wide_all(spark: SparkSession, d: str) -> DataFrame:
-    """All 64 dimensions of the wide matrix by the operator; unpivot_wide takes the first eight."""
+    """All 64 dimensions of the wide matrix by the operator."""
     e = T.table(spark, d, "embeddings")
     wide = e.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(f"d{i}") for i in range(64)])
     return rounded(L.unpivot(wide, ["vec_id"], "dim", "value"))

@@ -1,6 +1,6 @@
 """Query registry of the harmonization engine."""
 
-from strataloom.plans import matrix_queries, sample_queries
+from strataloom.plans import file_queries, matrix_queries, sample_queries
 
-QUERIES: dict = matrix_queries.QUERIES | sample_queries.QUERIES
-ORACLE_SQL: dict = matrix_queries.ORACLE_SQL | sample_queries.ORACLE_SQL
+QUERIES: dict = matrix_queries.QUERIES | sample_queries.QUERIES | file_queries.QUERIES
+ORACLE_SQL: dict = matrix_queries.ORACLE_SQL | sample_queries.ORACLE_SQL | file_queries.ORACLE_SQL

@@ -14,7 +14,6 @@ from strataloom.operators import layer as L
 from strataloom.operators import samples as S
 from strataloom.plans import oracles as O
 from strataloom.plans.matrix_queries import r
-from strataloom.sinks.writers import return_boundary
 from strataloom.sources import manifest as M
 from strataloom.sources import tables as T
 
@@ -236,31 +235,6 @@ def unresolved_drop_counts(spark: SparkSession, d: str) -> DataFrame:
     return n.join(kept, "stratum_key", "left").select("stratum_key", "n_samples", (F.col("n_samples") - F.coalesce("n_kept", F.lit(0))).alias("n_dropped"))
 
 
-def _files(spark: SparkSession, d: str) -> DataFrame:
-    n, g = T.table(spark, d, "nation"), T.table(spark, d, "region")
-    f = n.join(g, F.col("n_regionkey") == F.col("r_regionkey")).where("n_regionkey < 3 or n_nationkey < 6")
-    return f.select(F.col("r_name").alias("stratum_key"), F.col("n_name").alias("file_id"), F.lit("matrix").alias("file_role"), F.col("n_name").alias("file_name"))
-
-
-_FILES = "SELECT r_name AS stratum_key, n_name AS file_id FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_regionkey < 3 OR n_nationkey < 6"
-_PEOPLE = "SELECT r_name AS stratum_key, c_custkey::VARCHAR AS specimen_id FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
-
-
-def _people(spark: SparkSession, d: str) -> DataFrame:
-    j = T.table(spark, d, "customer").join(T.table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(T.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return j.select(F.col("r_name").alias("stratum_key"), F.col("c_custkey").cast("string").alias("specimen_id"))
-
-
-@query(f"WITH f AS ({_FILES}), s AS ({_PEOPLE}) SELECT s.stratum_key, specimen_id, file_id FROM s LEFT JOIN f USING (stratum_key)")
-def sample_file_bridge(spark: SparkSession, d: str) -> DataFrame:
-    return S.sample_files(_people(spark, d), _files(spark, d)).select("stratum_key", "specimen_id", "file_id")
-
-
-@query(f"WITH f AS ({_FILES}), n AS (SELECT stratum_key, any_value(file_id) AS file_id FROM f GROUP BY 1 HAVING count(*) = 1), s AS ({_PEOPLE}) SELECT specimen_id, n.file_id FROM s LEFT JOIN n USING (stratum_key)")
-def sole_file(spark: SparkSession, d: str) -> DataFrame:
-    return S.with_sole_file(_people(spark, d), _files(spark, d)).select("specimen_id", "file_id")
-
-
 @query("SELECT stratum_key, CASE WHEN count(*) = 1 THEN any_value(platform) ELSE 'mixed per sample: ' || string_agg(platform || ' (' || n || '/' || total || ')', '; ' ORDER BY platform) END AS platform FROM (SELECT stratum_key, platform, count(*) AS n, sum(count(*)) OVER (PARTITION BY stratum_key) AS total FROM (" + O.ORDERS + ") GROUP BY 1, 2) GROUP BY 1")
 def observed_platform(spark: SparkSession, d: str) -> DataFrame:
     return S.observed_platform(T.order_samples(spark, d)).select("stratum_key", "platform")
@@ -275,19 +249,6 @@ def assay_metadata_attach(spark: SparkSession, d: str) -> DataFrame:
     return S.attach_assay_metadata(samples, meta, "specimenID").select("specimen_source_value", "reagent_lot", "is_pool")
 
 
-@query("SELECT DISTINCT column_name FROM (VALUES ('specimen_id'), ('value'), ('lod'), ('panel'), ('channel')) v(column_name)")
-def column_union(spark: SparkSession, d: str) -> DataFrame:
-    a = spark.createDataFrame([], "specimen_id string, value double, channel string")
-    b = spark.createDataFrame([], "specimen_id string, lod double, panel string, value double")
-    return spark.createDataFrame([(c,) for c in L.union_all([a, b]).columns], "column_name string")
-
-
-@query(f"WITH s AS ({_PEOPLE}) SELECT stratum_key AS grant, count(*) AS n_specimens, 0::BIGINT AS n_foreign FROM s GROUP BY 1")
-def grant_return_boundary(spark: SparkSession, d: str) -> DataFrame:
-    s = _people(spark, d).select(F.col("stratum_key").alias("grant"), F.lit("people").alias("layer_key"), "specimen_id")
-    return return_boundary(s, s).select("grant", "n_specimens", "n_foreign")
-
-
 _INVENTORY = f"WITH c AS ({O.COHORTS}) SELECT stratum_key, count(DISTINCT specimen_id) AS n_samples, count(DISTINCT feature_key) AS n_features, count(value) AS n_values, array_to_string(list_sort(list(DISTINCT feature_key)), ',') AS features FROM c GROUP BY 1"
 
 
@@ -351,13 +312,6 @@ def _audit_context(spark: SparkSession, d: str) -> dict:
     return {"strata": strata}
 
 
-@query("SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_custkey % 3 = 0")
-def crosswalk_join(spark: SparkSession, d: str) -> DataFrame:
-    """Consumers join a donor bridge on the source's own id; donors it lacks stay out."""
-    bridge = T.table(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("o_custkey"), "c_name").distinct()
-    return T.table(spark, d, "orders").select("o_orderkey", "o_custkey").join(bridge, "o_custkey").select("o_orderkey", "c_name")
-
-
 @query("SELECT c_custkey, c_custkey IN (SELECT o_custkey FROM orders) AS has_orders FROM customer")
 def membership(spark: SparkSession, d: str) -> DataFrame:
     o = T.table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
@@ -377,12 +331,6 @@ def assay_table(spark: SparkSession, d: str) -> DataFrame:
     return S.assay_table([s], spark).select("stratum_key", "assay_id", "assay_type", "platform", "study")
 
 
-@query(f"WITH o AS ({O.ORDERS}) SELECT sample_ordinal, 'declared' AS study, coalesce(platform, 'fallback') AS platform, stratum_key || ':assay' AS assay_id FROM o WHERE stratum_key <> 'P'")
-def declared_columns(spark: SparkSession, d: str) -> DataFrame:
-    strata = [declare(k, "l", study="declared", grant="g", cohort="c", matrix_path="orders.parquet", reader="parquet", platform="fallback") for k in ("F", "O")]
-    return S.declared_columns(T.order_samples(spark, d).where("stratum_key <> 'P'"), strata).select("sample_ordinal", "study", "platform", "assay_id")
-
-
 _AUDIT = f"""WITH c0 AS ({O.COHORTS}), c AS (SELECT stratum_key, feature_key, specimen_id, log2(value) AS value FROM c0), k AS ({O.KEPT}),
   p AS (SELECT stratum_key, quantile_cont(value, 0.01) AS p1, quantile_cont(value, 0.99) AS p99 FROM c GROUP BY 1),
   m AS (SELECT stratum_key, (1 - sum(n_present) / (count(*) * max(n_samples))) * 100 AS pct FROM k GROUP BY 1),

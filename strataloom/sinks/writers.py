@@ -6,7 +6,12 @@ rename, through Hadoop's file system, so that any store that Spark reaches will
 
 from __future__ import annotations
 
+import io
 import json
+import re
+import tempfile
+import zipfile
+from xml.sax.saxutils import escape
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +36,35 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one in local sessions only."""
+    found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return found or tempfile.gettempdir()
+
+
+def write_sheet(spark: SparkSession, path: str, rows: list[list]) -> None:
+    """A workbook of one sheet of strings and numbers; nulls are empty cells."""
+
+    def cell(i: int, j: int, v) -> str:
+        ref = f"{chr(65 + j)}{i}"
+        return f'<c r="{ref}" t="inlineStr"><is><t>{escape(v)}</t></is></c>' if isinstance(v, str) else f'<c r="{ref}"><v>{v}</v></c>'
+
+    if any(len(r) > 26 for r in rows):
+        raise ValueError("a sheet of more than 26 columns")
+    body = "".join(f'<row r="{i}">{"".join(cell(i, j, v) for j, v in enumerate(r) if v is not None)}</row>' for i, r in enumerate(rows, 1))
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{body}</sheetData></worksheet>')
+    _, p, fs = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(buffer.getvalue()))
+    finally:
+        out.close()
+
+
 def publish(spark: SparkSession, staging: str, final: str) -> None:
     """Renames the staging folder to its final name; fails if that exists."""
     jvm, p, fs = _fs(spark, staging)

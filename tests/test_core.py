@@ -231,3 +231,17 @@ def test_streaming_figures(spark, sf, tmp_path):
     got = {r["feature_key"]: (r["n"], round(r["mean"], 9), round(r["sd"], 6)) for r in incremental.figures(spark, str(tmp_path / "out")).collect()}
     want = {r["event_type"]: (r["n"], round(r["m"], 9), round(r["s"], 6)) for r in src.groupBy("event_type").agg(F.count("value").alias("n"), F.avg("value").alias("m"), F.stddev_samp("value").alias("s")).collect()}
     assert got == want
+
+
+def test_percentiles_equal_sorting(spark):
+    import numpy as np
+
+    from strataloom.operators import stats
+
+    rnd = np.random.default_rng(2)
+    sets = {"a": rnd.normal(size=30_011), "b": np.round(rnd.random(5000), 2), "c": np.array([3.0]), "d": np.array([1.0, 2.0]), "e": np.repeat([1.0, 7.0], 501), "f": np.r_[rnd.random(999), 1e12]}
+    rows = [(k, float(v)) for k, x in sets.items() for v in x] + [("a", None), ("none", None)]
+    got = {r["stratum_key"]: (r["p1"], r["p50"], r["p99"]) for r in stats.percentiles(spark.createDataFrame(rows, "stratum_key string, value double").repartition(7)).collect()}
+    assert set(got) == set(sets)
+    for k, x in sets.items():
+        assert got[k] == pytest.approx(tuple(np.quantile(x, [0.01, 0.5, 0.99])), rel=1e-12, abs=1e-12), k

@@ -203,3 +203,49 @@ def test_audit_sees_every_site_and_every_count(spark, match):
     assert B._sites(samples.limit(0), "x")["sites"] == []
     counts = spark.createDataFrame([(f"flag {k:02}", 2) for k in range(60)], "flag string, n bigint")
     assert sum(B._note(counts).values()) == 120
+
+
+def test_samples_keep_the_order_of_the_source(spark, tmp_path):
+    """Row keys and replicates number by stratum and source row, not by name."""
+    from strataloom.plans import build as B
+
+    gz(tmp_path / "in/m.csv.gz", "id,Z9,A1,M5\n" + "".join(f"G{f}|P{10000 + f},{f},{f + 1},{f + 2}\n" for f in range(5)))
+    f = R.read_stratum(spark, stratum("csv_matrix", str(tmp_path / "in/m.csv.gz")))
+    o = B._source_order(f.samples, 3).orderBy("sample_ordinal").collect()
+    assert [r["specimen_source_value"] for r in o] == ["Z9", "A1", "M5"] and {r["sample_ordinal"]["s"] for r in o} == {3}
+    gz(tmp_path / "in/p.csv.gz", "UniProt,sample_id,participant_id,visit_month,PlateID,Panel_Lot_Nr,NPX,LOD,QC_Warning,Distribution_QC,Outliers_QC\nP1,z,1,0,p,l,1,0,PASS,PASS,PASS\nP1,b,2,0,p,l,2,0,PASS,PASS,PASS\n")
+    g = R.read_stratum(spark, stratum("olink", [str(tmp_path / "in/p.csv.gz")]))
+    both = B._source_order(g.samples, 0).select("specimen_source_value", "sample_ordinal").unionByName(B._source_order(f.samples, 1).select("specimen_source_value", "sample_ordinal"))
+    assert [r[0] for r in both.orderBy("sample_ordinal").collect()] == ["z", "b", "Z9", "A1", "M5"]
+
+
+def test_cross_assay_areas_reach_the_samples(spark, tmp_path):
+    from strataloom.plans import build as B
+
+    gz(tmp_path / "m.csv.gz", "id,s1,s2,s3\nG|P10000,1,2,3\n")
+    gz(tmp_path / "a.csv.gz", "participant_id,sample_id,visit_month\nD1,s1,0\nD2,s2,0\nD3,s3,0\n")
+    gz(tmp_path / "b.csv.gz", "individualID,specimenID,tissue,BrodmannArea,assay,samplingAge\nD1,s1,cortex,BA4,TMT,90\nD2,s2,cortex,,TMT,90\nD3,s3,cortex,,TMT,90\nD2,r2,cortex,BA10,rnaSeq,90\nD3,r3,cerebellum,BA1,rnaSeq,90\n")
+    st = declare("s", "l", study="x", grant="g", cohort="c", matrix_path="m.csv.gz", reader="csv_matrix", annot_path="a.csv.gz", annot_reader="olink_samples", anatomic_site="somewhere", extra={"biospecimen_meta": "b.csv.gz", "biospecimen_assay": "TMT"})
+    h = B.harmonise(spark, st, str(tmp_path))
+    got = {r["specimen_source_value"]: (r["brodmann_area"], r["brodmann_area_evidence"]) for r in h.samples.collect()}
+    assert got == {"s1": ("BA4", "source"), "s2": ("BA10", "propagated"), "s3": (None, None)}
+
+
+def test_source_qc_is_decided_by_what_was_measured(spark):
+    from strataloom.audit import checks
+
+    steps = (("Reverse / contaminant rows removed", False, "d"), ("log2 transform", False, "d"), ("centring", False, "d"), ("batch correction", True, "d"), ("features <50% missing removed", True, "d"), ("GIS channels removed", True, "d"))
+    st = declare("s", "l", source_qc=steps)
+    rows = lambda notes, **kw: [r[4] for r in checks.source_qc({"strata": [{"stratum": st, "notes": notes} | kw]})]
+    assert rows({"n_decoy_contaminant_dropped": 3, "transform": "log2", "n_features_dropped": 0}, n_pool=0) == ["PASS", "PASS", "FAIL", "UNVERIFIABLE", "PASS", "PASS"]
+    assert rows({"n_features_dropped": 4}, n_pool=2) == ["FAIL", "FAIL", "FAIL", "UNVERIFIABLE", "FAIL", "FAIL"]
+    assert rows({}) == ["FAIL", "FAIL", "FAIL", "UNVERIFIABLE", "UNVERIFIABLE", "UNVERIFIABLE"]
+
+
+def test_conflicts_and_exclusions_reach_the_audit(spark):
+    from strataloom.audit import checks
+
+    st = declare("s", "l", platform="Orbitrap", extra={"ms_order": "MS2"})
+    c = {"strata": [{"stratum": st, "platforms_observed": {"Exploris": 4}, "acquisition_observed": {"resolution": {"30000": 4}}, "notes": {"exclusions": {"n_flagged": 1, "n_specimens": 4}, "n_features_dropped_empty": 2}}], "filled_columns": {"l": {"panel": 0, "lod": 0}, "m": {"x": 3}}}
+    got = {(r[0], r[1], r[4]) for f in (checks.declared_conflict, checks.qc_metadata, checks.exclusions, checks.columns) for r in f(c)}
+    assert {("cde_conflict", "s", "FAIL"), ("cde_conflict", "s", "UNVERIFIABLE"), ("source_exclusion", "s", "PASS"), ("features_dropped_empty", "s", "FAIL"), ("column_union_fill", "l", "PASS"), ("column_union_fill", "m", "FAIL")} <= got
