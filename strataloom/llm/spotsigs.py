@@ -9,8 +9,8 @@ sorted set of 32-bit signature hashes.
 
 Likeness is the Jaccard index of two sets. Sets whose lengths differ so much that the index cannot
 reach a threshold are told apart by length alone: ``similar_pairs`` partitions documents by set
-length, joins only neighbouring partitions on the few smallest signatures that a pair of that
-likeness must share (prefix filter), and compares the survivors.
+length, joins only neighbouring partitions on the few rarest signatures of which a pair of that
+likeness must share one (prefix filter), and compares the survivors.
 
 Scale: fingerprints are computed in the scan. The query needs each text's successor by doc_id: rows
 are dealt into range blocks of doc_id, each block gets a copy of the first row of the next block, and
@@ -46,6 +46,10 @@ ANCHORS = (
 CONTENT_ANCHOR = 8
 CELLS = 4096
 BLOCK_ROWS = 500
+#: Groups of signatures whose corpus-wide counts order them by rarity.
+RARITY_CELLS = 65536
+#: Keeps rounding from pruning a pair that reaches the threshold exactly.
+_SLACK = 1e-9
 _LOW_32 = 0xFFFFFFFF
 
 
@@ -100,31 +104,44 @@ def likeness(a: Column, b: Column, at_least: float = 0.0) -> Column:
     na, nb = F.size(a), F.size(b)
     common = F.size(F.array_intersect(a, b))
     j = F.when((na == 0) & (nb == 0), F.lit(1.0)).otherwise(common.cast("double") / (na + nb - common))
-    return F.when(F.least(na, nb) < F.lit(at_least) * F.greatest(na, nb), F.lit(0.0)).otherwise(j)
+    return F.when(F.least(na, nb) < F.lit(at_least) * F.greatest(na, nb) - F.lit(_SLACK), F.lit(0.0)).otherwise(j)
 
 
 def similar_pairs(docs: DataFrame, at_least: float = 0.8) -> DataFrame:
     """Classes of equal fingerprints and the similar pairs between them.
 
-    Returns class_a, class_b (smallest doc_id of each class), jaccard, with class_a < class_b; the
-    members of a class are those documents whose fingerprint is equal (``classes``).
+    Returns class_a, class_b (smallest doc_id of each class), jaccard, with class_a <= class_b; the
+    members of a class are those documents whose fingerprint is equal (``classes``). Texts that share
+    a doc_id are classes of their own with one name; a class of null doc_ids only is named null.
     """
-    reps = classes(docs).where("doc_id = class_id").select("class_id", "sigs", F.size("sigs").alias("n")).where("n > 0")
-    reps = reps.withColumn("partition", F.floor(F.log(F.col("n").cast("double")) / math.log(1.0 / at_least)).cast("int"))
-    prefix = F.slice("sigs", F.lit(1), F.col("n") - F.ceil(F.col("n") * F.lit(at_least)).cast("int") + 1)
-    left = reps.select("class_id", "n", "partition", F.explode(prefix).alias("sig"))
-    right = left.select(F.col("class_id").alias("class_b"), F.col("n").alias("n_b"), "sig", F.explode(F.array(F.col("partition"), F.col("partition") - 1)).alias("partition"))
-    pairs = left.withColumnRenamed("class_id", "class_a").join(right, ["sig", "partition"])
-    pairs = pairs.where("class_a <> class_b and n <= n_b").where(F.col("n") >= F.col("n_b") * F.lit(at_least))
-    pairs = pairs.select(F.least("class_a", "class_b").alias("class_a"), F.greatest("class_a", "class_b").alias("class_b")).distinct()
-    a, b = reps.select(F.col("class_id").alias("class_a"), F.col("sigs").alias("sa")), reps.select(F.col("class_id").alias("class_b"), F.col("sigs").alias("sb"))
-    out = pairs.join(a, "class_a").join(b, "class_b").select("class_a", "class_b", likeness(F.col("sa"), F.col("sb"), at_least).alias("jaccard"))
-    return out.where(F.col("jaccard") >= at_least)
+    keyed = _keyed(docs).withColumn("n", F.size("sigs")).where("n > 0")
+    reps = keyed.groupBy("key").agg(F.min("doc_id").alias("class_id"), F.any_value("sigs").alias("sigs"), F.any_value("n").alias("n"))
+    # the bands are a little wider than the ratio, so that rounding cannot put a pair two bands apart
+    reps = reps.withColumn("partition", F.floor(F.log(F.col("n").cast("double")) / (math.log(1.0 / at_least) * (1 + _SLACK))).cast("int"))
+    # the rarest signatures come first: frequent ones stand in the prefix of few sets
+    each = reps.select("key", "n", "partition", F.explode("sigs").alias("sig")).withColumn("cell", F.pmod(F.col("sig"), F.lit(RARITY_CELLS)))
+    often = each.groupBy("cell").agg(F.count(F.lit(1)).alias("often"))  # at most RARITY_CELLS rows
+    ranked = each.join(F.broadcast(often), "cell").groupBy("key", "n", "partition").agg(F.array_sort(F.collect_list(F.struct("often", "sig"))).alias("ranked"))
+    prefix = F.slice("ranked", F.lit(1), F.col("n") - F.ceil(F.col("n") * F.lit(at_least) - F.lit(_SLACK)).cast("int") + 1)
+    left = ranked.select(F.col("key").alias("key_a"), "n", "partition", F.explode(prefix).alias("s")).withColumn("sig", F.col("s.sig")).drop("s")
+    right = left.select(F.col("key_a").alias("key_b"), F.col("n").alias("n_b"), "sig", F.explode(F.array(F.col("partition"), F.col("partition") - 1)).alias("partition"))
+    pairs = left.join(right, ["sig", "partition"]).where("n < n_b or (n = n_b and key_a < key_b)")
+    pairs = pairs.where(F.col("n") >= F.col("n_b") * F.lit(at_least) - F.lit(_SLACK)).select("key_a", "key_b").distinct()
+    a, b = (reps.select(F.col("key").alias(f"key_{x}"), F.col("class_id").alias(f"id_{x}"), F.col("sigs").alias(f"s{x}")) for x in "ab")
+    out = pairs.join(a, "key_a").join(b, "key_b").withColumn("jaccard", likeness(F.col("sa"), F.col("sb"), at_least)).where(F.col("jaccard") >= at_least)
+    swap = F.col("id_b") < F.col("id_a")
+    return out.select(F.when(swap, F.col("id_b")).otherwise(F.col("id_a")).alias("class_a"), F.when(swap, F.col("id_a")).otherwise(F.col("id_b")).alias("class_b"), "jaccard")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, sigs, key: a digest of the fingerprint."""
+    f = signatures(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", "sigs")
+    return f.select("doc_id", "sigs", F.sha2(fingerprint(F.col("sigs")).cast("binary"), 256).alias("key"))
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, sigs, class_id: the smallest doc_id with an equal fingerprint."""
-    f = signatures(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", "sigs").select("doc_id", "sigs", F.sha2(fingerprint(F.col("sigs")).cast("binary"), 256).alias("key"))
+    f = _keyed(docs)
     least = f.groupBy("key").agg(F.min("doc_id").alias("class_id"))
     return f.join(least, "key").drop("key")
 

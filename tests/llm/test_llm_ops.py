@@ -118,6 +118,23 @@ def test_spotsigs_pairs_equal_brute_force(spark):
     assert {(r["class_a"], r["class_b"]) for r in spotsigs.similar_pairs(d, 0.8).collect()} == want == {(1, 2)}
 
 
+def test_similar_pairs_at_the_threshold_and_under_one_doc_id(spark):
+    same = [f"the w{i} v{i}" for i in range(80)]
+    rows = [(1, " ".join(same[:4]), "a"), (2, " ".join(same[:5]), "a"), (2, " ".join(same[40:50]), "a"), (2, " ".join(same[40:50]), "a"), (None, " ".join(same[40:52]), "a"), (9, None, "a")]
+    rows += [(20 + i, " ".join(same[: 30 + i]), "a") for i in range(12)]
+    d = docs(spark, rows)
+    known = {r["key"]: (r["doc_id"], set(r["sigs"])) for r in spotsigs._keyed(d).collect() if r["sigs"]}
+    names, want = sorted(known), []
+    for i, x in enumerate(names):
+        for y in names[i + 1 :]:
+            (p, sx), (q, sy) = known[x], known[y]
+            if len(sx & sy) / len(sx | sy) >= 0.8:
+                want.append((sorted([p, q], key=str), len(sx & sy) / len(sx | sy)))
+    got = [(sorted([r["class_a"], r["class_b"]], key=str), r["jaccard"]) for r in spotsigs.similar_pairs(d, 0.8).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    assert ([1, 2], 0.8) in got and len(got) > 20
+
+
 def test_blocks_hold_with_clustered_ids(spark):
     rows = [(i, f"text {i}", "a") for i in range(300)] + [(10**15, "far", "a")]
     got = spotsigs.with_next(docs(spark, rows)).collect()
