@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strataloom.llm import chat_format, decontaminate, html_mincut, importance_resampling, line_dedup, ngram_join, source_mixing, spotsigs, token_rollup, toxicity_knn
+from strataloom.llm import chat_format, conversation_trie, decontaminate, html_mincut, importance_resampling, line_dedup, ngram_join, source_mixing, spotsigs, token_rollup, toxicity_knn
 
 QUERIES = {
     "op1_importance_resampling": importance_resampling.op1_importance_resampling,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_chat_format": chat_format.op8_chat_format,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_toxicity": toxicity_knn.op10_toxicity,
+    "op11_conversation_trie": conversation_trie.op11_conversation_trie,
 }
 
 ORACLE_SQL = {
@@ -22,4 +23,5 @@ ORACLE_SQL = {
     "op4_mix_sources": source_mixing.OP4_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
     "op9_decontaminate": decontaminate.OP9_SQL,
+    "op11_conversation_trie": conversation_trie.OP11_SQL,
 }
