@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strataloom.llm import chat_format, conversation_trie, decontaminate, html_mincut, importance_resampling, line_dedup, ngram_join, source_mixing, spotsigs, token_rollup, toxicity_knn
+from strataloom.llm import chat_format, conversation_trie, decontaminate, html_mincut, importance_resampling, line_dedup, ngram_join, source_mixing, spotsigs, token_rollup, toxicity_knn, warc_chunks
 
 QUERIES = {
     "op1_importance_resampling": importance_resampling.op1_importance_resampling,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_toxicity": toxicity_knn.op10_toxicity,
     "op11_conversation_trie": conversation_trie.op11_conversation_trie,
+    "op12_warc": warc_chunks.op12_warc,
 }
 
 ORACLE_SQL = {
@@ -24,4 +25,5 @@ ORACLE_SQL = {
     "op7_line_dedup": line_dedup.OP7_SQL,
     "op9_decontaminate": decontaminate.OP9_SQL,
     "op11_conversation_trie": conversation_trie.OP11_SQL,
+    "op12_warc": warc_chunks.OP12_SQL,
 }
