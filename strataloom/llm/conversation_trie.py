@@ -56,52 +56,61 @@ def turns(conversations: DataFrame) -> DataFrame:
     return conversations.where("conv_id IS NOT NULL").select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), key.alias("key"), F.octet_length(text).cast("bigint").alias("size"))
 
 
-def positions(turn_rows: DataFrame) -> DataFrame:
-    """turn_rows with pos (from 1) in its conversation and n, the conversation's turns."""
-    rows = turn_rows.withColumn("bucket", F.floor(F.col("turn") / BUCKET))
-    counts = rows.groupBy("conv_id", "bucket").count()
-    by_conv = Window.partitionBy("conv_id")
-    offsets = counts.select("conv_id", "bucket", F.coalesce(F.sum("count").over(by_conv.orderBy(F.col("bucket").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"), F.sum("count").over(by_conv).alias("n"))
-    in_bucket = Window.partitionBy("conv_id", "bucket").orderBy(F.col("turn").asc_nulls_first(), "key")
-    r, o = rows.withColumn("at", F.row_number().over(in_bucket)).alias("r"), offsets.alias("o")
-    return r.join(o, (F.col("r.conv_id") == F.col("o.conv_id")) & F.col("r.bucket").eqNullSafe(F.col("o.bucket"))).select("r.conv_id", "r.key", "r.size", (F.col("at") + F.col("before")).alias("pos"), "o.n")
+def _h(conv_id: Column) -> Column:
+    return F.crc32(conv_id.cast("string").cast("binary")) % 9
+
+
+def _total(conv_id: Column, n: Column, m: Column) -> Column:
+    """Turns of a rebuilt conversation of n turns whose base has m."""
+    return F.least(_h(conv_id), m) + F.greatest(n - _h(conv_id), F.lit(0))
 
 
 def rebuilt(turn_rows: DataFrame) -> DataFrame:
     """(conv_id, total, pos, key, size): the first crc32(conv_id) % 9 turns of conversation
-    conv_id - conv_id % 5, then the conversation's own turns after as many; a conversation without turns
-    has one row of null pos."""
-    placed = stored(positions(turn_rows), "trie-turns")
-    sizes = placed.groupBy("conv_id").agg(F.first("n").alias("n"))
-    own = sizes.select("conv_id", "n", (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).alias("h"), (F.col("conv_id") - F.col("conv_id") % 5).alias("base"))
-    m = sizes.select(F.col("conv_id").alias("base"), F.col("n").alias("m"))
-    convs = own.join(m, "base", "left").withColumn("head", F.least(F.col("h"), F.coalesce("m", F.lit(0)))).withColumn("total", F.col("head") + F.greatest(F.col("n") - F.col("h"), F.lit(0)))
-    rest = placed.select("conv_id", "key", "size", F.col("pos").alias("at")).join(convs.select("conv_id", "h", "head", "total"), "conv_id").where("at > h").select("conv_id", "total", (F.col("head") + F.col("at") - F.col("h")).alias("pos"), "key", "size")
-    heads = placed.where("pos <= 8 AND conv_id % 5 = 0").select(F.col("conv_id").alias("base"), "pos", "key", "size").join(convs.select("conv_id", "base", "h", "total"), "base").where("pos <= h").select("conv_id", "total", "pos", "key", "size")
-    bare = convs.where("total = 0").select("conv_id", "total", F.lit(None).cast("bigint").alias("pos"), F.lit(None).cast("binary").alias("key"), F.lit(None).cast("bigint").alias("size"))
-    return rest.unionByName(heads).unionByName(bare)
+    conv_id - conv_id % 5, then the conversation's own turns after as many; and one row of null pos for each
+    conversation.
+
+    The conversations of one base are nine at most. Their sizes meet in the table of bucket counts; a
+    turn then knows its places in all conversations that take it.
+    """
+    rows = turn_rows.withColumn("bucket", F.floor(F.col("turn") / BUCKET))
+    counts = rows.groupBy("conv_id", "bucket").count().withColumn("base", F.col("conv_id") - F.col("conv_id") % 5)
+    by_conv, by_base = Window.partitionBy("base", "conv_id"), Window.partitionBy("base")
+    before = F.sum("count").over(by_conv.orderBy(F.col("bucket").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.withColumns({"n": F.sum("count").over(by_conv), "before": F.coalesce(before, F.lit(0))})
+    is_base = F.col("conv_id") == F.col("base")
+    counts = counts.withColumns({"m": F.coalesce(F.max(F.when(is_base, F.col("n"))).over(by_base), F.lit(0)), "members": F.collect_set(F.struct("conv_id", "n")).over(by_base)})
+    offsets = counts.select("conv_id", "bucket", "before", "n", "m", F.when(is_base & (F.col("before") < 8), F.col("members")).alias("members"))
+    in_bucket = Window.partitionBy("conv_id", "bucket").orderBy(F.col("turn").asc_nulls_first(), "key")
+    r, o = rows.withColumn("at", F.row_number().over(in_bucket)).alias("r"), offsets.alias("o")
+    met = r.join(o, (F.col("r.conv_id") == F.col("o.conv_id")) & F.col("r.bucket").eqNullSafe(F.col("o.bucket"))).select("r.conv_id", "key", "size", (F.col("at") + F.col("before")).alias("pos"), "n", "m", "members")
+    c, pos, h = F.col("conv_id"), F.col("pos"), _h(F.col("conv_id"))
+    row = lambda conv, total, at, key, size: F.struct(conv.alias("conv_id"), total.alias("total"), at.alias("pos"), key.alias("key"), size.alias("size"))
+    total = _total(c, F.col("n"), F.col("m"))
+    own = F.when(pos > h, row(c, total, F.least(h, F.col("m")) + pos - h, F.col("key"), F.col("size")))
+    mark = F.when(pos == 1, row(c, total, F.lit(None).cast("bigint"), F.lit(None).cast("binary"), F.lit(None).cast("bigint")))
+    heads = F.transform(F.filter("members", lambda x: pos <= _h(x["conv_id"])), lambda x: row(x["conv_id"], _total(x["conv_id"], x["n"], F.col("m")), pos, F.col("key"), F.col("size")))
+    return met.select(F.inline(F.concat(F.array_compact(F.array(own, mark)), F.coalesce(heads, F.array_compact(F.array(F.when(F.lit(False), own)))))))
 
 
 def segments(sequences: DataFrame, segment: int = SEGMENT) -> DataFrame:
-    """One row per conversation and segment: its turns' keys and running text sizes, whether the
-    conversation goes on after it, and the class of the turns before (p1, p2) and up to its end (q1, q2)."""
-    at = F.coalesce(F.col("pos") - 1, F.lit(0))
-    seg = F.floor(at / segment)
-    own = sequences.groupBy("conv_id", seg.alias("seg")).agg(F.first("total").alias("total"), F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "key", "size")))).alias("t"))
-    own = own.select("conv_id", "seg", "total", F.col("t.key").alias("keys"), F.col("t.size").alias("sizes"))
-    # after a full last segment an empty one
-    last = own.where((F.col("total") > 0) & (F.col("total") % segment == 0) & (F.col("seg") == F.col("total") / segment - 1))
-    own = own.unionByName(last.select("conv_id", (F.col("seg") + 1).alias("seg"), "total", F.array().cast("array<binary>").alias("keys"), F.array().cast("array<bigint>").alias("sizes")))
-    flat = stored(own, "trie-segments")
-    full = flat.where(F.size("keys") == segment).select("conv_id", "seg", F.xxhash64("seg", "keys").alias("x1"), F.xxhash64(F.lit("second"), "keys", "seg").alias("x2"))
-    upto = Window.partitionBy("conv_id").orderBy("seg").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = full.select("conv_id", "seg", F.bit_xor("x1").over(upto).alias("q1"), F.bit_xor("x2").over(upto).alias("q2"))
-    begins = ends.select("conv_id", (F.col("seg") + 1).alias("seg"), F.col("q1").alias("p1"), F.col("q2").alias("p2"))
-    many = flat.where(F.col("total") >= segment).join(begins, ["conv_id", "seg"], "left").join(ends, ["conv_id", "seg"], "left")
-    one = flat.where(F.col("total") < segment)
-    zero = F.lit(0).cast("bigint")
-    classed = many.unionByName(one.withColumns({c: F.lit(None).cast("bigint") for c in ("p1", "p2", "q1", "q2")}))
-    return classed.withColumns({"p1": F.coalesce("p1", zero), "p2": F.coalesce("p2", zero), "more": F.col("total") > (F.col("seg") + 1) * segment})
+    """One row per conversation and segment, with its turns' keys and text sizes."""
+    seg = F.coalesce(F.expr(f"(pos - 1) div {segment}"), F.expr(f"total div {segment}"))
+    own = sequences.where(f"pos IS NOT NULL OR total % {segment} = 0").groupBy("conv_id", seg.alias("seg")).agg(F.first("total").alias("total"), F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "key", "size")))).alias("t"))
+    return stored(own.select("conv_id", "seg", "total", F.col("t.key").alias("keys"), F.col("t.size").alias("sizes")), "trie-segments")
+
+
+def classed(flat: DataFrame, segment: int = SEGMENT) -> DataFrame:
+    """Adds to segments whether the conversation goes on after them, and the class of the turns before
+    (p1, p2) and up to their end (q1, q2)."""
+    full, none = F.size("keys") == segment, F.lit(0).cast("bigint")
+    hashes = flat.where(f"total >= {segment}").select("conv_id", "seg", F.when(full, F.xxhash64("seg", "keys")).otherwise(none).alias("x1"), F.when(full, F.xxhash64(F.lit("second"), "keys", "seg")).otherwise(none).alias("x2"))
+    w = Window.partitionBy("conv_id").orderBy("seg")
+    upto, prior = w.rowsBetween(Window.unboundedPreceding, Window.currentRow), w.rowsBetween(Window.unboundedPreceding, -1)
+    classes = hashes.select("conv_id", "seg", *[F.coalesce(F.bit_xor(f"x{i}").over(span), none).alias(f"{c}{i}") for c, span in (("p", prior), ("q", upto)) for i in (1, 2)])
+    many = flat.where(f"total >= {segment}").join(classes, ["conv_id", "seg"])
+    one = flat.where(f"total < {segment}").withColumns({c: none for c in ("p1", "p2", "q1", "q2")})
+    return many.unionByName(one).withColumn("more", F.col("total") > (F.col("seg") + 1) * segment)
 
 
 def _lcp(a: np.ndarray, b: np.ndarray) -> int:
@@ -121,22 +130,23 @@ def sorted_blocks(segs: DataFrame, n_blocks: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, idx, before, names = TaskContext.get().partitionId(), 0, None, None
         for b in batches:
-            lcps, lens = [], []
+            lcps, lens, prev = [], [], []
             names = names or b.schema.names
             for s, p1, p2, keys in zip(*(b.column(c).to_pylist() for c in ("seg", "p1", "p2", "keys")), strict=True):
                 now = (s, p1, p2), _keys(keys)
                 lcps.append(None if before is None else -1 if before[0] != now[0] else _lcp(before[1], now[1]))
                 lens.append(len(keys))
+                prev.append(None if before is None else len(before[1]))
                 before = now
             n = len(lcps)
-            more = [pa.array(np.full(n, block, np.int32)), pa.array(np.arange(idx, idx + n)), pa.array(lcps, pa.int32()), pa.array(lens, pa.int32())]
-            yield pa.RecordBatch.from_arrays([*b.columns, *more], [*names, "block", "idx", "lcp", "len"])
+            more = [pa.array(np.full(n, block, np.int32)), pa.array(np.arange(idx, idx + n)), pa.array(lcps, pa.int32()), pa.array(lens, pa.int32()), pa.array(prev, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*b.columns, *more], [*names, "block", "idx", "lcp", "len", "prev_len"])
             idx += n
 
     cols = segs.select("conv_id", "seg", "p1", "p2", "q1", "q2", "keys", "sizes", "more")
     order = ["seg", "p1", "p2", "keys", "more", "conv_id"]
     dealt = cols.repartitionByRange(n_blocks, *order).sortWithinPartitions(*order)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cols.schema) + ", block int, idx bigint, lcp int, len int"
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cols.schema) + ", block int, idx bigint, lcp int, len int, prev_len int"
     return stored(dealt.mapInArrow(scan, schema), "trie-sorted")
 
 
@@ -156,8 +166,9 @@ def first_lcps(rows: DataFrame) -> dict[int, dict]:
 
 def _with_first(rows: DataFrame, firsts: dict[int, dict]) -> DataFrame:
     """rows with their LCP at block starts too, and the length of the row before."""
-    edge = rows.sparkSession.createDataFrame([(b, 0, f["lcp"], f["prev_len"]) for b, f in firsts.items()], "block int, idx bigint, first_lcp int, prev_len int")
-    return rows.join(F.broadcast(edge), ["block", "idx"], "left").withColumn("lcp", F.coalesce("lcp", "first_lcp")).drop("first_lcp")
+    edge = rows.sparkSession.createDataFrame([(b, 0, f["lcp"], f["prev_len"]) for b, f in firsts.items()], "block int, idx bigint, first_lcp int, first_prev int")
+    met = rows.join(F.broadcast(edge), ["block", "idx"], "left")
+    return met.withColumns({"lcp": F.coalesce("lcp", "first_lcp"), "prev_len": F.coalesce("prev_len", "first_prev")}).drop("first_lcp", "first_prev")
 
 
 def below(rows: DataFrame, firsts: dict[int, dict], segment: int) -> DataFrame:
@@ -167,9 +178,6 @@ def below(rows: DataFrame, firsts: dict[int, dict], segment: int) -> DataFrame:
     the totals of all deeper trees whose smallest conversation this is.
     """
     deep = _with_first(rows.where("seg > 0"), firsts)
-    # the length of the row before, in the same block: rows of one block have consecutive places
-    w = Window.partitionBy("block").orderBy("idx")
-    deep = deep.withColumn("prev_len", F.coalesce("prev_len", F.lag("len").over(w)))
     shared = F.when(F.col("lcp") > 0, F.expr("aggregate(slice(sizes, 1, greatest(lcp, 0)), 0L, (a, x) -> a + x)")).otherwise(F.lit(0))
     trees = deep.groupBy("seg", "p1", "p2").agg(
         F.min("conv_id").alias("rep"),
@@ -443,9 +451,9 @@ def _hash_runs(spark: SparkSession, rows: DataFrame, pieces: list[tuple[int, int
 def trie(sequences: DataFrame, segment: int = SEGMENT, block: int = BLOCK) -> DataFrame:
     """The nodes of the trie of sequences (conv_id, total, pos, key, size), as NODE_SCHEMA."""
     spark = sequences.sparkSession
-    segs = stored(segments(sequences, segment), "trie-classes")
+    segs = segments(sequences, segment)
     n_blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-segs.count() // block))
-    rows = sorted_blocks(segs, n_blocks)
+    rows = sorted_blocks(classed(segs, segment), n_blocks)
     firsts = first_lcps(rows)
     if not firsts:
         return spark.createDataFrame([], NODE_SCHEMA)
