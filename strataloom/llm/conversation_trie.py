@@ -156,7 +156,7 @@ def first_lcps(rows: DataFrame) -> dict[int, dict]:
     side = F.struct("seg", "p1", "p2", "keys")
     ends = rows.groupBy("block").agg(F.min_by(side, "idx").alias("a"), F.max_by(side, "idx").alias("z"), F.count("*").alias("n"))
     out, before = {}, None
-    for r in sorted(ends.toLocalIterator(), key=lambda r: r["block"]):
+    for r in sorted(ends.collect(), key=lambda r: r["block"]):
         a = r["a"]
         same = before is not None and (before["seg"], before["p1"], before["p2"]) == (a["seg"], a["p1"], a["p2"])
         out[r["block"]] = {"lcp": _lcp(_keys(before["keys"]), _keys(a["keys"])) if same else -1, "prev_len": len(before["keys"]) if before else -1, "n": r["n"]}
@@ -445,7 +445,7 @@ def _hash_runs(spark: SparkSession, rows: DataFrame, pieces: list[tuple[int, int
             yield pa.RecordBatch.from_arrays([pa.array([run], pa.int64()), pa.array([sha.hexdigest()], pa.string())], ["run", "sha"])
 
     hashed = joined.repartition("run").sortWithinPartitions("run", "block").mapInArrow(scan, "run bigint, sha string")
-    return {r["run"]: r["sha"] for r in hashed.toLocalIterator()}
+    return {r["run"]: r["sha"] for r in hashed.collect()}
 
 
 def trie(sequences: DataFrame, segment: int = SEGMENT, block: int = BLOCK) -> DataFrame:
@@ -468,7 +468,7 @@ def trie(sequences: DataFrame, segment: int = SEGMENT, block: int = BLOCK) -> Da
 
     names = ("z", "z_lcp", "z_saved", "z_leaf", "z_saved_at", "z_leaf_at", "z_min", "z_eq", "z_ends", "a", "a_lcp", "a_saved", "a_leaf", "a_min", "a_eq", "a_ends", "total", "run")
     found = full.groupBy("block").applyInArrow(summarize, "block int, first_elen bigint, head bigint, " + ", ".join(f"{c} array<bigint>" for c in names))
-    summaries = {r["block"]: {c: np.array(r[c], np.int64) for c in names} | {"first_elen": r["first_elen"], "head": r["head"], "first_lcp": firsts[r["block"]]["lcp"]} for r in found.toLocalIterator()}
+    summaries = {r["block"]: {c: np.array(r[c], np.int64) for c in names} | {"first_elen": r["first_elen"], "head": r["head"], "first_lcp": firsts[r["block"]]["lcp"]} for r in found.collect()}
     around = beyond(blocks, summaries, segment)
     pieces = _runs_over_edges(blocks, summaries, firsts, {b: around[b]["base"][0] for b in blocks})
     digests = _hash_runs(spark, rows.select("block", "idx", "conv_id"), pieces)
