@@ -6,7 +6,7 @@ few specimens have are dropped, and values are Z-scored in their stratum. Every
 partition of ``<output>/returns``, the withheld specimens to ``<output>/withheld``.
 
 What is written is read back and held against the specimens' owners: a specimen under another grant than
-its own stops the job. Partitions of the grants at hand are replaced, so that a rerun gives the same rows;
+its own stops the job. Partitions of the grants at hand are replaced, so that a rerun gives the same rows (figures are rounded beyond what the order of a sum can change);
 ``grants`` in the settings renews those alone and leaves the others as they are.
 
 Defined results: a grant that keeps no feature stops the job (its return would be empty); a value
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobs.common import arguments, read_config, session, write_counted
@@ -42,6 +42,11 @@ def harmonized(cells: DataFrame, min_complete: float, min_present: float) -> tup
     return policy.zscore(L.sparse(own, status)), complete, status
 
 
+def settled(name: str, digits: int) -> Column:
+    """Rounded, ties upward: sums that Spark adds in another order still give the same figure."""
+    return (F.round(F.col(name) + 1e-9, digits) + 0.0).alias(name)
+
+
 def run(spark: SparkSession, source: str, output: str, config: str | None = None) -> DataFrame:
     """Writes and verifies the returns; gives them as they stand, with their grant."""
     c = read_config(spark, config, SETTINGS)
@@ -53,7 +58,8 @@ def run(spark: SparkSession, source: str, output: str, config: str | None = None
     for r in status.groupBy("stratum_key").agg(F.count_if(F.col("status") == "kept").alias("kept"), F.count(F.lit(1)).alias("n")).collect():
         log.info("grant %s: %d of %d features kept", r["stratum_key"], r["kept"], r["n"])
         L.guard_features(r["kept"], r["stratum_key"])
-    returns = values.select(F.col("stratum_key").alias("grant"), "specimen_id", "feature_key", "value", "z_center", "z_scale", "value_z")
+    figures = [settled(x, digits) for x, digits in (("value", 6), ("z_center", 3), ("z_scale", 3), ("value_z", 4))]
+    returns = values.select(F.col("stratum_key").alias("grant"), "specimen_id", "feature_key", *figures)
     write_counted(gated(returns), f"{output}/returns", "grant", log)
     withheld = complete.where(~F.col("kept")).select(F.col("stratum_key").alias("grant"), "specimen_id", "n_detected", "n_features", "detection_rate")
     write_counted(gated(withheld), f"{output}/withheld", "grant", log)

@@ -51,7 +51,23 @@ def test_inventory_takes_only_what_is_new(spark, tmp_path, caplog):
         assert "read 3 new documents" in caplog.text
         caplog.clear()
         assert rows(run()) == rows(spark.read.parquet(f"{out}/inventory")) == grown
-        assert "read 0 new documents" in caplog.text and "wrote 7 rows" in caplog.text
+        assert "read 0 new documents" in caplog.text and "nothing new after batch 1" in caplog.text
+
+
+def test_only_deliveries_that_hold_new_contents_are_renewed(spark, tmp_path):
+    source, out, mark = str(tmp_path / "documents.parquet"), str(tmp_path / "out"), str(tmp_path / "mark")
+    first = [(1, "x", "en", "a", 1), (2, "y", "en", "b", 1), (3, "z", "en", "c", 1)]
+    spark.createDataFrame(first, DOCS).write.parquet(source)
+    delivery_inventory.run(spark, source, out, mark)
+    files = lambda d: sorted(p.name for p in (tmp_path / "out" / "inventory" / f"delivery={d}").iterdir())
+    before = {d: files(d) for d in "abc"}
+    second = [(0, "x", "en", "d", 1), (9, "new", "en", "c", 1)]
+    spark.createDataFrame(second, DOCS).write.mode("append").parquet(source)
+    assert found(delivery_inventory.run(spark, source, out, mark)) == plain_inventory(first + second)
+    assert {d: files(d) == before[d] for d in "abc"} == {"a": False, "b": True, "c": False}
+    # the mark was lost after the inventory was written: the same partitions are written again
+    delivery_inventory.update(spark, f"{out}/manifest", f"{out}/inventory", f"{out}/other-mark")
+    assert found(spark.read.parquet(f"{out}/inventory")) == plain_inventory(first + second)
 
 
 def test_inventory_of_the_given_table_and_wanted_objects(spark, sf, tmp_path):
@@ -119,6 +135,16 @@ def test_unknown_settings_are_refused(spark, tmp_path):
         common.read_config(spark, str(config), grant_returns.SETTINGS)
 
 
+def test_command_line(sf, tmp_path):
+    """The module as a program, twice, with its own session."""
+    config = tmp_path / "c.json"
+    config.write_text('{"files_per_batch": 5}')
+    call = [sys.executable, "-m", "jobs.delivery_inventory", "--input", f"{sf}/documents.parquet", "--output", str(tmp_path / "out"), "--checkpoint", str(tmp_path / "mark"), "--config", str(config)]
+    first, second = (subprocess.run(call, capture_output=True, text=True, check=True).stderr for _ in range(2))
+    assert "read 0 new documents" not in first and "wrote" in first and "documents," in first
+    assert "read 0 new documents" in second and "nothing new" in second
+
+
 def test_jobs_do_not_need_the_llm_subpackage():
     code = "import sys; import jobs.delivery_inventory, jobs.grant_returns; sys.exit(any('llm' in m or m == 'corpus_pipeline' for m in sys.modules))"
     assert subprocess.run([sys.executable, "-c", code], check=False).returncode == 0
