@@ -21,7 +21,7 @@ a block and number of blocks (one row each is broadcast) both grow with the root
 doc_ids are dealt into blocks by text hash.
 
 Defined results: null texts count as empty. Rows that repeat a doc_id are documents of their own,
-ordered by text. A null doc_id sorts after all others. With one row, the next document is the row
+ordered by text hash. A null doc_id sorts after all others. With one row, the next document is the row
 itself. An empty table gives an empty result. Extra columns are ignored.
 """
 
@@ -158,19 +158,22 @@ def _block_of(docs: DataFrame) -> Column:
     rows = max(BLOCK_ROWS, math.isqrt(whole["all"]))
     cells = max(1, min(CELLS, n // rows))
     width = max(1, -(-(hi - lo + 1) // cells))
-    cell = F.floor((F.col("doc_id") - F.lit(lo)) / F.lit(width)).cast("int")
+    # differences of ids that span more than a bigint are taken as doubles: blocks stay in order
+    wide = hi - lo >= (1 << 63) - 1
+    number, doc_id = (float, F.col("doc_id").cast("double")) if wide else (int, F.col("doc_id"))
+    cell = F.floor((doc_id - F.lit(number(lo))) / F.lit(number(width))).cast("int")
     found = {r["cell"]: r for r in docs.where("doc_id is not null").groupBy(cell.alias("cell")).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("doc_id").alias("n")).collect()}  # at most CELLS rows
     base, first, step, at = [], [], [], 1
     for c in range(cells + 1):
         r = found.get(c)
         parts = max(1, r["n"] // rows) if r else 1
         base.append(at)
-        first.append(r["lo"] if r else 0)
-        step.append(max(1, -(-(r["hi"] - r["lo"] + 1) // parts)) if r else 1)
+        first.append(number(r["lo"] if r else 0))
+        step.append(number(max(1, -(-(r["hi"] - r["lo"] + 1) // parts)) if r else 1))
         at += parts
     arrays = [F.lit(a) for a in (base, first, step)]
     i = cell + 1
-    known = F.element_at(arrays[0], i) + F.floor((F.col("doc_id") - F.element_at(arrays[1], i)) / F.element_at(arrays[2], i))
+    known = F.element_at(arrays[0], i) + F.floor((doc_id - F.element_at(arrays[1], i)) / F.element_at(arrays[2], i))
     unknown = F.floor((F.col("tie").cast("double") / float(1 << 64) + F.lit(0.5)) * F.lit(float(max(1, (whole["all"] - n) // rows))))
     return F.coalesce(known, -unknown).cast("bigint")
 
