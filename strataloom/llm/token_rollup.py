@@ -26,7 +26,7 @@ would recurse over a whole run), so their tokens are those of the pieces.
 
 Defined results: null texts count 0; null source or language are groups of their own. A null
 doc_id can be inserted but not found again, hence not deleted or revised. Rows of a batch that
-repeat a doc_id are counted each. Empty batches commit and change nothing. Extra columns are
+repeat a doc_id are counted each. Empty batches commit and change nothing; an empty batch id is refused. Extra columns are
 ignored.
 """
 
@@ -38,6 +38,7 @@ import json
 import re
 import uuid
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,8 @@ GROUP = ["source", "lang", "tokenizer"]
 MEASURES = ["n_docs", "n_tokens", "n_words", "n_chars"]
 BROADCAST_IDS = 1_000_000
 MAX_SPACES = 4096
+#: Length of a file name that stores allow, less some.
+MAX_NAME = 240
 _DELTA_SCHEMA = "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint, n_words bigint, n_chars bigint"
 _COUNT_SCHEMA = f"doc_id bigint, {_DELTA_SCHEMA}"
 
@@ -97,6 +100,16 @@ def count_documents(docs: DataFrame, version: str, path: str = TOKENIZER) -> Dat
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), "text").mapInArrow(rows, _COUNT_SCHEMA)
 
 
+def _file_name(batch_id: str) -> str:
+    """The id with all but letters, digits and - percent-encoded: an id that begins with _ or . or holds
+    a / would be hidden, or nested, under its own name."""
+    raw = batch_id.encode("utf-8", "surrogatepass")
+    name = re.sub(rb"[^A-Za-z0-9-]", lambda m: b"%%%02X" % ord(m[0]), raw).decode()
+    if not 0 < len(name) <= MAX_NAME:
+        raise ValueError(f"a batch id has 1 to {MAX_NAME} characters (others than letters, digits and - count three), not {len(name)}")
+    return name
+
+
 class TokenRollup:
     """The rollup in a folder (by default a new one in the session's shared folder)."""
 
@@ -146,7 +159,7 @@ class TokenRollup:
 
     def committed(self) -> list[str]:
         """Ids of the committed batches, in order."""
-        return self._names("commits")
+        return sorted(unquote(n, errors="surrogatepass") for n in self._names("commits"))
 
     def _base(self) -> dict:
         """The newest base: its number, its folder (null at first), and the batches it holds."""
@@ -157,7 +170,7 @@ class TokenRollup:
         """Rows of a table, of all committed batches or of the given ones (which hold those of the base)."""
         base = self._base()
         later = sorted(set(self.committed() if done is None else done) - set(base["batches"]))
-        folders = [base["folder"]] * bool(base["folder"]) + [self._load(f"commits/{b}")["folder"] for b in later]
+        folders = [base["folder"]] * bool(base["folder"]) + [self._load(f"commits/{_file_name(b)}")["folder"] for b in later]
         found = [f"{self.path}/data/{f}/{part}" for f in folders]
         return self.spark.read.schema(schema).parquet(*found) if found else self.spark.createDataFrame([], schema)
 
@@ -179,9 +192,10 @@ class TokenRollup:
 
         Returns False, and changes nothing, if the batch id is committed already.
         """
+        name = _file_name(batch_id)
         if batch_id in self.committed():
             return False
-        folder = f"{batch_id}-{uuid.uuid4().hex}"
+        folder = f"batch-{uuid.uuid4().hex}"
         signed = self.spark.createDataFrame([], _COUNT_SCHEMA)
         touched = [d.select(F.col("doc_id").cast("bigint").alias("doc_id")) for d in (upserts, deletes) if d is not None]
         if touched and self.committed():
@@ -193,7 +207,7 @@ class TokenRollup:
         signed.write.parquet(f"{self.path}/data/{folder}/counts")
         rows = self.spark.read.schema(_COUNT_SCHEMA).parquet(f"{self.path}/data/{folder}/counts")
         rows.groupBy(*GROUP).agg(*[F.sum(m).alias(m) for m in MEASURES]).write.parquet(f"{self.path}/data/{folder}/deltas")
-        return self._put(f"commits/{batch_id}", {"folder": folder})
+        return self._put(f"commits/{name}", {"folder": folder})
 
     def compact(self) -> bool:
         """Folds all committed batches into a new base; False if there are none, or another run was first."""

@@ -109,6 +109,22 @@ def test_spotsigs_query_contract(spark, tmp_path):
     assert {r["edited_sha256"] for r in got[3:]} == {hashlib.sha256(b"a a").hexdigest(), hashlib.sha256(b"a t").hexdigest()}
 
 
+def test_spotsigs_ids_at_both_ends_of_bigint(spark, tmp_path, monkeypatch):
+    top, words_ = (1 << 63) - 1, words(5, 40)
+    ids = [-top - 1, -top, -5, 0, 7, top - 4096, top - 1, top]
+    rows = [(i, f"the {' of '.join(words_[k : k + 6])}", "a") for k, i in enumerate(ids)] + [(None, "the null one", "a")]
+    docs(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    texts = {i: t for i, t, _ in rows}
+    order = [*sorted(ids, reverse=True), None]
+    for block_rows in (spotsigs.BLOCK_ROWS, 2):
+        monkeypatch.setattr(spotsigs, "BLOCK_ROWS", block_rows)
+        got = {r["doc_id"]: r["edited_sha256"] for r in spotsigs.op2_spot_fingerprints(spark, str(tmp_path)).collect()}
+        for k, i in enumerate(order):
+            t, after = texts[i], texts[order[(k + 1) % len(order)]]
+            half = len(t) // 2
+            assert got[i] == hashlib.sha256((t[: len(t) - half] + after[:half]).encode()).hexdigest()
+
+
 def test_spotsigs_pairs_equal_brute_force(spark):
     base = "the " + " of ".join(words(1, 60))
     near = base.replace(words(1, 60)[30], "changed")
@@ -512,6 +528,19 @@ def test_token_rollup_is_reversible_and_idempotent(spark, tmp_path):
     assert {tuple(x) for x in r.totals().collect()} == first
 
 
+def test_token_rollup_reads_batches_of_any_id(spark, tmp_path):
+    r = token_rollup.TokenRollup(spark, str(tmp_path / "r"))
+    ids = ["_b", ".b", "a/b", "../up", "b%2F", "100%", "é ", "_staged", "a:b?*", "x" * 240]
+    for i, b in enumerate(ids):
+        assert r.apply(b, upserts=docs(spark, [(i, "one two", "x")])) and not r.apply(b, upserts=docs(spark, [(i, "one two", "x")]))
+    assert r.committed() == sorted(ids)
+    assert [(x["n_docs"], x["n_words"]) for x in r.totals().collect()] == [(len(ids), 2 * len(ids))]
+    assert r.compact() and [(x["n_docs"], x["n_words"]) for x in r.totals().collect()] == [(len(ids), 2 * len(ids))]
+    for b in ("", "x" * 241, "é" * 41):
+        with pytest.raises(ValueError, match="batch id"):
+            r.apply(b, upserts=docs(spark, [(1, "one", "x")]))
+
+
 def test_token_counts_equal_a_second_tokenizer():
     from tokenizers import Tokenizer
 
