@@ -5,11 +5,10 @@ from __future__ import annotations
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strataloom.functions import expr as E
-from strataloom.operators import stats
+from strataloom.operators import ranking, stats
 
 KEYS = list(stats.KEYS)
 
@@ -44,9 +43,7 @@ def zscore(cells: DataFrame) -> DataFrame:
 def rank_inverse_normal(cells: DataFrame) -> DataFrame:
     """value_t: Blom scores of average ranks per feature; features of three values or less get null."""
     have = cells.where(F.col("value").isNotNull())
-    k = F.count(F.lit(1)).over(W.partitionBy(*KEYS))
-    # the window columns first: the quantile names its argument many times
-    ranked = have.withColumns({"_rank": E.average_rank("value", *KEYS), "_k": k}).withColumn("_p", (F.col("_rank") - 0.375) / (F.col("_k") + 0.25))
+    ranked = ranking.average_rank(have, KEYS, name="_rank", size="_k").withColumn("_p", (F.col("_rank") - 0.375) / (F.col("_k") + 0.25))
     scored = ranked.withColumn("value_t", F.when(F.col("_k") > 3, E.norm_ppf("_p"))).drop("_rank", "_k", "_p")
     return scored.unionByName(cells.where(F.col("value").isNull()).withColumn("value_t", F.lit(None).cast("double")))
 

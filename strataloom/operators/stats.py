@@ -10,11 +10,12 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strataloom.functions import expr as E
 from strataloom.model import MAX_LOCATION_RANGE, MAX_SPREAD_RATIO, MIN_PRESENT, MIN_SKEW_VALUES, SKEW_TOLERANCE
+from strataloom.operators import ranking
+from strataloom.operators.lineage import cut
 
 KEYS = ("stratum_key", "feature_key")
 
@@ -31,9 +32,8 @@ def sample_counts(samples: DataFrame) -> DataFrame:
 
 def feature_stats(cells: DataFrame) -> DataFrame:
     """n, mean, sd (n-1), median and skew of each feature in its stratum."""
-    return cells.where(F.col("value").isNotNull()).groupBy(*KEYS).agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"), F.median("value").alias("median"), E.sample_skew("value").alias("skew")
-    )
+    found = ranking.medians(cells, list(KEYS), F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"), E.sample_skew("value").alias("skew"))
+    return found.select(*KEYS, "n", "mean", "sd", "median", "skew")
 
 
 def presence(cells: DataFrame, samples: DataFrame, min_present: float = MIN_PRESENT) -> DataFrame:
@@ -80,9 +80,7 @@ def diagnostics_of(feature_rows: DataFrame) -> DataFrame:
     return out.withColumn("normality_ok", F.col("median_abs_skew") <= SKEW_TOLERANCE)
 
 
-#: Probabilities of percentiles(), and how far in rank its brackets reach beyond what the sketch may err.
 PROBABILITIES = (0.01, 0.5, 0.99)
-SKETCH_ACCURACY = 10_000
 
 
 def percentiles(cells: DataFrame) -> DataFrame:
@@ -90,26 +88,17 @@ def percentiles(cells: DataFrame) -> DataFrame:
 
     Two passes: a mergeable sketch brackets each percentile to a few values in ten thousand (wide open
     where a stratum has less than twice that many); then the rows below each bracket are counted, and only
-    values inside it are ranked, after equal ones are counted together. No task holds a stratum's values.
+    values inside it are ranked. No task holds a stratum's values.
     """
     v = cells.where(F.col("value").isNotNull()).select("stratum_key", F.col("value").cast("double").alias("value"))
-    reach = 2.0 / SKETCH_ACCURACY
+    reach, k = 2.0 / ranking.ACCURACY, len(PROBABILITIES)
     ends = [max(0.0, q - reach) for q in PROBABILITIES] + [min(1.0, q + reach) for q in PROBABILITIES]
-    k, few = len(PROBABILITIES), F.col("n") <= 2 * SKETCH_ACCURACY
-    found = v.groupBy("stratum_key").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("value", ends, SKETCH_ACCURACY).alias("e"))
+    found = cut(v.groupBy("stratum_key").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("value", ends, ranking.ACCURACY).alias("e")))
+    few = F.col("n") <= 2 * ranking.ACCURACY
     each = [F.struct(F.lit(i).alias("i"), ((F.col("n") - 1) * q).alias("at"), F.when(few, F.lit(-math.inf)).otherwise(F.get("e", F.lit(i))).alias("lo"), F.when(few, F.lit(math.inf)).otherwise(F.get("e", F.lit(k + i))).alias("hi")) for i, q in enumerate(PROBABILITIES)]
-    brackets = F.broadcast(found.select("stratum_key", F.array(*each).alias("b")))  # one row for each stratum
-    met = v.join(brackets, "stratum_key").select("stratum_key", "value", F.explode("b").alias("b")).where(F.col("value") <= F.col("b.hi"))
-    inside = F.col("value") >= F.col("b.lo")
-    counted = met.groupBy("stratum_key", "b", F.when(inside, F.col("value")).alias("value")).agg(F.count(F.lit(1)).alias("m"))
-    w = W.partitionBy("stratum_key", "b").orderBy(F.col("value").asc_nulls_first())
-    ranked = counted.withColumn("last", F.sum("m").over(w) - 1).withColumn("first", F.col("last") - F.col("m") + 1).where(F.col("value").isNotNull())
-    at, below = F.col("b.at"), F.floor(F.col("b.at"))
-    has = lambda rank: (F.col("first") <= rank) & (F.col("last") >= rank)
-    ends_of = ranked.groupBy("stratum_key", "b").agg(F.max(F.when(has(below), F.col("value"))).alias("x"), F.max(F.when(has(F.ceil(at)), F.col("value"))).alias("y"))
-    value = F.col("x") + (F.col("y") - F.col("x")) * (at - below)
-    names = [f"p{round(q * 100)}" for q in PROBABILITIES]
-    return ends_of.groupBy("stratum_key").agg(*[F.max(F.when(F.col("b.i") == i, value)).alias(n) for i, n in enumerate(names)])
+    brackets = found.select("stratum_key", F.inline(F.array(*each)))
+    places = ranking.selected(v, brackets, ["stratum_key"])
+    return places.groupBy("stratum_key").agg(*[F.max(F.when(F.col("i") == i, F.col("x"))).alias(f"p{round(q * 100)}") for i, q in enumerate(PROBABILITIES)])
 
 
 def sparsity(cells: DataFrame, samples: DataFrame) -> DataFrame:
@@ -124,7 +113,7 @@ def sparsity(cells: DataFrame, samples: DataFrame) -> DataFrame:
 
 def plex_centres(ratios: DataFrame) -> DataFrame:
     """Centre of each feature: the median of its per-plex medians."""
-    per_plex = ratios.where(F.col("value").isNotNull()).groupBy(*KEYS, "plex").agg(F.median("value").alias("m"))
+    per_plex = ranking.medians(ratios, [*KEYS, "plex"], name="m")
     return per_plex.groupBy(*KEYS).agg(F.median("m").alias("centre"), F.count(F.lit(1)).alias("n_plexes"))
 
 

@@ -9,7 +9,7 @@ from strataloom.functions import expr as E
 from strataloom.operators import features as FE
 from strataloom.operators import layer as L
 from strataloom.operators import policy as P
-from strataloom.operators import stats
+from strataloom.operators import ranking, stats
 from strataloom.plans import oracles as O
 from strataloom.sources import tables as T
 
@@ -169,7 +169,28 @@ def rank_inverse_normal(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH c AS ({O.READINGS}), q AS ({_RANKED}) SELECT feature_key, specimen_id, rk::DOUBLE AS average_rank FROM q")
 def average_rank(spark: SparkSession, d: str) -> DataFrame:
-    return T.readings(spark, d).select("feature_key", "specimen_id", E.average_rank("value", "stratum_key", "feature_key").cast("double").alias("average_rank"))
+    return ranking.average_rank(T.readings(spark, d), list(stats.KEYS)).select("feature_key", "specimen_id", F.col("average_rank").cast("double").alias("average_rank"))
+
+
+_LARGE = "SELECT l_returnflag, l_linestatus, l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem"
+
+
+@query(f"SELECT l_returnflag, l_linestatus, count(*) AS n, round(median(l_extendedprice), 6) AS median FROM ({_LARGE}) GROUP BY ALL")
+def large_group_medians(spark: SparkSession, d: str) -> DataFrame:
+    """Four groups of lines, the largest of them beyond what a sketch holds exactly."""
+    return rounded(ranking.medians(T.table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], value="l_extendedprice"))
+
+
+@query(
+    f"SELECT l_returnflag, l_orderkey, l_linenumber, rank() OVER w + (count(*) OVER (PARTITION BY l_returnflag, l_extendedprice) - 1) / 2 AS by_price, rank() OVER q + (count(*) OVER (PARTITION BY l_returnflag, l_quantity) - 1) / 2 AS by_quantity "
+    f"FROM ({_LARGE}) WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_extendedprice), q AS (PARTITION BY l_returnflag ORDER BY l_quantity)"
+)
+def large_group_ranks(spark: SparkSession, d: str) -> DataFrame:
+    """Ranks in three groups of all lines: by price (nearly all different) and by quantity (50 values)."""
+    lines = T.table(spark, d, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    out = ranking.average_rank(lines, ["l_returnflag"], "l_extendedprice", "by_price")
+    out = ranking.average_rank(out, ["l_returnflag"], "l_quantity", "by_quantity")
+    return out.select("l_returnflag", "l_orderkey", "l_linenumber", F.col("by_price").cast("double").alias("by_price"), F.col("by_quantity").cast("double").alias("by_quantity"))
 
 
 @query(
@@ -272,7 +293,7 @@ def sparsity(spark: SparkSession, d: str) -> DataFrame:
 )
 def missingness_cross_check(spark: SparkSession, d: str) -> DataFrame:
     readings = T.readings(spark, d)
-    lod = readings.groupBy("feature_key").agg((F.percentile("value", F.lit(0.25)) * 1.5).alias("lod"))
+    lod = ranking.quantile(readings, ["feature_key"], 0.25, name="lod").withColumn("lod", F.col("lod") * 1.5)
     ours = FE.below_lod_features(readings.join(F.broadcast(lod), "feature_key"))  # one limit per event type
     vendor = readings.groupBy("feature_key").agg((F.count_if(F.col("value") < 5) / F.count(F.lit(1))).alias("missing_freq"))
     out = stats.missingness_agreement(ours.join(vendor, "feature_key"))

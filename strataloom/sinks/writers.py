@@ -8,8 +8,6 @@ from __future__ import annotations
 
 import io
 import json
-import re
-import tempfile
 import zipfile
 from xml.sax.saxutils import escape
 
@@ -18,6 +16,7 @@ from pyspark.sql import functions as F
 
 from strataloom.operators import layer as L
 from strataloom.operators.contract import gated
+from strataloom.operators.lineage import shared_folder as shared_folder
 
 
 def _fs(spark: SparkSession, path: str):
@@ -36,14 +35,6 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one in local sessions only."""
-    found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not found and not re.match(r"local($|\[)", spark.sparkContext.master):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return found or tempfile.gettempdir()
-
-
 def write_sheet(spark: SparkSession, path: str, rows: list[list]) -> None:
     """A workbook of one sheet of strings and numbers; nulls are empty cells."""
 

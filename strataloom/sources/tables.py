@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataloom.functions import expr as E
+from strataloom.operators import ranking
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,7 +47,7 @@ def cohorts(spark: SparkSession, d: str) -> DataFrame:
 def panel(spark: SparkSession, d: str) -> DataFrame:
     """One long-form stratum with limits of detection: mean value by event type and user."""
     ev = table(spark, d, "events")
-    lod = ev.groupBy(F.col("event_type").alias("feature_key")).agg(F.percentile("value", F.lit(0.25)).alias("lod"))
+    lod = ranking.quantile(ev.withColumnRenamed("event_type", "feature_key"), ["feature_key"], 0.25, name="lod")
     g = ev.groupBy(F.col("event_type").alias("feature_key"), F.col("user_id").cast("string").alias("specimen_id")).agg(F.avg("value").alias("value"))
     return g.join(F.broadcast(lod), "feature_key").withColumn("stratum_key", F.lit("events"))  # one row per event type
 
