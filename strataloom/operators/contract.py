@@ -39,6 +39,34 @@ def gated(df: DataFrame) -> DataFrame:
     return df
 
 
+def read_columns(df: DataFrame) -> list[str]:
+    """Columns that the plan of df takes from its sources, after pruning: those of the leaves of the
+    physical plan and of its subqueries. Nothing runs."""
+    found, todo = {}, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        plan = todo.pop()
+        if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            plan = plan.initialPlan()
+        for part in (plan.collectLeaves(), plan.subqueriesAll()):
+            for i in range(part.size()):
+                node = part.apply(i)
+                if node.getClass().getSimpleName() in ("AdaptiveSparkPlanExec", "SubqueryExec", "SubqueryBroadcastExec", "SubqueryAdaptiveBroadcastExec", "ReusedSubqueryExec"):
+                    todo.append(node if node.children().isEmpty() else node.children().apply(0))
+                else:
+                    out = node.output()
+                    found |= {out.apply(j).name(): None for j in range(out.size())}
+    return list(found)
+
+
+def guarded(df: DataFrame) -> DataFrame:
+    """The frame itself, if its plan reads no denied column; raises before any file is opened. A
+    column that pruning leaves out is not read, and does not count."""
+    found = denied(read_columns(df))
+    if found:
+        raise ScopeError(f"the plan reads columns outside of the permitted scope: {found}")
+    return df
+
+
 def undeclared(columns: list[str], layers: list[LayerSpec]) -> list[str]:
     """Columns outside the declared surface of all layers; reported, never enforced."""
     declared = set(EXTRA_DECLARED).union(*[x.columns() for x in layers])

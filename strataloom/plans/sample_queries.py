@@ -348,3 +348,23 @@ def audit_rows(spark: SparkSession, d: str) -> DataFrame:
 @query(_AUDIT + "SELECT count(*) AS n_checks, count(*) FILTER (verdict = 'PASS') AS n_pass, count(*) FILTER (verdict = 'FAIL') AS n_fail, count(*) FILTER (verdict = 'UNVERIFIABLE') AS n_unverifiable FROM a")
 def audit_summary(spark: SparkSession, d: str) -> DataFrame:
     return checks.summarise(checks.run(spark, _audit_context(spark, d)))
+
+
+_DENIED_SQL = "(" + " OR ".join(f"n LIKE '%{x}%'" for x in DENIED) + ") AND n NOT IN (" + ", ".join(f"'{contract.normalized(x)}'" for x in DENY_EXEMPT) + ")"
+
+
+@query(
+    "SELECT regexp_extract(url, '://([^/]+)', 1) AS host, count(*) AS n_pages, sum(length(html))::BIGINT AS n_chars, "
+    f"(SELECT string_agg(column_name, ',' ORDER BY column_name) FROM (SELECT column_name, regexp_replace(lower(column_name), '[^a-z0-9]', '', 'g') AS n FROM information_schema.columns WHERE table_name = 'pages') WHERE {_DENIED_SQL}) AS refused FROM pages GROUP BY 1"
+)
+def plan_scope_guard(spark: SparkSession, d: str) -> DataFrame:
+    """Pages by host: the plan that reads the denied column is refused unread, the plan that prunes it runs."""
+    pages = T.table(spark, d, "pages")
+    by_host = lambda df: df.groupBy(F.regexp_extract("url", "://([^/]+)", 1).alias("host"))
+    try:
+        contract.guarded(by_host(pages).agg(F.max("page_id").alias("last")))
+        refused = ""
+    except contract.ScopeError:
+        refused = ",".join(sorted(contract.denied(pages.columns)))
+    allowed = contract.guarded(by_host(pages).agg(F.count(F.lit(1)).alias("n_pages"), F.sum(F.length("html")).cast("bigint").alias("n_chars")))
+    return allowed.withColumn("refused", F.lit(refused))

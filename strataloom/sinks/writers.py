@@ -14,7 +14,7 @@ from xml.sax.saxutils import escape
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataloom.operators import layer as L
+from strataloom.operators import wide
 from strataloom.operators.contract import gated
 from strataloom.operators.lineage import shared_folder as shared_folder
 
@@ -74,7 +74,11 @@ def emit(df: DataFrame, path: str, tsv: bool = True) -> None:
     """Parquet with zstd, and a tab-separated mirror with gzip."""
     gated(df).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}.parquet")
     if tsv:
-        df.write.mode("overwrite").option("sep", "\t").option("header", True).option("compression", "gzip").csv(f"{path}.tsv")
+        mirror(df, path)
+
+
+def mirror(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("sep", "\t").option("header", True).option("compression", "gzip").csv(f"{path}.tsv")
 
 
 def write_cells(cells: DataFrame, path: str, layer: str) -> None:
@@ -88,14 +92,17 @@ def write_bundle(cells: DataFrame, samples: DataFrame, features: DataFrame, path
     """Wide features x specimens matrix, its tables, and a sidecar that says how to join them.
 
     Headers are specimen ids, or row keys where specimen ids repeat. The header list is a layer's
-    samples, which are columns by definition of the format.
+    samples, which are columns by definition of the format. The tab-separated mirror is made from the matrix as
+    written, so that the cells are computed once.
     """
     spark = cells.sparkSession
     ids = samples.select("specimen_id", "row_key", "sample_ordinal").orderBy("sample_ordinal").collect()
     unique = len({r["specimen_id"] for r in ids}) == len(ids)
     surface = "value_z" if z_applied else "value"
     keyed = cells if unique else cells.join(samples.select("specimen_id", "row_key"), "specimen_id").drop("specimen_id").withColumnRenamed("row_key", "specimen_id")
-    emit(L.wide_matrix(keyed, [r["specimen_id" if unique else "row_key"] for r in ids], surface).orderBy("feature_key"), f"{path}/matrix")
+    matrix = wide.wide_rows(keyed, [r["specimen_id" if unique else "row_key"] for r in ids], surface)
+    emit(matrix, f"{path}/matrix", tsv=False)
+    mirror(spark.read.schema(matrix.schema).parquet(f"{path}/matrix.parquet"), f"{path}/matrix")
     emit(samples.drop("sample_ordinal"), f"{path}/samples")
     emit(features, f"{path}/features")
     info = {"value_surface": surface, "column_basis": "specimen_id" if unique else "row_key", "n_specimens": len(ids), "join": {"matrix.columns": "samples.specimen_id" if unique else "samples.row_key", "matrix.feature_key": "features.feature_key"}}

@@ -245,3 +245,25 @@ def test_percentiles_equal_sorting(spark):
     assert set(got) == set(sets)
     for k, x in sets.items():
         assert got[k] == pytest.approx(tuple(np.quantile(x, [0.01, 0.5, 0.99])), rel=1e-12, abs=1e-12), k
+
+
+def test_plan_guard_sees_what_is_read_and_not_what_is_pruned(spark, sf, tmp_path):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    other = pages.select("url").distinct()
+    fine = [pages.select("url"), pages.groupBy("url").count(), pages.join(other, "url").select("html"), pages.drop("page_id"), spark.range(3)]
+    for df in fine:
+        assert contract.guarded(df) is df
+    pages.createOrReplaceTempView("guarded_pages")
+    assert sorted(contract.read_columns(spark.sql("SELECT url FROM guarded_pages WHERE length(url) > (SELECT avg(length(html)) FROM guarded_pages)"))) == ["html", "url"]
+    hidden = "SELECT url FROM guarded_pages WHERE length(url) > (SELECT avg(page_id) FROM guarded_pages)"
+    for df in (pages, pages.where("page_id > 3").select("url"), pages.groupBy("url").agg({"page_id": "max"}), pages.orderBy("page_id").select("url"), spark.sql(hidden)):
+        with pytest.raises(contract.ScopeError, match="page_id"):
+            contract.guarded(df)
+    # refused by the plan alone: the file is gone, and nothing tries to open it
+    copy = str(tmp_path / "gone.parquet")
+    pages.write.parquet(copy)
+    df = spark.read.parquet(copy)
+    for f in (tmp_path / "gone.parquet").glob("part-*"):
+        f.unlink()
+    with pytest.raises(contract.ScopeError):
+        contract.guarded(df)
