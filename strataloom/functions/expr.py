@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -117,19 +117,34 @@ _E = (6.65790464350110377720e0, 5.46378491116411436990e0, 1.78482653991729133580
 _F = (1.0, 5.99832206555887937690e-1, 1.36929880922735805310e-1, 1.48753612908506148525e-2, 7.86869131145613259100e-4, 1.84631831751005468180e-5, 1.42151175831644588870e-7, 2.04426310338993978564e-15)
 
 
-def norm_ppf(p) -> Column:
-    """Normal quantile of a probability, null outside of (0, 1)."""
-    p = _c(p)
-    q = p - 0.5
-    small = F.lit(0.180625) - q * q
+def _quantile(p: Column, q: Column, small: Column, r: Column) -> Column:
     centre = q * _poly(small, _A) / _poly(small, _B)
-    r = F.sqrt(-F.log(F.when(q < 0, p).otherwise(F.lit(1.0) - p)))
     near, far = r - 1.6, r - 5.0
     tail = F.when(r <= 5.0, _poly(near, _C) / _poly(near, _D)).otherwise(_poly(far, _E) / _poly(far, _F))
     out = F.when(F.abs(q) <= 0.425, centre).otherwise(F.when(q < 0, -tail).otherwise(tail))
     return F.when((p > 0) & (p < 1), out)
 
 
+def _parts(p: Column, q: Column) -> tuple[Column, Column]:
+    return F.lit(0.180625) - q * q, F.sqrt(-F.log(F.when(q < 0, p).otherwise(F.lit(1.0) - p)))
+
+
+def norm_ppf(p) -> Column:
+    """Normal quantile of a probability, null outside of (0, 1)."""
+    p = _c(p)
+    q = p - 0.5
+    return _quantile(p, q, *_parts(p, q))
+
+
+def with_norm_ppf(df: DataFrame, p: str, name: str) -> DataFrame:
+    """df with the normal quantile of column p. Its parts are columns first: written out, each would stand some
+    dozens of times in one expression, beyond what one compiled method may hold."""
+    staged = df.withColumn("_q", F.col(p) - 0.5)
+    small, r = _parts(F.col(p), F.col("_q"))
+    staged = staged.withColumns({"_s": small, "_r": r})
+    return staged.withColumn(name, _quantile(F.col(p), F.col("_q"), F.col("_s"), F.col("_r"))).drop("_q", "_s", "_r")
+
+
 def norm_ppf_sql(p: str) -> str:
     """The same formula as SQL text."""
 

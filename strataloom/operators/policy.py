@@ -44,7 +44,8 @@ def rank_inverse_normal(cells: DataFrame) -> DataFrame:
     """value_t: Blom scores of average ranks per feature; features of three values or less get null."""
     have = cells.where(F.col("value").isNotNull())
     ranked = ranking.average_rank(have, KEYS, name="_rank", size="_k").withColumn("_p", (F.col("_rank") - 0.375) / (F.col("_k") + 0.25))
-    scored = ranked.withColumn("value_t", F.when(F.col("_k") > 3, E.norm_ppf("_p"))).drop("_rank", "_k", "_p")
+    ranked = ranked.withColumn("_p", F.when(F.col("_k") > 3, F.col("_p")))
+    scored = E.with_norm_ppf(ranked, "_p", "value_t").drop("_rank", "_k", "_p")
     return scored.unionByName(cells.where(F.col("value").isNull()).withColumn("value_t", F.lit(None).cast("double")))
 
 

@@ -15,6 +15,7 @@ from strataloom.operators import samples as S
 from strataloom.plans import oracles as O
 from strataloom.plans.matrix_queries import r
 from strataloom.sources import manifest as M
+from strataloom.sources import readers as R
 from strataloom.sources import tables as T
 
 QUERIES: dict = {}
@@ -368,3 +369,13 @@ def plan_scope_guard(spark: SparkSession, d: str) -> DataFrame:
         refused = ",".join(sorted(contract.denied(pages.columns)))
     allowed = contract.guarded(by_host(pages).agg(F.count(F.lit(1)).alias("n_pages"), F.sum(F.length("html")).cast("bigint").alias("n_chars")))
     return allowed.withColumn("refused", F.lit(refused))
+
+
+@query(
+    f"WITH c AS ({O.MIXED.format(feature='p_brand')}), n AS (SELECT stratum_key, count(DISTINCT feature_key) AS n FROM c GROUP BY 1), s AS (SELECT stratum_key, specimen_id, count(value) AS d, count(value) / any_value(n) AS rate FROM c JOIN n USING (stratum_key) GROUP BY 1, 2) "
+    "SELECT count(*) AS n_dropped, array_to_string(list(d ORDER BY d)[1:5], ',') AS lowest FROM s WHERE rate < 0.5"
+)
+def lowest_five_samples(spark: SparkSession, d: str) -> DataFrame:
+    """How many of all samples are incomplete, and the five lowest counts among them."""
+    out = R.dropped_samples(stats.complete_samples(T.mixed_scales(spark, d, "p_brand"), 0.5))
+    return out.select("n_dropped", F.array_join(F.transform("lowest_counts", lambda x: x.cast("string")), ",").alias("lowest"))

@@ -229,5 +229,50 @@ def dia(spark: SparkSession, s: Stratum) -> StratumFrames:
     feats = every.join(seen, "feature_source_value", "left_semi").withColumn("uniprot_raw", F.col("feature_source_value"))
     cells = cells.join(feats.select("feature_source_value"), "feature_source_value", "left_semi")
     empty = every.join(seen, "feature_source_value", "left_anti").agg(F.count(F.lit(1)).alias("n"))
-    dropped = found.where(~F.col("kept")).agg(F.count(F.lit(1)).alias("n_dropped"), F.slice(F.array_sort(F.collect_list("n_detected")), 1, 5).alias("lowest_counts"))
+    dropped = dropped_samples(found)
     return StratumFrames(s, cells, samples, feats, {"transform": "log2", "samples_dropped_low_completeness": dropped, "n_features_dropped_empty": empty, "source_form": "long"})
+
+
+@register("long_cells")
+@leaves(n_samples_by_warn_count="qc_warning", samples_dropped_low_completeness="completeness")
+def long_cells(spark: SparkSession, s: Stratum) -> StratumFrames:
+    """A Parquet delivery that is long already: folders cells, samples and features under one path.
+
+    cells: feature_source_value, specimen_source_value, value, lod; the others by their source values, in the order of
+    src_ordinal. Withdrawn plates (plate_id) go, then incomplete samples if a limit is declared, then features
+    without a value; columns of quality, where the delivery has them, leave their notes.
+    """
+    base = _path(s).rstrip("/")
+    cells, samples, feats = (spark.read.parquet(f"{base}/{part}") for part in ("cells", "samples", "features"))
+    notes: dict = {"source_form": "long"}
+    plates = s.source.options.get("withdrawn_plates")
+    if plates:
+        kept, notes["withdrawn_samples"] = S.withdraw_plates(samples.withColumnsRenamed({"specimen_source_value": "sample_id", "person_source_value": "participant_id"}), list(plates), "plate_id")
+        samples = kept.withColumnsRenamed({"sample_id": "specimen_source_value", "participant_id": "person_source_value"})
+    if "is_pool" in samples.columns:
+        notes["control_wells_flagged"] = samples.agg(F.count_if("is_pool").alias("n_flagged"), F.count(F.lit(1)).alias("n_samples"))
+    limit = s.source.options.get("min_sample_completeness")
+    cells = cells.withColumn("value", E.finite("value")).join(samples.select("specimen_source_value"), "specimen_source_value", "left_semi")
+    if limit is not None:
+        found = stats.complete_samples(cells.select(F.lit(s.key).alias("stratum_key"), F.col("feature_source_value").alias("feature_key"), F.col("specimen_source_value").alias("specimen_id"), "value"), limit)
+        notes["samples_dropped_low_completeness"] = dropped_samples(found)
+        gone = found.where(~F.col("kept")).select(F.col("specimen_id").alias("specimen_source_value"))
+        samples, cells = (x.join(gone, "specimen_source_value", "left_anti") for x in (samples, cells))
+    seen = cells.where(F.col("value").isNotNull()).select("feature_source_value").distinct()
+    notes["n_features_dropped_empty"] = feats.join(seen, "feature_source_value", "left_anti").agg(F.count(F.lit(1)).alias("n"))
+    feats = feats.join(seen, "feature_source_value", "left_semi")
+    if "colcheck" in feats.columns:
+        notes["colcheck_counts"] = feats.groupBy("colcheck").agg(F.count(F.lit(1)).alias("n"))
+    if "qc_warn_count" in samples.columns:
+        notes["n_samples_by_warn_count"] = samples.groupBy("qc_warn_count").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        notes["sample_level_qc_in_deposit"] = None
+    return StratumFrames(s, cells.select("feature_source_value", "specimen_source_value", "value", "lod"), samples, feats, notes)
+
+
+def dropped_samples(found: DataFrame, k: int = 5) -> DataFrame:
+    """One row: how many samples of stats.complete_samples are dropped, and the k lowest counts of features
+    among them: an ordered take, not a list of all."""
+    gone = found.where(~F.col("kept"))
+    lowest = gone.select("n_detected").orderBy("n_detected").limit(k).agg(F.array_sort(F.collect_list("n_detected")).alias("lowest_counts"))
+    return gone.agg(F.count(F.lit(1)).alias("n_dropped")).join(lowest, F.lit(True), "left")

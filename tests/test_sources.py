@@ -249,3 +249,33 @@ def test_conflicts_and_exclusions_reach_the_audit(spark):
     c = {"strata": [{"stratum": st, "platforms_observed": {"Exploris": 4}, "acquisition_observed": {"resolution": {"30000": 4}}, "notes": {"exclusions": {"n_flagged": 1, "n_specimens": 4}, "n_features_dropped_empty": 2}}], "filled_columns": {"l": {"panel": 0, "lod": 0}, "m": {"x": 3}}}
     got = {(r[0], r[1], r[4]) for f in (checks.declared_conflict, checks.qc_metadata, checks.exclusions, checks.columns) for r in f(c)}
     assert {("cde_conflict", "s", "FAIL"), ("cde_conflict", "s", "UNVERIFIABLE"), ("source_exclusion", "s", "PASS"), ("features_dropped_empty", "s", "FAIL"), ("column_union_fill", "l", "PASS"), ("column_union_fill", "m", "FAIL")} <= got
+
+
+def test_long_cells_reader(spark, tmp_path):
+    """Plates, completeness and empty features of a long delivery; what it lacks leaves no note."""
+    base = str(tmp_path / "d")
+    cells = [(f"P1000{f}", s, float(f) if f < n else None, 1.5) for s, n in (("a", 4), ("b", 1), ("c", 3), ("gone", 4)) for f in range(5)] + [("P10000", "unknown sample", 1.0, None), ("P10001", "c", float("nan"), None)]
+    spark.createDataFrame(cells, "feature_source_value string, specimen_source_value string, value double, lod double").write.parquet(base + "/cells")
+    samples = [("a", "1", "P1", True, 0, 1), ("b", "2", "P1", False, 1, 2), ("c", None, None, False, 0, 3), ("gone", "4", "P0", False, 0, 4)]
+    spark.createDataFrame(samples, "specimen_source_value string, person_source_value string, plate_id string, is_pool boolean, qc_warn_count int, src_ordinal bigint").write.parquet(base + "/samples")
+    spark.createDataFrame([(f"P1000{f}", f"P1000{f}", "PASS", f) for f in range(6)], "feature_source_value string, uniprot_raw string, colcheck string, src_ordinal bigint").write.parquet(base + "/features")
+    f = R.read_stratum(spark, stratum("long_cells", base, extra={"withdrawn_plates": ["P0"], "min_sample_completeness": 0.5}))
+    assert {r[0] for r in f.samples.select("specimen_source_value").collect()} == {"a", "c"}
+    assert sorted((r["feature_source_value"], r["specimen_source_value"]) for r in f.cells.where("value is not null").collect()) == sorted([(f"P1000{k}", s) for s, n in (("a", 4), ("c", 3)) for k in range(n)])
+    assert {r[0] for r in f.features.select("feature_source_value").collect()} == {f"P1000{k}" for k in range(4)}
+    assert f.notes["withdrawn_samples"].first().asDict() == {"n_samples": 1, "n_persons_lost": 1}
+    assert f.notes["samples_dropped_low_completeness"].first().asDict() == {"n_dropped": 1, "lowest_counts": [1]}
+    assert f.notes["n_features_dropped_empty"].first()[0] == 2 and f.notes["control_wells_flagged"].first().asDict() == {"n_flagged": 1, "n_samples": 3}
+    assert {r["qc_warn_count"]: r["n"] for r in f.notes["n_samples_by_warn_count"].collect()} == {0: 2} and f.notes["colcheck_counts"].first()["n"] == 4
+    spark.read.parquet(base + "/samples").drop("qc_warn_count", "is_pool", "plate_id").write.parquet(str(tmp_path / "e/samples"))
+    for part in ("cells", "features"):
+        spark.read.parquet(f"{base}/{part}").drop("colcheck").write.parquet(str(tmp_path / f"e/{part}"))
+    g = R.read_stratum(spark, stratum("long_cells", str(tmp_path / "e")))
+    assert g.samples.count() == 4 and set(g.notes) == {"source_form", "n_features_dropped_empty", "sample_level_qc_in_deposit"}
+
+
+def test_dropped_samples_list_the_lowest_only(spark):
+    rows = [("s", f"x{i}", i, 40, i / 40, i >= 20) for i in range(40)]
+    found = spark.createDataFrame(rows, "stratum_key string, specimen_id string, n_detected bigint, n_features bigint, detection_rate double, kept boolean")
+    assert R.dropped_samples(found).first().asDict() == {"n_dropped": 20, "lowest_counts": [0, 1, 2, 3, 4]}
+    assert R.dropped_samples(found.where("kept")).first().asDict() == {"n_dropped": 0, "lowest_counts": []}
