@@ -69,12 +69,14 @@ def safe_log2(spark: SparkSession, d: str) -> DataFrame:
     return T.table(spark, d, "customer").select("c_custkey", F.round(E.safe_log2("c_acctbal"), 6).alias("value"))
 
 
-_STRINGS = ("1.5", " 5 ", "1e3", "abc", "", "-0.25", "NaN", "Infinity", "0")
+#: Text of customers as a column of mixed content would hold it; both engines read this expression.
+_STRINGS = """CASE c_custkey % 9 WHEN 0 THEN CAST(c_nationkey AS STRING) || '.5' WHEN 1 THEN ' ' || CAST(c_custkey AS STRING) || ' ' WHEN 2 THEN CAST(c_nationkey AS STRING) || 'e3' WHEN 3 THEN c_name
+  WHEN 4 THEN '' WHEN 5 THEN '-0.' || CAST(c_custkey AS STRING) WHEN 6 THEN 'NaN' WHEN 7 THEN 'Infinity' END"""
 
 
-@query("SELECT s, CASE WHEN isfinite(try_cast(trim(s) AS DOUBLE)) THEN try_cast(trim(s) AS DOUBLE) END AS value FROM (VALUES " + ", ".join(f"('{x}')" for x in _STRINGS) + ") t(s)")
+@query(f"SELECT c_custkey, s, CASE WHEN isfinite(try_cast(trim(s) AS DOUBLE)) THEN try_cast(trim(s) AS DOUBLE) END AS value FROM (SELECT c_custkey, {_STRINGS} AS s FROM customer)")
 def numeric_coerce(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([(x,) for x in _STRINGS], "s string").select("s", E.numeric("s").alias("value"))
+    return T.table(spark, d, "customer").select("c_custkey", F.expr(_STRINGS).alias("s")).select("c_custkey", "s", E.numeric("s").alias("value"))
 
 
 @query(f"WITH c AS ({O.TWO_RUNS}), k AS ({O.KEPT}) SELECT stratum_key, feature_key, n_present, n_samples, round(present, 6) AS present, kept FROM k")

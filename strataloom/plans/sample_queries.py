@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataloom.audit import checks
 from strataloom.functions import expr as E
-from strataloom.model import DENIED, DENY_EXEMPT, LayerSpec, Stratum, declare
+from strataloom.model import DENIED, DENY_EXEMPT, EXTRA_DECLARED, LayerSpec, Stratum, declare
 from strataloom.operators import contract, lookups, stats
 from strataloom.operators import features as FE
 from strataloom.operators import layer as L
@@ -140,56 +140,110 @@ def unit_inference(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(rows, "lookup string, unit string, n_populated bigint, median_hours double")
 
 
-_IDS = ((" PD-1 ", None), ("1005.0", None), ("Unknown", None), ("NaN", None), ("", None), ("R123", "other"), ("12.50", None), ("not reported", "other"))
+# Strings of the tables as sources would write them: expressions that both engines read.
+_IDS = """CASE c_custkey % 8 WHEN 0 THEN ' PD-' || CAST(c_custkey AS STRING) || ' ' WHEN 1 THEN CAST(c_custkey AS STRING) || '.0' WHEN 2 THEN 'Unknown' WHEN 3 THEN 'NaN' WHEN 4 THEN '' WHEN 5 THEN CAST(c_nationkey AS STRING) || '.50'
+  WHEN 6 THEN 'not reported' ELSE CAST(c_custkey AS STRING) || '.000' END"""
+_SPACE = "CASE WHEN c_nationkey % 3 = 0 THEN c_mktsegment END"
 _SENTINELS = "('', 'nan', 'na', 'n/a', 'none', 'null', '<na>', 'unknown', 'unk', 'missing', 'not applicable', 'not collected', 'not reported')"
 
 
 @query(
-    f"WITH t AS (SELECT raw, coalesce(ns, 'study.id') AS ns, CASE WHEN lower(trim(raw)) NOT IN {_SENTINELS} THEN regexp_replace(trim(raw), '^(\\d+)\\.0+$', '\\1') END AS p FROM {_values(_IDS)} v(raw, ns)) "
-    "SELECT raw, p AS person_id, ns AS person_source_namespace, CASE WHEN p IS NOT NULL THEN ns || ':' || p END AS person_global_key FROM t"
+    f"WITH t AS (SELECT c_custkey, raw, coalesce(ns, 'study.id') AS ns, CASE WHEN lower(trim(raw)) NOT IN {_SENTINELS} THEN regexp_replace(trim(raw), '^(\\d+)\\.0+$', '\\1') END AS p FROM (SELECT c_custkey, {_IDS} AS raw, {_SPACE} AS ns FROM customer)) "
+    "SELECT c_custkey, raw, p AS person_id, ns AS person_source_namespace, CASE WHEN p IS NOT NULL THEN ns || ':' || p END AS person_global_key FROM t"
 )
 def person_identity(spark: SparkSession, d: str) -> DataFrame:
-    s = spark.createDataFrame(_IDS, "person_source_value string, person_source_namespace_row string").withColumn("raw", F.col("person_source_value"))
-    return S.with_identity(s, "study.id").select("raw", "person_id", "person_source_namespace", "person_global_key")
+    s = T.table(spark, d, "customer").select("c_custkey", F.expr(_IDS).alias("raw"), F.expr(_IDS).alias("person_source_value"), F.expr(_SPACE).alias("person_source_namespace_row"))
+    return S.with_identity(s, "study.id").select("c_custkey", "raw", "person_id", "person_source_namespace", "person_global_key")
 
 
-_KEYS = ("b1_03_1601", "b7r2_03_1752", "b2_x", "b10r12_7_9")
+_KEYS = """CASE o_orderkey % 4 WHEN 0 THEN 'b' || CAST(o_custkey % 90 AS STRING) || 'r' || CAST(o_orderkey % 3 AS STRING) || '_0' || CAST(o_orderkey % 9 AS STRING) || '_' || CAST(o_orderkey AS STRING)
+  WHEN 1 THEN 'b' || CAST(o_custkey AS STRING) || '_03_' || CAST(o_orderkey AS STRING) WHEN 2 THEN 'site_b' || CAST(o_custkey % 5 AS STRING) || '_00' || CAST(o_orderkey % 9 AS STRING) || '_11' ELSE o_orderstatus || '_' || CAST(o_orderkey AS STRING) END"""
 
 
-@query(f"SELECT k AS label, CASE WHEN len(string_split(k, '_')) = 3 THEN regexp_replace(split_part(k, '_', 1), '^b(\\d+)r(\\d+)$', 'r\\2b\\1') || '_' || split_part(k, '_', 3) || '_' || split_part(k, '_', 2) ELSE k END AS specimen_key FROM {_values((k,) for k in _KEYS)} v(k)")
+@query(
+    "SELECT o_orderkey, k AS label, CASE WHEN len(string_split(k, '_')) = 3 THEN regexp_replace(split_part(k, '_', 1), '^b(\\d+)r(\\d+)$', 'r\\2b\\1') || '_' || split_part(k, '_', 3) || '_' || split_part(k, '_', 2) ELSE k END AS specimen_key, "
+    f"CASE WHEN len(string_split(k, '_')) >= 3 THEN split_part(k, '_', 2) || '_' || split_part(k, '_', 3) ELSE k END AS prefixed FROM (SELECT o_orderkey, {_KEYS} AS k FROM orders)"
+)
 def key_rewrite(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([(k,) for k in _KEYS], "label string").select("label", E.plex_channel_key("label").alias("specimen_key"))
+    o = T.table(spark, d, "orders").select("o_orderkey", F.expr(_KEYS).alias("label"))
+    return o.select("o_orderkey", "label", E.plex_channel_key("label").alias("specimen_key"), E.prefixed_key("label").alias("prefixed"))
+
+
+def _acc(k: str, first: str = "P") -> str:
+    """An accession of a key, as an expression of both engines."""
+    return f"'{first}' || CAST({k} % 10 AS STRING) || 'XY' || CAST({k} % 9 AS STRING) || CAST({k} % 7 AS STRING)"
 
 
-_ACC = ("sp|P12345|NAME_HUMAN", "Q9H0H5-2", "A0A024RBG1;P04637", "nothing", "CON__P00761", "")
+_ACC = f"""CASE p_partkey % 7 WHEN 0 THEN 'sp|' || {_acc("p_partkey")} || '|NAME_HUMAN' WHEN 1 THEN {_acc("p_partkey", "Q")} || '-2' WHEN 2 THEN 'A' || CAST(p_partkey % 10 AS STRING) || 'A024RBG' || CAST(p_partkey % 8 AS STRING) || ';' || {_acc("p_partkey", "O")}
+  WHEN 3 THEN p_name WHEN 4 THEN 'CON__' || {_acc("p_partkey")} WHEN 5 THEN '' ELSE {_acc("p_partkey")} || ' ' || {_acc("p_size", "Q")} || ' ' || p_brand END"""
 
 
-@query(f"SELECT s, nullif(regexp_extract(s, '({E.ACCESSION})', 1), '') AS accession, len(regexp_extract_all(s, '({E.ACCESSION})', 1))::INTEGER AS n FROM {_values((k,) for k in _ACC)} v(s)")
+@query(f"SELECT p_partkey, s, nullif(regexp_extract(s, '({E.ACCESSION})', 1), '') AS accession, len(regexp_extract_all(s, '({E.ACCESSION})', 1))::INTEGER AS n FROM (SELECT p_partkey, {_ACC} AS s FROM part)")
 def accession_extract(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([(k,) for k in _ACC], "s string").select("s", E.accession("s").alias("accession"), F.size(E.accessions("s")).alias("n"))
+    p = T.table(spark, d, "part").select("p_partkey", F.expr(_ACC).alias("s"))
+    return p.select("p_partkey", "s", E.accession("s").alias("accession"), F.size(E.accessions("s")).alias("n"))
 
 
-_GROUPS = ("P12345;Q9H0H5", "REV__P12345", "CON__;XYZ", "A0A024RBG1", "abc;P04637-2;O75503")
+_GROUPS = f"""CASE p_partkey % 5 WHEN 0 THEN {_acc("p_partkey")} || ';' || {_acc("p_size", "Q")} WHEN 1 THEN 'REV__' || {_acc("p_partkey")} WHEN 2 THEN 'CON__;' || p_brand WHEN 3 THEN 'A0A024RBG' || CAST(p_size % 9 AS STRING)
+  ELSE p_type || ';' || {_acc("p_partkey")} || '-2;' || {_acc("p_size", "O")} END"""
 
 
 @query(
-    f"WITH v AS (SELECT s, list_filter(list_transform(string_split(s, ';'), lambda x: nullif(regexp_extract(x, '({E.ACCESSION})', 1), '')), lambda x: x IS NOT NULL) AS a FROM {_values((k,) for k in _GROUPS)} v(s)) "
-    "SELECT s AS feature_source_value, a[1] AS feature_id, CASE WHEN len(a) > 0 THEN array_to_string(a, ';') ELSE s END AS protein_group, greatest(len(a), 1)::SMALLINT AS protein_group_size FROM v"
+    f"WITH v AS (SELECT p_partkey, s, list_filter(list_transform(string_split(s, ';'), lambda x: nullif(regexp_extract(x, '({E.ACCESSION})', 1), '')), lambda x: x IS NOT NULL) AS a FROM (SELECT p_partkey, {_GROUPS} AS s FROM part)) "
+    "SELECT p_partkey, s AS feature_source_value, a[1] AS feature_id, CASE WHEN len(a) > 0 THEN array_to_string(a, ';') ELSE s END AS protein_group, greatest(len(a), 1)::SMALLINT AS protein_group_size FROM v"
 )
 def feature_resolution_groups(spark: SparkSession, d: str) -> DataFrame:
-    f = spark.createDataFrame([(k,) for k in _GROUPS], "feature_source_value string")
-    return FE.resolve(f, "maxquant").select("feature_source_value", "feature_id", "protein_group", "protein_group_size")
+    f = T.table(spark, d, "part").select("p_partkey", F.expr(_GROUPS).alias("feature_source_value"))
+    return FE.resolve(f, "maxquant").select("p_partkey", "feature_source_value", "feature_id", "protein_group", "protein_group_size")
+
+
+_PAIRS = f"""CASE p_partkey % 6 WHEN 0 THEN p_brand || '|' || {_acc("p_partkey")} WHEN 1 THEN 'NA|' || {_acc("p_partkey")} WHEN 2 THEN '|' || {_acc("p_partkey")} WHEN 3 THEN p_brand || '|' WHEN 4 THEN p_name ELSE 'None| ' || {_acc("p_partkey")} || '|x' END"""
+_AFTER = "nullif(CASE WHEN contains(s, '|') THEN trim(substr(s, instr(s, '|') + 1)) ELSE '' END, '')"
+_BEFORE = "CASE WHEN split_part(s, '|', 1) NOT IN ('', 'NA', 'nan', 'None') THEN split_part(s, '|', 1) END"
+
+
+@query(f"SELECT p_partkey, s AS feature_source_value, {_AFTER} AS feature_id, {_BEFORE} AS gene_symbol FROM (SELECT p_partkey, {_PAIRS} AS s FROM part)")
+def feature_resolution_pairs(spark: SparkSession, d: str) -> DataFrame:
+    f = T.table(spark, d, "part").select("p_partkey", F.expr(_PAIRS).alias("feature_source_value"))
+    return FE.resolve(f, "csv_matrix").select("p_partkey", "feature_source_value", "feature_id", "gene_symbol")
+
+
+#: reader -> (feature_source_value, uniprot_raw, gene_raw) of a part; the reference is of suppliers.
+_BRANCHES = {
+    "reporter_xlsx": (f"CASE WHEN p_size % 5 = 0 THEN 'NA|' || p_name ELSE p_brand || '|sp|' || {_acc('p_partkey')} || '|X_HUMAN' END", "NULL", "NULL"),
+    "srm": ("CASE p_partkey % 4 WHEN 0 THEN 'tau_' || p_brand || '_4' WHEN 1 THEN 'bA38' ELSE 'SYM' || CAST(p_partkey % 60 AS STRING) || '_' || CAST(p_size AS STRING) END", "NULL", "NULL"),
+    "somascan": ("'seq.' || CAST(p_partkey AS STRING)", f"CASE WHEN p_size % 4 = 0 THEN 'none' ELSE {_acc('p_partkey')} || ' ' || {_acc('p_size', 'Q')} END", "CASE WHEN p_size % 3 = 0 THEN '\"\"' WHEN p_size % 3 = 1 THEN 'NA' ELSE p_brand END"),
+    "olink": (_acc("p_partkey"), f"CASE WHEN p_size % 6 = 0 THEN 'no accession ' || p_brand ELSE 'isoform ' || {_acc('p_partkey')} || '-1' END", "NULL"),
+    "dia": (_acc("p_partkey"), _acc("p_partkey"), "NULL"),
+    "pd_ratio": (_PAIRS, "NULL", "NULL"),
+}
+_REF = f"SELECT {_acc('s_suppkey')} AS uniprot, CASE WHEN s_suppkey % 11 <> 0 THEN 'SYM' || CAST(s_suppkey % 40 AS STRING) END AS symbol, s_suppkey AS src_ordinal FROM supplier"
+_LIST = f"regexp_extract_all(u, '({E.ACCESSION})', 1)"
 
 
-_PAIRS = ("APP|P05067", "NA|P12345", "|Q9H0H5", "TAU|", "noaccession")
+def _first(s: str) -> str:
+    return f"nullif(regexp_extract({s}, '({E.ACCESSION})', 1), '')"
 
 
 @query(
-    f"SELECT s AS feature_source_value, nullif(CASE WHEN contains(s, '|') THEN trim(substr(s, instr(s, '|') + 1)) ELSE '' END, '') AS feature_id, CASE WHEN split_part(s, '|', 1) NOT IN ('', 'NA', 'nan', 'None') THEN split_part(s, '|', 1) END AS gene_symbol FROM {_values((k,) for k in _PAIRS)} v(s)"
+    "WITH f AS (" + " UNION ALL ".join(f"SELECT '{k}' AS reader, p_partkey, {a} AS s, {u} AS u, {g} AS g FROM part" for k, (a, u, g) in _BRANCHES.items()) + f"), ref AS ({_REF}), "
+    "fw AS (SELECT symbol, arg_min(uniprot, src_ordinal) AS acc, min(src_ordinal) AS o FROM ref WHERE symbol IS NOT NULL GROUP BY 1), bk AS (SELECT acc, arg_max(symbol, o) AS sym FROM fw GROUP BY 1), "
+    "x AS (SELECT f.*, CASE WHEN reader = 'srm' THEN CASE WHEN starts_with(s, 'tau') THEN 'MAPT' ELSE regexp_replace(s, '_\\d+$', '') END END AS sy FROM f), "
+    f"y AS (SELECT x.*, CASE reader WHEN 'reporter_xlsx' THEN {_first('coalesce(' + _AFTER + ', chr(32))')} WHEN 'srm' THEN coalesce(CASE WHEN sy IN ('bA', 'bA38') THEN 'P05067' END, fw.acc) WHEN 'somascan' THEN {_LIST}[1] WHEN 'pd_ratio' THEN {_AFTER} ELSE coalesce({_first('u')}, u) END AS id, "
+    f"CASE reader WHEN 'srm' THEN sy WHEN 'somascan' THEN CASE WHEN trim(g, '\" ') NOT IN ('', 'NA', 'nan', 'None') THEN trim(g, '\" ') END WHEN 'reporter_xlsx' THEN {_BEFORE} WHEN 'pd_ratio' THEN {_BEFORE} END AS gene FROM x LEFT JOIN fw ON sy = fw.symbol) "
+    "SELECT reader, p_partkey, s AS feature_source_value, id AS feature_id, coalesce(gene, bk.sym) AS gene_symbol, "
+    f"CASE reader WHEN 'reporter_xlsx' THEN CASE WHEN contains(s, '|') THEN substr(s, instr(s, '|') + 1) ELSE '' END WHEN 'somascan' THEN CASE WHEN len({_LIST}) > 0 THEN array_to_string({_LIST}, ';') END ELSE id END AS protein_group, "
+    f"CASE WHEN reader = 'somascan' THEN greatest(len({_LIST}), 1) ELSE 1 END::SMALLINT AS protein_group_size FROM y LEFT JOIN bk ON bk.acc = id"
 )
-def feature_resolution_pairs(spark: SparkSession, d: str) -> DataFrame:
-    f = spark.createDataFrame([(k,) for k in _PAIRS], "feature_source_value string")
-    return FE.resolve(f, "csv_matrix").select("feature_source_value", "feature_id", "gene_symbol")
+def feature_resolution_branches(spark: SparkSession, d: str) -> DataFrame:
+    """The other six readers' resolution, with accession by symbol and symbol by accession of a reference."""
+    part, ref = T.table(spark, d, "part"), T.table(spark, d, "supplier").selectExpr(*[x.strip() for x in (_acc("s_suppkey") + " AS uniprot", "CASE WHEN s_suppkey % 11 <> 0 THEN 'SYM' || CAST(s_suppkey % 40 AS STRING) END AS symbol", "s_suppkey AS src_ordinal")])
+    out = None
+    for reader, (a, u, g) in _BRANCHES.items():
+        f = part.select(F.lit(reader).alias("reader"), "p_partkey", F.expr(a).alias("feature_source_value"), F.expr(u).cast("string").alias("uniprot_raw"), F.expr(g).cast("string").alias("gene_raw"))
+        one = FE.resolve(f, reader, ref).select("reader", "p_partkey", "feature_source_value", "feature_id", "gene_symbol", "protein_group", "protein_group_size")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("SELECT p_partkey, p_brand AS feature_id, CASE WHEN count(*) OVER (PARTITION BY p_type, p_brand) > 1 THEN p_brand || '__' || p_partkey ELSE p_brand END AS feature_key FROM part")
@@ -284,19 +338,26 @@ def content_presence(spark: SparkSession, d: str) -> DataFrame:
     return t.select(F.md5(F.col("text").cast("binary")).alias("content_md5"), "doc_id").groupBy("content_md5").agg(F.count(F.lit(1)).alias("n_copies"), F.min("doc_id").alias("first_doc"))
 
 
-_NAMES = ("reagent_lot", "age.at.visit", "page_id", "msex", "specimen_id", "braak_stage", "pct_coverage", "Sampling Age", "visit_month", "language", "assay_type", "apoe4")
+#: Names that a table keyed by part types and sizes could carry.
+_NAMES = "CASE p_size % 7 WHEN 0 THEN lower(p_type) || '.age' WHEN 1 THEN 'Sampling Age ' || p_brand WHEN 2 THEN 'reagent_lot' WHEN 3 THEN p_type || '_pct' WHEN 4 THEN 'Pct Coverage' WHEN 5 THEN 'stage_' || p_type ELSE 'pmi_hours' END"
+
+
+def _names(spark: SparkSession, d: str) -> DataFrame:
+    return T.table(spark, d, "part").groupBy(F.expr(_NAMES).alias("column_name")).agg(F.count(F.lit(1)).alias("n_parts"))
 
 
-@query(f"WITH v AS (SELECT c, regexp_replace(lower(c), '[^a-z0-9]', '', 'g') AS n FROM {_values((k,) for k in _NAMES)} v(c)) SELECT c AS column_name, n NOT IN ({', '.join(repr(contract.normalized(x)) for x in DENY_EXEMPT)}) AND ({' OR '.join(f'contains(n, {t!r})' for t in DENIED)}) AS denied FROM v")
+@query(f"WITH v AS (SELECT {_NAMES} AS c, count(*) AS n_parts FROM part GROUP BY 1), w AS (SELECT *, regexp_replace(lower(c), '[^a-z0-9]', '', 'g') AS n FROM v) SELECT c AS column_name, n_parts, n NOT IN ({', '.join(repr(contract.normalized(x)) for x in DENY_EXEMPT)}) AND ({' OR '.join(f'contains(n, {t!r})' for t in DENIED)}) AS denied FROM w")
 def scope_gate_report(spark: SparkSession, d: str) -> DataFrame:
-    bad = set(contract.scope_gate(list(_NAMES), report_only=True))
-    return spark.createDataFrame([(c, c in bad) for c in _NAMES], "column_name string, denied boolean")
+    names = _names(spark, d)
+    bad = contract.scope_gate([x[0] for x in names.select("column_name").collect()], report_only=True)  # names of columns
+    return names.withColumn("denied", F.col("column_name").isin(bad))
 
 
-@query("SELECT * FROM (VALUES ('my_column'), ('other')) v(column_name)")
+@query(f"SELECT {_NAMES} AS column_name, count(*) AS n_parts FROM part GROUP BY 1 HAVING column_name NOT IN ({', '.join(repr(x) for x in sorted({*EXTRA_DECLARED, *LayerSpec('x', measurement_columns=('lod',)).columns()}))})")
 def undeclared_columns(spark: SparkSession, d: str) -> DataFrame:
-    found = contract.undeclared(["specimen_id", "my_column", "lod", "pmi_hours", "other"], [LayerSpec("x", measurement_columns=("lod",))])
-    return spark.createDataFrame([(c,) for c in found], "column_name string")
+    names = _names(spark, d)
+    found = contract.undeclared([x[0] for x in names.select("column_name").collect()], [LayerSpec("x", measurement_columns=("lod",))])  # names of columns
+    return names.where(F.col("column_name").isin(found))
 
 
 def cohort_strata() -> list[Stratum]:
@@ -326,10 +387,12 @@ def packed_matrix(spark: SparkSession, d: str) -> DataFrame:
     return m.select("specimen_id", F.size("values").alias("n"), total.alias("total"), F.round(F.get("values", F.lit(0)).cast("double"), 4).alias("first_value"))
 
 
-@query("SELECT 'orders' AS stratum_key, 'orders:assay' AS assay_id, 'counting' AS assay_type, 'desk' AS platform, 'tables' AS study")
+@query("SELECT n_name AS stratum_key, n_name || ':assay' AS assay_id, 'counting' AS assay_type, r_name AS platform, 'tables' AS study, r_name AS \"grant\", 'desk ' || n_regionkey AS tissue FROM nation JOIN region ON n_regionkey = r_regionkey")
 def assay_table(spark: SparkSession, d: str) -> DataFrame:
-    s = declare("orders", "l", study="tables", grant="g", cohort="c", matrix_path="orders.parquet", reader="parquet", assay_type="counting", platform="desk")
-    return S.assay_table([s], spark).select("stratum_key", "assay_id", "assay_type", "platform", "study")
+    """A stratum declared for each nation: declarations are rows of a registry, and on the driver."""
+    rows = T.table(spark, d, "nation").join(T.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).collect()
+    strata = [declare(x["n_name"], "l", study="tables", grant=x["r_name"], cohort="c", matrix_path="orders.parquet", reader="parquet", assay_type="counting", platform=x["r_name"], tissue=f"desk {x['n_regionkey']}") for x in rows]
+    return S.assay_table(strata, spark).select("stratum_key", "assay_id", "assay_type", "platform", "study", "grant", "tissue")
 
 
 _AUDIT = f"""WITH c0 AS ({O.COHORTS}), c AS (SELECT stratum_key, feature_key, specimen_id, log2(value) AS value FROM c0), k AS ({O.KEPT}),
