@@ -180,6 +180,40 @@ def read_olink(spark: SparkSession, d: str) -> DataFrame:
     return cells.join(below, ["feature", "specimen"])
 
 
+_PANEL_ROWS = f"SELECT *, {_K} AS k, event_type || '.' || (event_id % 4) AS feature, 'panel ' || (event_id % 4) AS panel FROM events WHERE user_id % 8 > 1"
+
+
+def _four_panels(spark: SparkSession, d: str):
+    """Four panel files with plates (two of them withdrawn), limits, quality flags and missingness from the events."""
+    e = T.table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k").try_cast("int"))
+    k, paths = F.col("k"), []
+    for i in range(4):
+        w = e.where(F.col("event_id") % 4 == i).select(
+            F.concat("event_type", F.lit(f".{i}")).alias("UniProt"), _text("user_id").alias("sample_id"), _text("user_id").alias("participant_id"), F.col("value").alias("NPX"), k.alias("LOD"), F.concat(F.lit("P"), (F.col("user_id") % 8).cast("string")).alias("PlateID"),
+            F.lit(f"lot {i}").alias("Panel_Lot_Nr"), F.when(k < 2, "WARN").otherwise("PASS").alias("QC_Warning"), F.when(k.between(2, 3), "FAIL").when(k.between(4, 50), "pass").alias("Distribution_QC"), F.when(k >= 97, "WARN").otherwise("PASS").alias("Outliers_QC"),
+            (F.col("user_id") % 5 * 12).alias("visit_month"), (k / 128).alias("MissingFreq"),
+        )
+        paths.append(_delimited(w, f"panel{i}"))
+    return _read(spark, "olink", paths, extra={"panels": [f"panel {i}" for i in range(4)], "withdrawn_plates": ["P0", "P1"]})
+
+
+@query(f"SELECT feature, panel, 'lot ' || right(panel, 1) AS lot, max(k / 128) AS missing_freq FROM ({_PANEL_ROWS}) GROUP BY ALL")
+def read_olink_features(spark: SparkSession, d: str) -> DataFrame:
+    """Features of four panels: the first panel and lot, the largest stated missingness."""
+    f = _four_panels(spark, d).features
+    return f.select(F.col("feature_source_value").alias("feature"), "panel", F.col("panel_lot_nr").alias("lot"), "missing_freq")
+
+
+@query(
+    f"WITH w AS (SELECT user_id, coalesce(bool_or(k < 2), false) AS a, coalesce(bool_or(k BETWEEN 2 AND 3), false) AS b, coalesce(bool_or(k >= 97), false) AS c FROM ({_PANEL_ROWS}) GROUP BY 1) "
+    "SELECT user_id::VARCHAR AS specimen, 'P' || (user_id % 8) AS plate_id, (user_id % 5 * 12)::INTEGER AS visit_month, CASE WHEN a OR b OR c THEN 'WARN' ELSE 'PASS' END AS qc_status, a::INTEGER + b::INTEGER + c::INTEGER AS qc_warn_count FROM w"
+)
+def read_olink_sample_qc(spark: SparkSession, d: str) -> DataFrame:
+    """Samples of the plates that were not withdrawn, with the worst of each flag over four panels."""
+    s = _four_panels(spark, d).samples
+    return s.select(F.col("specimen_source_value").alias("specimen"), "plate_id", "visit_month", "qc_status", "qc_warn_count")
+
+
 @query(
     "WITH m AS (SELECT event_type AS f, user_id::VARCHAR AS s, avg(value) AS v FROM events GROUP BY ALL), n AS (SELECT count(DISTINCT f) AS n FROM m), k AS (SELECT s, count(v) AS d, count(v) / max(n) AS rate FROM m, n GROUP BY 1 HAVING count(v) / max(n) >= 0.8) "
     "SELECT f AS feature, s AS specimen, round(CASE WHEN v > 0 THEN log2(v) END, 6) AS value, d::INTEGER AS n_detected, round(rate, 6) AS detection_rate FROM m JOIN k USING (s)"
@@ -436,11 +470,19 @@ def sole_file_of_stratum(spark: SparkSession, d: str) -> DataFrame:
     return S.with_sole_file(people, files).select("specimen_id", "file_id")
 
 
-@query(f"WITH c AS ({O.COHORTS}), p AS ({O.PANEL}) SELECT DISTINCT column_name FROM (SELECT unnest(['stratum_key', 'feature_key', 'specimen_id', 'value']) AS column_name FROM c UNION ALL SELECT unnest(['lod', 'value']) FROM p)")
+_UNION_COLUMNS = ("feature_key", "lod", "specimen_id", "stratum_key", "value")
+
+
+@query(
+    f"WITH u AS (SELECT stratum_key, feature_key, specimen_id, value, NULL::DOUBLE AS lod FROM ({O.COHORTS}) UNION ALL SELECT stratum_key, feature_key, specimen_id, value, lod FROM ({O.PANEL})) "
+    + " UNION ALL ".join(f"SELECT stratum_key, '{c}' AS column_name, count(*) AS n_rows, count({c}) AS n_values FROM u GROUP BY 1" for c in _UNION_COLUMNS)
+)
 def column_union_of_layers(spark: SparkSession, d: str) -> DataFrame:
-    """The column union over a layer without and one with limits of detection."""
+    """A layer without and one with limits of detection on the union of their columns: values by column."""
     both = L.union_all([T.cohorts(spark, d), T.panel(spark, d)])
-    return both.sparkSession.createDataFrame([(c,) for c in both.columns], "column_name string")
+    counts = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_{c}").alias("n_values")) for c in sorted(both.columns)])
+    per = both.groupBy("stratum_key").agg(F.count(F.lit(1)).alias("n_rows"), *[F.count(c).alias(f"_{c}") for c in both.columns])
+    return per.select("stratum_key", "n_rows", F.inline(counts))
 
 
 @query(f"WITH c AS ({O.COHORTS}) SELECT t.tracking_row, f.field, f.v AS derived_value FROM (VALUES ('all of A', 'A'), ('EUROPE', NULL)) t(tracking_row, prefix), LATERAL (SELECT count(DISTINCT stratum_key || feature_key)::VARCHAR AS nf, count(DISTINCT stratum_key || specimen_id)::VARCHAR AS ns FROM c WHERE CASE WHEN prefix IS NULL THEN stratum_key = t.tracking_row ELSE starts_with(stratum_key, prefix) END) x, LATERAL (VALUES ('n_features', nf), ('n_samples', ns)) f(field, v)")
@@ -465,3 +507,20 @@ def wide_bundle_orders(spark: SparkSession, d: str) -> DataFrame:
     path = _scratch(spark, "bundle")
     Wr.write_bundle(cells, samples, T.table(spark, d, "part").select(F.col("p_brand").alias("feature_key")).distinct(), path, False)
     return wide.long_cells(spark.read.parquet(f"{path}/matrix.parquet")).select("feature_key", "specimen_id", F.round(F.col("value") + 1e-9, 6).alias("value"))
+
+
+_OBJECTS = """SELECT 'item ' || item_id AS object_id, md5(text) AS content_md5, 'item' AS kind, item_id % 2 = 0 AS critical FROM benchmark
+  UNION ALL SELECT 'doc ' || doc_id, md5(coalesce(text, '')), 'document', quality = 1 FROM labels JOIN documents USING (doc_id)"""
+
+
+@query(
+    f"WITH w AS ({_OBJECTS}), i AS (SELECT md5(coalesce(text, '')) AS content_md5, array_to_string(list_sort(list(DISTINCT coalesce(source, '') || '/' || doc_id)), '; ') AS held FROM documents GROUP BY 1) "
+    "SELECT object_id, kind, critical, i.content_md5 IS NOT NULL AS present, held AS held_as FROM w LEFT JOIN i USING (content_md5)"
+)
+def object_presence(spark: SparkSession, d: str) -> DataFrame:
+    """Benchmark items and labelled documents: whether their content is held, and where."""
+    docs = T.table(spark, d, "documents").withColumn("content_md5", F.md5(F.coalesce("text", F.lit(""))))
+    items = T.table(spark, d, "benchmark").select(F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("object_id"), F.md5("text").alias("content_md5"), F.lit("item").alias("kind"), (F.col("item_id") % 2 == 0).alias("critical"))
+    labelled = T.table(spark, d, "labels").join(docs, "doc_id").select(F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("object_id"), "content_md5", F.lit("document").alias("kind"), (F.col("quality") == 1).alias("critical"))
+    index = docs.groupBy("content_md5").agg(F.array_sort(F.collect_set(F.concat_ws("/", F.coalesce("source", F.lit("")), F.col("doc_id").cast("string")))).alias("paths"))
+    return M.missing_objects(items.unionByName(labelled), index).select("object_id", "kind", "critical", "present", "held_as")
