@@ -15,7 +15,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataloom.audit import checks
+from strataloom.audit import checks, measure
 from strataloom.functions import expr as E
 from strataloom.model import MIN_PRESENT, LayerSpec, Stratum, StratumFrames
 from strataloom.operators import contract, stats
@@ -119,58 +119,6 @@ def _filter_notes(status: DataFrame, cells: DataFrame, features: DataFrame) -> d
     return {"n_features_dropped": dropped, "lod_flags": flagged}
 
 
-def _scalars(h: Harmonised) -> dict:
-    """What the audit needs of a stratum, by a handful of small aggregates."""
-    one = stats.percentiles(h.cells).first()
-    sp = stats.sparsity(h.cells, h.samples).first()
-    pool = F.coalesce(F.col("is_pool"), F.lit(False))
-    who = h.samples.agg(F.count_if(~pool).alias("n_nonpool"), F.count_if(~pool & F.col("person_id").isNotNull()).alias("n_resolved"), F.count_if(pool).alias("n_pool")).first()
-    ids = h.features.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("feature_id").isNull()).alias("without"), F.count_distinct("feature_id").alias("ids")).first()
-    notes = {k: _note(v) for k, v in h.notes.items()}
-    notes["n_unresolved_dropped"] = h.notes["unresolved"].count() if h.notes.get("unresolved") is not None else 0
-    out = {"stratum": h.stratum, "pct_missing": sp["pct_missing"] if sp else None, "n_features": ids["n"], "n_without_id": ids["without"], "n_ids": ids["ids"], "notes": notes, **who.asDict()}
-    if one:
-        out |= {"p1": one["p1"], "p50": one["p50"], "p99": one["p99"]}
-    if "anatomic_site_source" in h.samples.columns:
-        out |= _sites(h.samples, h.stratum.material.site)
-    if "platform" in h.samples.columns:
-        seen = S.observed_platform(h.samples, h.stratum.method.platform.value).first()
-        if seen:
-            out |= {"platform": seen["platform"], "platform_grade": "A", "platforms_observed": _note(_counts(h.samples, "platform"))}
-    acquisition = {c: found for c in ("fragmentation", "resolution") if c in h.samples.columns and (found := _note(_counts(h.samples, c)))}
-    if acquisition:
-        out["acquisition_observed"] = acquisition
-    out["brodmann"] = S.brodmann_report(h.samples, h.stratum.material.site).first().asDict() if h.stratum.material.site else None
-    out["pmi"] = h.notes["pmi"] | S.interval_report(h.samples).first().asDict()
-    if "missing_freq" in h.features.columns:
-        m = stats.missingness_agreement(h.features).first()
-        out["missingness"] = m.asDict() if m["n"] else None
-    return out
-
-
-def _counts(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-
-
-def _sites(samples: DataFrame, stated: str) -> dict:
-    """Whether any distinct site matches the stated one, how many there are, and the first 20."""
-    seen = samples.select(F.col("anatomic_site_source").alias("site")).where("site is not null").distinct()
-    want, got = F.lit(stated.lower()), F.lower("site")
-    all_ = seen.agg(F.count(F.lit(1)).alias("n_sites"), F.max(got.contains(want) | want.contains(got)).alias("site_match")).first()
-    return all_.asDict() | {"sites": [r[0] for r in seen.orderBy("site").limit(20).collect()]}
-
-
-def _note(v):
-    if not isinstance(v, DataFrame):
-        return v
-    if len(v.columns) == 2 and v.columns[1] == "n":  # counts by category, of which the checks take sums
-        return {str(r[0]): r[1] for r in v.orderBy(v.columns[0]).collect()}
-    rows = v.limit(2).collect()
-    if len(rows) != 1:
-        return None
-    return rows[0][0] if len(v.columns) == 1 else rows[0].asDict()
-
-
 def _source_order(samples: DataFrame, rank: int) -> DataFrame:
     """samples with sample_ordinal instead of src_ordinal: stratum, part, file, split and row of the source,
     in one type for every reader."""
@@ -205,7 +153,7 @@ def build(
         parts = [harmonise(spark, s, root, reference, spec.collapse_duplicates) for s in spec.strata]
         for p in parts:
             L.guard_features(p.features.count(), p.stratum.key)
-            context["strata"].append(_scalars(p))
+        context["strata"] += measure.strata(parts)
         cells = L.union_all([p.cells for p in parts])
         declared = {p.stratum.key: p.stratum.scale.name for p in parts}
         policy = P.decide(spec.key, cells, declared)

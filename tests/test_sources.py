@@ -6,6 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from strataloom.audit import measure
 from strataloom.model import LayerSpec, declare
 from strataloom.plans.build import build
 from strataloom.sources import annotations as A
@@ -192,17 +193,35 @@ def test_build_end_to_end(spark, tmp_path):
 @pytest.mark.parametrize("match", [0, 25, 59])
 def test_audit_sees_every_site_and_every_count(spark, match):
     from strataloom.audit import checks
-    from strataloom.plans import build as B
 
     samples = spark.createDataFrame([(f"place {k:02}" if k != match else f"place {k:02}, Temporal Gyrus",) for k in range(60)] + [(None,)], "anatomic_site_source string")
+    none = F.lit(None).cast("string")
+    samples = samples.withColumns({"stratum_key": F.lit("k"), "is_pool": F.lit(False), "person_id": none, "brodmann_area": none, "brodmann_area_evidence": none, "pmi_hours": F.lit(None).cast("double")})
     for stated, want in (("temporal gyrus", "PASS"), ("cerebellum", "FAIL")):
         st = declare("k", "l", study="s", grant="g", cohort="c", matrix_path="k.csv", reader="csv_matrix", anatomic_site=stated)
-        (got,) = checks.anatomic_site({"strata": [{"stratum": st} | B._sites(samples, stated)]})
+        seen = measure.by_stratum(measure.of_samples(samples, [st]))["k"] | {"sites": measure.sites(samples)["k"]}
+        (got,) = checks.anatomic_site({"strata": [{"stratum": st} | seen]})
         assert want in tuple(got.values() if isinstance(got, dict) else got)
         assert "and 40 more" in str(got)
-    assert B._sites(samples.limit(0), "x")["sites"] == []
+    assert measure.sites(samples.limit(0)) == {}
     counts = spark.createDataFrame([(f"flag {k:02}", 2) for k in range(60)], "flag string, n bigint")
-    assert sum(B._note(counts).values()) == 120
+    assert sum(measure.notes({"k": {"c": counts}})["k"]["c"].values()) == 120
+
+
+def test_notes_of_all_strata_come_in_one_job(spark):
+    """Values as each reader's frames hold them; several rows, or none, cannot be stated."""
+    one = spark.createDataFrame([(3, None, [1, 2], True)], "a bigint, b string, c array<int>, d boolean")
+    several, none = spark.createDataFrame([(1,), (2,)], "a int"), spark.createDataFrame([], "a int")
+    flags = spark.createDataFrame([("x", 2), (None, 1), ("a", 5)], "flag string, n bigint")
+    context = spark.sparkContext
+    context.setJobGroup("notes", "notes")
+    try:
+        got = measure.notes({"p": {"row": one, "value": one.select("a"), "text": "long", "flags": flags}, "q": {"several": several, "none": none, "absent": None, "flags": flags.where("false")}, "r": {}})
+        jobs = len(context.statusTracker().getJobIdsForGroup("notes"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert got == {"p": {"row": {"a": 3, "b": None, "c": [1, 2], "d": True}, "value": 3, "text": "long", "flags": {"None": 1, "a": 5, "x": 2}}, "q": {"several": None, "none": None, "absent": None, "flags": {}}, "r": {}}
+    assert list(got["p"]["flags"]) == ["None", "a", "x"] and jobs <= 5
 
 
 def test_samples_keep_the_order_of_the_source(spark, tmp_path):
