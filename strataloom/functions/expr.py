@@ -121,7 +121,8 @@ def _quantile(p: Column, q: Column, small: Column, r: Column) -> Column:
     centre = q * _poly(small, _A) / _poly(small, _B)
     near, far = r - 1.6, r - 5.0
     tail = F.when(r <= 5.0, _poly(near, _C) / _poly(near, _D)).otherwise(_poly(far, _E) / _poly(far, _F))
-    out = F.when(F.abs(q) <= 0.425, centre).otherwise(F.when(q < 0, -tail).otherwise(tail))
+    sign = F.when(q < 0, -1.0).otherwise(1.0)  # the tail stands once in the generated code
+    out = F.when(F.abs(q) <= 0.425, centre).otherwise(sign * tail)
     return F.when((p > 0) & (p < 1), out)
 
 

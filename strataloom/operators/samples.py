@@ -212,11 +212,21 @@ def with_sole_file(samples: DataFrame, files: DataFrame) -> DataFrame:
     return samples.join(one, "stratum_key", "left")
 
 
+def _emitted(s: Stratum) -> dict[str, str | None]:
+    """Columns of the contract that a declaration fills."""
+    o, m, x = s.origin, s.material, s.method
+    return {
+        "study": o.study, "grant": o.grant, "cohort": o.cohort, "tissue": m.tissue, "biosample_type": m.kind, "anatomic_site": m.site, "value_scale": s.scale.name, "value_unit": s.scale.unit, "visit_name": s.visit,
+        "assay_type": x.assay, "suspension_type": m.suspension, "analyte_type": m.analyte, "analysis_pipeline": x.pipeline.value, "array_type": x.array,
+    }
+
+
 def declared_columns(samples: DataFrame, strata: list[Stratum]) -> DataFrame:
     """Columns a stratum declares, by a join on a small dimension; a sample's own platform goes first."""
     spark = samples.sparkSession
-    names = ["study", "grant", "cohort", "tissue", "biosample_type", "anatomic_site", "value_scale", "value_unit", "visit_name", "assay_type", "suspension_type", "analyte_type", "analysis_pipeline", "array_type"]
-    rows = [(s.key, f"{s.key}:assay", s.method.platform.value, *[s.stated(n) for n in names]) for s in strata]
+    emitted = [_emitted(s) for s in strata]
+    names = list(emitted[0]) if emitted else []
+    rows = [(s.key, f"{s.key}:assay", s.method.platform.value, *e.values()) for s, e in zip(strata, emitted, strict=True)]
     dim = spark.createDataFrame(rows, "stratum_key string, assay_id string, _platform string, " + ", ".join(f"{n} string" for n in names))
     out = samples.drop(*[n for n in (*names, "assay_id") if n in samples.columns]).join(F.broadcast(dim), "stratum_key", "left")  # one row per stratum
     own = F.col("platform") if "platform" in samples.columns else F.lit(None).cast("string")

@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataloom.model import declare
+from strataloom.model import Method, Origin, Source, Stated, Stratum
 from strataloom.operators import layer as L
 from strataloom.operators import samples as S
 from strataloom.operators import wide
@@ -53,12 +53,13 @@ def _sheet(spark: SparkSession, name: str, rows: list[list]) -> str:
     return path
 
 
-def _read(spark: SparkSession, reader: str, path, **stated):
-    return R.read_stratum(spark, declare("s", "l", study="tables", grant="g", cohort="c", matrix_path=path, reader=reader, **stated))
+def _read(spark: SparkSession, reader: str, path, **options):
+    files = (path,) if isinstance(path, str) else tuple(path)
+    return R.read_stratum(spark, Stratum("s", "l", Origin("tables", "g", "c"), Source(files, reader, options=options)))
 
 
 def _annotated(spark: SparkSession, reader: str, path: str, samples: DataFrame | None = None, **options) -> DataFrame:
-    st = declare("s", "l", annot_path=path, annot_reader=reader, extra=options)
+    st = Stratum("s", "l", source=Source(annotation=path, annotation_reader=reader, options=options))
     return A.ANNOTATION_READERS[reader](spark, st, samples).drop("src_ordinal")
 
 
@@ -132,7 +133,7 @@ def read_srm(spark: SparkSession, d: str) -> DataFrame:
         F.when(segment == "BUILDING", "TRUE").otherwise("false").alias("isControl"), F.when(segment == "MACHINERY", "pool").otherwise("subjects").alias("sample.type"), F.col("c_acctbal").alias("BAL_1"), F.col("c_nationkey").alias("tau_N"),
     )
     peptides = spark.createDataFrame([("BAL_1", "PEPTIDE BAL_1", "x"), ("other", "PEPTIDE", "y")], "`Peptide.Name` string, `Peptide.Sequence` string, note string")
-    f = _read(spark, "srm", _delimited(w, "wells", "\t"), extra={"feature_meta": _delimited(peptides, "peptides", "\t")})
+    f = _read(spark, "srm", _delimited(w, "wells", "\t"), feature_meta=_delimited(peptides, "peptides", "\t"))
     who = f.samples.select(F.col("specimen_source_value").alias("specimen"), F.col("person_source_value").alias("person"), "is_pool", "plate_id")
     what = f.features.select(F.col("feature_source_value").alias("feature"), F.col("peptide_sequence").alias("peptide"))
     return _long(f).join(who, "specimen").join(F.broadcast(what), "feature").select("feature", "specimen", "value", "person", "is_pool", "plate_id", "peptide")
@@ -155,7 +156,7 @@ def read_somascan(spark: SparkSession, d: str) -> DataFrame:
     )
     twice = meta.unionByName(meta.withColumn("UniProt", F.lit("second")))
     one_file = _delimited(twice.coalesce(1), "aptamers")
-    f = _read(spark, "somascan", _delimited(w, "visits"), extra={"feature_meta": one_file})
+    f = _read(spark, "somascan", _delimited(w, "visits"), feature_meta=one_file)
     what = f.features.select(F.col("feature_source_value").alias("feature"), F.col("uniprot_raw").alias("accession"), "colcheck")
     return _long(f).join(F.broadcast(what), "feature").select("feature", "specimen", "value", "accession", "colcheck")
 
@@ -174,7 +175,7 @@ def read_olink(spark: SparkSession, d: str) -> DataFrame:
         F.col("event_type").alias("UniProt"), _text("user_id").alias("sample_id"), _text("user_id").alias("participant_id"), F.col("value").alias("NPX"), F.get_json_object("props", "$.k").alias("LOD"), F.lit("plate 1").alias("PlateID"),
         F.lit("lot").alias("Panel_Lot_Nr"), F.lit("PASS").alias("QC_Warning"), F.lit("PASS").alias("Distribution_QC"), F.lit("PASS").alias("Outliers_QC"), F.lit("12").alias("visit_month"),
     )
-    f = _read(spark, "olink", _delimited(w, "panel"), extra={"panels": ["one"]})
+    f = _read(spark, "olink", _delimited(w, "panel"), panels=["one"])
     below = e.select(F.col("event_type").alias("feature"), _text("user_id").alias("specimen"), (F.col("value") < F.get_json_object("props", "$.k").try_cast("int")).alias("b")).groupBy("feature", "specimen").agg(F.count_if("b").alias("n_below"))
     cells = f.cells.select(F.col("feature_source_value").alias("feature"), F.col("specimen_source_value").alias("specimen"), r("value"), r("lod"))
     return cells.join(below, ["feature", "specimen"])
@@ -194,7 +195,7 @@ def _four_panels(spark: SparkSession, d: str):
             (F.col("user_id") % 5 * 12).alias("visit_month"), (k / 128).alias("MissingFreq"),
         )
         paths.append(_delimited(w, f"panel{i}"))
-    return _read(spark, "olink", paths, extra={"panels": [f"panel {i}" for i in range(4)], "withdrawn_plates": ["P0", "P1"]})
+    return _read(spark, "olink", paths, panels=[f"panel {i}" for i in range(4)], withdrawn_plates=["P0", "P1"])
 
 
 @query(f"SELECT feature, panel, 'lot ' || right(panel, 1) AS lot, max(k / 128) AS missing_freq FROM ({_PANEL_ROWS}) GROUP BY ALL")
@@ -222,7 +223,7 @@ def read_dia(spark: SparkSession, d: str) -> DataFrame:
     """The long form: samples that detect under four fifths of the features go."""
     e = T.table(spark, d, "events")
     w = e.select(F.col("event_type").alias("UniProt"), _text("user_id").alias("sample_id"), _text("user_id").alias("participant_id"), F.lit("0").alias("visit_month"), F.col("value").alias("protein_abundance"))
-    f = _read(spark, "dia", _delimited(w, "reports"), extra={"min_sample_completeness": 0.8})
+    f = _read(spark, "dia", _delimited(w, "reports"), min_sample_completeness=0.8)
     who = f.samples.select(F.col("specimen_source_value").alias("specimen"), "n_detected", r("detection_rate"))
     return _long(f).join(who, "specimen").select("feature", "specimen", "value", "n_detected", "detection_rate")
 
@@ -441,7 +442,7 @@ def write_layers_and_inventory(spark: SparkSession, d: str) -> DataFrame:
 def declared_columns_all(spark: SparkSession, d: str) -> DataFrame:
     """What strata declare, on the orders of every status."""
     o = T.order_samples(spark, d)
-    strata = [declare(x[0], "l", study="declared", grant="g", cohort="c", platform="fallback") for x in o.select("stratum_key").distinct().collect()]
+    strata = [Stratum(x[0], "l", Origin("declared", "g", "c"), method=Method(platform=Stated("fallback"))) for x in o.select("stratum_key").distinct().collect()]
     return S.declared_columns(o, strata).select("sample_ordinal", "study", "platform", "assay_id")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataloom.audit import checks
 from strataloom.functions import expr as E
-from strataloom.model import DENIED, DENY_EXEMPT, EXTRA_DECLARED, LayerSpec, Stratum, declare
+from strataloom.model import DENIED, DENY_EXEMPT, EXTRA_DECLARED, LayerSpec, Material, Method, Origin, Scale, Source, Stated, Stratum
 from strataloom.operators import contract, lookups, stats
 from strataloom.operators import features as FE
 from strataloom.operators import layer as L
@@ -362,7 +362,7 @@ def undeclared_columns(spark: SparkSession, d: str) -> DataFrame:
 
 def cohort_strata() -> list[Stratum]:
     """Registry entries of the five regions, with a scale whose range they meet or miss."""
-    return [declare(k, "cohorts", study="tables", grant=k, cohort=k, matrix_path="customer", reader="parquet", anatomic_site=k.lower(), value_scale="log2_lfq_intensity", analysis_pipeline="tables", pipeline_evidence="A") for k in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")]
+    return [Stratum(k, "cohorts", Origin("tables", k, k), Source(("customer",), "parquet"), material=Material(site=k.lower()), scale=Scale("log2_lfq_intensity"), method=Method(pipeline=Stated("tables", "A"))) for k in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")]
 
 
 def _audit_context(spark: SparkSession, d: str) -> dict:
@@ -391,7 +391,7 @@ def packed_matrix(spark: SparkSession, d: str) -> DataFrame:
 def assay_table(spark: SparkSession, d: str) -> DataFrame:
     """A stratum declared for each nation: declarations are rows of a registry, and on the driver."""
     rows = T.table(spark, d, "nation").join(T.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).collect()
-    strata = [declare(x["n_name"], "l", study="tables", grant=x["r_name"], cohort="c", matrix_path="orders.parquet", reader="parquet", assay_type="counting", platform=x["r_name"], tissue=f"desk {x['n_regionkey']}") for x in rows]
+    strata = [Stratum(x["n_name"], "l", Origin("tables", x["r_name"], "c"), Source(("orders.parquet",), "parquet"), material=Material(f"desk {x['n_regionkey']}"), method=Method("counting", platform=Stated(x["r_name"]))) for x in rows]
     return S.assay_table(strata, spark).select("stratum_key", "assay_id", "assay_type", "platform", "study", "grant", "tissue")
 
 

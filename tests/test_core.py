@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from strataloom.functions import expr as E
-from strataloom.model import LayerSpec, declare, load_registry
+from strataloom.model import LayerSpec, Method, Origin, QcStep, Source, Stated, Stratum, load_registry
 from strataloom.operators import contract, lookups, stats
 from strataloom.operators import features as FE
 from strataloom.operators import layer as L
@@ -202,12 +202,19 @@ def test_zero_features_stop():
 
 def test_registry_loads(tmp_path):
     p = tmp_path / "r.json"
-    p.write_text('[{"key": "l", "strata": [{"key": "s", "study": "x", "grant": "g", "cohort": "c", "matrix_path": "m.csv", "reader": "csv_matrix", "source_qc": [["log2", false, "doc"]]}]}, {"key": "later", "deferred_reason": "no data"}]')
+    p.write_text('[{"key": "l", "strata": [{"key": "s", "origin": {"study": "x", "grant": "g", "cohort": "c"}, "source": {"files": ["m.csv"], "reader": "csv_matrix", "options": {"panels": ["p"]}}, "method": {"platform": {"value": "Orbitrap", "grade": "A"}}, "steps": [{"name": "log2", "upstream": false, "reference": "doc"}]}]}, {"key": "later", "deferred_reason": "no data"}]')
     a, b = load_registry(str(p))
-    assert isinstance(a, LayerSpec) and a.strata[0] == declare("s", "l", study="x", grant="g", cohort="c", matrix_path="m.csv", reader="csv_matrix", source_qc=(("log2", False, "doc"),)) and b.deferred_reason
+    assert isinstance(a, LayerSpec) and b.deferred_reason
+    assert a.strata[0] == Stratum("s", "l", Origin("x", "g", "c"), Source(("m.csv",), "csv_matrix", options={"panels": ["p"]}), method=Method(platform=Stated("Orbitrap", "A")), steps=(QcStep("log2", False, "doc"),))
     p.write_text('[{"key": "l", "strata": [{"key": "s", "oops": 1}]}]')
     with pytest.raises(ValueError, match="unknown fields"):
         load_registry(str(p))
+    p.write_text('[{"key": "l", "strata": [{"key": "s", "origin": {"oops": 1}}]}]')
+    with pytest.raises(ValueError, match="l.strata.origin: unknown fields"):
+        load_registry(str(p))
+    p.write_text('[{"key": "l", "strata": [{"key": "s"}]}, {"key": "m", "strata": [{"key": "s"}]}]')
+    with pytest.raises(ValueError, match="unique"):
+        load_registry(str(p))
 
 
 def test_stated_int(spark):

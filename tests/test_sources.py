@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataloom.audit import measure
-from strataloom.model import LayerSpec, declare
+from strataloom.model import Donors, LayerSpec, Material, Method, Origin, QcStep, Scale, Source, Stated, Stratum
 from strataloom.plans.build import build
 from strataloom.sources import annotations as A
 from strataloom.sources import manifest as M
@@ -44,8 +44,9 @@ def xlsx(path, rows):
     return str(path)
 
 
-def stratum(reader, path, **kw):
-    return declare("s", "l", study="study", grant="g", cohort="c", matrix_path=path, reader=reader, **kw)
+def stratum(reader, path, annot_path=None, extra=None):
+    files = (path,) if isinstance(path, str) else tuple(path)
+    return Stratum("s", "l", Origin("study", "g", "c"), Source(files, reader, annot_path, options=extra or {}))
 
 
 def values(f):
@@ -167,7 +168,7 @@ def test_build_end_to_end(spark, tmp_path):
         rows.append(",".join(["DUP|P10000", *["1.0"] * n]))
         gz(tmp_path / f"in/{k}.csv.gz", "\n".join(rows) + "\n")
         gz(tmp_path / f"in/{k}_samples.csv.gz", "participant_id,sample_id,visit_month\n" + "".join(f"D{j},{k}{j},{j * 6}\n" for j in range(n - 1)) + f"Unknown,{k}{n - 1},0\n")
-    strata = tuple(declare(k, "layer_a", study="study", grant=f"grant_{k}", cohort="c", matrix_path=f"{k}.csv.gz", reader="csv_matrix", anatomic_site="superior temporal gyrus", value_scale="log2_ratio", annot_path=f"{k}_samples.csv.gz", annot_reader="olink_samples", person_namespace="study.id", source_qc=(("features <50% missing", False, "doc"), ("batch", True, "doc"))) for k in ("one", "two"))
+    strata = tuple(Stratum(k, "layer_a", Origin("study", f"grant_{k}", "c"), Source((f"{k}.csv.gz",), "csv_matrix", f"{k}_samples.csv.gz", "olink_samples"), Donors("study.id"), Material(site="superior temporal gyrus"), Scale("log2_ratio"), steps=(QcStep("features <50% missing", False, "doc"), QcStep("batch", True, "doc"))) for k in ("one", "two"))
     gz(tmp_path / "x.csv.gz", "projid,individualID,Study,sex\n1,I1,S,F\n2,,S,M\n")
     tracking = spark.createDataFrame([("one", "n_features", "9"), ("one", "n_samples", "~8?"), ("two", "site", "temporal"), ("three", "n_features", "1")], "tracking_row string, field string, tracking_value string")
     wanted = spark.createDataFrame([("o1", "0" * 32, "matrix", True)], "object_id string, content_md5 string, kind string, critical boolean")
@@ -198,7 +199,7 @@ def test_audit_sees_every_site_and_every_count(spark, match):
     none = F.lit(None).cast("string")
     samples = samples.withColumns({"stratum_key": F.lit("k"), "is_pool": F.lit(False), "person_id": none, "brodmann_area": none, "brodmann_area_evidence": none, "pmi_hours": F.lit(None).cast("double")})
     for stated, want in (("temporal gyrus", "PASS"), ("cerebellum", "FAIL")):
-        st = declare("k", "l", study="s", grant="g", cohort="c", matrix_path="k.csv", reader="csv_matrix", anatomic_site=stated)
+        st = Stratum("k", "l", Origin("s", "g", "c"), Source(("k.csv",), "csv_matrix"), material=Material(site=stated))
         seen = measure.by_stratum(measure.of_samples(samples, [st]))["k"] | {"sites": measure.sites(samples)["k"]}
         (got,) = checks.anatomic_site({"strata": [{"stratum": st} | seen]})
         assert want in tuple(got.values() if isinstance(got, dict) else got)
@@ -244,7 +245,7 @@ def test_cross_assay_areas_reach_the_samples(spark, tmp_path):
     gz(tmp_path / "m.csv.gz", "id,s1,s2,s3\nG|P10000,1,2,3\n")
     gz(tmp_path / "a.csv.gz", "participant_id,sample_id,visit_month\nD1,s1,0\nD2,s2,0\nD3,s3,0\n")
     gz(tmp_path / "b.csv.gz", "individualID,specimenID,tissue,BrodmannArea,assay,samplingAge\nD1,s1,cortex,BA4,TMT,90\nD2,s2,cortex,,TMT,90\nD3,s3,cortex,,TMT,90\nD2,r2,cortex,BA10,rnaSeq,90\nD3,r3,cerebellum,BA1,rnaSeq,90\n")
-    st = declare("s", "l", study="x", grant="g", cohort="c", matrix_path="m.csv.gz", reader="csv_matrix", annot_path="a.csv.gz", annot_reader="olink_samples", anatomic_site="somewhere", extra={"biospecimen_meta": "b.csv.gz", "biospecimen_assay": "TMT"})
+    st = Stratum("s", "l", Origin("x", "g", "c"), Source(("m.csv.gz",), "csv_matrix", "a.csv.gz", "olink_samples", {"biospecimen_meta": "b.csv.gz", "biospecimen_assay": "TMT"}), material=Material(site="somewhere"))
     h = B.harmonise(spark, st, str(tmp_path))
     got = {r["specimen_source_value"]: (r["brodmann_area"], r["brodmann_area_evidence"]) for r in h.samples.collect()}
     assert got == {"s1": ("BA4", "source"), "s2": ("BA10", "propagated"), "s3": (None, None)}
@@ -254,7 +255,7 @@ def test_source_qc_is_decided_by_what_was_measured(spark):
     from strataloom.audit import checks
 
     steps = (("Reverse / contaminant rows removed", False, "d"), ("log2 transform", False, "d"), ("centring", False, "d"), ("batch correction", True, "d"), ("features <50% missing removed", True, "d"), ("GIS channels removed", True, "d"))
-    st = declare("s", "l", source_qc=steps)
+    st = Stratum("s", "l", steps=tuple(QcStep(*x) for x in steps))
     rows = lambda notes, **kw: [r[4] for r in checks.source_qc({"strata": [{"stratum": st, "notes": notes} | kw]})]
     assert rows({"n_decoy_contaminant_dropped": 3, "transform": "log2", "n_features_dropped": 0}, n_pool=0) == ["PASS", "PASS", "FAIL", "UNVERIFIABLE", "PASS", "PASS"]
     assert rows({"n_features_dropped": 4}, n_pool=2) == ["FAIL", "FAIL", "FAIL", "UNVERIFIABLE", "FAIL", "FAIL"]
@@ -264,7 +265,7 @@ def test_source_qc_is_decided_by_what_was_measured(spark):
 def test_conflicts_and_exclusions_reach_the_audit(spark):
     from strataloom.audit import checks
 
-    st = declare("s", "l", platform="Orbitrap", extra={"ms_order": "MS2"})
+    st = Stratum("s", "l", source=Source(options={"ms_order": "MS2"}), method=Method(platform=Stated("Orbitrap")))
     c = {"strata": [{"stratum": st, "platforms_observed": {"Exploris": 4}, "acquisition_observed": {"resolution": {"30000": 4}}, "notes": {"exclusions": {"n_flagged": 1, "n_specimens": 4}, "n_features_dropped_empty": 2}}], "filled_columns": {"l": {"panel": 0, "lod": 0}, "m": {"x": 3}}}
     got = {(r[0], r[1], r[4]) for f in (checks.declared_conflict, checks.qc_metadata, checks.exclusions, checks.columns) for r in f(c)}
     assert {("cde_conflict", "s", "FAIL"), ("cde_conflict", "s", "UNVERIFIABLE"), ("source_exclusion", "s", "PASS"), ("features_dropped_empty", "s", "FAIL"), ("column_union_fill", "l", "PASS"), ("column_union_fill", "m", "FAIL")} <= got
