@@ -222,7 +222,7 @@ def build(
     Wr.write_inventory(tables | {"audit": audit}, f"{staging}/inventory")
     from strataloom.report import render
 
-    Wr.write_text(spark, f"{staging}/README.md", render(name, entries, summary, audit))
+    Wr.write_text(spark, f"{staging}/README.md", render(name, entries, summary, audit, context))
     Wr.write_text(spark, f"{staging}/build_report.json", json.dumps({"name": name, "previous": earlier[-1] if earlier else None, "layers": entries, "audit": summary}, indent=1))
     Wr.publish(spark, staging, f"{out.rstrip('/')}/{name}")
     for x in held:
