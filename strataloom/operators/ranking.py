@@ -7,7 +7,7 @@ value's place; rows find theirs by an equi-join on group and value.
 
 Medians: one pass takes count and quantile sketch of every group (mergeable, of bounded size). A sketch
 of accuracy A is exact for groups of fewer than A / 2 values: it drops none and knows each one's
-place. For larger groups it brackets the median to a few values in ten thousand; a second pass counts what
+place. For larger groups it brackets the median to a few values in forty thousand; a second pass counts what
 lies below the bracket, and ranks only counted values inside it. A bracket that missed its place
 (a sketch erred by more than it should) is seen by these counts, and opened.
 
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from strataloom.operators.lineage import cut
 from strataloom.operators.lookups import bounded
 
-#: Accuracy of sketches, and how far in rank brackets reach beyond what a sketch may err.
-ACCURACY = 10_000
+#: Accuracy of sketches: groups of up to half as many values need one pass, and a sketch takes about a MB.
+ACCURACY = 40_000
 #: Brackets up to this number are broadcast.
 MAX_BRACKETS = 100_000
 
