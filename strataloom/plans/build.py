@@ -138,7 +138,7 @@ def build(
     """Builds every layer of the registry into out/<name>; nothing appears there until all is written.
 
     reference: uniprot and symbol of features; crosswalk: path of a donor id bridge; wanted: objects
-    whose presence is decided by content; tracking: numbers and sites that a sheet states.
+    whose presence is decided by content (with size_bytes, only files of those sizes are hashed); tracking: numbers and sites that a sheet states.
     """
     name = name or f"build-{date.today():%Y%m%d}-{uuid.uuid4().hex[:8]}"
     earlier = Wr.previous_builds(spark, out, "build-")
@@ -210,7 +210,7 @@ def build(
     if crosswalk:
         Wr.emit(A.crosswalk(spark, crosswalk), f"{staging}/person_crosswalk")
     if wanted is not None:
-        tables["missing_objects"] = M.missing_objects(wanted, M.content_index(spark, root))
+        tables["missing_objects"] = M.missing_objects(wanted, M.content_index(spark, root, sizes=wanted if "size_bytes" in wanted.columns else None))
     if tracking is not None:
         diff = M.tracking_diff(tracking, M.measured_rows(inventory, tracking)).persist()
         tables["tracking_diff"] = diff

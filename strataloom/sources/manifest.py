@@ -11,6 +11,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataloom.operators.lookups import bounded
+
 #: Only so many leading bytes are hashed; longer files carry a labelled prefix hash.
 HASH_PREFIX_BYTES = 64 << 20
 FORMATS = {"csv": "csv", "tsv": "tsv", "txt": "txt", "xlsx": "xlsx", "parquet": "parquet", "json": "json", "pdf": "pdf", "md": "md"}
@@ -71,8 +73,28 @@ def _line_counts(spark: SparkSession, root: str) -> DataFrame:
     return g.select("line_path", (F.col("n") - 1).alias("n_rows"), F.when(sep == "\t", F.size(F.split("head", "\t"))).otherwise(F.size(F.split("head", ","))).alias("n_cols"), sep.alias("delimiter"))
 
 
-def content_index(spark: SparkSession, root: str, skip: tuple[str, ...] = ()) -> DataFrame:
-    """md5 of each file's decompressed content with its paths: presence is decided by content."""
+def _candidates(content: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The files whose content has one of the sizes: plain files by their length, gzip files by the size in their trailer
+    (of the decompressed content, modulo 2^32). The others are neither decompressed nor hashed.
+
+    The trailer is that of a file's last member, and the trailing bytes cannot tell how many there are: a gzip
+    file of several members that is to be found by size has to be listed without sizes.
+    """
+    packed = F.hex(F.substring("content", 1, 2)) == "1F8B"
+    last = F.hex(F.substring(F.col("content"), F.lit(-4), F.lit(4)))
+    trailer = F.conv(F.concat(*[F.substring(last, k, 2) for k in (7, 5, 3, 1)]), 16, 10).cast("bigint")
+    wanted = sizes.select(F.col("size_bytes").cast("bigint").alias("_size")).where("_size is not null").distinct()
+    whole = wanted.select(F.lit(False).alias("_packed"), "_size")
+    modulo = wanted.select(F.lit(True).alias("_packed"), (F.col("_size") % (1 << 32)).alias("_size")).distinct()
+    sized = content.withColumns({"_packed": packed, "_size": F.when(packed, trailer).otherwise(F.col("length"))})
+    return sized.join(bounded(whole.unionByName(modulo)), ["_packed", "_size"], "left_semi").drop("_packed", "_size")
+
+
+def content_index(spark: SparkSession, root: str, skip: tuple[str, ...] = (), sizes: DataFrame | None = None) -> DataFrame:
+    """md5 of each file's decompressed content with its paths: presence is decided by content.
+
+    sizes: sizes (size_bytes) of the contents that are looked for; files of other sizes are left out unhashed.
+    """
     from collections.abc import Iterator
 
     import pyarrow as pa
@@ -100,7 +122,10 @@ def content_index(spark: SparkSession, root: str, skip: tuple[str, ...] = ()) ->
                 out.append(h.hexdigest())
             yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(out, pa.string())], ["path", "content_md5"])
 
-    hashed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "content").mapInArrow(rows, "path string, content_md5 string")
+    content = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", "content")
+    if sizes is not None:
+        content = _candidates(content, sizes)
+    hashed = content.select("path", "content").mapInArrow(rows, "path string, content_md5 string")
     files = list_files(spark, root, skip).select("relative_path", "path")
     j = hashed.join(files, _same(hashed["path"], files["path"])).select("content_md5", "relative_path")
     return j.groupBy("content_md5").agg(F.array_sort(F.collect_list("relative_path")).alias("paths"))

@@ -299,3 +299,27 @@ def test_dropped_samples_list_the_lowest_only(spark):
     found = spark.createDataFrame(rows, "stratum_key string, specimen_id string, n_detected bigint, n_features bigint, detection_rate double, kept boolean")
     assert R.dropped_samples(found).first().asDict() == {"n_dropped": 20, "lowest_counts": [0, 1, 2, 3, 4]}
     assert R.dropped_samples(found.where("kept")).first().asDict() == {"n_dropped": 0, "lowest_counts": []}
+
+
+def test_content_of_other_sizes_is_never_hashed(spark, tmp_path):
+    """Plain and packed copies by size; an empty file, a short one, and one whose trailer is none."""
+    import hashlib
+
+    root = tmp_path / "in"
+    root.mkdir()
+    files = {"a.txt": b"x" * 500, "b.txt": b"y" * 500, "c.txt": b"z" * 501, "empty": b"", "two": b"\x1f\x8b", "d.bin": bytes(range(256)) * 9}
+    for name, raw in files.items():
+        (root / name).write_bytes(raw)
+    for name in ("a.txt", "c.txt", "d.bin"):
+        with gzip.open(root / f"{name}.gz", "wb") as f:
+            f.write(files[name])
+    sizes = spark.createDataFrame([(500,), (500,), (None,), (2304,)], "size_bytes bigint")
+    got = {r["content_md5"]: list(r["paths"]) for r in M.content_index(spark, str(root), sizes=sizes).collect()}
+    md5 = lambda n: hashlib.md5(files[n]).hexdigest()
+    assert got == {md5("a.txt"): ["a.txt", "a.txt.gz"], md5("b.txt"): ["b.txt"], md5("d.bin"): ["d.bin", "d.bin.gz"]}
+    # what is hashed: the candidates alone
+    content = spark.read.format("binaryFile").load(str(root)).select("path", "length", "content")
+    assert sorted(r["path"].rpartition("/")[2] for r in M._candidates(content, sizes).select("path").collect()) == ["a.txt", "a.txt.gz", "b.txt", "d.bin", "d.bin.gz"]
+    big = spark.createDataFrame([((1 << 32) + 500,)], "size_bytes bigint")  # a trailer holds the size modulo 2^32
+    assert [r["path"].rpartition("/")[2] for r in M._candidates(content, big).select("path").collect()] == ["a.txt.gz"]
+    assert len(M.content_index(spark, str(root)).where("content_md5 is not null").collect()) >= 4
