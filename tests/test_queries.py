@@ -5,7 +5,7 @@ import pytest
 
 from strataloom.plans.registry import ORACLE_SQL, QUERIES
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 @pytest.fixture(scope="module")
