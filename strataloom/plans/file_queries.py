@@ -278,10 +278,10 @@ def read_somascan_samples(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT o_custkey::VARCHAR AS specimen_source_value, 'p' || o_custkey AS person_source_value, min(o_orderkey)::INTEGER AS visit_month, 'source' AS visit_month_evidence FROM orders GROUP BY o_custkey")
 def read_olink_samples(spark: SparkSession, d: str) -> DataFrame:
-    """The first row of each sample counts, in the order of the file."""
+    """The first row of each sample counts, in the order of the files and of their rows."""
     o = T.table(spark, d, "orders")
     w = o.select(_text("o_custkey").alias("sample_id"), F.concat(F.lit("p"), _text("o_custkey")).alias("participant_id"), F.col("o_orderkey").alias("visit_month")).orderBy("visit_month")
-    return _annotated(spark, "olink_samples", _delimited(w.coalesce(1), "samples")).select("specimen_source_value", "person_source_value", "visit_month", "visit_month_evidence")
+    return _annotated(spark, "olink_samples", _delimited(w, "samples")).select("specimen_source_value", "person_source_value", "visit_month", "visit_month_evidence")
 
 
 _AREAS = (
@@ -299,7 +299,7 @@ def read_biospecimen_areas(spark: SparkSession, d: str) -> DataFrame:
     sites = F.array(*[F.lit(x) for x in ("BUILDING", "AUTOMOBILE", "MACHINERY", "HOUSEHOLD", "FURNITURE")])
     own = c.select(F.lit(0).alias("k"), (F.col("c_custkey") % 400).cast("string").alias("individualID"), F.col("c_name").alias("specimenID"), F.col("c_mktsegment").alias("tissue"), F.when(F.col("c_nationkey") < 3, F.concat(F.lit("BA"), _text("c_nationkey"))).alias("BrodmannArea"), F.lit("TMT quantitation").alias("assay"))
     others = s.select(F.col("s_suppkey").alias("k"), _text("s_suppkey").alias("individualID"), F.col("s_name").alias("specimenID"), F.get(sites, F.col("s_nationkey") % 5).alias("tissue"), F.when(F.col("s_acctbal") > 0, F.concat(F.lit("BA"), _text("s_nationkey"))).alias("BrodmannArea"), F.lit("rnaSeq").alias("assay"))
-    path = _delimited(own.unionByName(others).withColumn("samplingAge", F.lit("90+")).orderBy("k").coalesce(1), "biospecimens")
+    path = _delimited(own.unionByName(others).withColumn("samplingAge", F.lit("90+")).orderBy("k"), "biospecimens")
     direct, rest = A.biospecimen_sites(spark, path, "TMT quantitation")
     filled = S.brodmann_fill(direct, None, rest, ("_donor", "anatomic_site_source"))
     return filled.select(F.col("specimen_source_value").alias("specimen"), F.col("anatomic_site_source").alias("site"), "brodmann_area", F.col("brodmann_area_evidence").alias("evidence"))
