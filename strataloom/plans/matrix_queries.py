@@ -10,6 +10,7 @@ from strataloom.operators import features as FE
 from strataloom.operators import layer as L
 from strataloom.operators import policy as P
 from strataloom.operators import ranking, stats
+from strataloom.operators.lineage import staged
 from strataloom.plans import oracles as O
 from strataloom.sources import tables as T
 
@@ -81,7 +82,7 @@ def numeric_coerce(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH c AS ({O.TWO_RUNS}), k AS ({O.KEPT}) SELECT stratum_key, feature_key, n_present, n_samples, round(present, 6) AS present, kept FROM k")
 def feature_presence_filter(spark: SparkSession, d: str) -> DataFrame:
-    c = T.two_runs(spark, d)
+    c = staged(T.two_runs(spark, d))
     return rounded(stats.presence(c, T.samples_of(c)))
 
 
@@ -139,11 +140,17 @@ def _similar_sql(cells: str) -> str:
 LAYERS = {"cohorts": (T.cohorts, O.COHORTS), "mixed": (T.mixed_scales, O.MIXED.format(feature="p_type")), "two_runs": (T.two_runs, O.TWO_RUNS)}
 
 
+def _stats_of_layers(spark: SparkSession, d: str) -> DataFrame:
+    """Feature statistics of all layers, strata named layer|stratum. Lines are joined once, for all layers."""
+    lines = staged(T.lines(spark, d).select("o_custkey", "p_brand", "p_type", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice", "l_discount"))
+    cells = [cells(spark, d, of=lines).select(F.concat_ws("|", F.lit(k), "stratum_key").alias("stratum_key"), "feature_key", "value") for k, (cells, _) in LAYERS.items()]
+    return stats.feature_stats(L.union_all(cells))
+
+
 @query(" UNION ALL ".join(f"SELECT '{k}' AS layer_key, * FROM ({_similar_sql(v[1])})" for k, v in LAYERS.items()))
 def stratum_similarity(spark: SparkSession, d: str) -> DataFrame:
     """Feature statistics of all layers in one pass; each layer's strata are then compared on feature rows."""
-    cells = L.union_all([cells(spark, d).withColumn("stratum_key", F.concat_ws("|", F.lit(k), "stratum_key")) for k, (cells, _) in LAYERS.items()])
-    s, out = stats.feature_stats(cells), None
+    s, out = _stats_of_layers(spark, d), None
     for k in LAYERS:
         own = s.where(F.col("stratum_key").startswith(f"{k}|"))
         one = stats.similarity(stats.stratum_space(own)).select(F.lit(k).alias("layer_key"), "n_strata", r("location_range", 4), r("spread_ratio", 4), "similar")
@@ -153,13 +160,15 @@ def stratum_similarity(spark: SparkSession, d: str) -> DataFrame:
 
 @query(" UNION ALL ".join(f"SELECT '{k}' AS layer_key, \"similar\" = false AS z_applied, n_strata FROM ({_similar_sql(v[1])})" for k, v in LAYERS.items()))
 def layer_policy(spark: SparkSession, d: str) -> DataFrame:
-    found = [P.decide(k, cells(spark, d)) for k, (cells, _) in LAYERS.items()]
+    s = _stats_of_layers(spark, d).persist()  # a row for each feature
+    found = [P.decide_on(k, s.where(F.col("stratum_key").startswith(f"{k}|"))) for k in LAYERS]
+    s.unpersist()
     return spark.createDataFrame([(p.layer, p.z_applied, p.n_strata) for p in found], "layer_key string, z_applied boolean, n_strata bigint")
 
 
 @query(f"WITH c AS ({O.MIXED.format(feature='p_type')}), s AS ({O.STATS}) SELECT stratum_key, feature_key, specimen_id, round((value - mean) / CASE WHEN sd > 0 THEN sd END, 4) + 0.0 AS value_z FROM c JOIN s USING (stratum_key, feature_key)")
 def zscore_stratum(spark: SparkSession, d: str) -> DataFrame:
-    z = P.zscore(T.mixed_scales(spark, d))
+    z = P.zscore(staged(T.mixed_scales(spark, d)))
     return z.select("stratum_key", "feature_key", "specimen_id", (F.round("value_z", 4) + 0.0).alias("value_z"))
 
 
@@ -228,7 +237,7 @@ _MERGE = f"""WITH c AS ({O.TWO_RUNS}), k AS ({O.KEPT}), u AS (SELECT DISTINCT fe
 
 
 def _merged(spark: SparkSession, d: str):
-    c = T.two_runs(spark, d).persist()  # samples, filter and merge all read the cells
+    c = staged(T.two_runs(spark, d))  # samples, filter and merge all read the cells
     s = T.samples_of(c)
     return c, s, L.kept_features(c, s)
 
@@ -264,9 +273,9 @@ def feature_union(spark: SparkSession, d: str) -> DataFrame:
     f"s AS ({O.STATS}), sp AS ({O.SPACE}), m AS ({O.SIMILAR}) SELECT 'value_z' AS surface, n_strata, round(location_range, 4) AS location_range, round(spread_ratio, 4) AS spread_ratio, location_range <= 0.5 AND spread_ratio <= 2 AS verified FROM m"
 )
 def numeric_space_check(spark: SparkSession, d: str) -> DataFrame:
-    c = T.mixed_scales(spark, d)
+    c = staged(T.mixed_scales(spark, d).drop("specimen_id"))  # statistics and scaling read the values
     p = P.Policy("mixed", True, None, None, 3, {}, "measured")
-    return P.numeric_space(P.apply(c, p), p).select("surface", "n_strata", r("location_range", 4), r("spread_ratio", 4), "verified")
+    return P.numeric_space(P.apply(c, p), p, stored=True).select("surface", "n_strata", r("location_range", 4), r("spread_ratio", 4), "verified")
 
 
 @query(f"WITH c AS ({O.PANEL}) SELECT feature_key, specimen_id, CASE WHEN value IS NULL THEN NULL ELSE coalesce(value < lod, false) END AS below_lod FROM c")
@@ -287,7 +296,7 @@ def frac_below_lod_flag(spark: SparkSession, d: str) -> DataFrame:
     "round((1 - sum(n_present) / (count(*) * max(n_samples))) * 100, 6) AS pct_missing FROM k GROUP BY 1"
 )
 def sparsity(spark: SparkSession, d: str) -> DataFrame:
-    c = T.two_runs(spark, d)
+    c = staged(T.two_runs(spark, d))
     return rounded(stats.sparsity(c, T.samples_of(c)))
 
 

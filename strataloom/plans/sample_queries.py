@@ -12,6 +12,7 @@ from strataloom.operators import contract, lookups, stats
 from strataloom.operators import features as FE
 from strataloom.operators import layer as L
 from strataloom.operators import samples as S
+from strataloom.operators.lineage import staged
 from strataloom.plans import oracles as O
 from strataloom.plans.matrix_queries import r
 from strataloom.sources import manifest as M
@@ -366,9 +367,9 @@ def cohort_strata() -> list[Stratum]:
 
 
 def _audit_context(spark: SparkSession, d: str) -> dict:
-    c = T.cohorts(spark, d).withColumn("value", F.log2("value"))
+    c = staged(T.cohorts(spark, d).withColumn("value", F.log2("value")))
     s = T.samples_of(c)
-    p = {x["stratum_key"]: x.asDict() for x in stats.percentiles(c).collect()}
+    p = {x["stratum_key"]: x.asDict() for x in stats.percentiles(c, stored=True).collect()}
     sp = {x["stratum_key"]: x.asDict() for x in stats.sparsity(c, s).collect()}
     strata = [{"stratum": st, **{k: p[st.key][k] for k in ("p1", "p50", "p99")}, "pct_missing": sp[st.key]["pct_missing"], "n_features": sp[st.key]["n_features"], "n_nonpool": sp[st.key]["n_samples"], "n_resolved": sp[st.key]["n_samples"]} for st in cohort_strata() if st.key in p]
     return {"strata": strata}

@@ -3,8 +3,10 @@
 import duckdb
 from pyspark.sql import functions as F
 
+from strataloom.operators import ranking, stats, wide
 from strataloom.plans import file_queries
 from strataloom.plans.registry import ORACLE_SQL, QUERIES
+from strataloom.sources import tables as T
 
 
 def by_sql(sf, name, df):
@@ -26,3 +28,40 @@ def test_ordered_samples_are_written_by_many_tasks(spark, sf, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert got == want
     assert spark.read.text(written[0]).select(F.input_file_name()).distinct().count() > 1
+
+
+def counted_cells(spark, n_rows=900, n_features=3):
+    """Cells whose rows count each time they are computed, and the counter."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(i):
+        seen.add(1)
+        return float(i * 7919 % 1000)
+
+    value = F.udf(count, "double").asNondeterministic()  # no filter repeats it
+    rows = spark.range(n_rows).select(F.lit("s").alias("stratum_key"), (F.col("id") % n_features).cast("string").alias("feature_key"), F.col("id").cast("string").alias("specimen_id"), (F.col("id") % 2).alias("plex"), value("id").alias("value"))
+    return rows, seen
+
+
+def test_statistics_of_large_features_compute_the_cells_once(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "ACCURACY", 100)
+    for figure in (stats.feature_stats, stats.percentiles, stats.centre_on_plexes):
+        cells, seen = counted_cells(spark)
+        assert figure(cells).count() > 0 and seen.value == 900, figure
+
+
+def test_layers_share_one_join_of_lines(spark, sf, monkeypatch):
+    calls, inner = [], T.lines
+    monkeypatch.setattr(T, "lines", lambda *a: calls.append(a) or inner(*a))
+    got, want = by_sql(sf, "layer_policy", QUERIES["layer_policy"](spark, sf))
+    assert got == want and len(calls) == 1
+
+
+def test_bundles_of_more_specimens_than_columns_are_blocks(spark, sf, monkeypatch):
+    monkeypatch.setattr(wide, "MAX_COLUMNS", 100)
+    monkeypatch.setattr(wide, "BLOCK", 64)
+    monkeypatch.setattr(wide, "BATCH_BLOCKS", 3)
+    schemas, inner = [], wide.wide_rows
+    monkeypatch.setattr(wide, "wide_rows", lambda *a: schemas.append(a) or inner(*a))
+    got, want = by_sql(sf, "wide_bundle_orders", QUERIES["wide_bundle_orders"](spark, sf))
+    assert got == want and not schemas
