@@ -26,6 +26,7 @@ from jobs.common import arguments, read_config, session, write_counted
 from strataloom.operators import layer as L
 from strataloom.operators import policy, stats
 from strataloom.operators.contract import gated
+from strataloom.operators.lineage import staged
 from strataloom.sinks import writers as W
 from strataloom.sources import tables as T
 
@@ -53,6 +54,7 @@ def run(spark: SparkSession, source: str, output: str, config: str | None = None
     cells = T.cohorts(spark, source)
     if c["grants"] is not None:
         cells = cells.where(F.col("stratum_key").isin(*c["grants"]))
+    cells = staged(cells)  # completeness, filter, scaling and both outputs read them
     values, complete, status = harmonized(cells, c["min_complete"], c["min_present"])
     # a row for each grant: counted before anything is written
     for r in status.groupBy("stratum_key").agg(F.count_if(F.col("status") == "kept").alias("kept"), F.count(F.lit(1)).alias("n")).collect():
@@ -69,7 +71,7 @@ def run(spark: SparkSession, source: str, output: str, config: str | None = None
 
 def verify(spark: SparkSession, source: str, output: str) -> None:
     """Reads the returns back: no specimen may stand under a grant that does not own it."""
-    owner = T.cohorts(spark, source).select(F.lit("cohorts").alias("layer_key"), "specimen_id", F.col("stratum_key").alias("grant")).distinct()
+    owner = T.owners(spark, source).select(F.lit("cohorts").alias("layer_key"), F.col("c_custkey").cast("string").alias("specimen_id"), F.col("r_name").alias("grant")).distinct()
     found = spark.read.parquet(f"{output}/returns").select(F.lit("cohorts").alias("layer_key"), "grant", "specimen_id").distinct()
     rows = W.return_boundary(found, owner).collect()  # a row for each grant
     for r in rows:
