@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from strataloom.model import Method, Origin, Source, Stated, Stratum
 from strataloom.operators import layer as L
 from strataloom.operators import samples as S
-from strataloom.operators import wide
 from strataloom.plans import oracles as O
 from strataloom.plans.matrix_queries import r
 from strataloom.sinks import writers as Wr
@@ -501,13 +500,13 @@ _WIDE = "SELECT p_brand AS feature_key, l_orderkey::VARCHAR AS specimen_id, avg(
 
 @query(f"SELECT feature_key, specimen_id, round(value + 1e-9, 6) AS value FROM ({_WIDE})")
 def wide_bundle_orders(spark: SparkSession, d: str) -> DataFrame:
-    """The bundle of all orders (a column for each) by brand, written, and its matrix read back as cells."""
+    """The bundle of all orders by brand, written, and its matrix read back as cells."""
     lines = T.table(spark, d, "lineitem").join(T.table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
     cells = lines.groupBy(F.col("p_brand").alias("feature_key"), F.col("l_orderkey").cast("string").alias("specimen_id")).agg(F.avg("l_extendedprice").alias("value"))
     samples = T.table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("specimen_id"), F.concat(F.lit("k"), F.col("o_orderkey").cast("string")).alias("row_key"), F.col("o_orderkey").alias("sample_ordinal"))
     path = _scratch(spark, "bundle")
-    Wr.write_bundle(cells, samples, T.table(spark, d, "part").select(F.col("p_brand").alias("feature_key")).distinct(), path, False)
-    return wide.long_cells(spark.read.parquet(f"{path}/matrix.parquet")).select("feature_key", "specimen_id", F.round(F.col("value") + 1e-9, 6).alias("value"))
+    info = Wr.write_bundle(cells, samples, T.table(spark, d, "part").select(F.col("p_brand").alias("feature_key")).distinct(), path, False)
+    return Wr.bundle_cells(spark, path, info).select("feature_key", "specimen_id", F.round(F.col("value") + 1e-9, 6).alias("value"))
 
 
 _OBJECTS = """SELECT 'item ' || item_id AS object_id, md5(text) AS content_md5, 'item' AS kind, item_id % 2 = 0 AS critical FROM benchmark
