@@ -237,33 +237,34 @@ _MERGE = f"""WITH c AS ({O.TWO_RUNS}), k AS ({O.KEPT}), u AS (SELECT DISTINCT fe
 
 
 def _merged(spark: SparkSession, d: str):
-    c = staged(T.two_runs(spark, d))  # samples, filter and merge all read the cells
-    s = T.samples_of(c)
-    return c, s, L.kept_features(c, s)
+    """Samples with their cells, the samples, the cells, and what the filter says of their features."""
+    packed = staged(T.two_runs_by_sample(spark, d))  # samples, filter and merge all read the cells
+    c, s = packed.select(*L.PLACE, F.inline("_cells")), packed.select(*L.PLACE)
+    return packed, s, c, L.kept_features(c, s)
 
 
 @query(_MERGE + "SELECT stratum_key, missing_reason, count(*) AS n_cells FROM m GROUP BY 1, 2")
 def merge_layer_reason(spark: SparkSession, d: str) -> DataFrame:
-    c, s, status = _merged(spark, d)
-    return L.merge(c, s, status).groupBy("stratum_key", "missing_reason").agg(F.count(F.lit(1)).alias("n_cells"))
+    packed, _, _, status = _merged(spark, d)
+    return L.merge_samples(packed, status).groupBy("stratum_key", "missing_reason").agg(F.count(F.lit(1)).alias("n_cells"))
 
 
 @query(_MERGE + "SELECT stratum_key, specimen_id, feature_key, round(value, 5) AS value, missing_reason FROM m")
 def merge_layer_dense(spark: SparkSession, d: str) -> DataFrame:
-    c, s, status = _merged(spark, d)
-    return rounded(L.merge(c, s, status).select("stratum_key", "specimen_id", "feature_key", "value", "missing_reason"), 5)
+    packed, _, _, status = _merged(spark, d)
+    return rounded(L.merge_samples(packed, status).select("stratum_key", "specimen_id", "feature_key", "value", "missing_reason"), 5)
 
 
 @query(_MERGE + "SELECT stratum_key, missing_reason, count(*) AS n_cells FROM m GROUP BY 1, 2")
 def merge_reason_sparse(spark: SparkSession, d: str) -> DataFrame:
     """The same counts without the dense layer."""
-    c, s, status = _merged(spark, d)
+    _, s, c, status = _merged(spark, d)
     return L.reason_counts(s, c, status)
 
 
 @query(f"WITH c AS ({O.TWO_RUNS}), k AS ({O.KEPT}) SELECT feature_key, min(stratum_key) AS stratum_key FROM k WHERE kept GROUP BY 1")
 def feature_union(spark: SparkSession, d: str) -> DataFrame:
-    _, _, status = _merged(spark, d)
+    *_, status = _merged(spark, d)
     return L.feature_union(status.where("status = 'kept'"), ["F", "O"]).select("feature_key", "stratum_key")
 
 

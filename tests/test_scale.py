@@ -3,7 +3,7 @@
 import duckdb
 from pyspark.sql import functions as F
 
-from strataloom.operators import ranking, stats, wide
+from strataloom.operators import layer, ranking, stats, wide
 from strataloom.plans import file_queries
 from strataloom.plans.registry import ORACLE_SQL, QUERIES
 from strataloom.sources import tables as T
@@ -65,3 +65,38 @@ def test_bundles_of_more_specimens_than_columns_are_blocks(spark, sf, monkeypatc
     monkeypatch.setattr(wide, "wide_rows", lambda *a: schemas.append(a) or inner(*a))
     got, want = by_sql(sf, "wide_bundle_orders", QUERIES["wide_bundle_orders"](spark, sf))
     assert got == want and not schemas
+
+
+def exchanged(df, column):
+    """The exchanges of a plan, not broadcasts, that deal rows by this column."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and f"{column}#" in line]
+
+
+def test_dense_rows_are_laid_out_without_an_exchange(spark, sf):
+    df = QUERIES["merge_layer_dense"](spark, sf)
+    got, want = by_sql(sf, "merge_layer_dense", df)
+    assert got == want
+    assert not exchanged(df, "specimen_id")
+
+
+def test_a_merge_of_cells_exchanges_cells_and_samples_only(spark, sf):
+    cells = T.two_runs(spark, sf).withColumn("note", F.lit("kept")).localCheckpoint()
+    samples = T.samples_of(cells).unionByName(spark.createDataFrame([("F", "without cells")], "stratum_key string, specimen_id string"))
+    status = layer.kept_features(cells, samples)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = layer.merge(cells, samples, status)
+        rows = {(r["stratum_key"], r["specimen_id"], r["feature_key"]): (r["value"], r["note"], r["missing_reason"]) for r in df.collect()}
+        assert not [x for x in exchanged(df, "specimen_id") if "feature_key#" in x]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    state = {(r["stratum_key"], r["feature_key"]): r["status"] for r in status.collect()}
+    union = {f for (_, f), s in state.items() if s == "kept"}
+    values = {(r["stratum_key"], r["specimen_id"], r["feature_key"]): r["value"] for r in cells.collect()}
+    want = {}
+    for s, p in samples.collect():
+        for f in union:
+            v = values.get((s, p, f)) if state.get((s, f)) == "kept" else None
+            want[s, p, f] = (v, None if v is None else "kept", 0 if v is not None else {"kept": 1, "qc_dropped": 3, None: 2}[state.get((s, f))])
+    assert rows == want and len(rows) == df.count()
