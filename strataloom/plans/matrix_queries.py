@@ -137,17 +137,15 @@ def _similar_sql(cells: str) -> str:
     return f"WITH c AS ({cells}), s AS ({O.STATS}), sp AS ({O.SPACE}), m AS ({O.SIMILAR}) SELECT n_strata, round(location_range, 4) AS location_range, round(spread_ratio, 4) AS spread_ratio, location_range <= 0.5 AND spread_ratio <= 2.0 AS similar FROM m"
 
 
-LAYERS = {"cohorts": (T.cohorts, O.COHORTS), "mixed": (T.mixed_scales, O.MIXED.format(feature="p_type")), "two_runs": (T.two_runs, O.TWO_RUNS)}
+LAYERS = {"cohorts": O.COHORTS, "mixed": O.MIXED.format(feature="p_type"), "two_runs": O.TWO_RUNS}
 
 
 def _stats_of_layers(spark: SparkSession, d: str) -> DataFrame:
     """Feature statistics of all layers, strata named layer|stratum. Lines are joined once, for all layers."""
-    lines = staged(T.lines(spark, d).select("o_custkey", "p_brand", "p_type", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice", "l_discount"))
-    cells = [cells(spark, d, of=lines).select(F.concat_ws("|", F.lit(k), "stratum_key").alias("stratum_key"), "feature_key", "value") for k, (cells, _) in LAYERS.items()]
-    return stats.feature_stats(L.union_all(cells))
+    return stats.feature_stats(T.layers(spark, d))
 
 
-@query(" UNION ALL ".join(f"SELECT '{k}' AS layer_key, * FROM ({_similar_sql(v[1])})" for k, v in LAYERS.items()))
+@query(" UNION ALL ".join(f"SELECT '{k}' AS layer_key, * FROM ({_similar_sql(v)})" for k, v in LAYERS.items()))
 def stratum_similarity(spark: SparkSession, d: str) -> DataFrame:
     """Feature statistics of all layers in one pass; each layer's strata are then compared on feature rows."""
     s, out = _stats_of_layers(spark, d), None
@@ -158,7 +156,7 @@ def stratum_similarity(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
-@query(" UNION ALL ".join(f"SELECT '{k}' AS layer_key, \"similar\" = false AS z_applied, n_strata FROM ({_similar_sql(v[1])})" for k, v in LAYERS.items()))
+@query(" UNION ALL ".join(f"SELECT '{k}' AS layer_key, \"similar\" = false AS z_applied, n_strata FROM ({_similar_sql(v)})" for k, v in LAYERS.items()))
 def layer_policy(spark: SparkSession, d: str) -> DataFrame:
     s = _stats_of_layers(spark, d).persist()  # a row for each feature
     found = [P.decide_on(k, s.where(F.col("stratum_key").startswith(f"{k}|"))) for k in LAYERS]

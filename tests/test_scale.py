@@ -100,3 +100,9 @@ def test_a_merge_of_cells_exchanges_cells_and_samples_only(spark, sf):
             v = values.get((s, p, f)) if state.get((s, f)) == "kept" else None
             want[s, p, f] = (v, None if v is None else "kept", 0 if v is not None else {"kept": 1, "qc_dropped": 3, None: 2}[state.get((s, f))])
     assert rows == want and len(rows) == df.count()
+
+
+def test_layers_come_together_by_customer_once(spark, sf):
+    assert len(exchanged(T.layers(spark, sf), "o_custkey")) == 1
+    got, want = by_sql(sf, "stratum_similarity", QUERIES["stratum_similarity"](spark, sf))
+    assert got == want
