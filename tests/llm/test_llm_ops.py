@@ -769,6 +769,25 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     assert got == want
 
 
+def test_decontamination_holds_one_block_and_one_copy_of_an_item(spark, monkeypatch):
+    """Copies of an item take no seeds of their own; blocks are found one after the other, and leave no broadcast behind."""
+    text = " ".join(words(31, 30))
+    copies = spark.createDataFrame([(k, text if k < 60 else f"  {text.upper()}!") for k in range(80)], "item_id bigint, text string")
+    rows = [(1, f"lead in {text} end", "a"), (2, "nothing of it " * 5, "a")]
+    sent, inner = [], decontaminate._hits
+    monkeypatch.setattr(decontaminate, "_hits", lambda d, kinds, seeds: sent.append(seeds.count()) or inner(d, kinds, seeds))
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 200)
+    found = decontaminate.contaminations(docs(spark, rows), copies)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, k, 30, 30) for k in range(80)]
+    assert len(sent) == 1 and sent[0] <= 4 * 30
+    assert [r["doc_id"] for r in decontaminate.decontaminate(docs(spark, rows), copies).collect()] == [2]
+
+    others = spark.createDataFrame([(k, " ".join(words(900 + k, 20))) for k in range(12)], "item_id bigint, text string")
+    sent.clear()
+    found = decontaminate.contaminations(docs(spark, rows), others)
+    assert len(sent) > 2 and "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 # --- 10: toxicity ---------------------------------------------------------------------------------
 
 
