@@ -1,11 +1,13 @@
 """Work that must not grow faster than its input: what is computed once, and what no task or driver holds."""
 
 import duckdb
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from strataloom.operators import layer, ranking, stats, wide
 from strataloom.plans import file_queries
 from strataloom.plans.registry import ORACLE_SQL, QUERIES
+from strataloom.sinks import writers
 from strataloom.sources import tables as T
 
 
@@ -115,3 +117,18 @@ def test_lines_are_dealt_over_the_sessions_partitions(spark, sf):
     for name in ("feature_stats", "audit_rows"):
         got, want = by_sql(sf, name, QUERIES[name](spark, sf))
         assert got == want, name
+
+
+def test_row_groups_of_blocks_hold_few_rows(spark, tmp_path, monkeypatch):
+    """A reader's batch of 4,096 rows of 4,096 values would not fit a task."""
+    monkeypatch.setattr(wide, "MAX_COLUMNS", 5)
+    monkeypatch.setattr(wide, "BLOCK", 4)
+    monkeypatch.setattr(wide, "BATCH_BLOCKS", 3)
+    cells = spark.range(40 * 9).select((F.col("id") % 40).cast("string").alias("feature_key"), F.floor(F.col("id") / 40).cast("string").alias("specimen_id"), F.col("id").cast("double").alias("value"))
+    samples = spark.range(9).select(F.col("id").cast("string").alias("specimen_id"), F.col("id").cast("string").alias("row_key"), F.col("id").alias("sample_ordinal"))
+    info = writers.write_bundle(cells, samples, cells.select("feature_key").distinct(), str(tmp_path), False)
+    for name in ("matrix", "blocks"):
+        files = [pq.ParquetFile(f).metadata for f in (tmp_path / f"{name}.parquet").glob("*.parquet")]
+        assert max(m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)) <= 3, name
+    got = {(r["feature_key"], r["specimen_id"], r["value"]) for r in writers.bundle_cells(spark, str(tmp_path), info).collect()}
+    assert got == {(str(i % 40), str(i // 40), float(i)) for i in range(360)}
