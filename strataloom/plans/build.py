@@ -23,6 +23,7 @@ from strataloom.operators import features as FE
 from strataloom.operators import layer as L
 from strataloom.operators import policy as P
 from strataloom.operators import samples as S
+from strataloom.operators.lineage import staged
 from strataloom.operators.lookups import coalesce_annotation
 from strataloom.sinks import writers as Wr
 from strataloom.sources import annotations as A
@@ -158,15 +159,17 @@ def build(
         declared = {p.stratum.key: p.stratum.scale.name for p in parts}
         policy = P.decide(spec.key, cells, declared, stored=True)
         scaled = P.apply(cells, policy)
-        held += [x for p in parts for x in (p.cells, p.samples, p.features, p.status)]
+        own = [x for p in parts for x in (p.cells, p.samples, p.features, p.status)]
         samples = L.union_all([_source_order(p.samples, i) for i, p in enumerate(parts)])
         files = S.files_table(list(spec.strata), manifest, spark)
         samples = S.with_sole_file(S.declared_columns(samples, list(spec.strata)), files)
         samples = S.replicate_index(S.row_key(samples)).withColumn("layer_key", F.lit(spec.key)).persist()
         features = L.feature_union(L.union_all([p.features.drop("src_ordinal") for p in parts]), [p.stratum.key for p in parts]).persist()
         status = L.union_all([p.status for p in parts])
-        merged = L.merge(scaled, samples, status).persist()
+        merged = L.merge(scaled, samples, status)
         contract.scope_gate([*merged.columns, *samples.columns, *features.columns])
+        if bundles:  # else they are read once
+            merged = staged(merged)
         Wr.write_cells(merged, staging, spec.key)
         Wr.emit(L.union_all([S.assay_table(list(spec.strata), spark)]), f"{staging}/assay/{spec.key}")
         Wr.emit(S.sample_files(samples, files.where("file_role = 'matrix'")), f"{staging}/sample_files/{spec.key}")
@@ -184,7 +187,8 @@ def build(
             shape = Wr.bundle_shape(spark, f"{staging}/bundles/{spec.key}", info)
             layer["bundle"] = {"n_features": shape[0], "n_specimens": shape[1], "n_sample_rows": spark.read.parquet(f"{staging}/bundles/{spec.key}/samples.parquet").count(), "n_feature_rows": spark.read.parquet(f"{staging}/bundles/{spec.key}/features.parquet").count(), "surface": info["value_surface"]}
         context["layers"].append(layer)
-        merged.unpersist()
+        for x in own:  # nothing of another layer reads them
+            x.unpersist()
         entries.append({"layer_key": spec.key, "status": "built", "n_features": n_features, "n_samples": keys["n"], "policy": json.dumps(policy.as_dict())})
         held += [samples, features]
         all_samples.append((spec, samples))
@@ -246,7 +250,8 @@ def _surfaces(back: DataFrame, cells: DataFrame, policy: P.Policy) -> list[dict]
         out = z.groupBy("stratum_key").agg(F.median("median").alias("z_median"), F.median("sd").alias("z_sd")).join(normal.select("stratum_key", "median_abs_skew", "normality_ok"), "stratum_key", "left")
         return [r.asDict() for r in out.collect()]
     key = ["stratum_key", "feature_key", "specimen_id"]
-    both = cells.where("value is not null").join(back.select(*key, F.col("value").alias("_v")), key, "left")
+    written = back.where("value is not null").select(*key, F.col("value").alias("_v"))  # a row that is not there counts as one without a value
+    both = cells.where("value is not null").join(written, key, "left")
     return [r.asDict() for r in both.groupBy("stratum_key").agg(F.count_if(~F.col("_v").eqNullSafe(F.col("value").cast("float"))).alias("n_changed")).collect()]
 
 

@@ -5,7 +5,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from strataloom.operators import layer, ranking, stats, wide
-from strataloom.plans import file_queries
+from strataloom.plans import build, file_queries
 from strataloom.plans.registry import ORACLE_SQL, QUERIES
 from strataloom.sinks import writers
 from strataloom.sources import tables as T
@@ -132,3 +132,23 @@ def test_row_groups_of_blocks_hold_few_rows(spark, tmp_path, monkeypatch):
         assert max(m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)) <= 3, name
     got = {(r["feature_key"], r["specimen_id"], r["value"]) for r in writers.bundle_cells(spark, str(tmp_path), info).collect()}
     assert got == {(str(i % 40), str(i // 40), float(i)) for i in range(360)}
+
+
+def test_a_build_keeps_no_dense_layer_and_no_cells_of_a_layer_that_is_written(spark, sf, monkeypatch):
+    dense, parts = [], []
+    merge, harmonise, cells, returns = build.L.merge, build.harmonise, build.Wr.write_cells, build.Wr.write_returns
+    monkeypatch.setattr(build.L, "merge", lambda *a: dense.append(merge(*a)) or dense[-1])
+    monkeypatch.setattr(build, "harmonise", lambda *a: parts.append(harmonise(*a)) or parts[-1])
+
+    def written(df, *a):
+        assert not df.storageLevel.useMemory
+        return cells(df, *a)
+
+    def returned(*a):
+        assert len(parts) == 2 and not any(x.storageLevel.useMemory for p in parts for x in (p.cells, p.samples, p.features, p.status))
+        return returns(*a)
+
+    monkeypatch.setattr(build.Wr, "write_cells", written)
+    monkeypatch.setattr(build.Wr, "write_returns", returned)
+    got, want = by_sql(sf, "samples_of_a_build", QUERIES["samples_of_a_build"](spark, sf))
+    assert got == want and len(dense) == 1 and not dense[0].storageLevel.useMemory
