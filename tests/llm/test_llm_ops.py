@@ -788,6 +788,18 @@ def test_decontamination_holds_one_block_and_one_copy_of_an_item(spark, monkeypa
     assert len(sent) > 2 and "Generate" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_decontaminated_documents_are_not_exchanged(spark):
+    text = " ".join(words(31, 30))
+    b = spark.createDataFrame([(1, text)], "item_id bigint, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = decontaminate.decontaminate(docs(spark, [(1, text, "a"), (2, "other words here", "a")]), b)
+        assert [r["doc_id"] for r in kept.collect()] == [2]
+        assert "hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 # --- 10: toxicity ---------------------------------------------------------------------------------
 
 
